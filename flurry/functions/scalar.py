@@ -42,13 +42,14 @@ def now_ms() -> Column:
     return F.unix_millis(F.current_timestamp())
 
 
-_EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def epoch_micros(c) -> Column:
     """Epoch microseconds of a wall-clock (NTZ) timestamp, independent of the
     session time zone."""
-    return F.timestamp_diff("MICROSECOND", _EPOCH_NTZ, _c(c).cast("timestamp_ntz"))
+    return F.timestamp_diff("MICROSECOND", _epoch_ntz(), _c(c).cast("timestamp_ntz"))
 
 
 def duration_micros(start, end) -> Column:
