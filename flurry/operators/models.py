@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flurry.operators.encode import indexer_stages, one_hot_stage
-from flurry.operators.sampling import hash_bucket, with_fold
+from flurry.operators.sampling import with_fold
 from flurry.operators.vectors import knn
 from flurry.operators.windows import positions
 
@@ -168,30 +168,37 @@ def pca_stage(k: int, input_col: str = "features", output_col: str = "pca") -> P
 class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol):
     """z(x) = sqrt(2/D) · cos(W x + b), W ~ N(0, 2γ), b ~ U[0, 2π) (Rahimi &
     Recht, 2007): a linear model on z approximates an RBF-kernel SVM. W is
-    D x d, fixed by the seed; it is sized by parameters, not by the data.
+    D x d, regenerated from the seed on each worker (d read from the data),
+    so it is sized by parameters, not by the data, and never shipped.
     Computed in Arrow batches with one numpy matrix product per batch."""
 
     gamma = Param(Params._dummy(), "gamma", "RBF gamma", TypeConverters.toFloat)
     dim = Param(Params._dummy(), "dim", "number of random features", TypeConverters.toInt)
     seed = Param(Params._dummy(), "seed", "random seed", TypeConverters.toInt)
-    inputDim = Param(Params._dummy(), "inputDim", "input vector size", TypeConverters.toInt)
 
-    def __init__(self, inputCol="features", outputCol="rff", gamma=0.1, dim=200, seed=42, inputDim=1):
+    def __init__(self, inputCol="features", outputCol="rff", gamma=0.1, dim=200, seed=42):
         super().__init__()
-        self._set(inputCol=inputCol, outputCol=outputCol, gamma=gamma, dim=dim, seed=seed, inputDim=inputDim)
+        self._set(inputCol=inputCol, outputCol=outputCol, gamma=gamma, dim=dim, seed=seed)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        d, D = self.getOrDefault(self.inputDim), self.getOrDefault(self.dim)
-        rng = np.random.default_rng(self.getOrDefault(self.seed))
-        W = rng.normal(0.0, math.sqrt(2.0 * self.getOrDefault(self.gamma)), size=(D, d))
-        b = rng.uniform(0.0, 2.0 * math.pi, size=D)
+        D, gamma, seed = self.getOrDefault(self.dim), self.getOrDefault(self.gamma), self.getOrDefault(self.seed)
         scale = math.sqrt(2.0 / D)
+        cache: dict = {}
+
+        def weights(d):
+            if d not in cache:
+                rng = np.random.default_rng(seed)
+                cache[d] = (rng.normal(0.0, math.sqrt(2.0 * gamma), size=(D, d)),
+                            rng.uniform(0.0, 2.0 * math.pi, size=D))
+            return cache[d]
 
         @F.pandas_udf(T.ArrayType(T.DoubleType()))
         def rff(x: pd.Series) -> pd.Series:
-            X = np.stack(x.to_numpy()) if len(x) else np.zeros((0, d))
-            Z = scale * np.cos(X @ W.T + b)
-            return pd.Series(list(Z))
+            if len(x) == 0:
+                return pd.Series([], dtype=object)
+            X = np.stack(x.to_numpy())
+            W, b = weights(X.shape[1])
+            return pd.Series(list(scale * np.cos(X @ W.T + b)))
 
         arr = vector_to_array(F.col(self.getInputCol()))
         return df.withColumn(self.getOutputCol(), array_to_vector(rff(arr)))
@@ -258,23 +265,32 @@ def smote(df: DataFrame, label: str, minority, ratio: float = 1.0, k: int = 5, s
 class SmoteThen(Estimator):
     """Oversample with SMOTE, then fit the inner estimator (fit only; the
     returned model is the inner model, so predictions are untouched). Used
-    inside CV so sampling happens within each training fold."""
+    inside CV so sampling happens within each training fold. ``ratio`` is a
+    Param, so a grid can search it together with the inner estimator's
+    params."""
+
+    ratio = Param(Params._dummy(), "ratio", "minority / majority after sampling", TypeConverters.toFloat)
 
     def __init__(self, inner: Estimator, label: str = "label", minority: float = 1.0,
                  ratio: float = 1.0, k: int = 5, seed: int = 42, id_col: str = "id",
                  vec: str = "features"):
         super().__init__()
         self.inner, self.label, self.minority = inner, label, minority
-        self.ratio, self.k, self.seed, self.id_col, self.vec = ratio, k, seed, id_col, vec
+        self.k, self.seed, self.id_col, self.vec = k, seed, id_col, vec
+        self._set(ratio=ratio)
 
     def copy(self, extra=None):
+        """Route grid values: ``ratio`` to this wrapper, the rest to the inner estimator."""
         extra = dict(extra or {})
-        ratio = extra.pop("ratio", self.ratio)
-        inner = self.inner.copy({p: v for p, v in extra.items() if self.inner.hasParam(p.name)})
-        return SmoteThen(inner, self.label, self.minority, ratio, self.k, self.seed, self.id_col, self.vec)
+        own = {p.name: v for p, v in extra.items() if p.parent == self.uid}
+        rest = {p: v for p, v in extra.items() if p.parent != self.uid}
+        return SmoteThen(self.inner.copy(rest), self.label, self.minority,
+                         own.get("ratio", self.getOrDefault(self.ratio)), self.k, self.seed,
+                         self.id_col, self.vec)
 
     def _fit(self, df: DataFrame) -> Model:
-        over = smote(df, self.label, self.minority, self.ratio, self.k, self.seed, self.id_col, self.vec)
+        over = smote(df, self.label, self.minority, self.getOrDefault(self.ratio), self.k, self.seed,
+                     self.id_col, self.vec)
         return self.inner.fit(over.drop("synthetic"))
 
 

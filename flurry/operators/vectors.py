@@ -166,12 +166,13 @@ def recall_at_k(approx: DataFrame, exact: DataFrame) -> DataFrame:
     return hit.agg(F.avg(F.coalesce("_hit", F.lit(0)).cast("double")).alias("recall"))
 
 
-def embed(df: DataFrame, col: str, make_predict_fn, dim: int, batch_size: int = 64,
+def embed(df: DataFrame, col: str, make_predict_fn, input_dim: int, batch_size: int = 64,
           out: str = "embedding") -> DataFrame:
     """Batch inference with a caller's model (K7): ``make_predict_fn`` is
-    called once per Python worker and returns ``fn(np.ndarray) -> np.ndarray``;
-    rows are sent in Arrow batches of ``batch_size``."""
+    called once per Python worker and returns ``fn(np.ndarray[batch,
+    input_dim]) -> np.ndarray[batch, k]``; rows travel in Arrow batches of
+    ``batch_size``."""
     from pyspark.ml.functions import predict_batch_udf
     udf = predict_batch_udf(make_predict_fn, return_type=T.ArrayType(T.FloatType()),
-                            batch_size=batch_size)
+                            batch_size=batch_size, input_tensor_shapes=[[input_dim]])
     return df.withColumn(out, udf(F.col(col)))

@@ -31,3 +31,37 @@ def churn_scores(spark: SparkSession, d: str) -> DataFrame:
     scored = score(cf, model, "probability", keep=["id", "Churn"])
     return scored.select("id", "Churn", "probability", (F.col("prediction") == 1.0).alias("predicted_churn")) \
         .orderBy(F.col("probability").desc(), F.col("id"))
+
+
+def churn_fixed_model(spark: SparkSession, d: str, c: float = 1.0):
+    """Single logistic fit with sklearn-style C (no search): the model the
+    explanation and what-if queries explain. Returns (model, table, train)."""
+    from pyspark.ml.classification import LogisticRegression
+    from flurry.operators.models import fit_classifier
+    cf = with_label(drop_blank_rows(customer_features(spark, d)), "Churn")
+    cf = cf.withColumn("n_orders", F.col("n_orders").cast("double"))
+    train, _ = train_test_split(cf, "id", 0.25)
+    n = train.count()
+    lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=100, regParam=1.0 / (c * n),
+                            standardization=False)
+    return fit_classifier(train, CUSTOMER_CATEGORICAL, CUSTOMER_NUMERIC, lr), cf, train
+
+
+def team_features(spark: SparkSession, d: str) -> DataFrame:
+    """Per-game team table (F-B) with a numeric id and 0/1 label: the input
+    of the oversampling, PCA and grid-search queries."""
+    from flurry.operators.clean import concat_key, drop_null, presence_label, scale_by, with_row_id
+    from flurry.operators.joins import attach
+    from flurry.plans.derived import season_champions, supplier_seasons
+    s = supplier_seasons(spark, d)
+    c = season_champions(supplier_seasons(spark, d))
+    j = drop_null(attach(s, c, ["name", "season"], ["Champion", "Year"], "left"), ["name"])
+    j = j.select(concat_key(["name", "season"]).alias("uid"), "season", "games_played", *TEAM_STATS,
+                 "discount_percentage", presence_label(F.col("Champion")).alias("Champion"))
+    j = scale_by(j, "games_played", exclude=["season", "Champion"], exclude_containing=["percentage"])
+    j = with_row_id(j, ["uid"], "id")
+    return with_label(j, "Champion")
+
+
+TEAM_STATS = ["quantity", "extendedprice", "discount", "tax", "revenue"]
+TEAM_FEATURES = TEAM_STATS + ["discount_percentage"]

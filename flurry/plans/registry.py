@@ -716,3 +716,145 @@ im AS (SELECT page_id, link_page_id, url,
 SELECT page_id, link_page_id, raw AS image, raw AS file_name FROM im WHERE length(raw) > 2""")
 def q_two_hop_images(spark, d):
     return pages.two_hop_images(table(spark, d, "pages"), ["http", "example"])
+
+
+# --- models, explanations, monitoring log (no SQL oracle: rows-only checks) -------------
+# These fit models (pyspark.ml) or draw seeded samples, which SQL cannot express.
+
+from pyspark.ml import Pipeline  # noqa: E402
+from pyspark.ml.feature import VectorAssembler  # noqa: E402
+
+from flurry.operators import explain as xp  # noqa: E402
+from flurry.operators import models  # noqa: E402
+from flurry.plans import flagship  # noqa: E402
+
+# Parameters from the reference: 500 perturbation samples and the top 5
+# features for the team explanations; 10 C values and 5 folds for the churn
+# model; 100 trees; a 25 % hold-out.
+EXPLAIN_SAMPLES = 500
+EXPLAIN_FEATURES = 5
+
+
+@register("churn_scores")
+def q_churn_scores(spark, d):
+    return flagship.churn_scores(spark, d)
+
+
+def _explained(spark, d):
+    model, cf, train = flagship.churn_fixed_model(spark, d)
+    st = xp.training_stats(train, _CAT, _NUM)
+    return xp.explain_table(cf, model, st, n_samples=EXPLAIN_SAMPLES, n_features=EXPLAIN_FEATURES), st
+
+
+@register("churn_explanations")
+def q_churn_explanations(spark, d):
+    ex, st = _explained(spark, d)
+    return ex.select("id", "probability", "explanation", xp.explanation_list(st).alias("explanation_list"))
+
+
+@register("explanation_table")
+def q_explanation_table(spark, d):
+    ex, _ = _explained(spark, d)
+    return xp.table_view(ex)
+
+
+@register("explanation_heat_bins")
+def q_explanation_heat_bins(spark, d):
+    ex, _ = _explained(spark, d)
+    return xp.heat_bins(ex).select("id", "weight_bins", "probability_bin")
+
+
+@register("global_importance")
+def q_global_importance(spark, d):
+    ex, _ = _explained(spark, d)
+    return xp.global_importance(ex)
+
+
+@register("what_if")
+def q_what_if(spark, d):
+    model, cf, train = flagship.churn_fixed_model(spark, d)
+    st = xp.training_stats(train, _CAT, _NUM)
+    return xp.what_if(cf, model, st, numeric_values={"n_orders": [1.0, 10.0, 20.0]})
+
+
+@register("scoring_log")
+def q_scoring_log(spark, d):
+    model, cf, train = flagship.churn_fixed_model(spark, d)
+    dflt = summary.default_row(train, _CAT, _NUM)
+    neg = F.col("acctbal") < 0   # requests with a missing field, filled from the defaults
+    req = cf.select("id", *_CAT, *[F.when(neg, None).otherwise(F.col(c)).alias(c) if c == "acctbal" else F.col(c)
+                                   for c in _NUM])
+    return xp.score_log(req, model, defaults=dflt)
+
+
+@register("model_comparison")
+def q_model_comparison(spark, d):
+    model, cf, train = flagship.churn_fixed_model(spark, d)
+    _, test = sampling.train_test_split(cf, "id", 0.25)
+    n = train.count()
+    fitted = {
+        "logistic": model,
+        "forest": models.fit_classifier(train, _CAT, _NUM, models.forest(100)),
+        "boosted_trees": models.fit_classifier(train, _CAT, _NUM, models.boosted_trees(0.1, 20)),
+        "linear_svm": models.fit_classifier(train, _CAT, _NUM, models.linear_svm(1.0, n)),
+        "rbf_svm": Pipeline(stages=models.feature_stages(_CAT, _NUM, out="features_in") + [
+            models.RandomFourierFeatures("features_in", "features", gamma=0.1, dim=200, seed=42),
+            models.linear_svm(1.0, n)]).fit(train),
+    }
+    return models.compare(fitted, train, test)
+
+
+def _team(spark, d):
+    t = flagship.team_features(spark, d)
+    va = VectorAssembler(inputCols=flagship.TEAM_FEATURES, outputCol="features_raw")
+    scaler = models.PopulationStandardScaler("features_raw", "features")
+    return Pipeline(stages=[va, scaler]).fit(t).transform(t)
+
+
+@register("team_pca")
+def q_team_pca(spark, d):
+    t = _team(spark, d)
+    from pyspark.ml.functions import vector_to_array
+    pca = models.pca_stage(5).fit(t)
+    return pca.transform(t).select("uid", "Champion", vector_to_array("pca").alias("pca"))
+
+
+@register("smote_oversample")
+def q_smote_oversample(spark, d):
+    t = _team(spark, d).select("id", "uid", "label", "features")
+    from pyspark.ml.functions import vector_to_array
+    out = models.smote(t, "label", 1.0, ratio=0.25, k=5, seed=42, id_col="id", vec="features")
+    return out.select("id", "uid", "label", "synthetic", vector_to_array("features").alias("features"))
+
+
+@register("grid_search")
+def q_grid_search(spark, d):
+    t = _team(spark, d).select("id", "label", "features")
+    rf = models.forest(10, seed=42)
+    est = models.SmoteThen(rf, "label", 1.0, ratio=0.25, k=5, seed=42, id_col="id")
+    grid = [{rf.numTrees: nt, est.ratio: r} for nt in (10, 50) for r in (0.25, 0.5)]
+    res, best = models.grid_search(est, grid, t, "label", "id", folds=5, parallelism=4, refit=False)
+    return res
+
+
+@register("knn_approx_recall")
+def q_knn_approx_recall(spark, d):
+    e = _emb(spark, d)
+    approx = vectors.knn_approx(e, e, 3, threshold=3.0, bucket_length=2.0, num_hash_tables=4)
+    exact = vectors.knn(e, e, 3)
+    return vectors.recall_at_k(approx, exact)
+
+
+@register("embed_projection")
+def q_embed_projection(spark, d):
+    """Batch inference hook (K7) with a fixed random projection as the
+    caller's model: 64-float embeddings -> 16 floats, in Arrow batches."""
+    def make_predict_fn():
+        import numpy as np
+        w = np.random.default_rng(7).normal(size=(64, 16)).astype("float32")
+
+        def predict(x):
+            return np.asarray(x, dtype="float32") @ w
+        return predict
+    return vectors.embed(_emb(spark, d).select("vec_id", "embedding"), "embedding", make_predict_fn, 64,
+                         out="projection")
