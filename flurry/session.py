@@ -30,6 +30,7 @@ def get_session(master: str | None = None, app: str = "flurry",
     """
     active = SparkSession.getActiveSession()
     if active is not None:
+        ship_package(active)
         return active
     b = SparkSession.builder.appName(app)
     if master:
@@ -43,6 +44,7 @@ def get_session(master: str | None = None, app: str = "flurry",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -78,3 +80,28 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``flurry`` importable in executor Python workers.
+
+    Pandas UDFs and grouped functions reference this package's helpers, which
+    are pickled by reference. When the package is not installed on the
+    executors it is zipped once per SparkContext and sent with
+    ``addPyFile`` (the way --py-files ships code); no data goes this way.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_flurry_shipped", False):
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="flurry-code-"), "flurry.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    sc._flurry_shipped = True
