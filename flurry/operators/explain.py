@@ -136,28 +136,39 @@ def _bin_of(x: float, qs: list[float]) -> int:
 
 def _wridge(X: np.ndarray, y: np.ndarray, w: np.ndarray, alpha: float):
     """Weighted ridge with intercept; returns (coef, intercept, weighted R²)."""
+    g = _gram(X, y, w)
+    return _solve(g, list(range(X.shape[1])), alpha)
+
+
+def _gram(X: np.ndarray, y: np.ndarray, w: np.ndarray):
+    """Weighted centred cross-products: everything a ridge fit on any subset
+    of the columns needs, so selection never revisits the samples."""
     ws = w.sum()
     xm = (w @ X) / ws
     ym = (w @ y) / ws
     Xc, yc = X - xm, y - ym
-    A = Xc.T @ (Xc * w[:, None]) + alpha * np.eye(X.shape[1])
-    coef = np.linalg.lstsq(A, Xc.T @ (w * yc), rcond=None)[0]
-    icpt = ym - xm @ coef
-    pred = X @ coef + icpt
-    ss_res = w @ (y - pred) ** 2
-    ss_tot = w @ (y - ym) ** 2
-    r2 = 1.0 - ss_res / ss_tot if ss_tot > 0 else 0.0
-    return coef, icpt, r2
-
-
-def _select(X, y, w, k: int, method: str):
-    n_f = X.shape[1]
-    if k >= n_f and method != "forward_selection":
-        return list(range(n_f))
+    Xw = Xc * w[:, None]
+    return {"G": Xc.T @ Xw, "b": Xw.T @ yc, "syy": float(w @ (yc * yc)), "xm": xm, "ym": ym}
+
+
+def _solve(g: dict, cols: list[int], alpha: float):
+    G = g["G"][np.ix_(cols, cols)] + alpha * np.eye(len(cols))
+    b = g["b"][cols]
+    coef = np.linalg.lstsq(G, b, rcond=None)[0]
+    # weighted residual sum of squares from the cross-products
+    ss_res = g["syy"] - 2 * coef @ b + coef @ (g["G"][np.ix_(cols, cols)] @ coef)
+    r2 = 1.0 - ss_res / g["syy"] if g["syy"] > 0 else 0.0
+    icpt = g["ym"] - g["xm"][cols] @ coef
+    return coef, float(icpt), float(r2)
+
+
+def _select(g: dict, n_f: int, k: int, method: str):
     if method == "auto":
         method = "forward_selection" if k <= 6 else "highest_weights"
+    if k >= n_f and method != "forward_selection":
+        return list(range(n_f))
     if method == "highest_weights":
-        coef, _, _ = _wridge(X, y, w, 0.01)
+        coef, _, _ = _solve(g, list(range(n_f)), 0.01)
         return [int(i) for i in np.argsort(-np.abs(coef), kind="stable")[:k]]
     used: list[int] = []
     for _ in range(min(k, n_f)):
@@ -165,7 +176,7 @@ def _select(X, y, w, k: int, method: str):
         for f in range(n_f):
             if f in used:
                 continue
-            _, _, s = _wridge(X[:, used + [f]], y, w, 0.0)
+            s = _solve(g, used + [f], 0.0)[2]
             if s > best_s:
                 best, best_s = f, s
         used.append(best)
@@ -174,48 +185,60 @@ def _select(X, y, w, k: int, method: str):
 
 # --- X1 ----------------------------------------------------------------------------
 
+_CHUNK_ROWS = 1 << 16   # sample rows per Arrow batch handed back to the JVM
+SAMPLES_PER_TASK = 1_000_000
+
+
 def _sample_fn(stats: TrainingStats, id_col: str, n_samples: int, seed: int):
     feats = stats.features
     n_f = len(feats)
+    if n_f > 62:
+        raise ValueError("at most 62 features (the 0/1 form is packed in one long)")
+    bits = (1 << np.arange(n_f, dtype=np.int64))
+    per_chunk = max(1, _CHUNK_ROWS // n_samples)
+
+    def one_row(rec, cols, Z, sl):
+        rid = int(rec[id_col])
+        rng = np.random.default_rng([seed, rid & 0x7FFFFFFF, (rid >> 31) & 0x7FFFFFFF])
+        for j, c in enumerate(feats):
+            if c in stats.classes:
+                vals, freqs = stats.classes[c]
+                idx = rng.choice(len(vals), size=n_samples, p=freqs)
+                v = np.asarray(vals, dtype=object)[idx]
+                Z[sl, j] = v == rec[c]
+                v[0] = rec[c]
+            else:
+                qs, bins = stats.quartiles[c], stats.bins[c]
+                freqs = np.array([b[0] for b in bins])
+                bi = rng.choice(4, size=n_samples, p=freqs / freqs.sum())
+                v = np.empty(n_samples)
+                for k in range(4):
+                    m = bi == k
+                    if m.any():
+                        _, mean, std, lo, hi = bins[k]
+                        v[m] = _truncnorm(rng, mean, std, lo, hi, int(m.sum()))
+                row_bin = _bin_of(float(rec[c]), qs) if rec[c] is not None else -1
+                Z[sl, j] = bi == row_bin
+                v[0] = rec[c]
+            cols[c][sl] = v
 
     def run(batches):
         for pdf in batches:
-            outs = []
-            for rec in pdf.to_dict("records"):
-                rid = int(rec[id_col])
-                rng = np.random.default_rng([seed, rid & 0x7FFFFFFF, (rid >> 31) & 0x7FFFFFFF])
-                cols = {}
-                binary = np.ones((n_samples, n_f))
-                for j, c in enumerate(feats):
-                    if c in stats.classes:
-                        vals, freqs = stats.classes[c]
-                        idx = rng.choice(len(vals), size=n_samples, p=freqs)
-                        v = np.array(vals, dtype=object)[idx]
-                        binary[:, j] = (v == rec[c]).astype(float)
-                        v[0] = rec[c]
-                        cols[c] = v
-                    else:
-                        qs, bins = stats.quartiles[c], stats.bins[c]
-                        freqs = np.array([b[0] for b in bins])
-                        bi = rng.choice(4, size=n_samples, p=freqs / freqs.sum())
-                        v = np.empty(n_samples)
-                        for k in range(4):
-                            m = bi == k
-                            if m.any():
-                                _, mean, std, lo, hi = bins[k]
-                                v[m] = _truncnorm(rng, mean, std, lo, hi, int(m.sum()))
-                        row_bin = _bin_of(float(rec[c]), qs) if rec[c] is not None else -1
-                        binary[:, j] = (bi == row_bin).astype(float)
-                        v[0] = rec[c]
-                        cols[c] = v
-                binary[0, :] = 1.0
+            recs = pdf.to_dict("records")
+            for start in range(0, len(recs), per_chunk):
+                chunk = recs[start:start + per_chunk]
+                m = len(chunk) * n_samples
+                cols = {c: np.empty(m, dtype=object if c in stats.classes else float) for c in feats}
+                Z = np.zeros((m, n_f), dtype=bool)
+                for i, rec in enumerate(chunk):
+                    one_row(rec, cols, Z, slice(i * n_samples, (i + 1) * n_samples))
+                Z[::n_samples] = True  # sample 0 is the row itself
                 out = pd.DataFrame(cols)
-                out.insert(0, "_s", np.arange(n_samples, dtype=np.int64))
-                out.insert(0, id_col, rid)
-                out["_z"] = list(binary)
-                outs.append(out)
-            if outs:
-                yield pd.concat(outs, ignore_index=True)
+                out.insert(0, "_s", np.tile(np.arange(n_samples, dtype=np.int64), len(chunk)))
+                out.insert(0, id_col, np.repeat(np.array([int(r[id_col]) for r in chunk], dtype=np.int64),
+                                                n_samples))
+                out["_z"] = Z.astype(np.int64) @ bits
+                yield out
 
     return run
 
@@ -224,25 +247,32 @@ def _fit_fn(stats: TrainingStats, id_col: str, n_features: int, method: str, ker
     feats = stats.features
     n_f = len(feats)
     width = kernel_width or 0.75 * math.sqrt(n_f)
+    shifts = np.arange(n_f, dtype=np.int64)
 
-    def names(rec_vals):
-        return feats
-
-    def one(g: pd.DataFrame):
-        g = g.sort_values("_s")
-        Z = np.stack(g["_z"].to_numpy())
-        y = g["_p"].to_numpy(dtype=float)
+    def one(rid, s, z, p):
+        order = np.argsort(s, kind="stable")
+        Z = ((z[order][:, None] >> shifts) & 1).astype(float)
+        y = p[order]
         d = np.sqrt(((Z - 1.0) ** 2).sum(axis=1))
         w = np.sqrt(np.exp(-(d ** 2) / width ** 2))
-        used = _select(Z, y, w, min(n_features, n_f), method)
-        coef, icpt, r2 = _wridge(Z[:, used], y, w, 1.0)
-        local = float(icpt + coef.sum())
-        order = np.argsort(-np.abs(coef), kind="stable")
-        expl = {feats[used[i]]: float(coef[i]) for i in order}
-        return {id_col: int(g[id_col].iloc[0]), "probability": float(y[0]), "explanation": expl,
-                "intercept": float(icpt), "score": float(r2), "local_pred": local}
+        g = _gram(Z, y, w)
+        used = _select(g, n_f, min(n_features, n_f), method)
+        coef, icpt, r2 = _solve(g, used, 1.0)
+        rank = np.argsort(-np.abs(coef), kind="stable")
+        return (int(rid), float(y[0]), {feats[used[i]]: float(coef[i]) for i in rank}, icpt, r2,
+                float(icpt + coef.sum()))
+
+    def fit_runs(pdf):
+        ids = pdf[id_col].to_numpy()
+        s, z, p = pdf["_s"].to_numpy(), pdf["_z"].to_numpy(), pdf["_p"].to_numpy(dtype=float)
+        cuts = np.flatnonzero(ids[1:] != ids[:-1]) + 1
+        bounds = np.concatenate([[0], cuts, [len(ids)]])
+        res = [one(ids[a], s[a:b], z[a:b], p[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+        return pd.DataFrame(res, columns=[id_col, "probability", "explanation", "intercept", "score",
+                                          "local_pred"])
 
     def run(batches):
+        # an id's samples are contiguous; one may straddle two batches
         carry = None
         for pdf in batches:
             if carry is not None:
@@ -250,11 +280,12 @@ def _fit_fn(stats: TrainingStats, id_col: str, n_features: int, method: str, ker
             if len(pdf) == 0:
                 continue
             last = pdf[id_col].iloc[-1]
-            done, carry = pdf[pdf[id_col] != last], pdf[pdf[id_col] == last]
+            tail = pdf[id_col].to_numpy() == last
+            done, carry = pdf[~tail], pdf[tail]
             if len(done):
-                yield pd.DataFrame([one(g) for _, g in done.groupby(id_col, sort=False)])
+                yield fit_runs(done)
         if carry is not None and len(carry):
-            yield pd.DataFrame([one(g) for _, g in carry.groupby(id_col, sort=False)])
+            yield fit_runs(carry)
 
     return run
 
@@ -270,10 +301,16 @@ def explain(df: DataFrame, model, stats: TrainingStats, id_col: str = "id", n_sa
     """
     feats = stats.features
     rows = df.select(id_col, *feats)
+    # The sampler multiplies rows by n_samples: size its input partitions by
+    # the output (~SAMPLES_PER_TASK sample rows a task), not by the input,
+    # which AQE would otherwise pack into very few tasks.
+    n = rows.count()
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(n * n_samples / SAMPLES_PER_TASK))
+    rows = rows.repartition(parts)
     sample_schema = T.StructType(
         [T.StructField(id_col, T.LongType()), T.StructField("_s", T.LongType())]
         + [T.StructField(c, T.StringType() if c in stats.classes else T.DoubleType()) for c in feats]
-        + [T.StructField("_z", T.ArrayType(T.DoubleType()))])
+        + [T.StructField("_z", T.LongType())])
     samples = rows.mapInPandas(_sample_fn(stats, id_col, n_samples, seed), sample_schema)
     scored = model.transform(samples).select(id_col, "_s", "_z",
                                              vector_to_array(F.col("probability"))[1].alias("_p"))

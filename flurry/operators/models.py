@@ -93,7 +93,7 @@ def c_grid(n_values: int = 10, lo: float = -4, hi: float = 4) -> list[float]:
 def fit_logistic_cv(train: DataFrame, categorical: list[str], numeric: list[str],
                     label: str = "label", id_col: str = "id", folds: int = 5,
                     cs: list[float] | None = None, max_iter: int = 100,
-                    parallelism: int = 4, persist: bool = True) -> PipelineModel:
+                    parallelism: int = 8, persist: bool = True) -> PipelineModel:
     """Encode + scale + logistic regression whose C is chosen by mean fold
     accuracy, then refit on all training rows (M4).
 
@@ -111,7 +111,7 @@ def fit_logistic_cv(train: DataFrame, categorical: list[str], numeric: list[str]
     grid = ParamGridBuilder().addGrid(lr.regParam, [1.0 / (c * n) for c in (cs or c_grid())]).build()
     cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, numFolds=folds, foldCol="fold",
                         evaluator=MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy"),
-                        parallelism=parallelism)
+                        parallelism=min(parallelism, len(grid)))
     best = cv.fit(data).bestModel
     if persist:
         data.unpersist()

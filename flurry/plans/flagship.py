@@ -12,15 +12,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flurry.operators.clean import drop_blank_rows
+from flurry.session import cut_lineage
 from flurry.operators.models import fit_logistic_cv, score, with_label
 from flurry.operators.sampling import train_test_split
 from flurry.plans.derived import CUSTOMER_CATEGORICAL, CUSTOMER_NUMERIC, customer_features
 
 
-def churn_model(spark: SparkSession, d: str, folds: int = 5, cs: list[float] | None = None):
-    """(fitted pipeline model, labelled feature table, train, test)."""
+def labelled_features(spark: SparkSession, d: str) -> DataFrame:
+    """Cleaned, labelled customer features, checkpointed: model fitting scans
+    them many times, and the checkpoint (in the shared spark.checkpoint.dir)
+    both cuts the lineage back to the order scan and survives executor loss."""
     cf = with_label(drop_blank_rows(customer_features(spark, d)), "Churn")
     cf = cf.withColumn("n_orders", F.col("n_orders").cast("double"))
+    return cut_lineage(cf)
+
+
+def churn_model(spark: SparkSession, d: str, folds: int = 5, cs: list[float] | None = None):
+    """(fitted pipeline model, labelled feature table, train, test)."""
+    cf = labelled_features(spark, d)
     train, test = train_test_split(cf, "id", 0.25)
     model = fit_logistic_cv(train, CUSTOMER_CATEGORICAL, CUSTOMER_NUMERIC, folds=folds, cs=cs)
     return model, cf, train, test
@@ -38,8 +47,7 @@ def churn_fixed_model(spark: SparkSession, d: str, c: float = 1.0):
     explanation and what-if queries explain. Returns (model, table, train)."""
     from pyspark.ml.classification import LogisticRegression
     from flurry.operators.models import fit_classifier
-    cf = with_label(drop_blank_rows(customer_features(spark, d)), "Churn")
-    cf = cf.withColumn("n_orders", F.col("n_orders").cast("double"))
+    cf = labelled_features(spark, d)
     train, _ = train_test_split(cf, "id", 0.25)
     n = train.count()
     lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=100, regParam=1.0 / (c * n),
@@ -60,7 +68,7 @@ def team_features(spark: SparkSession, d: str) -> DataFrame:
                  "discount_percentage", presence_label(F.col("Champion")).alias("Champion"))
     j = scale_by(j, "games_played", exclude=["season", "Champion"], exclude_containing=["percentage"])
     j = with_row_id(j, ["uid"], "id")
-    return with_label(j, "Champion")
+    return cut_lineage(with_label(j, "Champion"))
 
 
 TEAM_STATS = ["quantity", "extendedprice", "discount", "tax", "revenue"]
