@@ -40,7 +40,9 @@ def _remove_dots(segs: Column) -> Column:
     last = F.element_at(mid, -1)
     stack = F.when(last.isin(".", ".."), F.array_append(stack, F.lit(""))).otherwise(stack)
     joined = F.array_join(stack, "/")
-    return F.when(joined == "", F.lit("/")).otherwise(joined)
+    # with an authority the path is absolute: a leading '/' is restored even
+    # when '..' popped past the root
+    return F.when(~joined.startswith("/"), F.concat(F.lit("/"), joined)).otherwise(joined)
 
 
 def resolve_url(base, ref) -> Column:

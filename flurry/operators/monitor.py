@@ -70,7 +70,9 @@ def metric_series(log: DataFrame, value: str, ts: str = "ts", keys: list[str] |
     """(keys..., pos, value) of one metric in time order, rows where it is
     null dropped, pos 1-based (L7)."""
     keys = list(keys or [])
-    d = log.select(*keys, ts, tiebreak, F.col(value).alias("value")).where(F.col("value").isNotNull())
+    # a flattened name like "metrics.probability" is a column, not a path
+    ref = F.col(f"`{value}`") if value in log.columns else F.col(value)
+    d = log.select(*keys, ts, tiebreak, ref.alias("value")).where(F.col("value").isNotNull())
     return with_position(d, keys, [ts, tiebreak], "pos").select(*keys, "pos", "value")
 
 
