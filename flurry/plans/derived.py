@@ -155,3 +155,12 @@ def labelled_scores(spark: SparkSession, d: str) -> DataFrame:
     score = F.least(F.col("n_chars") / 5000.0, F.lit(1.0))
     return j.select("doc_id", F.col("quality").cast("int").alias("label"), score.alias("score"),
                     (score >= 0.5).cast("int").alias("pred"))
+
+
+def truth_events(spark: SparkSession, d: str) -> DataFrame:
+    """F-C truth as events: (uuid, final_label, truth_ts) where truth_ts is
+    the time the 6-hour window closes, i.e. when the label becomes final."""
+    p = predictions(spark, d).select("uuid", "ts")
+    t = ground_truth(spark, d)
+    return p.join(t, "uuid").select(
+        "uuid", "final_label", (F.col("ts") + F.expr(f"INTERVAL {TRUTH_WINDOW_HOURS} HOURS")).alias("truth_ts"))

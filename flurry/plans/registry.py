@@ -858,3 +858,70 @@ def q_embed_projection(spark, d):
         return predict
     return vectors.embed(_emb(spark, d).select("vec_id", "embedding"), "embedding", make_predict_fn, 64,
                          out="projection")
+
+
+# --- Structured Streaming (L8-L10): run with availableNow, rows-only checks ------------
+
+import os as _os  # noqa: E402
+import uuid as _uuid  # noqa: E402
+
+from flurry import streaming as stm  # noqa: E402
+from flurry.session import checkpoint_dir  # noqa: E402
+
+
+def _scratch(spark, tag):
+    return _os.path.join(checkpoint_dir(spark), f"{tag}-{_uuid.uuid4().hex}")
+
+
+def _stage_table(df, spark, tag, by_day: str | None = None) -> str:
+    """Write a derived table into the shared folder, one file per day when
+    ``by_day`` is given, so a stream can replay it in time order."""
+    path = _scratch(spark, tag)
+    if by_day:
+        df = df.withColumn("_day", F.to_date(by_day))
+        df.repartition("_day").sortWithinPartitions(by_day).write.partitionBy("_day").parquet(path)
+    else:
+        df.write.parquet(path)
+    return path
+
+
+def _stream_log(spark, d):
+    """Predictions and truth as two streams joined with the L9 operator."""
+    pred = derived.predictions(spark, d)
+    truth = derived.truth_events(spark, d)
+    ppath = _stage_table(pred, spark, "pred", by_day="ts")
+    tpath = _stage_table(truth, spark, "truth", by_day="truth_ts")
+    ps = stm.as_event_time(spark.readStream.schema(spark.read.parquet(ppath).schema)
+                           .option("maxFilesPerTrigger", 5).parquet(ppath), "ts")
+    ts_ = stm.as_event_time(spark.readStream.schema(spark.read.parquet(tpath).schema)
+                            .option("maxFilesPerTrigger", 5).parquet(tpath), "truth_ts")
+    return stm.stream_attach_truth(ps.drop("_day"), ts_.drop("_day"), "uuid", "ts", "truth_ts", "6 hours", "1 hour")
+
+
+@register("stream_scoring")
+def q_stream_scoring(spark, d):
+    model, cf, _ = flagship.churn_fixed_model(spark, d)
+    path = _stage_table(cf.select("id", *_CAT, *_NUM), spark, "requests")
+    reqs = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+    out = stm.run_to_parquet(stm.stream_score(reqs, model, ["id"], "probability"))
+    return spark.read.parquet(out)
+
+
+@register("stream_late_truth")
+def q_stream_late_truth(spark, d):
+    out = stm.run_to_parquet(_stream_log(spark, d))
+    return spark.read.parquet(out).select("uuid", "user_id", epoch_micros(F.col("ts")).alias("ts_us"),
+                                          "probability", "prediction", "final_label")
+
+
+@register("stream_window_accuracy")
+def q_stream_window_accuracy(spark, d):
+    out = stm.run_to_parquet(stm.stream_window_accuracy(_stream_log(spark, d), "ts", "1 day", None))
+    return spark.read.parquet(out)
+
+
+@register("stream_count_batches")
+def q_stream_count_batches(spark, d):
+    q, out = stm.start_count_batches(_stream_log(spark, d), [], ["ts", "uuid"], "ts", 100)
+    q.awaitTermination()
+    return spark.read.parquet(out).drop("batch_id")

@@ -1,0 +1,5 @@
+from flurry.streaming.monitor import (as_event_time, replay, run_to_parquet, start_count_batches,
+                                      stream_attach_truth, stream_score, stream_window_accuracy)
+
+__all__ = ["as_event_time", "replay", "run_to_parquet", "start_count_batches", "stream_attach_truth",
+           "stream_score", "stream_window_accuracy"]
