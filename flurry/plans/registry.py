@@ -907,11 +907,13 @@ def q_stream_scoring(spark, d):
     return spark.read.parquet(out)
 
 
-@register("stream_late_truth")
+# Same results as the batch operators, so the same SQL oracles apply.
+@register("stream_late_truth", ORACLE["predictions_with_truth"])
 def q_stream_late_truth(spark, d):
     out = stm.run_to_parquet(_stream_log(spark, d))
-    return spark.read.parquet(out).select("uuid", "user_id", epoch_micros(F.col("ts")).alias("ts_us"),
-                                          "probability", "prediction", "final_label")
+    # ts is TIMESTAMP in the stream (for the watermark); back to the wall clock
+    return r6(spark.read.parquet(out).select("uuid", "user_id", epoch_micros(F.col("ts")).alias("ts_us"),
+                                             "probability", "prediction", "final_label"))
 
 
 @register("stream_window_accuracy")
@@ -920,8 +922,8 @@ def q_stream_window_accuracy(spark, d):
     return spark.read.parquet(out)
 
 
-@register("stream_count_batches")
+@register("stream_count_batches", ORACLE["batch_accuracy"])
 def q_stream_count_batches(spark, d):
     q, out = stm.start_count_batches(_stream_log(spark, d), [], ["ts", "uuid"], "ts", 100)
     q.awaitTermination()
-    return spark.read.parquet(out).drop("batch_id")
+    return r6(spark.read.parquet(out).select("batch", "n", "start_us", "end_us", "accuracy"))
