@@ -54,8 +54,8 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
     """
     names = names or [f"q{int(round(p * 100))}" for p in probs]
     data = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    ranked = positions(data, keys, ["_v"], "_pos")
-    counts = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = positions(data, keys, ["_v"], "_pos")   # materialised by positions
+    counts = ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     # (key, prob) -> the two positions to interpolate between
     want = counts.select(*keys, "_n", F.explode(F.array(*[
         F.struct(F.lit(i).alias("qi"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)

@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from flurry.session import cut_lineage
+
 
 def _order_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -100,6 +102,11 @@ def positions(df: DataFrame, keys: list[str], order: list, name: str = "pos",
         + [T.StructField("_pid", T.IntegerType(), False), T.StructField(name, T.LongType(), False)]
         + [T.StructField(f"_cum_{c}", T.DoubleType(), True) for c in sum_cols])
     local = ranged.mapInPandas(_local_running(keys, sum_cols, name), out_schema)
+    # Both branches below (partition totals, final rows) read the numbered
+    # rows: materialise them once in the shared checkpoint folder, so the
+    # scan, range shuffle and Arrow pass run once, the partition ids they
+    # carry are fixed data, and a lost executor does not force a recompute.
+    local = cut_lineage(local)
 
     # Per (partition, key) totals: map-side combined down to one row per pair.
     stats = local.groupBy("_pid", *keys).agg(
