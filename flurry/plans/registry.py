@@ -541,6 +541,37 @@ def q_flatten_metrics(spark, d):
     return flatten(nested)
 
 
+def _metric_log(spark, d):
+    """Metric records (uuid, model ids, start/end ms, nested metrics) built
+    from the prediction log; the end time adds the props latency in ms."""
+    ev = table(spark, d, "events").select(F.col("event_id").alias("uuid"),
+                                          F.get_json_object("props", "$.k").cast("long").alias("_k"))
+    log = _plog(spark, d).join(ev, "uuid")
+    start = F.floor(epoch_micros("ts") / 1000).cast("long")
+    return log.select(F.col("uuid").cast("string").alias("uuid"), F.lit("crn:churn").alias("model_crn"),
+                      F.lit("crn:churn:dep").alias("model_deployment_crn"), start.alias("startTimeStampMs"),
+                      (start + F.col("_k")).alias("endTimeStampMs"),
+                      F.struct(round6(F.col("probability")).alias("probability"),
+                               F.col("final_label").alias("final_label")).alias("metrics"))
+
+
+# 2024-01-05 00:00:00 and 2024-01-20 00:00:00 UTC in epoch milliseconds
+_READ_FROM_MS, _READ_TO_MS = 1704412800000, 1705708800000
+
+
+@register("read_metrics", _with(PRED) + f""",
+m AS (SELECT CAST(p.uuid AS VARCHAR) AS uuid, epoch_us(p.ts) // 1000 AS s,
+             epoch_us(p.ts) // 1000 + CAST(json_extract_string(e.props, '$.k') AS BIGINT) AS e,
+             round(p.probability, 6) AS probability, p.final_label
+      FROM plog p JOIN events e ON p.uuid = e.event_id)
+SELECT uuid, 'crn:churn' AS model_crn, 'crn:churn:dep' AS model_deployment_crn, s AS "startTimeStampMs",
+       e AS "endTimeStampMs", probability AS "metrics.probability", final_label AS "metrics.final_label"
+FROM m WHERE s >= {_READ_FROM_MS} AND e <= {_READ_TO_MS}""")
+def q_read_metrics(spark, d):
+    log = monitor.read_metrics(_metric_log(spark, d), "crn:churn", "crn:churn:dep", _READ_FROM_MS, _READ_TO_MS)
+    return monitor.flatten_metrics(log)
+
+
 # --- evaluation (F-D) ------------------------------------------------------------
 
 def _ls(spark, d):
@@ -658,6 +689,15 @@ def q_most_unique(spark, d):
     return r6(vectors.most_unique(_emb(spark, d), 3))
 
 
+@register("similar_pairs", _MOST_SIMILAR_SQL + """
+SELECT ms."index", round(ms.L2, 6) AS L2, ms.similar_index, a.label, b.label AS similar_label
+FROM ms LEFT JOIN embeddings a ON ms."index" = a.vec_id LEFT JOIN embeddings b ON ms.similar_index = b.vec_id""")
+def q_similar_pairs(spark, d):
+    e = _emb(spark, d)
+    ms = vectors.most_similar(e)
+    return r6(joins.attach_pair(ms, e.select("vec_id", "label"), "index", "similar_index", "vec_id", ["label"]))
+
+
 @register("knn_classifier", """
 WITH e AS (SELECT *, ('0x' || substr(md5(CAST(vec_id AS VARCHAR)), 1, 8))::BIGINT % 100 AS bk FROM embeddings),
 pairs AS (SELECT a.vec_id AS q, b.vec_id AS b, b.label,
@@ -927,3 +967,16 @@ def q_stream_count_batches(spark, d):
     q, out = stm.start_count_batches(_stream_log(spark, d), [], ["ts", "uuid"], "ts", 100)
     q.awaitTermination()
     return r6(spark.read.parquet(out).select("batch", "n", "start_us", "end_us", "accuracy"))
+
+
+@register("preview_customers")
+def q_preview_customers(spark, d):
+    """First 5 customers by id, transposed: one row per column."""
+    cf = derived.customer_features(spark, d).orderBy("id")
+    return clean.preview(cf, 5, "id")
+
+
+@register("html_tables")
+def q_html_tables(spark, d):
+    """Rows of every <table id="champions_index"> in the crawled pages (H8)."""
+    return pages.extract_table(table(spark, d, "pages"), "champions_index")
