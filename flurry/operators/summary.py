@@ -45,17 +45,21 @@ def unpivot_numeric(df: DataFrame, cols: list[str], key: str = "feature",
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
-                    names: list[str] | None = None) -> DataFrame:
+                    names: list[str] | None = None, extra_aggs: dict | None = None) -> DataFrame:
     """Exact, linearly interpolated quantiles of ``value`` per ``keys``.
 
     Nulls are ignored. One row per key with one column per probability
     (``names`` or ``q<p>``). Groups of any size: no group is held in one
-    task, see the module doc.
+    task, see the module doc. ``extra_aggs`` {name: fn(col) -> Column}
+    (e.g. ``F.avg``) are computed from the same materialised rows, so the
+    source is read once for quantiles and moments together.
     """
     names = names or [f"q{int(round(p * 100))}" for p in probs]
     data = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     ranked = positions(data, keys, ["_v"], "_pos")   # materialised by positions
-    counts = ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    extra = extra_aggs or {}
+    counts = ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                                       *[fn(F.col("_v")).alias(n) for n, fn in extra.items()])
     # (key, prob) -> the two positions to interpolate between
     want = counts.select(*keys, "_n", F.explode(F.array(*[
         F.struct(F.lit(i).alias("qi"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)
@@ -72,8 +76,13 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
     hi = picked.select(*keys, F.col("_pos").alias("_hi"), F.col("_v").alias("_vhi"))
     res = (want.join(lo, on=[*keys, "_lo"], how="left").join(hi, on=[*keys, "_hi"], how="left")
            .select(*keys, "qi", (F.col("_vlo") + (F.col("_x") - F.col("_lo")) * (F.col("_vhi") - F.col("_vlo"))).alias("_qv")))
-    return res.groupBy(*keys).agg(*[
+    out = res.groupBy(*keys).agg(*[
         F.max(F.when(F.col("qi") == i, F.col("_qv"))).alias(n) for i, n in enumerate(names)])
+    if extra:
+        moments = counts.select(*keys, *extra)
+        out = out.join(moments, keys, "inner") if keys else out.select(
+            "*", *[moments.select(F.first(n)).scalar().alias(n) for n in extra])
+    return out
 
 
 def quantiles_of(df: DataFrame, keys: list[str], value: str, probs: list[float],
@@ -95,11 +104,14 @@ def describe_features(df: DataFrame, cols: list[str], approx: bool = False) -> D
     median from ``exact_quantiles`` keyed by feature.
     """
     long = unpivot_numeric(df, cols)
-    basic = long.groupBy("feature").agg(
-        F.avg("value").alias("mean"), F.min("value").alias("min"),
-        F.max("value").alias("max"), F.stddev_samp("value").alias("std"))
-    med = quantiles_of(long, ["feature"], "value", [0.5], ["median"], approx=approx)
-    return basic.join(med, "feature", "left").select("feature", "median", "mean", "min", "max", "std")
+    moments = {"mean": F.avg, "min": F.min, "max": F.max, "std": F.stddev_samp}
+    if not approx:
+        # one read of the source: moments come from the rows the median uses
+        out = exact_quantiles(long, ["feature"], "value", [0.5], ["median"], extra_aggs=moments)
+    else:
+        basic = long.groupBy("feature").agg(*[fn("value").alias(n) for n, fn in moments.items()])
+        out = basic.join(quantiles_of(long, ["feature"], "value", [0.5], ["median"], approx=True), "feature")
+    return out.select("feature", "median", "mean", "min", "max", "std")
 
 
 def default_row(df: DataFrame, categorical: list[str], numeric: list[str],

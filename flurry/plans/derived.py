@@ -25,15 +25,18 @@ CHURN_WINDOW_DAYS = 180
 TRUTH_WINDOW_HOURS = 6
 
 
-def _dec(c: str):
-    return F.col(c).cast("decimal(15,2)")
+def cents(c: str):
+    """A 2-decimal quantity (price, rate) as an exact integer number of
+    hundredths. Summing these longs is exact and order-independent like a
+    DECIMAL sum, without DECIMAL's arbitrary-precision arithmetic (sums of
+    DECIMAL(15,2) exceed 18 digits and fall back to BigDecimal per row)."""
+    return F.rint(F.col(c) * 100).cast("long")
 
 
 def money_sum(c: str):
-    """Sum of a 2-decimal quantity (prices, rates) done in DECIMAL, so the
-    total is exact and independent of summation order, then one conversion
-    to double."""
-    return F.sum(_dec(c)).cast("double")
+    """Exact sum of a 2-decimal quantity, converted once to double
+    (hundredths / 100.0 rounds exactly like a DECIMAL -> DOUBLE cast)."""
+    return F.sum(cents(c)) / 100.0
 
 
 def customer_features(spark: SparkSession, d: str) -> DataFrame:
@@ -83,15 +86,25 @@ def supplier_seasons(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
     supp = table(spark, d, "supplier").select("s_suppkey", "s_name")
     j = li.join(orders, li.l_orderkey == orders.o_orderkey)
-    price, disc = _dec("l_extendedprice"), _dec("l_discount")
-    agg = j.groupBy("l_suppkey", F.year("o_orderdate").alias("season")).agg(
-        F.count_distinct("l_orderkey").alias("games_played"),
-        money_sum("l_quantity").alias("quantity"),
-        money_sum("l_extendedprice").alias("extendedprice"),
-        money_sum("l_discount").alias("discount"),
-        money_sum("l_tax").alias("tax"),
-        F.sum(price * (1 - disc)).cast("double").alias("revenue"),
-        (money_sum("l_discount") * 100 / F.count(F.lit(1))).alias("discount_percentage"))
+    price, disc = cents("l_extendedprice"), cents("l_discount")
+    # Two steps instead of count(DISTINCT) beside the sums (which makes Spark
+    # duplicate every row through an Expand): per (supplier, year, order)
+    # first -- a grouping that contains the join key, so a join shuffled on
+    # l_orderkey already satisfies it -- then per (supplier, year) on the
+    # reduced rows. Decimal sums stay exact across both steps.
+    # revenue in 1/10000 units: price (1/100) x (1 - discount) (1/100), exact
+    per_order = j.groupBy("l_suppkey", F.year("o_orderdate").alias("season"), "l_orderkey").agg(
+        F.sum(cents("l_quantity")).alias("q"), F.sum(price).alias("p"), F.sum(disc).alias("dc"),
+        F.sum(cents("l_tax")).alias("tx"), F.sum(price * (100 - disc)).alias("rv"),
+        F.count(F.lit(1)).alias("nl"))
+    agg = per_order.groupBy("l_suppkey", "season").agg(
+        F.count(F.lit(1)).alias("games_played"),
+        (F.sum("q") / 100.0).alias("quantity"),
+        (F.sum("p") / 100.0).alias("extendedprice"),
+        (F.sum("dc") / 100.0).alias("discount"),
+        (F.sum("tx") / 100.0).alias("tax"),
+        (F.sum("rv") / 10000.0).alias("revenue"),
+        ((F.sum("dc") / 100.0) * 100 / F.sum("nl")).alias("discount_percentage"))
     return (agg.join(supp, agg.l_suppkey == supp.s_suppkey, "left")
             .select(F.col("s_name").alias("name"), "season", "games_played", "quantity",
                     "extendedprice", "discount", "tax", "revenue", "discount_percentage"))

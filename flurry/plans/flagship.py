@@ -61,8 +61,8 @@ def team_features(spark: SparkSession, d: str) -> DataFrame:
     from flurry.operators.clean import concat_key, drop_null, presence_label, scale_by, with_row_id
     from flurry.operators.joins import attach
     from flurry.plans.derived import season_champions, supplier_seasons
-    s = supplier_seasons(spark, d)
-    c = season_champions(supplier_seasons(spark, d))
+    s = cut_lineage(supplier_seasons(spark, d))   # one lineitem x orders pass
+    c = season_champions(s)
     j = drop_null(attach(s, c, ["name", "season"], ["Champion", "Year"], "left"), ["name"])
     j = j.select(concat_key(["name", "season"]).alias("uid"), "season", "games_played", *TEAM_STATS,
                  "discount_percentage", presence_label(F.col("Champion")).alias("Champion"))

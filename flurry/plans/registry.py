@@ -19,6 +19,7 @@ from flurry.functions.urls import url_host
 from flurry.operators import clean, encode, evaluate, joins, monitor, pages, sampling, summary, vectors
 from flurry.operators import windows
 from flurry.plans import derived
+from flurry.session import cut_lineage
 from flurry.sources.tables import table
 
 QUERIES: dict = {}
@@ -379,8 +380,9 @@ def q_season_champions(spark, d):
 SELECT t.name, t.season, c."Year", c.Champion
 FROM seasons t FULL OUTER JOIN champs c ON t.name = c.Champion AND t.season = c."Year\"""")
 def q_attach_champions(spark, d):
-    s = derived.supplier_seasons(spark, d).select("name", "season")
-    c = derived.season_champions(derived.supplier_seasons(spark, d))
+    seasons = cut_lineage(derived.supplier_seasons(spark, d))   # one lineitem x orders pass
+    s = seasons.select("name", "season")
+    c = derived.season_champions(seasons)
     return joins.attach(s, c, ["name", "season"], ["Champion", "Year"], "outer").select(
         "name", "season", "Year", "Champion")
 
@@ -397,8 +399,8 @@ SELECT t.name || '_' || CAST(t.season AS VARCHAR) AS uid, t.name, t.season, t.ga
 FROM seasons t LEFT JOIN champs c ON t.name = c.Champion AND t.season = c."Year"
 WHERE t.name IS NOT NULL""")
 def q_team_table(spark, d):
-    s = derived.supplier_seasons(spark, d)
-    c = derived.season_champions(derived.supplier_seasons(spark, d))
+    s = cut_lineage(derived.supplier_seasons(spark, d))   # one lineitem x orders pass
+    c = derived.season_champions(s)
     j = joins.attach(s, c, ["name", "season"], ["Champion", "Year"], "left")
     j = clean.drop_null(j, ["name"])
     j = j.select(clean.concat_key(["name", "season"]).alias("uid"), "name", "season", "games_played",
