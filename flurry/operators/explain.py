@@ -121,13 +121,17 @@ def _norm_ppf(p: np.ndarray) -> np.ndarray:
     return x
 
 
-def _truncnorm(rng, mean, std, lo, hi, n):
-    """n draws of N(mean, std) truncated to [lo, hi] by inverse CDF."""
-    if std <= 0 or hi <= lo:
-        return np.full(n, lo if hi <= lo else mean, dtype=float)
-    a, b = _norm_cdf(np.array([(lo - mean) / std, (hi - mean) / std]))
-    u = rng.uniform(a, b, size=n)
-    return np.clip(mean + std * _norm_ppf(u), lo, hi)
+def _truncnorm(rng, mean, std, lo, hi):
+    """One draw per element of N(mean, std) truncated to [lo, hi], by
+    inverse CDF; all arguments are arrays of the same length. Degenerate
+    bins (no spread) give their single value."""
+    ok = (std > 0) & (hi > lo)
+    sd = np.where(ok, std, 1.0)
+    a = _norm_cdf((lo - mean) / sd)
+    b = _norm_cdf((hi - mean) / sd)
+    u = rng.uniform(size=len(mean)) * (b - a) + a
+    x = np.clip(mean + sd * _norm_ppf(u), lo, hi)
+    return np.where(ok, x, np.where(hi <= lo, lo, mean))
 
 
 def _bin_of(x: float, qs: list[float]) -> int:
@@ -154,7 +158,10 @@ def _gram(X: np.ndarray, y: np.ndarray, w: np.ndarray):
 def _solve(g: dict, cols: list[int], alpha: float):
     G = g["G"][np.ix_(cols, cols)] + alpha * np.eye(len(cols))
     b = g["b"][cols]
-    coef = np.linalg.lstsq(G, b, rcond=None)[0]
+    try:
+        coef = np.linalg.solve(G, b)
+    except np.linalg.LinAlgError:   # singular without regularisation
+        coef = np.linalg.lstsq(G, b, rcond=None)[0]
     # weighted residual sum of squares from the cross-products
     ss_res = g["syy"] - 2 * coef @ b + coef @ (g["G"][np.ix_(cols, cols)] @ coef)
     r2 = 1.0 - ss_res / g["syy"] if g["syy"] > 0 else 0.0
@@ -190,37 +197,41 @@ SAMPLES_PER_TASK = 1_000_000
 
 
 def _sample_fn(stats: TrainingStats, id_col: str, n_samples: int, seed: int):
+    """Draw the perturbation samples of each row. Categorical samples leave
+    Python as integer class codes (mapped back to the class text in the
+    JVM), numeric ones as doubles, the 0/1 form as one bit-packed long."""
     feats = stats.features
     n_f = len(feats)
     if n_f > 62:
         raise ValueError("at most 62 features (the 0/1 form is packed in one long)")
     bits = (1 << np.arange(n_f, dtype=np.int64))
     per_chunk = max(1, _CHUNK_ROWS // n_samples)
+    cat_p = {c: np.asarray(stats.classes[c][1], dtype=float) for c in stats.classes}
+    cat_idx = {c: {v: i for i, v in enumerate(stats.classes[c][0])} for c in stats.classes}
+    num = {}
+    for c in stats.numeric:
+        b = np.asarray(stats.bins[c], dtype=float)        # rows: (freq, mean, std, lo, hi)
+        num[c] = (b[:, 0] / b[:, 0].sum(), b[:, 1], b[:, 2], b[:, 3], b[:, 4])
 
     def one_row(rec, cols, Z, sl):
         rid = int(rec[id_col])
         rng = np.random.default_rng([seed, rid & 0x7FFFFFFF, (rid >> 31) & 0x7FFFFFFF])
         for j, c in enumerate(feats):
-            if c in stats.classes:
-                vals, freqs = stats.classes[c]
-                idx = rng.choice(len(vals), size=n_samples, p=freqs)
-                v = np.asarray(vals, dtype=object)[idx]
-                Z[sl, j] = v == rec[c]
-                v[0] = rec[c]
+            v0 = rec[c]
+            if c in cat_p:
+                code = rng.choice(len(cat_p[c]), size=n_samples, p=cat_p[c])
+                own = cat_idx[c].get(v0, -1)
+                Z[sl, j] = code == own
+                code[0] = own
+                cols[c][sl] = code
             else:
-                qs, bins = stats.quartiles[c], stats.bins[c]
-                freqs = np.array([b[0] for b in bins])
-                bi = rng.choice(4, size=n_samples, p=freqs / freqs.sum())
-                v = np.empty(n_samples)
-                for k in range(4):
-                    m = bi == k
-                    if m.any():
-                        _, mean, std, lo, hi = bins[k]
-                        v[m] = _truncnorm(rng, mean, std, lo, hi, int(m.sum()))
-                row_bin = _bin_of(float(rec[c]), qs) if rec[c] is not None else -1
+                p, mean, std, lo, hi = num[c]
+                bi = rng.choice(4, size=n_samples, p=p)
+                v = _truncnorm(rng, mean[bi], std[bi], lo[bi], hi[bi])
+                row_bin = _bin_of(float(v0), stats.quartiles[c]) if v0 is not None else -1
                 Z[sl, j] = bi == row_bin
-                v[0] = rec[c]
-            cols[c][sl] = v
+                v[0] = np.nan if v0 is None else v0
+                cols[c][sl] = v
 
     def run(batches):
         for pdf in batches:
@@ -228,7 +239,7 @@ def _sample_fn(stats: TrainingStats, id_col: str, n_samples: int, seed: int):
             for start in range(0, len(recs), per_chunk):
                 chunk = recs[start:start + per_chunk]
                 m = len(chunk) * n_samples
-                cols = {c: np.empty(m, dtype=object if c in stats.classes else float) for c in feats}
+                cols = {c: np.empty(m, dtype=np.int32 if c in cat_p else float) for c in feats}
                 Z = np.zeros((m, n_f), dtype=bool)
                 for i, rec in enumerate(chunk):
                     one_row(rec, cols, Z, slice(i * n_samples, (i + 1) * n_samples))
@@ -309,9 +320,16 @@ def explain(df: DataFrame, model, stats: TrainingStats, id_col: str = "id", n_sa
     rows = rows.repartition(parts)
     sample_schema = T.StructType(
         [T.StructField(id_col, T.LongType()), T.StructField("_s", T.LongType())]
-        + [T.StructField(c, T.StringType() if c in stats.classes else T.DoubleType()) for c in feats]
+        + [T.StructField(c, T.IntegerType() if c in stats.classes else T.DoubleType()) for c in feats]
         + [T.StructField("_z", T.LongType())])
     samples = rows.mapInPandas(_sample_fn(stats, id_col, n_samples, seed), sample_schema)
+    # class codes -> class text, JVM-side; a class unseen in training (code
+    # -1) becomes null, which the fitted encoder rejects as it would the text
+    if stats.categorical:
+        samples = samples.select(id_col, "_s", "_z", *[
+            F.when(F.col(c) >= 0, F.element_at(F.array(*[F.lit(v) for v in stats.classes[c][0]]),
+                                               F.col(c) + 1)).alias(c)
+            if c in stats.classes else F.col(c) for c in feats])
     scored = model.transform(samples).select(id_col, "_s", "_z",
                                              vector_to_array(F.col("probability"))[1].alias("_p"))
     out_schema = (f"{id_col} long, probability double, explanation map<string,double>, "
