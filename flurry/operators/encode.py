@@ -18,10 +18,13 @@ from flurry.operators.summary import scaler_stats
 
 
 def indexer_stages(categorical: list[str], suffix: str = "_idx") -> list:
-    """Alphabetical ``StringIndexer`` per category (M1); unknown values at
-    transform time are an error, as with a label encoder."""
-    return [StringIndexer(inputCol=c, outputCol=c + suffix, stringOrderType="alphabetAsc",
-                          handleInvalid="error") for c in categorical]
+    """Alphabetical ``StringIndexer`` over all categories (M1): one
+    multi-column indexer, so fitting is one pass over the data. Unknown
+    values at transform time are an error, as with a label encoder."""
+    if not categorical:
+        return []
+    return [StringIndexer(inputCols=list(categorical), outputCols=[c + suffix for c in categorical],
+                          stringOrderType="alphabetAsc", handleInvalid="error")]
 
 
 def one_hot_stage(categorical: list[str], suffix: str = "_idx", out_suffix: str = "_oh") -> OneHotEncoder:

@@ -213,8 +213,34 @@ def _unit(*parts) -> "F.Column":
     return (F.pmod(h, F.lit(1 << 52)).cast("double") / float(1 << 52))
 
 
+def _minority_neighbours(pts: DataFrame, kk: int, neighbours: str, lsh: dict | None) -> DataFrame:
+    """(_id, _r, _nb): the kk nearest other minority points of each point.
+
+    ``exact``: blocked kNN. ``lsh``: random-projection LSH first; points with
+    fewer than kk candidates found get their neighbours from the exact
+    search, so every point ends with exactly kk (no row is lost)."""
+    if neighbours == "exact":
+        nn = knn(pts, pts, kk, "_id", "_id", "_arr", "_arr", exclude_self=True)
+        return nn.select(F.col("q").alias("_id"), F.col("rank").alias("_r"), F.col("b").alias("_nb"))
+    from flurry.operators.vectors import knn_approx
+    opts = dict(threshold=2.0, bucket_length=1.0, num_hash_tables=4)
+    opts.update(lsh or {})
+    ap = knn_approx(pts, pts, kk + 1, opts["threshold"], "_id", "_arr", opts["bucket_length"],
+                    opts["num_hash_tables"]).where(F.col("q") != F.col("b"))
+    from pyspark.sql.window import Window
+    ap = ap.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy("dist", "b")))
+    ap = ap.where(F.col("rank") <= kk)
+    full = ap.groupBy("q").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") == kk).select("q")
+    short = pts.join(full.withColumnRenamed("q", "_id"), "_id", "left_anti")
+    exact = knn(short, pts, kk, "_id", "_id", "_arr", "_arr", exclude_self=True)
+    good = ap.join(full, "q", "left_semi")
+    both = good.select("q", "b", "rank").unionByName(exact.select("q", "b", "rank"))
+    return both.select(F.col("q").alias("_id"), F.col("rank").alias("_r"), F.col("b").alias("_nb"))
+
+
 def smote(df: DataFrame, label: str, minority, ratio: float = 1.0, k: int = 5, seed: int = 42,
-          id_col: str = "id", vec: str = "features") -> DataFrame:
+          id_col: str = "id", vec: str = "features", neighbours: str = "exact",
+          lsh: dict | None = None) -> DataFrame:
     """Synthetic minority rows x + u·(neighbour − x) (M11, Chawla et al. 2002).
 
     Adds int(ratio · n_majority) − n_minority rows, spread evenly over the
@@ -222,8 +248,9 @@ def smote(df: DataFrame, label: str, minority, ratio: float = 1.0, k: int = 5, s
     the neighbour (one of the k nearest other minority rows) and the gap u
     come from a seeded hash, so the result is reproducible. ``vec`` may be a
     vector or an array column; output rows carry ``synthetic = true`` and a
-    null ``id_col``. Neighbours come from the blocked exact kNN, so no
-    minority x minority pairs are materialised.
+    null ``id_col``. Neighbours come from the blocked exact kNN (no minority
+    x minority pairs are materialised), or with ``neighbours="lsh"`` from
+    LSH backed by the exact search where LSH finds too few.
     """
     is_vec = not isinstance(df.schema[vec].dataType, T.ArrayType)
     arr = vector_to_array(F.col(vec)) if is_vec else F.col(vec).cast("array<double>")
@@ -237,8 +264,7 @@ def smote(df: DataFrame, label: str, minority, ratio: float = 1.0, k: int = 5, s
         return out
     kk = min(k, n_min - 1)
     pts = mino.select(F.col(id_col).alias("_id"), "_arr")
-    nn = knn(pts, pts, kk, "_id", "_id", "_arr", "_arr", exclude_self=True).select(
-        F.col("q").alias("_id"), F.col("rank").alias("_r"), F.col("b").alias("_nb"))
+    nn = _minority_neighbours(pts, kk, neighbours, lsh)
     numbered = positions(pts.select("_id"), [], ["_id"], "_pos")
     per, extra = divmod(n_new, n_min)
     reps = numbered.select("_id", (F.lit(per) + (F.col("_pos") < extra).cast("int")).alias("_n")).where(

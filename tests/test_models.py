@@ -114,3 +114,11 @@ def test_explanations_recover_known_linear_model(spark):
         assert abs(e["noise"]) < max(abs(e["cat"]), abs(e["x"]))
     hot = [r for r in ex if rows[r.id][1] == "hot"]
     assert all(r.explanation["cat"] > 0 for r in hot)
+
+
+def test_smote_lsh_neighbours_equal_exact_count(spark):
+    df, _ = _pts(spark)
+    ex = models.smote(df, "label", 1.0, ratio=0.5, k=3, seed=7, id_col="id", vec="features")
+    ap = models.smote(df, "label", 1.0, ratio=0.5, k=3, seed=7, id_col="id", vec="features",
+                      neighbours="lsh", lsh={"threshold": 0.5, "bucket_length": 0.5})
+    assert ap.where("synthetic").count() == ex.where("synthetic").count() == int(0.5 * 60) - 12
