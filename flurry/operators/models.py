@@ -223,7 +223,7 @@ def _minority_neighbours(pts: DataFrame, kk: int, neighbours: str, lsh: dict | N
         nn = knn(pts, pts, kk, "_id", "_id", "_arr", "_arr", exclude_self=True)
         return nn.select(F.col("q").alias("_id"), F.col("rank").alias("_r"), F.col("b").alias("_nb"))
     from flurry.operators.vectors import knn_approx
-    opts = dict(threshold=2.0, bucket_length=1.0, num_hash_tables=4)
+    opts = dict(threshold=None, bucket_length=1.0, num_hash_tables=4)
     opts.update(lsh or {})
     ap = knn_approx(pts, pts, kk + 1, opts["threshold"], "_id", "_arr", opts["bucket_length"],
                     opts["num_hash_tables"]).where(F.col("q") != F.col("b"))

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
+from pyspark.ml.functions import vector_to_array
 
 _PAIR_SCHEMA = "q long, b long, dist double"
 
@@ -71,27 +72,48 @@ def _block_topk(k: int, extra: int = 4, exclude_self: bool = False):
 
 def knn(queries: DataFrame, base: DataFrame, k: int, q_id: str = "vec_id", b_id: str = "vec_id",
         q_vec: str = "embedding", b_vec: str = "embedding", block_rows: int = 2048,
-        exclude_self: bool = False) -> DataFrame:
+        exclude_self: bool = False, q_group: str | None = None, b_group: str | None = None) -> DataFrame:
     """Exact top-k neighbours of each query in ``base`` (K2).
 
     Returns ``(q, b, dist, rank)``: ``dist`` is the squared L2 distance,
     ``rank`` 1..k in (dist, b) order. ``exclude_self`` drops b == q.
+
+    With ``q_group``/``b_group`` a query only meets base rows of its own
+    group (e.g. an LSH bucket); each group is cut into blocks of at most
+    ``block_rows`` rows, so a group holding a third of the data is spread
+    over many tasks like the whole set would be. A query that sits in
+    several groups gets the best k over all of them.
     """
-    nq = max(1, math.ceil(queries.count() / block_rows))
-    nb = max(1, math.ceil(base.count() / block_rows))
-    qs = queries.select(F.col(q_id).cast("long").alias("id"), F.col(q_vec).alias("v"),
-                        F.pmod(F.xxhash64(q_id), F.lit(nq)).alias("qb"))
-    bs = base.select(F.col(b_id).cast("long").alias("id"), F.col(b_vec).alias("v"),
-                     F.pmod(F.xxhash64(b_id), F.lit(nb)).alias("bb"))
-    # each query block meets each base block once
-    qs = qs.withColumn("bb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nb - 1).cast("long"))))
-    bs = bs.withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nq - 1).cast("long"))))
-    pairs = (qs.groupBy("qb", "bb").cogroup(bs.groupBy("qb", "bb"))
+    qsel = [F.col(q_id).cast("long").alias("id"), F.col(q_vec).alias("v")]
+    bsel = [F.col(b_id).cast("long").alias("id"), F.col(b_vec).alias("v")]
+    if q_group is None:
+        nq = max(1, math.ceil(queries.count() / block_rows))
+        nb = max(1, math.ceil(base.count() / block_rows))
+        qs = queries.select(*qsel, F.lit(0).cast("long").alias("g"),
+                            F.lit(nq).cast("long").alias("_nq"), F.lit(nb).cast("long").alias("_nb"))
+        bs = base.select(*bsel, F.lit(0).cast("long").alias("g"),
+                         F.lit(nq).cast("long").alias("_nq"), F.lit(nb).cast("long").alias("_nb"))
+    else:
+        qs = queries.select(*qsel, F.col(q_group).cast("long").alias("g"))
+        bs = base.select(*bsel, F.col(b_group).cast("long").alias("g"))
+        blocks = (lambda d, n: d.groupBy("g").agg(
+            F.greatest(F.ceil(F.count(F.lit(1)) / block_rows), F.lit(1)).cast("long").alias(n)))
+        # one row per group present on both sides (a small table next to the
+        # rows; Spark broadcasts it when it is small, AQE splits skew if not)
+        gs = blocks(qs, "_nq").join(blocks(bs, "_nb"), "g")
+        qs, bs = qs.join(gs, "g"), bs.join(gs, "g")
+    qs = qs.withColumn("qb", F.pmod(F.xxhash64("id"), F.col("_nq"))).withColumn(
+        "bb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_nb") - 1)))
+    bs = bs.withColumn("bb", F.pmod(F.xxhash64("id"), F.col("_nb"))).withColumn(
+        "qb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_nq") - 1)))
+    # each query block meets each base block of its group once
+    pairs = (qs.select("g", "qb", "bb", "id", "v").groupBy("g", "qb", "bb")
+             .cogroup(bs.select("g", "qb", "bb", "id", "v").groupBy("g", "qb", "bb"))
              .applyInPandas(_block_topk(k, exclude_self=exclude_self), _PAIR_SCHEMA))
-    if nb == 1:
-        w = Window.partitionBy("q").orderBy("dist", "b")
-        return pairs.withColumn("rank", F.row_number().over(w))
-    # at most nb·k candidates per query: keep the k best
+    if q_group is not None:
+        # the same pair may meet in several groups
+        pairs = pairs.groupBy("q", "b").agg(F.min("dist").alias("dist"))
+    # at most (#blocks · k) candidates per query: keep the k best
     w = Window.partitionBy("q").orderBy("dist", "b")
     return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -134,30 +156,37 @@ def knn_predict(train: DataFrame, query: DataFrame, k: int, label: str = "label"
                        (F.col("w._v") / F.lit(float(k))).alias("share"))
 
 
-def knn_approx(queries: DataFrame, base: DataFrame, k: int, threshold: float,
+def knn_approx(queries: DataFrame, base: DataFrame, k: int, threshold: float | None = None,
                id_col: str = "vec_id", vec: str = "embedding", bucket_length: float = 1.0,
-               num_hash_tables: int = 3, seed: int = 42) -> DataFrame:
+               num_hash_tables: int = 3, seed: int = 42, block_rows: int = 2048) -> DataFrame:
     """Approximate neighbours with random-projection LSH (K5).
 
-    Pairs come only from shared hash buckets and within ``threshold`` (plain
-    L2, not squared), then the k best per query are kept. Returns
-    ``(q, b, dist, rank)`` with ``dist`` squared, to compare with ``knn``.
+    Candidates are the rows sharing a bucket in any hash table; each bucket
+    is searched with the blocked exact search (``knn`` with groups), so even
+    a bucket holding a third of all rows is cut into bounded blocks and no
+    bucket-wide list of pairs is ever formed. ``threshold`` (plain L2)
+    optionally drops farther candidates. Returns ``(q, b, dist, rank)``,
+    ``dist`` squared, to compare with ``knn``.
     """
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector
 
     def prep(df):
-        return df.select(F.col(id_col).cast("long").alias("id"),
+        return df.select(F.col(id_col).cast("long").alias("id"), F.col(vec).alias("v"),
                          array_to_vector(F.col(vec).cast("array<double>")).alias("features"))
     q, b = prep(queries), prep(base)
     lsh = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes",
                                       bucketLength=bucket_length, numHashTables=num_hash_tables,
                                       seed=seed).fit(b)
-    j = lsh.approxSimilarityJoin(q, b, threshold, distCol="l2")
-    pairs = j.select(F.col("datasetA.id").alias("q"), F.col("datasetB.id").alias("b"),
-                     (F.col("l2") * F.col("l2")).alias("dist"))
-    w = Window.partitionBy("q").orderBy("dist", "b")
-    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+    def bucketed(df):
+        h = lsh.transform(df).select("id", "v", F.posexplode("hashes").alias("t", "h"))
+        return h.select("id", "v", F.xxhash64("t", vector_to_array("h")[0]).alias("bucket"))
+    nn = knn(bucketed(q), bucketed(b), k, "id", "id", "v", "v", block_rows,
+             q_group="bucket", b_group="bucket")
+    if threshold is not None:
+        nn = nn.where(F.col("dist") <= float(threshold) ** 2)
+    return nn
 
 
 def recall_at_k(approx: DataFrame, exact: DataFrame) -> DataFrame:

@@ -882,7 +882,7 @@ def q_grid_search(spark, d):
 @register("knn_approx_recall")
 def q_knn_approx_recall(spark, d):
     e = _emb(spark, d)
-    approx = vectors.knn_approx(e, e, 3, threshold=3.0, bucket_length=2.0, num_hash_tables=4)
+    approx = vectors.knn_approx(e, e, 3, bucket_length=2.0, num_hash_tables=4)
     exact = vectors.knn(e, e, 3)
     return vectors.recall_at_k(approx, exact)
 

@@ -338,3 +338,27 @@ def test_batch_accuracy_complete_batches_only(spark):
                                (F.col("id") % 2 == 0).alias("final_label"), F.lit(True).alias("prediction"))
     out = monitor.batch_accuracy(df, size=100).orderBy("batch").collect()
     assert [r.batch for r in out] == [0, 1] and all(r.accuracy == 0.5 for r in out)
+
+
+def test_grouped_knn_hot_group_blocks(spark):
+    """A group holding most rows is searched in blocks; results equal brute
+    force restricted to the group."""
+    rng = np.random.default_rng(11)
+    pts = rng.normal(size=(400, 4)).astype("float32")
+    grp = [0 if i < 300 else 1 + i % 3 for i in range(400)]
+    df = spark.createDataFrame([(i, p.tolist(), g) for i, (p, g) in enumerate(zip(pts, grp))],
+                               "vec_id long, embedding array<float>, g long")
+    got = vectors.knn(df, df, 2, block_rows=50, q_group="g", b_group="g").collect()
+    d = ((pts[:, None, :].astype(float) - pts[None, :, :].astype(float)) ** 2).sum(-1)
+    for r in got:
+        same = [j for j in range(400) if grp[j] == grp[r.q]]
+        order = sorted(same, key=lambda j: (d[r.q, j], j))
+        assert order[r.rank - 1] == r.b
+    assert len(got) == 800
+
+
+def test_lsh_recall_reasonable(spark):
+    e = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    approx = vectors.knn_approx(e, e, 3, bucket_length=2.0, num_hash_tables=4)
+    exact = vectors.knn(e, e, 3)
+    assert vectors.recall_at_k(approx, exact).first().recall > 0.8
