@@ -958,10 +958,20 @@ def q_stream_late_truth(spark, d):
                                              "probability", "prediction", "final_label"))
 
 
-@register("stream_window_accuracy")
+# Append mode emits a day once the watermark (latest event time - 1 hour)
+# has passed the day's end; windows are whole days of the event clock.
+@register("stream_window_accuracy", _with(PRED) + """
+SELECT epoch_us(date_trunc('day', ts)) AS window_start_us,
+       epoch_us(date_trunc('day', ts) + INTERVAL 1 DAY) AS window_end_us, count(*) AS n,
+       round(avg(CASE WHEN final_label = prediction THEN 1.0 ELSE 0.0 END), 6) AS accuracy
+FROM plog WHERE final_label IS NOT NULL
+GROUP BY date_trunc('day', ts)
+HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM pred) - INTERVAL 1 HOUR""")
 def q_stream_window_accuracy(spark, d):
     out = stm.run_to_parquet(stm.stream_window_accuracy(_stream_log(spark, d), "ts", "1 day", None))
-    return spark.read.parquet(out)
+    w = spark.read.parquet(out)
+    return r6(w.select(epoch_micros("window_start").alias("window_start_us"),
+                       epoch_micros("window_end").alias("window_end_us"), "n", "accuracy"))
 
 
 @register("stream_count_batches", ORACLE["batch_accuracy"])
