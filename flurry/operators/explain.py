@@ -35,6 +35,17 @@ from pyspark.sql import types as T
 from flurry.functions.scalar import quantize
 from flurry.operators.summary import exact_quantiles, map_extent
 
+# --- fixed values: settings of the tabular explanation method ----------------
+# kernel width = 0.75 * sqrt(number of features); final ridge alpha 1; feature
+# choice by a ridge with alpha 0.01 on all features, or by forward selection
+# when at most 6 features are asked for; numeric features in quartile bins.
+KERNEL_WIDTH_FACTOR = 0.75
+RIDGE_ALPHA = 1.0
+SELECTION_ALPHA = 0.01
+FORWARD_SELECTION_MAX_FEATURES = 6
+QUARTILES = (0.25, 0.5, 0.75)
+# ---------------------------------------------------------------------------
+
 
 @dataclass
 class TrainingStats:
@@ -67,7 +78,7 @@ def training_stats(train: DataFrame, categorical: list[str], numeric: list[str])
         long = train.select(*[F.col(c).cast("double").alias(c) for c in numeric]).unpivot(
             [], numeric, "feature", "value").where(F.col("value").isNotNull())
         qs = {r["feature"]: [r["q1"], r["q2"], r["q3"]]
-              for r in exact_quantiles(long, ["feature"], "value", [0.25, 0.5, 0.75], ["q1", "q2", "q3"]).collect()}
+              for r in exact_quantiles(long, ["feature"], "value", list(QUARTILES), ["q1", "q2", "q3"]).collect()}
         qcol = F.create_map(*[x for c in numeric for x in (F.lit(c), F.array(*[F.lit(float(q)) for q in qs[c]]))])
         q = F.element_at(qcol, F.col("feature"))
         # bin = number of quartiles strictly below the value (0..3)
@@ -171,11 +182,11 @@ def _solve(g: dict, cols: list[int], alpha: float):
 
 def _select(g: dict, n_f: int, k: int, method: str):
     if method == "auto":
-        method = "forward_selection" if k <= 6 else "highest_weights"
+        method = "forward_selection" if k <= FORWARD_SELECTION_MAX_FEATURES else "highest_weights"
     if k >= n_f and method != "forward_selection":
         return list(range(n_f))
     if method == "highest_weights":
-        coef, _, _ = _solve(g, list(range(n_f)), 0.01)
+        coef, _, _ = _solve(g, list(range(n_f)), SELECTION_ALPHA)
         return [int(i) for i in np.argsort(-np.abs(coef), kind="stable")[:k]]
     used: list[int] = []
     for _ in range(min(k, n_f)):
@@ -257,7 +268,7 @@ def _sample_fn(stats: TrainingStats, id_col: str, n_samples: int, seed: int):
 def _fit_fn(stats: TrainingStats, id_col: str, n_features: int, method: str, kernel_width: float | None):
     feats = stats.features
     n_f = len(feats)
-    width = kernel_width or 0.75 * math.sqrt(n_f)
+    width = kernel_width or KERNEL_WIDTH_FACTOR * math.sqrt(n_f)
     shifts = np.arange(n_f, dtype=np.int64)
 
     def one(rid, s, z, p):
@@ -268,7 +279,7 @@ def _fit_fn(stats: TrainingStats, id_col: str, n_features: int, method: str, ker
         w = np.sqrt(np.exp(-(d ** 2) / width ** 2))
         g = _gram(Z, y, w)
         used = _select(g, n_f, min(n_features, n_f), method)
-        coef, icpt, r2 = _solve(g, used, 1.0)
+        coef, icpt, r2 = _solve(g, used, RIDGE_ALPHA)
         rank = np.argsort(-np.abs(coef), kind="stable")
         return (int(rid), float(y[0]), {feats[used[i]]: float(coef[i]) for i in rank}, icpt, r2,
                 float(icpt + coef.sum()))
