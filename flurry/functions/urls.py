@@ -25,14 +25,19 @@ _SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
 _HAS_AUTH = r"^[A-Za-z][A-Za-z0-9+.\-]*://"
 
 
-def _remove_dots(segs: Column) -> Column:
-    """Resolve '.' and '..' in a list of path segments (RFC 3986 5.2.4):
-    empty middle segments are dropped, then a stack is folded over the
-    segments; a trailing '.' or '..' leaves a trailing slash."""
+def _drop_empty_middle(segs: Column) -> Column:
+    """Drop empty segments between the first and the last (redundant
+    slashes that a merge of base directory and relative path creates)."""
     n = F.size(segs)
-    mid = F.when(n > 2, F.concat(F.slice(segs, 1, 1),
-                                 F.filter(F.slice(segs, 2, n - 2), lambda x: x != ""),
-                                 F.slice(segs, n, 1))).otherwise(segs)
+    return F.when(n > 2, F.concat(F.slice(segs, 1, 1),
+                                  F.filter(F.slice(segs, 2, n - 2), lambda x: x != ""),
+                                  F.slice(segs, n, 1))).otherwise(segs)
+
+
+def _remove_dots(mid: Column) -> Column:
+    """Resolve '.' and '..' in a list of path segments (RFC 3986 5.2.4): a
+    stack is folded over the segments; a trailing '.' or '..' leaves a
+    trailing slash."""
     empty = F.array().cast("array<string>")
     stack = F.aggregate(mid, empty, lambda acc, x: F.when(
         x == "..", F.when(F.size(acc) > 0, F.slice(acc, 1, F.size(acc) - 1)).otherwise(acc))
@@ -63,8 +68,10 @@ def resolve_url(base, ref) -> Column:
     base_parts = F.split(b_path, "/")
     base_dir = F.when(F.element_at(base_parts, -1) != "",
                       F.slice(base_parts, 1, F.size(base_parts) - 1)).otherwise(base_parts)
+    # an absolute path keeps its segments; a relative one is merged with the
+    # base directory, whose redundant empty segments are dropped
     segs = F.when(r_path.startswith("/"), F.split(r_path, "/")).otherwise(
-        F.concat(base_dir, F.split(r_path, "/")))
+        _drop_empty_middle(F.concat(base_dir, F.split(r_path, "/"))))
     merged = F.concat(prefix, _remove_dots(segs), r_query, r_frag)
     return (F.when(base.isNull() | ref.isNull(), F.lit(None).cast("string"))
             .when(ref.rlike(_SCHEME), ref)
