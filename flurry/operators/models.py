@@ -157,6 +157,26 @@ def linear_svm(c: float, n: int, weight_col: str | None = None, label: str = "la
     return s
 
 
+def svm_with_probability(c: float, n: int, weight_col: str | None = None, label: str = "label",
+                         features: str = "features", max_iter: int = 100) -> list:
+    """Linear SVM whose margin is turned into a probability by a logistic
+    fit on the margin (Platt, 1999), for SVMs asked to give probabilities
+    (M9). Stages: SVM (margin in ``svm_raw``) -> margin slice -> logistic
+    regression producing ``probability`` and ``prediction``."""
+    from pyspark.ml.feature import VectorSlicer
+    svm = linear_svm(c, n, weight_col, label, features, max_iter)
+    svm.setPredictionCol("svm_prediction").setRawPredictionCol("svm_raw")
+    return [svm, VectorSlicer(inputCol="svm_raw", outputCol="svm_margin", indices=[1]),
+            LogisticRegression(featuresCol="svm_margin", labelCol=label, maxIter=max_iter)]
+
+
+def polynomial_stage(degree: int, input_col: str = "features", output_col: str = "poly"):
+    """Explicit polynomial features of the given degree: a linear SVM on
+    them is a polynomial-kernel SVM (M9, poly kernel)."""
+    from pyspark.ml.feature import PolynomialExpansion
+    return PolynomialExpansion(degree=degree, inputCol=input_col, outputCol=output_col)
+
+
 def pca_stage(k: int, input_col: str = "features", output_col: str = "pca") -> PCA:
     """PCA to k components (M10). Spark does not centre: scale first."""
     return PCA(k=k, inputCol=input_col, outputCol=output_col)

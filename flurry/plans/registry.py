@@ -840,8 +840,10 @@ def q_model_comparison(spark, d):
         "boosted_trees": models.fit_classifier(train, _CAT, _NUM, models.boosted_trees(0.1, 20)),
         "linear_svm": models.fit_classifier(train, _CAT, _NUM, models.linear_svm(1.0, n)),
         "rbf_svm": Pipeline(stages=models.feature_stages(_CAT, _NUM, out="features_in") + [
-            models.RandomFourierFeatures("features_in", "features", gamma=0.1, dim=200, seed=42),
-            models.linear_svm(1.0, n)]).fit(train),
+            models.RandomFourierFeatures("features_in", "features", gamma=0.1, dim=200, seed=42)]
+            + models.svm_with_probability(1.0, n)).fit(train),
+        "poly_svm": Pipeline(stages=models.feature_stages(_CAT, _NUM, out="features_in") + [
+            models.polynomial_stage(2, "features_in", "features"), models.linear_svm(1.0, n)]).fit(train),
     }
     return models.compare(fitted, train, test)
 

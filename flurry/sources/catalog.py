@@ -17,9 +17,15 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 def read_table_or_csv(spark: SparkSession, table: str, path: str,
                       schema: T.StructType | None, use_table: bool = True) -> DataFrame:
     """Source switch (S4): the catalog table when asked for and present,
-    otherwise the typed CSV at ``path``."""
+    otherwise the typed CSV at ``path``; a table that exists but cannot be
+    read (missing files, bad metadata) also falls back to the CSV."""
     if use_table and spark.catalog.tableExists(table):
-        return spark.table(table)
+        try:
+            df = spark.table(table)
+            df.schema  # resolve now, so a broken table fails here
+            return df
+        except Exception:  # fall back to the file source
+            pass
     return read_csv(spark, path, schema=schema)
 
 

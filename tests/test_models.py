@@ -122,3 +122,14 @@ def test_smote_lsh_neighbours_equal_exact_count(spark):
     ap = models.smote(df, "label", 1.0, ratio=0.5, k=3, seed=7, id_col="id", vec="features",
                       neighbours="lsh", lsh={"threshold": 0.5, "bucket_length": 0.5})
     assert ap.where("synthetic").count() == ex.where("synthetic").count() == int(0.5 * 60) - 12
+
+
+def test_svm_probability_and_poly(spark):
+    df, _ = _pts(spark, 30, 60)
+    from pyspark.ml.functions import array_to_vector
+    d = df.select("id", "label", array_to_vector("features").alias("features"))
+    m = Pipeline(stages=models.svm_with_probability(1.0, 90)).fit(d)
+    p = [r.p for r in m.transform(d).select(vector_to_array("probability")[1].alias("p")).collect()]
+    assert all(0.0 <= x <= 1.0 for x in p) and max(p) > 0.9 and min(p) < 0.1
+    poly = models.polynomial_stage(2, "features", "poly").transform(d).first().poly
+    assert poly.size == 9  # 3 linear + 6 quadratic terms
