@@ -144,7 +144,8 @@ def q_customer_features(spark: SparkSession, d: str) -> DataFrame:
 @register("drop_blank_rows", """
 SELECT conv_id, turn, role, text FROM conversations
 WHERE conv_id IS NOT NULL AND turn IS NOT NULL AND role IS NOT NULL AND text IS NOT NULL
-  AND NOT regexp_matches(role, '^\\s$') AND NOT regexp_matches(text, '^\\s$')""")
+  AND NOT (length(role) = 1 AND regexp_matches(role, '[ \t\n\x0B\f\r]'))
+  AND NOT (length(text) = 1 AND regexp_matches(text, '[ \t\n\x0B\f\r]'))""")
 def q_drop_blank_rows(spark, d):
     return clean.drop_blank_rows(table(spark, d, "conversations").select("conv_id", "turn", "role", "text"))
 
@@ -752,10 +753,20 @@ def q_link_files(spark, d):
 hop AS (SELECT DISTINCT r.page_id, p.page_id AS link_page_id, p.url, p.html
         FROM resolved r JOIN pages p ON r.resolved = p.url
         WHERE contains(r.resolved, 'http') AND contains(r.resolved, 'example')),
+im_arr AS (SELECT page_id, link_page_id, url, regexp_extract_all(html,
+             '(?i)<img\\s(?:[^>]*?\\s)?src\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s"''>]+)', 1) AS arr FROM hop),
+im_raw AS (SELECT page_id, link_page_id, url, unnest(arr) AS raw FROM im_arr),
 im AS (SELECT page_id, link_page_id, url,
-              unnest(regexp_extract_all(html,
-                '(?i)<img\\s(?:[^>]*?\\s)?src\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s"''>]+)', 1)) AS raw FROM hop)
-SELECT page_id, link_page_id, raw AS image, raw AS file_name FROM im WHERE length(raw) > 2""")
+              CASE WHEN length(raw) >= 2 AND ((starts_with(raw, '"') AND ends_with(raw, '"'))
+                                           OR (starts_with(raw, '''') AND ends_with(raw, '''')))
+                   THEN substring(raw, 2, length(raw) - 2) ELSE raw END AS src FROM im_raw),
+-- SQL resolves absolute and root-relative image references only
+res AS (SELECT page_id, link_page_id,
+               CASE WHEN regexp_matches(src, '^[A-Za-z][A-Za-z0-9+.\\-]*:') THEN src
+                    ELSE regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*)', 1) || src END AS image
+        FROM im WHERE length(src) > 0)
+SELECT page_id, link_page_id, image,
+       string_split(image, '/')[-3] || '_' || string_split(image, '/')[-1] AS file_name FROM res""")
 def q_two_hop_images(spark, d):
     return pages.two_hop_images(table(spark, d, "pages"), ["http", "example"])
 
