@@ -144,8 +144,8 @@ def q_customer_features(spark: SparkSession, d: str) -> DataFrame:
 @register("drop_blank_rows", """
 SELECT conv_id, turn, role, text FROM conversations
 WHERE conv_id IS NOT NULL AND turn IS NOT NULL AND role IS NOT NULL AND text IS NOT NULL
-  AND NOT (length(role) = 1 AND regexp_matches(role, '[ \t\n\x0B\f\r]'))
-  AND NOT (length(text) = 1 AND regexp_matches(text, '[ \t\n\x0B\f\r]'))""")
+  AND NOT (length(role) = 1 AND regexp_matches(role, '[ \\t\\n\\x0B\\f\\r]'))
+  AND NOT (length(text) = 1 AND regexp_matches(text, '[ \\t\\n\\x0B\\f\\r]'))""")
 def q_drop_blank_rows(spark, d):
     return clean.drop_blank_rows(table(spark, d, "conversations").select("conv_id", "turn", "role", "text"))
 
