@@ -86,22 +86,38 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``flurry`` importable in executor Python workers.
 
     Pandas UDFs and grouped functions reference this package's helpers, which
-    are pickled by reference. When the package is not installed on the
-    executors it is zipped once per SparkContext and sent with
-    ``addPyFile`` (the way --py-files ships code); no data goes this way.
+    are pickled by reference. The package is zipped in memory, written once
+    (per content hash) into the shared checkpoint folder through the Hadoop
+    FileSystem API, and added with ``addPyFile`` -- the way --py-files ships
+    code. No machine-local folder is involved and no data goes this way.
     """
     sc = spark.sparkContext
     if getattr(sc, "_flurry_shipped", False):
         return
+    import hashlib
+    import io
     import zipfile
 
     pkg = os.path.dirname(os.path.abspath(__file__))
-    out = os.path.join(tempfile.mkdtemp(prefix="flurry-code-"), "flurry.zip")
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-        for root, _, files in os.walk(pkg):
-            for f in files:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in sorted(os.walk(pkg)):
+            for f in sorted(files):
                 if f.endswith(".py"):
                     full = os.path.join(root, f)
-                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    sc.addPyFile(out)
+                    info = zipfile.ZipInfo(os.path.relpath(full, os.path.dirname(pkg)), (2020, 1, 1, 0, 0, 0))
+                    with open(full, "rb") as fh:
+                        z.writestr(info, fh.read())
+    data = buf.getvalue()
+    target = os.path.join(checkpoint_dir(spark), "flurry-code", hashlib.sha1(data).hexdigest()[:16], "flurry.zip")
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        out = fs.create(path, True)
+        try:
+            out.write(bytearray(data))
+        finally:
+            out.close()
+    sc.addPyFile(target)
     sc._flurry_shipped = True
