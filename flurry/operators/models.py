@@ -17,13 +17,11 @@ from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,22 +95,36 @@ def fit_logistic_cv(train: DataFrame, categorical: list[str], numeric: list[str]
     """Encode + scale + logistic regression whose C is chosen by mean fold
     accuracy, then refit on all training rows (M4).
 
-    sklearn's C maps to Spark's ``regParam = 1 / (C · n)`` (Spark averages
-    the loss over rows, sklearn sums it); L2 only; no internal
-    standardisation since the features are already scaled.
+    sklearn's C weighs the summed loss; Spark's ``regParam`` the mean loss,
+    so a fit on m rows uses ``regParam = 1 / (C · m)``: each fold fit with its
+    own training-row count, the final refit with all rows. L2 only; no
+    internal standardisation since the features are already scaled. Fold
+    fits run concurrently from a thread pool; each one is a distributed fit.
     """
     prep = Pipeline(stages=feature_stages(categorical, numeric)).fit(train)
     data = with_fold(prep.transform(train), id_col, folds).select("features", label, "fold")
     if persist:
         data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    n = data.count()
-    lr = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter,
-                            standardization=False, elasticNetParam=0.0)
-    grid = ParamGridBuilder().addGrid(lr.regParam, [1.0 / (c * n) for c in (cs or c_grid())]).build()
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, numFolds=folds, foldCol="fold",
-                        evaluator=MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy"),
-                        parallelism=min(parallelism, len(grid)))
-    best = cv.fit(data).bestModel
+    sizes = {r["fold"]: r["n"] for r in data.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n = sum(sizes.values())
+    grid = cs or c_grid()
+
+    def lr(reg: float) -> LogisticRegression:
+        return LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter,
+                                  standardization=False, elasticNetParam=0.0, regParam=reg)
+
+    def run(job):
+        ci, f = job
+        m = n - sizes.get(f, 0)
+        model = lr(1.0 / (grid[ci] * m)).fit(data.where(F.col("fold") != f))
+        return ci, _fold_metrics(model.transform(data.where(F.col("fold") == f)), label)["accuracy"]
+
+    jobs = [(ci, f) for ci in range(len(grid)) for f in range(folds) if sizes.get(f)]
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(jobs)))) as pool:
+        scores = list(pool.map(run, jobs))
+    mean = {ci: float(np.mean([a for c, a in scores if c == ci])) for ci in range(len(grid))}
+    best_c = grid[max(mean, key=lambda ci: (mean[ci], -ci))]   # ties: the smaller C
+    best = lr(1.0 / (best_c * n)).fit(data)
     if persist:
         data.unpersist()
     return PipelineModel(prep.stages + [best])

@@ -133,3 +133,19 @@ def test_svm_probability_and_poly(spark):
     assert all(0.0 <= x <= 1.0 for x in p) and max(p) > 0.9 and min(p) < 0.1
     poly = models.polynomial_stage(2, "features", "poly").transform(d).first().poly
     assert poly.size == 9  # 3 linear + 6 quadratic terms
+
+
+def test_logistic_cv_picks_and_refits(spark):
+    rng = np.random.default_rng(12)
+    rows = []
+    for i in range(600):
+        c = str(rng.choice(["a", "b", "c"]))
+        x = float(rng.normal())
+        y = 1.0 if (x + (1.5 if c == "a" else -0.5) + rng.normal() * 0.3) > 0 else 0.0
+        rows.append((i, c, x, y))
+    df = spark.createDataFrame(rows, "id long, c string, x double, label double")
+    m = models.fit_logistic_cv(df, ["c"], ["x"], folds=5, cs=[1e-4, 1.0, 100.0], parallelism=4)
+    acc = models._fold_metrics(m.transform(df), "label")["accuracy"]
+    assert acc > 0.85
+    lr = m.stages[-1]
+    assert lr.getRegParam() in (1.0 / (1.0 * 600), 1.0 / (100.0 * 600))  # the weak-penalty Cs win
