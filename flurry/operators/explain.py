@@ -207,7 +207,18 @@ _CHUNK_ROWS = 1 << 16   # sample rows per Arrow batch handed back to the JVM
 SAMPLES_PER_TASK = 1_000_000
 
 
-def _sample_fn(stats: TrainingStats, id_col: str, n_samples: int, seed: int):
+def _id_seed(rid) -> tuple[int, int]:
+    """Two 31-bit words from a row id: the id itself when integral, else a
+    stable hash of its text, so draws do not depend on partitioning."""
+    if isinstance(rid, (int, np.integer)):
+        v = int(rid)
+    else:
+        import hashlib
+        v = int.from_bytes(hashlib.md5(str(rid).encode("utf-8")).digest()[:8], "little")
+    return v & 0x7FFFFFFF, (v >> 31) & 0x7FFFFFFF
+
+
+def _sample_fn(stats: TrainingStats, id_col: str, n_samples: int, seed: int, id_dtype=np.int64):
     """Draw the perturbation samples of each row. Categorical samples leave
     Python as integer class codes (mapped back to the class text in the
     JVM), numeric ones as doubles, the 0/1 form as one bit-packed long."""
@@ -225,8 +236,7 @@ def _sample_fn(stats: TrainingStats, id_col: str, n_samples: int, seed: int):
         num[c] = (b[:, 0] / b[:, 0].sum(), b[:, 1], b[:, 2], b[:, 3], b[:, 4])
 
     def one_row(rec, cols, Z, sl):
-        rid = int(rec[id_col])
-        rng = np.random.default_rng([seed, rid & 0x7FFFFFFF, (rid >> 31) & 0x7FFFFFFF])
+        rng = np.random.default_rng([seed, *_id_seed(rec[id_col])])
         for j, c in enumerate(feats):
             v0 = rec[c]
             if c in cat_p:
@@ -257,7 +267,7 @@ def _sample_fn(stats: TrainingStats, id_col: str, n_samples: int, seed: int):
                 Z[::n_samples] = True  # sample 0 is the row itself
                 out = pd.DataFrame(cols)
                 out.insert(0, "_s", np.tile(np.arange(n_samples, dtype=np.int64), len(chunk)))
-                out.insert(0, id_col, np.repeat(np.array([int(r[id_col]) for r in chunk], dtype=np.int64),
+                out.insert(0, id_col, np.repeat(np.array([r[id_col] for r in chunk], dtype=id_dtype),
                                                 n_samples))
                 out["_z"] = Z.astype(np.int64) @ bits
                 yield out
@@ -281,7 +291,7 @@ def _fit_fn(stats: TrainingStats, id_col: str, n_features: int, method: str, ker
         used = _select(g, n_f, min(n_features, n_f), method)
         coef, icpt, r2 = _solve(g, used, RIDGE_ALPHA)
         rank = np.argsort(-np.abs(coef), kind="stable")
-        return (int(rid), float(y[0]), {feats[used[i]]: float(coef[i]) for i in rank}, icpt, r2,
+        return (rid, float(y[0]), {feats[used[i]]: float(coef[i]) for i in rank}, icpt, r2,
                 float(icpt + coef.sum()))
 
     def fit_runs(pdf):
@@ -329,11 +339,17 @@ def explain(df: DataFrame, model, stats: TrainingStats, id_col: str = "id", n_sa
     n = rows.count()
     parts = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(n * n_samples / SAMPLES_PER_TASK))
     rows = rows.repartition(parts)
+    id_type = rows.schema[id_col].dataType
+    integral = isinstance(id_type, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
+    if integral:
+        rows = rows.withColumn(id_col, F.col(id_col).cast("long"))
+        id_type = T.LongType()
     sample_schema = T.StructType(
-        [T.StructField(id_col, T.LongType()), T.StructField("_s", T.LongType())]
+        [T.StructField(id_col, id_type), T.StructField("_s", T.LongType())]
         + [T.StructField(c, T.IntegerType() if c in stats.classes else T.DoubleType()) for c in feats]
         + [T.StructField("_z", T.LongType())])
-    samples = rows.mapInPandas(_sample_fn(stats, id_col, n_samples, seed), sample_schema)
+    samples = rows.mapInPandas(_sample_fn(stats, id_col, n_samples, seed, np.int64 if integral else object),
+                               sample_schema)
     # class codes -> class text, JVM-side; a class unseen in training (code
     # -1) becomes null, which the fitted encoder rejects as it would the text
     if stats.categorical:
@@ -343,7 +359,7 @@ def explain(df: DataFrame, model, stats: TrainingStats, id_col: str = "id", n_sa
             if c in stats.classes else F.col(c) for c in feats])
     scored = model.transform(samples).select(id_col, "_s", "_z",
                                              vector_to_array(F.col("probability"))[1].alias("_p"))
-    out_schema = (f"{id_col} long, probability double, explanation map<string,double>, "
+    out_schema = (f"{id_col} {id_type.simpleString()}, probability double, explanation map<string,double>, "
                   "intercept double, score double, local_pred double")
     return scored.mapInPandas(_fit_fn(stats, id_col, n_features, method, kernel_width), out_schema)
 
