@@ -30,41 +30,49 @@ from pyspark.ml.functions import vector_to_array
 _PAIR_SCHEMA = "q long, b long, dist double"
 
 
-def _block_topk(k: int, extra: int = 4, exclude_self: bool = False):
+def _block_topk(k: int, exclude_self: bool = False):
+    """cogroup body: exact top-k of each query against one base block.
+
+    The ||a||² + ||b||² - 2a·b form ranks the block; every candidate within
+    rounding distance of the k-th value is then re-scored exactly (sum of
+    squared differences) and ordered by (distance, id). Keeping the whole
+    tolerance band means exact ties -- duplicates -- are all compared, so the
+    id tie-break is exact too.
+    """
     def fn(key, qdf: pd.DataFrame, bdf: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({"q": pd.Series([], dtype="int64"), "b": pd.Series([], dtype="int64"),
+                              "dist": pd.Series([], dtype="float64")})
         if len(qdf) == 0 or len(bdf) == 0:
-            return pd.DataFrame({"q": pd.Series([], dtype="int64"), "b": pd.Series([], dtype="int64"),
-                                 "dist": pd.Series([], dtype="float64")})
+            return empty
         Q = np.stack(qdf["v"].to_numpy()).astype(np.float64)
         B = np.stack(bdf["v"].to_numpy()).astype(np.float64)
         qid = qdf["id"].to_numpy(dtype=np.int64)
         bid = bdf["id"].to_numpy(dtype=np.int64)
-        kk = min(k + extra + (1 if exclude_self else 0), len(bid))
+        bn = (B * B).sum(axis=1)
+        kk = min(k + (1 if exclude_self else 0), len(bid))
         out_q, out_b, out_d = [], [], []
         step = 256
-        bn = (B * B).sum(axis=1)
-        for s in range(0, len(qid), step):
-            q = Q[s:s + step]
-            approx = (q * q).sum(axis=1)[:, None] + bn[None, :] - 2.0 * (q @ B.T)
-            if exclude_self:
-                approx[qid[s:s + step, None] == bid[None, :]] = np.inf
-            if kk < len(bid):
-                cand = np.argpartition(approx, kk - 1, axis=1)[:, :kk]
-            else:
-                cand = np.broadcast_to(np.arange(len(bid)), (len(q), len(bid)))
-            diff = q[:, None, :] - B[cand]
-            exact = (diff * diff).sum(axis=2)
-            cid = bid[cand]
-            if exclude_self:
-                exact = np.where(cid == qid[s:s + step, None], np.inf, exact)
-            order = np.lexsort((cid, exact), axis=1)[:, :k]
-            rows = np.arange(len(q))[:, None]
-            d = exact[rows, order]
-            b = cid[rows, order]
-            keep = np.isfinite(d)
-            out_q.append(np.repeat(qid[s:s + step], order.shape[1])[keep.ravel()])
-            out_b.append(b.ravel()[keep.ravel()])
-            out_d.append(d.ravel()[keep.ravel()])
+        for s0 in range(0, len(qid), step):
+            q, qi = Q[s0:s0 + step], qid[s0:s0 + step]
+            qn = (q * q).sum(axis=1)
+            approx = qn[:, None] + bn[None, :] - 2.0 * (q @ B.T)
+            kth = np.partition(approx, kk - 1, axis=1)[:, kk - 1]
+            tol = 1e-9 * (qn + bn.max()) + 1e-12
+            band = approx <= (kth + tol)[:, None]
+            for r in range(len(q)):
+                c = np.flatnonzero(band[r])
+                diff = B[c] - q[r]
+                ex = (diff * diff).sum(axis=1)
+                ids = bid[c]
+                if exclude_self:
+                    keep = ids != qi[r]
+                    ex, ids = ex[keep], ids[keep]
+                o = np.lexsort((ids, ex))[:k]
+                out_q.append(np.full(len(o), qi[r], dtype=np.int64))
+                out_b.append(ids[o])
+                out_d.append(ex[o])
+        if not out_q:
+            return empty
         return pd.DataFrame({"q": np.concatenate(out_q), "b": np.concatenate(out_b),
                              "dist": np.concatenate(out_d)})
     return fn

@@ -17,6 +17,9 @@ _BASE_CONF = {
     # Last-write-wins when two maps are concatenated (request over defaults).
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.ui.showConsoleProgress": "false",
+    # lineage cuts write to the shared checkpoint folder: remove those files
+    # once the DataFrame that owns them is no longer referenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

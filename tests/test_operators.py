@@ -362,3 +362,17 @@ def test_lsh_recall_reasonable(spark):
     approx = vectors.knn_approx(e, e, 3, bucket_length=2.0, num_hash_tables=4)
     exact = vectors.knn(e, e, 3)
     assert vectors.recall_at_k(approx, exact).first().recall > 0.8
+
+
+def test_knn_many_duplicates_tie_by_id(spark):
+    """Twelve identical vectors spread over several blocks: the 3 nearest of
+    each are the 3 smallest ids (distance 0), whatever the rounding."""
+    rng = np.random.default_rng(21)
+    rows = [(i, [0.3, -1.7, 2.2, 0.9]) for i in range(100, 112)]
+    rows += [(i, (rng.normal(size=4) * 5).tolist()) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = vectors.knn(df, df, 3, block_rows=16).where(F.col("q") >= 100).collect()
+    for r in got:
+        assert r.dist == 0.0 and r.b == 100 + r.rank - 1
+    ex = vectors.knn(df, df, 3, block_rows=16, exclude_self=True).where(F.col("q") == 100).collect()
+    assert sorted(r.b for r in ex) == [101, 102, 103]
