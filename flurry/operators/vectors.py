@@ -59,7 +59,23 @@ def _block_topk(k: int, exclude_self: bool = False):
             kth = np.partition(approx, kk - 1, axis=1)[:, kk - 1]
             tol = 1e-9 * (qn + bn.max()) + 1e-12
             band = approx <= (kth + tol)[:, None]
-            for r in range(len(q)):
+            plain = band.sum(axis=1) == kk          # no ties at the cut: kk candidates
+            if plain.any():
+                rows = np.flatnonzero(plain)
+                cand = np.argpartition(approx[rows], kk - 1, axis=1)[:, :kk]
+                diff = q[rows][:, None, :] - B[cand]
+                ex = (diff * diff).sum(axis=2)
+                ids = bid[cand]
+                if exclude_self:
+                    ex = np.where(ids == qi[rows][:, None], np.inf, ex)
+                o = np.lexsort((ids, ex), axis=1)[:, :k]
+                sel = np.arange(len(rows))[:, None]
+                d, b = ex[sel, o], ids[sel, o]
+                ok = np.isfinite(d)
+                out_q.append(np.repeat(qi[rows], o.shape[1])[ok.ravel()])
+                out_b.append(b.ravel()[ok.ravel()])
+                out_d.append(d.ravel()[ok.ravel()])
+            for r in np.flatnonzero(~plain):       # ties at the cut: compare them all
                 c = np.flatnonzero(band[r])
                 diff = B[c] - q[r]
                 ex = (diff * diff).sum(axis=1)
