@@ -1005,3 +1005,18 @@ def q_preview_customers(spark, d):
 def q_html_tables(spark, d):
     """Rows of every <table id="champions_index"> in the crawled pages (H8)."""
     return pages.extract_table(table(spark, d, "pages"), "champions_index")
+
+
+@register("feature_card")
+def q_feature_card(spark, d):
+    """Per customer and feature: value, explanation weight (0 when not
+    among the explained features), training mean/min/max or class list (J4)."""
+    model, cf, train = flagship.churn_fixed_model(spark, d)
+    st = xp.training_stats(train, _CAT, _NUM)
+    ex = xp.explain_table(cf, model, st, n_samples=EXPLAIN_SAMPLES, n_features=EXPLAIN_FEATURES)
+    values = ex.select("id", F.explode(F.map_from_arrays(
+        F.array(*[F.lit(c) for c in st.features]),
+        F.array(*[F.col(f"data.{c}").cast("string") for c in st.features]))).alias("feature", "value"))
+    weights = ex.select("id", F.explode("explanation").alias("feature", "weight"))
+    return joins.feature_card(summary.describe_features(train, _NUM), summary.category_domains(train, _CAT),
+                              values, weights)
