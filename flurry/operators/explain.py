@@ -54,7 +54,7 @@ class TrainingStats:
     numeric: list[str]
     classes: dict = field(default_factory=dict)    # feature -> (values, freqs)
     quartiles: dict = field(default_factory=dict)  # feature -> [q1, q2, q3]
-    bins: dict = field(default_factory=dict)       # feature -> list of (freq, mean, std, lo, hi)
+    bins: dict = field(default_factory=dict)       # feature -> 4 x (freq, mean, std, lower edge, upper edge)
 
     @property
     def features(self) -> list[str]:
@@ -77,21 +77,25 @@ def training_stats(train: DataFrame, categorical: list[str], numeric: list[str])
     if numeric:
         long = train.select(*[F.col(c).cast("double").alias(c) for c in numeric]).unpivot(
             [], numeric, "feature", "value").where(F.col("value").isNotNull())
-        qs = {r["feature"]: [r["q1"], r["q2"], r["q3"]]
-              for r in exact_quantiles(long, ["feature"], "value", list(QUARTILES), ["q1", "q2", "q3"]).collect()}
+        qrows = exact_quantiles(long, ["feature"], "value", list(QUARTILES), ["q1", "q2", "q3"],
+                                extra_aggs={"lo": F.min, "hi": F.max}).collect()
+        qs = {r["feature"]: [r["q1"], r["q2"], r["q3"]] for r in qrows}
+        ext = {r["feature"]: (r["lo"], r["hi"]) for r in qrows}
         qcol = F.create_map(*[x for c in numeric for x in (F.lit(c), F.array(*[F.lit(float(q)) for q in qs[c]]))])
         q = F.element_at(qcol, F.col("feature"))
         # bin = number of quartiles strictly below the value (0..3)
         b = sum(((F.col("value") > q[i]).cast("int") for i in range(3)), F.lit(0))
         mom = long.groupBy("feature", b.alias("bin")).agg(
-            F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"),
-            F.min("value").alias("lo"), F.max("value").alias("hi")).collect()
+            F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"),
+            F.stddev_pop("value").alias("std")).collect()
         for c in numeric:
             st.quartiles[c] = [float(x) for x in qs[c]]
+            # bin k spans [edge k, edge k+1] of (min, q1, q2, q3, max)
+            edges = [float(ext[c][0])] + st.quartiles[c] + [float(ext[c][1])]
             rows = {r["bin"]: r for r in mom if r["feature"] == c}
             tot = float(sum(r["n"] for r in rows.values()))
-            st.bins[c] = [(rows[i]["n"] / tot, rows[i]["mean"], rows[i]["std"] or 0.0, rows[i]["lo"], rows[i]["hi"])
-                          if i in rows else (0.0, 0.0, 0.0, 0.0, 0.0) for i in range(4)]
+            st.bins[c] = [(rows[i]["n"] / tot, rows[i]["mean"], rows[i]["std"] or 0.0, edges[i], edges[i + 1])
+                          if i in rows else (0.0, 0.0, 0.0, edges[i], edges[i + 1]) for i in range(4)]
     return st
 
 

@@ -151,9 +151,10 @@ def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
+    """Rows with their class weight. The weight table has one row per class;
+    AQE broadcasts it when its measured size is small (no forced hint)."""
     w = class_weights(df, label, name).select(label, name)
-    # one row per class: bounded by the number of classes
-    return df.join(F.broadcast(w), label, "left")
+    return df.join(w, label, "left")
 
 
 def corr_pairs(df: DataFrame, cols: list[str], digits: int | None = 6) -> DataFrame:
