@@ -966,8 +966,8 @@ def q_stream_scoring(spark, d):
 @register("stream_late_truth", ORACLE["predictions_with_truth"])
 def q_stream_late_truth(spark, d):
     out = stm.run_to_parquet(_stream_log(spark, d))
-    # ts is TIMESTAMP in the stream (for the watermark); back to the wall clock
-    return r6(spark.read.parquet(out).select("uuid", "user_id", epoch_micros(F.col("ts")).alias("ts_us"),
+    # ts is an instant in the stream (for the watermark): its epoch micros
+    return r6(spark.read.parquet(out).select("uuid", "user_id", stm.instant_micros("ts").alias("ts_us"),
                                              "probability", "prediction", "final_label"))
 
 
@@ -983,8 +983,8 @@ HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM pred) - IN
 def q_stream_window_accuracy(spark, d):
     out = stm.run_to_parquet(stm.stream_window_accuracy(_stream_log(spark, d), "ts", "1 day", None))
     w = spark.read.parquet(out)
-    return r6(w.select(epoch_micros("window_start").alias("window_start_us"),
-                       epoch_micros("window_end").alias("window_end_us"), "n", "accuracy"))
+    return r6(w.select(stm.instant_micros("window_start").alias("window_start_us"),
+                       stm.instant_micros("window_end").alias("window_end_us"), "n", "accuracy"))
 
 
 @register("stream_count_batches", ORACLE["batch_accuracy"])

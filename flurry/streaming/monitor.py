@@ -43,10 +43,25 @@ def replay(spark: SparkSession, data_dir: str, name: str, schema: T.StructType |
 
 
 def as_event_time(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """TIMESTAMP_NTZ -> TIMESTAMP so the column can carry a watermark."""
+    """Event time as TIMESTAMP so the column can carry a watermark.
+
+    A TIMESTAMP_NTZ wall clock becomes the instant with the same digits in
+    UTC, whatever the session time zone, so tumbling windows (aligned to
+    the epoch) are wall-clock days and ``instant_micros`` gives back the
+    wall clock's epoch microseconds."""
+    dt = df.schema[col].dataType
+    if isinstance(dt, T.TimestampNTZType):
+        return df.withColumn(out or col, F.timestamp_micros(epoch_micros(col)))
+    if isinstance(dt, T.TimestampType):
+        return df if out is None else df.withColumn(out, F.col(col))
     return df.withColumn(out or col, F.col(col).cast("timestamp"))
 
 
+def instant_micros(c) -> "F.Column":
+    """Epoch microseconds of a TIMESTAMP instant (session-zone free)."""
+    return F.unix_micros(F.col(c) if isinstance(c, str) else c)
+
+
 def stream_score(stream: DataFrame, model, keep: list[str], out: str = "probability_1") -> DataFrame:
     """Score each arriving row (L8): ``keep`` columns + P(class 1) +
     prediction. Stateless, so any output mode and trigger works."""
@@ -124,7 +139,15 @@ def count_batches_fn(keys: list[str], order: list[str], ts: str, size: int, out_
     carry_cols = list(dict.fromkeys(ks + order + [ts, truth_col, pred_col]))
     pend_path, cnt_path = os.path.join(state_path, "pending"), os.path.join(state_path, "counters")
 
+    def _micros(c):
+        # stream event time is an instant; a static (NTZ) input is a wall clock
+        return instant_micros(c) if event_is_instant else epoch_micros(c)
+
+    event_is_instant = True
+
     def process(batch_df: DataFrame, batch_id: int) -> None:
+        nonlocal event_is_instant
+        event_is_instant = isinstance(batch_df.schema[ts].dataType, T.TimestampType)
         spark = batch_df.sparkSession
         rows = batch_df if keys else batch_df.withColumn("_all", F.lit(0))
         rows = rows.select(*carry_cols)
@@ -138,8 +161,8 @@ def count_batches_fn(keys: list[str], order: list[str], ts: str, size: int, out_
         correct = (F.col(truth_col) == F.col(pred_col)).cast("double")
         batches = (pos_n.where(F.col("_pos") < full)
                    .groupBy(*ks, F.floor(F.col("_pos") / size).cast("long").alias("_b"))
-                   .agg(F.count(F.lit(1)).alias("n"), F.min(epoch_micros(ts)).alias("start_us"),
-                        F.max(epoch_micros(ts)).alias("end_us"), F.avg(correct).alias("accuracy")))
+                   .agg(F.count(F.lit(1)).alias("n"), F.min(_micros(ts)).alias("start_us"),
+                        F.max(_micros(ts)).alias("end_us"), F.avg(correct).alias("accuracy")))
         done = _read_version(spark, cnt_path, batch_id)
         if done is not None:
             batches = batches.join(done, ks, "left")
