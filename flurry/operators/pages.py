@@ -23,7 +23,7 @@ def attr_pattern(tag: str, attr: str) -> str:
 def _unquote(c: Column) -> Column:
     quoted = (c.startswith('"') & c.endswith('"') & (F.length(c) >= 2)) | (
         c.startswith("'") & c.endswith("'") & (F.length(c) >= 2))
-    return F.when(quoted, F.expr("substring(_raw, 2, length(_raw) - 2)")).otherwise(c)
+    return F.when(quoted, c.substr(F.lit(2), F.length(c) - 2)).otherwise(c)
 
 
 def _extract(pages: DataFrame, tag: str, attr: str, html: str, keep: list[str], out: str) -> DataFrame:
@@ -90,7 +90,7 @@ def two_hop_images(pages: DataFrame, tokens: list[str], host: str | None = None,
 def _table_udtf():
     from pyspark.sql.functions import udtf
 
-    @udtf(returnType="row_idx int, cells array<string>, header array<string>")
+    @udtf(returnType="row_idx int, cells array<string>, header array<string>", useArrow=True)
     class HtmlTable:
         """Rows of the ``<table id=...>`` of one page. Header rows (``<th>``
         only) are joined into one header per column; with a multi-level

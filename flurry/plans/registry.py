@@ -205,8 +205,9 @@ def q_count_by_group(spark, d):
 @register("count_by_group_sql", """
 SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus""")
 def q_count_by_group_sql(spark, d):
-    table(spark, d, "orders").createOrReplaceTempView("orders")
-    return spark.sql("SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus")
+    # SQL form (A2) over a DataFrame argument: no temp view left behind
+    return spark.sql("SELECT o_orderstatus, count(*) AS n FROM {orders} GROUP BY o_orderstatus",
+                     orders=table(spark, d, "orders"))
 
 
 @register("label_summary", _with(CF) + """
