@@ -161,16 +161,18 @@ def with_defaults(df: DataFrame, defaults: DataFrame, keep_only_known: bool = Fa
     one row. The request value wins when present.
     """
     d = defaults.select(F.struct(*[F.col(f"`{c}`") for c in defaults.columns]).alias("d")).scalar()
+    # the subquery is projected once and its fields read from that column
+    x = df.withColumn("_dflt", d)
     cols = []
     for c in df.columns:
         if c in defaults.columns:
-            cols.append(F.coalesce(F.col(f"`{c}`"), d.getField(c)).alias(c))
+            cols.append(F.coalesce(F.col(f"`{c}`"), F.col("_dflt").getField(c)).alias(c))
         elif not keep_only_known:
             cols.append(F.col(f"`{c}`"))
     for c in defaults.columns:
         if c not in df.columns:
-            cols.append(d.getField(c).alias(c))
-    return df.select(*cols)
+            cols.append(F.col("_dflt").getField(c).alias(c))
+    return x.select(*cols)
 
 
 def display_projection(df: DataFrame, uid: str, features: list[str]) -> DataFrame:

@@ -60,11 +60,12 @@ def standardize(df: DataFrame, cols: list[str], stats: DataFrame | None = None)
     st = stats if stats is not None else scaler_stats(df, cols)
     s = st.groupBy().pivot("feature", cols).agg(F.first(F.struct("mean", "std")))
     sq = s.select(F.struct(*[F.col(c).alias(c) for c in cols]).alias("s")).scalar()
+    x = df.withColumn("_scale", sq)   # one subquery, read by field below
     out = []
     for c in df.columns:
         if c in cols:
-            m, sd = sq.getField(c).getField("mean"), sq.getField(c).getField("std")
+            m, sd = F.col("_scale").getField(c).getField("mean"), F.col("_scale").getField(c).getField("std")
             out.append(F.when(sd > 0, (F.col(c) - m) / sd).otherwise(F.lit(0.0)).alias(c))
         else:
             out.append(F.col(c))
-    return df.select(*out)
+    return x.select(*out)

@@ -102,10 +102,10 @@ def roc_curve(df: DataFrame, label: str, score: str, positive=1) -> DataFrame:
     All points are kept (no collinear-point dropping)."""
     sc = score_counts(df, label, score, positive)
     tot = sc.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).select(F.struct("P", "N").alias("t")).scalar()
-    run = running_sums(sc, [F.col("score").desc()], ["pos", "neg"])
+    run = running_sums(sc, [F.col("score").desc()], ["pos", "neg"]).withColumn("_t", tot)
     return run.select(F.col("score").alias("threshold"),
-                      (F.col("neg_running") / tot.getField("N")).alias("fpr"),
-                      (F.col("pos_running") / tot.getField("P")).alias("tpr"))
+                      (F.col("neg_running") / F.col("_t.N")).alias("fpr"),
+                      (F.col("pos_running") / F.col("_t.P")).alias("tpr"))
 
 
 def auc(df: DataFrame, label: str, score: str, positive=1) -> DataFrame:

@@ -418,12 +418,13 @@ def heat_bins(explained: DataFrame, expl_col: str = "explanation", prob_col: str
     A12); the single-row view uses fixed (-0.3, 0.3). Values outside the
     range fall in the end bins."""
     if weight_range is None:
+        # the extent goes into a column first (lambdas may not hold subqueries)
         ext = map_extent(explained, expl_col).select(F.struct("lo", "hi").alias("e")).scalar()
-        lo, hi = ext.getField("lo"), ext.getField("hi")
+        out = explained.withColumn("_e", ext).withColumn("_lo", F.col("_e.lo")).withColumn(
+            "_hi", F.col("_e.hi")).drop("_e")
     else:
-        lo, hi = F.lit(float(weight_range[0])), F.lit(float(weight_range[1]))
-    # the extent goes into columns first: lambdas may not hold subqueries
-    out = explained.withColumn("_lo", lo).withColumn("_hi", hi)
+        out = explained.withColumn("_lo", F.lit(float(weight_range[0]))).withColumn(
+            "_hi", F.lit(float(weight_range[1])))
     out = out.withColumn("weight_bins", F.transform_values(
         F.col(expl_col), lambda k, v: quantize(v, F.col("_lo"), F.col("_hi"), bins))).withColumn(
         "probability_bin", quantize(F.col(prob_col), float(prob_range[0]), float(prob_range[1]), bins))

@@ -79,8 +79,11 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
         F.max(F.when(F.col("qi") == i, F.col("_qv"))).alias(n) for i, n in enumerate(names)])
     if extra:
         moments = counts.select(*keys, *extra)
-        out = out.join(moments, keys, "inner") if keys else out.select(
-            "*", *[moments.select(F.first(n)).scalar().alias(n) for n in extra])
+        if keys:
+            out = out.join(moments, keys, "inner")
+        else:
+            m = moments.select(F.struct(*extra).alias("m")).scalar()
+            out = out.withColumn("_m", m).select(*out.columns, *[F.col("_m").getField(n).alias(n) for n in extra])
     return out
 
 
@@ -127,7 +130,7 @@ def default_row(df: DataFrame, categorical: list[str], numeric: list[str],
     if cats is not None and meds is not None:
         # two one-row frames side by side: a scalar subquery, not a join
         s = meds.select(F.struct(*numeric).alias("m")).scalar()
-        return cats.select(*categorical, *[s.getField(c).alias(c) for c in numeric])
+        return cats.withColumn("_m", s).select(*categorical, *[F.col("_m").getField(c).alias(c) for c in numeric])
     return cats if cats is not None else meds
 
 
@@ -173,15 +176,19 @@ def corr_pairs(df: DataFrame, cols: list[str], digits: int | None = 6) -> DataFr
     return stacked
 
 
-def _fd_bins(df: DataFrame, col: str, max_bins: int) -> Column:
-    """Freedman-Diaconis bin count as a scalar subquery, capped, at least 1."""
-    q = exact_quantiles(df, [], col, [0.25, 0.75], ["q1", "q3"])
-    stats = df.agg(F.count(col).alias("n"), F.min(col).alias("lo"), F.max(col).alias("hi"))
-    st = stats.select(F.struct("n", "lo", "hi").alias("s")).scalar()
-    qs = q.select(F.struct("q1", "q3").alias("q")).scalar()
-    width = 2.0 * (qs.getField("q3") - qs.getField("q1")) / F.pow(st.getField("n").cast("double"), 1.0 / 3.0)
-    raw = F.ceil(F.try_divide(st.getField("hi") - st.getField("lo"), width))
-    return F.least(F.greatest(F.coalesce(raw, F.lit(1)), F.lit(1)), F.lit(max_bins)).cast("int")
+def _hist_params(data: DataFrame, bins: int | None, max_bins: int) -> DataFrame:
+    """One row (lo, hi, nb) for the histogram of ``_v``: the range and the
+    bin count, given or Freedman-Diaconis (2 IQR / n^(1/3) wide), capped,
+    at least 1."""
+    stats = data.agg(F.count("_v").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    if bins:
+        return stats.select("lo", "hi", F.lit(bins).alias("nb"))
+    q = exact_quantiles(data, [], "_v", [0.25, 0.75], ["q1", "q3"])
+    stats = stats.withColumn("_q", q.select(F.struct("q1", "q3").alias("q")).scalar())
+    width = 2.0 * (F.col("_q.q3") - F.col("_q.q1")) / F.pow(F.col("n").cast("double"), 1.0 / 3.0)
+    raw = F.ceil(F.try_divide(F.col("hi") - F.col("lo"), width))
+    nb = F.least(F.greatest(F.coalesce(raw, F.lit(1)), F.lit(1)), F.lit(max_bins)).cast("int")
+    return stats.select("lo", "hi", nb.alias("nb"))
 
 
 def _bin_of(v, lo, hi, nb) -> Column:
@@ -195,17 +202,19 @@ def histogram(df: DataFrame, col: str, bins: int | None = None, max_bins: int =
 
     ``bins=None`` picks Freedman-Diaconis, capped at ``max_bins``. The max
     value falls in the last bin (``width_bucket`` alone would give bins+1).
-    Empty bins are not listed.
+    Empty bins are not listed. Range and bin count are one scalar subquery,
+    projected once next to the values.
     """
-    v = F.col(col).cast("double")
-    st = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi")).select(F.struct("lo", "hi").alias("s")).scalar()
-    lo, hi = st.getField("lo"), st.getField("hi")
-    nb = F.lit(bins) if bins else _fd_bins(df.select(v.alias(col)), col, max_bins)
-    b = _bin_of(v, lo, hi, nb)
-    counted = df.where(v.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    width = (hi - lo) / nb
-    return counted.select("bin", (lo + (F.col("bin") - 1) * width).alias("lo"),
-                          (lo + F.col("bin") * width).alias("hi"), "count")
+    data = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    p = _hist_params(data, bins, max_bins).select(F.struct("lo", "hi", "nb").alias("p")).scalar()
+    x = data.withColumn("_p", p)
+    lo, hi, nb = F.col("_p.lo"), F.col("_p.hi"), F.col("_p.nb")
+    counted = x.groupBy(_bin_of(F.col("_v"), lo, hi, nb).alias("bin")).agg(
+        F.count(F.lit(1)).alias("count"), F.first(lo).alias("_lo"), F.first(hi).alias("_hi"),
+        F.first(nb).alias("_nb"))
+    width = (F.col("_hi") - F.col("_lo")) / F.col("_nb")
+    return counted.select("bin", (F.col("_lo") + (F.col("bin") - 1) * width).alias("lo"),
+                          (F.col("_lo") + F.col("bin") * width).alias("hi"), "count")
 
 
 def box_stats(df: DataFrame, x: str | None, y: str, approx: bool = False) -> DataFrame:
@@ -227,30 +236,32 @@ def box_stats(df: DataFrame, x: str | None, y: str, approx: bool = False) -> Dat
     else:
         # ungrouped: the quartiles are one scalar subquery, no join at all
         sq = q.select(F.struct(*qcols).alias("q")).scalar()
-        joined = data
-        ref = {c: sq.getField(c) for c in qcols}
+        joined = data.withColumn("_q", sq)
+        ref = {c: F.col("_q").getField(c) for c in qcols}
     y_ = F.col("_y")
+    # the quartiles are constant within a group: carried through with first()
+    # rather than joined back a second time
     agg = joined.groupBy(*keys).agg(
-        *[F.first(ref[c]).alias(c) for c in qcols] if not keys else [],
+        *[F.first(ref[c]).alias(c) for c in qcols],
         F.count(F.lit(1)).alias("n"),
         F.min(F.when(y_ >= ref["lo_fence"], y_)).alias("whisker_lo"),
         F.max(F.when(y_ <= ref["hi_fence"], y_)).alias("whisker_hi"),
         F.count_if((y_ < ref["lo_fence"]) | (y_ > ref["hi_fence"])).alias("n_outliers"))
-    if not keys:
-        return agg
-    return agg.join(q, on=keys).select(*keys, *qcols, "n", "whisker_lo", "whisker_hi", "n_outliers")
+    return agg.select(*keys, *qcols, "n", "whisker_lo", "whisker_hi", "n_outliers")
 
 
 def pair_bins(df: DataFrame, x: str, y: str, hue: str | None, bins: int = 10) -> DataFrame:
     """2-D equal-width bin counts per hue (A11): ``(hue, bx, by, count)``."""
+    st = df.agg(*[f(F.col(c).cast("double")).alias(f"{n}_{c}") for c in (x, y)
+                  for n, f in (("lo", F.min), ("hi", F.max))])
+    sq = st.select(F.struct(*st.columns).alias("s")).scalar()
+    d = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumn("_s", sq)
+
     def binned(c):
-        v = F.col(c).cast("double")
-        st = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi")).select(
-            F.struct("lo", "hi").alias("s")).scalar()
-        return _bin_of(v, st.getField("lo"), st.getField("hi"), F.lit(bins))
+        return _bin_of(F.col(c).cast("double"), F.col("_s").getField(f"lo_{c}"),
+                       F.col("_s").getField(f"hi_{c}"), F.lit(bins))
     keys = ([F.col(hue)] if hue else []) + [binned(x).alias("bx"), binned(y).alias("by")]
-    return (df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-            .groupBy(*keys).agg(F.count(F.lit(1)).alias("count")))
+    return d.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
 
 
 def map_extent(df: DataFrame, map_col: str) -> DataFrame:
