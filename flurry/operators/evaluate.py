@@ -33,20 +33,27 @@ def confusion_matrix(df: DataFrame, label: str, pred: str, classes: list | None
 
 
 def _per_class(df: DataFrame, label: str, pred: str) -> DataFrame:
-    """class, tp, support (true count), predicted count."""
-    cc = confusion_counts(df, label, pred)
-    true_n = cc.groupBy(F.col("label").alias("cls")).agg(F.sum("n").alias("support"))
-    pred_n = cc.groupBy(F.col("pred").alias("cls")).agg(F.sum("n").alias("predicted"))
-    tp = cc.where(F.col("label") == F.col("pred")).select(F.col("label").alias("cls"), F.col("n").alias("tp"))
-    return (true_n.join(pred_n, "cls", "full").join(tp, "cls", "left")
-            .na.fill(0, ["support", "predicted", "tp"]))
+    """class, support (true count), predicted count, tp -- one pass: each row
+    counts once for its true class and once for its predicted class."""
+    y, p = F.col(label), F.col(pred)
+    hit = (y == p).cast("long")
+    both = F.array(
+        F.struct(y.alias("cls"), F.lit(1).cast("long").alias("t"), F.lit(0).cast("long").alias("pr"),
+                 hit.alias("tp")),
+        F.struct(p.alias("cls"), F.lit(0).cast("long").alias("t"), F.lit(1).cast("long").alias("pr"),
+                 F.lit(0).cast("long").alias("tp")))
+    e = df.select(F.explode(both).alias("e")).select("e.*")
+    return e.groupBy("cls").agg(F.sum("t").alias("support"), F.sum("pr").alias("predicted"),
+                                F.sum("tp").alias("tp"))
 
 
 def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     """precision, recall, f1, support per class, then the 'accuracy',
     'macro avg' and 'weighted avg' rows (E2). 0/0 is 0.0.
     Rows: (cls string, precision, recall, f1, support)."""
-    pc = _per_class(df, label, pred)
+    # one row per class, read several times below: materialised once
+    from flurry.session import cut_lineage
+    pc = cut_lineage(_per_class(df, label, pred))
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
     pc = pc.select(F.col("cls").cast("string").alias("cls"), prec.alias("precision"), rec.alias("recall"),
