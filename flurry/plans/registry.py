@@ -335,6 +335,21 @@ def q_scaler_stats(spark, d):
     return r6(summary.scaler_stats(derived.customer_features(spark, d), _NUM))
 
 
+@register("value_bins", """
+SELECT event_type,
+       CAST(CASE WHEN value < 0 THEN 1 WHEN value >= 100 THEN 7
+                 ELSE least(greatest(CAST(floor(7 * (value - 0.0) / 100.0) AS BIGINT) + 1, 1), 7) END AS INTEGER)
+         AS bin,
+       count(*) AS count
+FROM events WHERE value IS NOT NULL GROUP BY 1, 2""")
+def q_value_bins(spark, d):
+    """Colour bins 1..7 of event values over [0, 100], clamped."""
+    from flurry.functions.scalar import quantize
+    ev = table(spark, d, "events").where(F.col("value").isNotNull())
+    return ev.groupBy("event_type", quantize(F.col("value"), 0.0, 100.0, 7).cast("int").alias("bin")).agg(
+        F.count(F.lit(1)).alias("count"))
+
+
 # --- encoding -------------------------------------------------------------------
 
 @register("encode_categories", _with(CF) + """
