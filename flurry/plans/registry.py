@@ -464,6 +464,14 @@ def q_sample_n(spark, d):
     return sampling.sample_n(cf, "id", 10, seed=42)
 
 
+@register("bernoulli_sample")
+def q_bernoulli_sample(spark, d):
+    """Each customer kept with probability 0.5, seed 83 (O4). Spark's seeded
+    sampler decides the rows, so there is no SQL oracle."""
+    cf = derived.customer_features(spark, d).select("id", "segment", "Churn")
+    return sampling.bernoulli_sample(cf, 0.5, 83)
+
+
 @register("train_test_split", _with(CF) + """
 SELECT id, CASE WHEN ('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 8))::BIGINT % 100 < 25
                 THEN 'test' ELSE 'train' END AS part FROM cf""")
