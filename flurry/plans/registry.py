@@ -965,14 +965,16 @@ def _stage_table(df, spark, tag, by_day: str | None = None) -> str:
 
 
 def _stream_log(spark, d):
-    """Predictions and truth as two streams joined with the L9 operator."""
+    """Predictions and truth as two streams joined with the L9 operator, in a
+    session whose state partitions follow the cluster (see stream_session)."""
     pred = derived.predictions(spark, d)
     truth = derived.truth_events(spark, d)
     ppath = _stage_table(pred, spark, "pred", by_day="ts")
     tpath = _stage_table(truth, spark, "truth", by_day="truth_ts")
-    ps = stm.as_event_time(spark.readStream.schema(spark.read.parquet(ppath).schema)
+    ss = stm.stream_session(spark)
+    ps = stm.as_event_time(ss.readStream.schema(ss.read.parquet(ppath).schema)
                            .option("maxFilesPerTrigger", 5).parquet(ppath), "ts")
-    ts_ = stm.as_event_time(spark.readStream.schema(spark.read.parquet(tpath).schema)
+    ts_ = stm.as_event_time(ss.readStream.schema(ss.read.parquet(tpath).schema)
                             .option("maxFilesPerTrigger", 5).parquet(tpath), "truth_ts")
     return stm.stream_attach_truth(ps.drop("_day"), ts_.drop("_day"), "uuid", "ts", "truth_ts", "6 hours", "1 hour")
 
@@ -981,7 +983,8 @@ def _stream_log(spark, d):
 def q_stream_scoring(spark, d):
     model, cf, _ = flagship.churn_fixed_model(spark, d)
     path = _stage_table(cf.select("id", *_CAT, *_NUM), spark, "requests")
-    reqs = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+    ss = stm.stream_session(spark)
+    reqs = ss.readStream.schema(ss.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
     out = stm.run_to_parquet(stm.stream_score(reqs, model, ["id"], "probability"))
     return spark.read.parquet(out)
 

@@ -31,6 +31,18 @@ from flurry.operators.windows import positions
 from flurry.session import checkpoint_dir
 
 
+def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+    """A session for stateful streams whose shuffle partitions (the number of
+    state stores, fixed in the stream checkpoint at first start) follow the
+    cluster: ``defaultParallelism`` cores unless given. It shares the
+    SparkContext; only SQL settings differ. Batch queries leave partition
+    sizing to AQE, which does not apply to stateful streaming operators."""
+    s = spark.newSession()
+    n = partitions or max(2, spark.sparkContext.defaultParallelism)
+    s.conf.set("spark.sql.shuffle.partitions", str(n))
+    return s
+
+
 def replay(spark: SparkSession, data_dir: str, name: str, schema: T.StructType | None = None,
            max_files_per_trigger: int | None = None) -> DataFrame:
     """Stream the parquet files of table ``name`` in ``data_dir``."""
