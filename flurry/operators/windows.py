@@ -45,7 +45,9 @@ def _local_running(keys: list[str], sum_cols: list[str], pos_name: str):
                 kdf = pdf[keys]
                 first = tuple(kdf.iloc[0])
                 cc = pdf.groupby(keys, dropna=False, sort=False).cumcount().to_numpy()
-                cs = [pdf.groupby(keys, dropna=False, sort=False)[c].cumsum().to_numpy(dtype="float64")
+                # nulls add nothing, as in a SQL running sum
+                cs = [pdf[c].astype("float64").fillna(0.0).groupby([pdf[k] for k in keys], dropna=False,
+                                                                    sort=False).cumsum().to_numpy()
                       for c in sum_cols]
                 same = _eq_row(kdf, kdf.iloc[0])
                 # rows of the leading run continue the previous batch's last run
@@ -60,7 +62,8 @@ def _local_running(keys: list[str], sum_cols: list[str], pos_name: str):
                 prev_key = last
             else:
                 cc = prev_n + pd.RangeIndex(len(pdf)).to_numpy()
-                cs = [prev + pdf[c].astype("float64").cumsum().to_numpy() for c, prev in zip(sum_cols, prev_sums)]
+                cs = [prev + pdf[c].astype("float64").fillna(0.0).cumsum().to_numpy()
+                      for c, prev in zip(sum_cols, prev_sums)]
                 prev_n = int(cc[-1]) + 1
                 prev_sums = [float(s[-1]) for s in cs]
             out = pdf.copy()

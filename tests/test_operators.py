@@ -376,3 +376,12 @@ def test_knn_many_duplicates_tie_by_id(spark):
         assert r.dist == 0.0 and r.b == 100 + r.rank - 1
     ex = vectors.knn(df, df, 3, block_rows=16, exclude_self=True).where(F.col("q") == 100).collect()
     assert sorted(r.b for r in ex) == [101, 102, 103]
+
+
+def test_null_group_keeps_its_quantiles(spark):
+    rows = [(None, float(v)) for v in range(1, 6)] + [("a", float(v)) for v in (10, 20, 30)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r.median for r in summary.exact_quantiles(df, ["g"], "v", [0.5], ["median"]).collect()}
+    assert got == {None: 3.0, "a": 20.0}
+    box = {r.g: (r.n, r.median) for r in summary.box_stats(df, "g", "v").collect()}
+    assert box == {None: (5, 3.0), "a": (3, 20.0)}
