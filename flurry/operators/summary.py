@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flurry.operators.keys import join_on_keys
 from flurry.operators.windows import positions
 
 
@@ -43,21 +44,6 @@ def unpivot_numeric(df: DataFrame, cols: list[str], key: str = "feature",
         [], cols, key, value)
 
 
-def _join_keys(left: DataFrame, right: DataFrame, keys: list[str], other: list[str] | None = None,
-               how: str = "inner") -> DataFrame:
-    """Join on ``keys`` with null-safe equality (a null group is a group, as
-    in SQL GROUP BY) plus plain equality on ``other``; one copy of each key."""
-    other = list(other or [])
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys + other],
-                     *[c for c in right.columns if c not in keys + other])
-    cond = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys] + [F.col(k) == F.col(f"_r_{k}") for k in other]
-    if not cond:
-        raise ValueError("a join needs at least one key")
-    from functools import reduce
-    j = left.join(r, reduce(lambda a, b: a & b, cond), how)
-    return j.drop(*[f"_r_{k}" for k in keys + other])
-
-
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
                     names: list[str] | None = None, extra_aggs: dict | None = None) -> DataFrame:
     """Exact, linearly interpolated quantiles of ``value`` per ``keys``.
@@ -85,17 +71,17 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
             .distinct())
     # Join on (key, position): hashing includes the position, so a hot key
     # does not land in one task; `need` has at most 2·len(probs) rows a key.
-    picked = _join_keys(ranked, need, keys, ["_pos"]).select(*keys, "_pos", "_v")
+    picked = join_on_keys(ranked, need, keys, ["_pos"]).select(*keys, "_pos", "_v")
     lo = picked.select(*keys, F.col("_pos").alias("_lo"), F.col("_v").alias("_vlo"))
     hi = picked.select(*keys, F.col("_pos").alias("_hi"), F.col("_v").alias("_vhi"))
-    res = (_join_keys(_join_keys(want, lo, keys, ["_lo"], "left"), hi, keys, ["_hi"], "left")
+    res = (join_on_keys(join_on_keys(want, lo, keys, ["_lo"], "left"), hi, keys, ["_hi"], "left")
            .select(*keys, "qi", (F.col("_vlo") + (F.col("_x") - F.col("_lo")) * (F.col("_vhi") - F.col("_vlo"))).alias("_qv")))
     out = res.groupBy(*keys).agg(*[
         F.max(F.when(F.col("qi") == i, F.col("_qv"))).alias(n) for i, n in enumerate(names)])
     if extra:
         moments = counts.select(*keys, *extra)
         if keys:
-            out = _join_keys(out, moments, keys)
+            out = join_on_keys(out, moments, keys)
         else:
             m = moments.select(F.struct(*extra).alias("m")).scalar()
             out = out.withColumn("_m", m).select(*out.columns, *[F.col("_m").getField(n).alias(n) for n in extra])
@@ -246,7 +232,7 @@ def box_stats(df: DataFrame, x: str | None, y: str, approx: bool = False) -> Dat
     if keys:
         # one row per group on the right: Spark broadcasts it when small,
         # else a sort-merge join that AQE splits for skewed groups
-        joined = _join_keys(data, q, keys)
+        joined = join_on_keys(data, q, keys)
         ref = {c: F.col(c) for c in qcols}
     else:
         # ungrouped: the quartiles are one scalar subquery, no join at all

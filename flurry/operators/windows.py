@@ -151,7 +151,8 @@ def with_batch(df: DataFrame, keys: list[str], order: list, size: int = 100,
     if complete_only:
         full = (pos.groupBy(*keys, name).agg(F.count(F.lit(1)).alias("_bn"))
                 .where(F.col("_bn") == size).drop("_bn"))
-        pos = pos.join(full, on=[*keys, name], how="left_semi")
+        from flurry.operators.keys import join_on_keys
+        pos = join_on_keys(pos, full, keys, [name], "left_semi")
     return pos
 
 

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flurry.functions.scalar import epoch_micros
+from flurry.operators.keys import join_on_keys
 from flurry.operators.windows import positions
 from flurry.session import checkpoint_dir
 
@@ -168,7 +169,7 @@ def count_batches_fn(keys: list[str], order: list[str], ts: str, size: int, out_
             rows = pend.select(*carry_cols).unionByName(rows)
         pos = positions(rows, ks, order, "_pos").persist()
         per_key = pos.groupBy(*ks).agg(F.count(F.lit(1)).alias("_n"))
-        pos_n = pos.join(per_key, ks)
+        pos_n = join_on_keys(pos, per_key, ks)
         full = F.floor(F.col("_n") / size) * size
         correct = (F.col(truth_col) == F.col(pred_col)).cast("double")
         batches = (pos_n.where(F.col("_pos") < full)
@@ -177,7 +178,7 @@ def count_batches_fn(keys: list[str], order: list[str], ts: str, size: int, out_
                         F.max(_micros(ts)).alias("end_us"), F.avg(correct).alias("accuracy")))
         done = _read_version(spark, cnt_path, batch_id)
         if done is not None:
-            batches = batches.join(done, ks, "left")
+            batches = join_on_keys(batches, done, ks, how="left")
         else:
             batches = batches.withColumn("_done", F.lit(0).cast("long"))
         batches = batches.withColumn("batch", (F.coalesce(F.col("_done"), F.lit(0)) + F.col("_b")).cast("long"))
@@ -187,7 +188,7 @@ def count_batches_fn(keys: list[str], order: list[str], ts: str, size: int, out_
          .write.mode("overwrite").parquet(os.path.join(pend_path, f"v={batch_id}")))
         add = per_key.select(*ks, F.floor(F.col("_n") / size).cast("long").alias("_add"))
         if done is not None:
-            add = add.join(done, ks, "full").select(
+            add = join_on_keys(add, done, ks, how="full").select(
                 *ks, (F.coalesce("_add", F.lit(0)) + F.coalesce("_done", F.lit(0))).alias("_done"))
         else:
             add = add.select(*ks, F.col("_add").alias("_done"))

@@ -385,3 +385,15 @@ def test_null_group_keeps_its_quantiles(spark):
     assert got == {None: 3.0, "a": 20.0}
     box = {r.g: (r.n, r.median) for r in summary.box_stats(df, "g", "v").collect()}
     assert box == {None: (5, 3.0), "a": (3, 20.0)}
+
+
+def test_join_on_keys_null_and_full(spark):
+    from flurry.operators.keys import join_on_keys
+    a = spark.createDataFrame([(None, 1), ("x", 2)], "k string, a int")
+    b = spark.createDataFrame([(None, 10), ("y", 30)], "k string, b int")
+    inner = sorted((r.k, r.a, r.b) for r in join_on_keys(a, b, ["k"]).collect())
+    assert inner == [(None, 1, 10)]
+    full = sorted(((r.k or ""), r.a, r.b) for r in join_on_keys(a, b, ["k"], how="full").collect())
+    assert full == [("", 1, 10), ("x", 2, None), ("y", None, 30)]
+    df = spark.createDataFrame([(None if i % 2 else "k", i) for i in range(300)], "d string, t long")
+    assert windows.with_batch(df, ["d"], ["t"], 100).count() == 200   # 150 per key: one full batch each
