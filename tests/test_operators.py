@@ -397,3 +397,16 @@ def test_join_on_keys_null_and_full(spark):
     assert full == [("", 1, 10), ("x", 2, None), ("y", None, 30)]
     df = spark.createDataFrame([(None if i % 2 else "k", i) for i in range(300)], "d string, t long")
     assert windows.with_batch(df, ["d"], ["t"], 100).count() == 200   # 150 per key: one full batch each
+
+
+def test_approximate_paths(spark):
+    rng = np.random.default_rng(8)
+    df = spark.createDataFrame([(float(x),) for x in rng.normal(size=3000)], "x double")
+    exact = summary.describe_features(df, ["x"]).first()
+    approx = summary.describe_features(df, ["x"], approx=True).first()
+    assert abs(exact.median - approx.median) < 0.05 and math.isclose(exact.mean, approx.mean, rel_tol=1e-9)
+    box = summary.box_stats(df, None, "x", approx=True).first()
+    assert box.q1 < box.median < box.q3
+    e = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    near = vectors.knn_approx(e, e, 3, threshold=0.5, bucket_length=2.0, num_hash_tables=4).collect()
+    assert all(r.dist <= 0.25 + 1e-12 for r in near)
