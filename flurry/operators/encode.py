@@ -17,14 +17,15 @@ from pyspark.sql import functions as F
 from flurry.operators.summary import scaler_stats
 
 
-def indexer_stages(categorical: list[str], suffix: str = "_idx") -> list:
+def indexer_stages(categorical: list[str], suffix: str = "_idx", handle_invalid: str = "error") -> list:
     """Alphabetical ``StringIndexer`` over all categories (M1): one
-    multi-column indexer, so fitting is one pass over the data. Unknown
-    values at transform time are an error, as with a label encoder."""
+    multi-column indexer, so fitting is one pass over the data. By default
+    unknown or null values at transform time are an error, as with a label
+    encoder; ``keep`` gives them index k (the number of classes)."""
     if not categorical:
         return []
     return [StringIndexer(inputCols=list(categorical), outputCols=[c + suffix for c in categorical],
-                          stringOrderType="alphabetAsc", handleInvalid="error")]
+                          stringOrderType="alphabetAsc", handleInvalid=handle_invalid)]
 
 
 def one_hot_stage(categorical: list[str], suffix: str = "_idx", out_suffix: str = "_oh") -> OneHotEncoder:
@@ -34,11 +35,12 @@ def one_hot_stage(categorical: list[str], suffix: str = "_idx", out_suffix: str
 
 
 def encode_categories(df: DataFrame, categorical: list[str]) -> DataFrame:
-    """Replace each category by its alphabetical code 0..k-1 (M1)."""
-    model = Pipeline(stages=indexer_stages(categorical)).fit(df)
+    """Replace each category by its alphabetical code 0..k-1 (M1). Null is
+    not a class: it stays null."""
+    model = Pipeline(stages=indexer_stages(categorical, handle_invalid="keep")).fit(df)
     out = model.transform(df)
-    return out.select(*[F.col(c + "_idx").cast("int").alias(c) if c in categorical else F.col(c)
-                        for c in df.columns])
+    return out.select(*[F.when(F.col(c).isNull(), F.lit(None)).otherwise(F.col(c + "_idx")).cast("int").alias(c)
+                        if c in categorical else F.col(c) for c in df.columns])
 
 
 def one_hot(df: DataFrame, categorical: list[str], numeric: list[str], out: str = "features") -> DataFrame:

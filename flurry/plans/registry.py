@@ -353,9 +353,14 @@ def q_value_bins(spark, d):
 # --- encoding -------------------------------------------------------------------
 
 @register("encode_categories", _with(CF) + """
-SELECT id, CAST(dense_rank() OVER (ORDER BY segment) - 1 AS INTEGER) AS segment,
-       CAST(dense_rank() OVER (ORDER BY region) - 1 AS INTEGER) AS region,
-       CAST(dense_rank() OVER (ORDER BY top_priority) - 1 AS INTEGER) AS top_priority, Churn FROM cf""")
+SELECT id,
+       CASE WHEN segment IS NULL THEN NULL ELSE CAST(dense_rank() OVER (
+            PARTITION BY segment IS NULL ORDER BY segment) - 1 AS INTEGER) END AS segment,
+       CASE WHEN region IS NULL THEN NULL ELSE CAST(dense_rank() OVER (
+            PARTITION BY region IS NULL ORDER BY region) - 1 AS INTEGER) END AS region,
+       CASE WHEN top_priority IS NULL THEN NULL ELSE CAST(dense_rank() OVER (
+            PARTITION BY top_priority IS NULL ORDER BY top_priority) - 1 AS INTEGER) END AS top_priority,
+       Churn FROM cf""")
 def q_encode_categories(spark, d):
     cf = derived.customer_features(spark, d).select("id", *_CAT, "Churn")
     return encode.encode_categories(cf, _CAT)

@@ -149,3 +149,8 @@ def test_logistic_cv_picks_and_refits(spark):
     assert acc > 0.85
     lr = m.stages[-1]
     assert lr.getRegParam() in (1.0 / (1.0 * 600), 1.0 / (100.0 * 600))  # the weak-penalty Cs win
+
+
+def test_encode_keeps_null_as_null(spark):
+    df = spark.createDataFrame([("b",), (None,), ("a",)], "s string")
+    assert [r.s for r in encode.encode_categories(df, ["s"]).collect()] == [1, None, 0]
