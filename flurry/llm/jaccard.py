@@ -113,7 +113,8 @@ def _frequencies(profile: DataFrame) -> np.ndarray:
 
 
 def _prefix_rows(src: DataFrame, freq, n: int, percent: int) -> DataFrame:
-    """(tok, did, n, p, m): each document's prefix shingles with their position, and its m.
+    """(tok, did, n, p, m, q): each document's prefix shingles with their position,
+    its m, and how typical the document is (mean log frequency of its shingles).
 
     Documents of one block with equal sets are written once (the smallest id
     stands for them; they are in one class anyway).
@@ -145,12 +146,14 @@ def _prefix_rows(src: DataFrame, freq, n: int, percent: int) -> DataFrame:
             by = np.lexsort((did, sign))
             one = np.zeros(len(did), bool)
             one[by[np.concatenate([[True], sign[by][1:] != sign[by][:-1]])]] = True
+            level = np.concatenate([[0.0], np.cumsum(np.log2(est[cell]))])
+            typical = (1024 * np.diff(level[edge]) / np.maximum(size, 1)).astype(np.int32)
             keep = (pos < (base + pick)[doc]) & one[doc]
             d = doc[keep]
             yield B.as_table(tok=tok[keep].view(np.int64), did=did[d], n=size[d].astype(np.int32),
-                             p=pos[keep].astype(np.int32), m=pick[d].astype(np.int32))
+                             p=pos[keep].astype(np.int32), m=pick[d].astype(np.int32), q=typical[d])
 
-    return src.mapInArrow(run, "tok long, did long, n int, p int, m int")
+    return src.mapInArrow(run, "tok long, did long, n int, p int, m int, q int")
 
 
 def _verify(src: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -224,32 +227,38 @@ def near_duplicate_groups(docs: DataFrame, text: str = "text", words: int = WORD
               .join(copies.select(F.col("a").alias("did")), "did", "left_anti"))
     shared = cut_lineage(shared)
 
-    # links along each shingle: to the first document holding it and to the one before
+    # links along each shingle: to the most typical document holding it and to the one before;
+    # an edited copy resembles the unedited text more than another edited copy
+    by = Window.partitionBy("tok").orderBy(F.desc("q"), "did")
     near = (shared.withColumn("first", F.first(F.struct("did", "n", "m")).over(by))
             .withColumn("prev", F.lag(F.struct("did", "n", "m")).over(by)))
     stars = None
     for c in ("first", "prev"):
         one = near.select(F.col("did").alias("a"), F.col(f"{c}.did").alias("b"), "n", F.col(f"{c}.n").alias("nb"),
-                          F.least("m", f"{c}.m").alias("m")).filter("a > b")
+                          F.least("m", f"{c}.m").alias("m")).filter("a <> b")
         stars = one if stars is None else stars.union(one)
     fits = f"100 * least(n, nb) >= {percent} * greatest(n, nb)"
     pairs = stars.filter(fits).groupBy("a", "b").agg(F.count("*").alias("k"), F.min("m").alias("m")).filter("k >= m")
     links = cut_lineage(_verify(src, pairs, words, percent).union(copies))
     groups = components(links)
 
-    # what is left: documents of different components that share enough prefix shingles
+    # what is left: documents of different components that share enough prefix shingles;
+    # shingle by shingle, (component, size) classes that cannot reach the overlap drop out first
     held = cut_lineage(shared.join(groups, shared.did == groups.node, "left")
                        .select("tok", "did", "n", "p", "m", F.coalesce("component", "did").alias("c")))
-    mixed = held.groupBy("tok").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("tok")
-    held = held.join(mixed, "tok", "left_semi")
-    kinds = held.select("tok", "c").distinct()
-    meet = kinds.withColumnRenamed("c", "cx").join(kinds.withColumnRenamed("c", "cy"), "tok").filter("cx < cy")
-    x, y = ([F.col(f).alias(f"{f}{s}") for f in ("did", "n", "p", "m")] for s in ("x", "y"))
+    kinds = held.groupBy("tok", "c", "n").agg(F.min("p").alias("p"), F.max("m").alias("m"))
+    mixed = kinds.groupBy("tok").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("tok")
+    kinds = cut_lineage(kinds.join(mixed, "tok", "left_semi"))
     t = f"ceil((nx + ny) * {percent} / {100 + percent})"
-    crossed = (meet.join(held.select("tok", F.col("c").alias("cx"), *x), ["tok", "cx"])
-               .join(held.select("tok", F.col("c").alias("cy"), *y), ["tok", "cy"])
-               .filter(f"100 * least(nx, ny) >= {percent} * greatest(nx, ny)")
-               .filter(f"px < nx - {t} + least(mx, my) and py < ny - {t} + least(mx, my)"))
+    reach = (f"100 * least(nx, ny) >= {percent} * greatest(nx, ny) and "
+             f"px < nx - {t} + least(mx, my) and py < ny - {t} + least(mx, my)")
+
+    def side(df: DataFrame, k: str) -> DataFrame:
+        return df.select("tok", *[F.col(f).alias(f + k) for f in df.columns if f != "tok"])
+
+    meet = (side(kinds, "x").join(side(kinds, "y"), "tok").filter(f"cx < cy and {reach}")
+            .select("tok", "cx", "nx", "cy", "ny"))
+    crossed = (meet.join(side(held, "x"), ["tok", "cx", "nx"]).join(side(held, "y"), ["tok", "cy", "ny"]).filter(reach))
     rest = (crossed.groupBy(F.greatest("didx", "didy").alias("a"), F.least("didx", "didy").alias("b"))
             .agg(F.count("*").alias("k"), F.min(F.least("mx", "my")).alias("m")).filter("k >= m"))
     more = _verify(src, rest, words, percent)
