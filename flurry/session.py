@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 
@@ -80,6 +81,16 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs whose results are checkpointed.
+
+    Spark removes them when the driver's JVM finds their owners unreachable;
+    between large stages it is worth asking for that at once.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     return os.path.join(checkpoint_dir(spark), name)
