@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from flurry.llm import blocks as B
 from flurry.llm.graph import components
-from flurry.session import cut_lineage
+from flurry.session import cut_lineage, release_shuffles
 
 WORDS = 5
 PERCENT = 80           # Jaccard threshold in percent
@@ -226,6 +226,7 @@ def near_duplicate_groups(docs: DataFrame, text: str = "text", words: int = WORD
               .filter("before is not null or after is not null").drop("before", "after")
               .join(copies.select(F.col("a").alias("did")), "did", "left_anti"))
     shared = cut_lineage(shared)
+    release_shuffles(docs.sparkSession)
 
     # links along each shingle: to the most typical document holding it and to the one before;
     # an edited copy resembles the unedited text more than another edited copy
@@ -240,6 +241,7 @@ def near_duplicate_groups(docs: DataFrame, text: str = "text", words: int = WORD
     fits = f"100 * least(n, nb) >= {percent} * greatest(n, nb)"
     pairs = stars.filter(fits).groupBy("a", "b").agg(F.count("*").alias("k"), F.min("m").alias("m")).filter("k >= m")
     links = cut_lineage(_verify(src, pairs, words, percent).union(copies))
+    release_shuffles(docs.sparkSession)
     groups = components(links)
 
     # what is left: documents of different components that share enough prefix shingles;

@@ -13,6 +13,7 @@ from flurry.llm.jaccard import near_duplicate_groups
 from flurry.llm.lines import dedup_lines
 from flurry.llm.packing import pack_documents
 from flurry.llm.quality import repetition_coverage
+from flurry.llm.repeats import remove_repeats
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +29,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = remove_repeats(_table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = repetition_coverage(_table(spark, sf_dir, "documents"))
     return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -43,6 +49,6 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_packing, op4_quality, op5_jaccard, op6_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_packing, op3_repeats, op4_quality, op5_jaccard, op6_line_dedup)}
 
 ORACLE: dict[str, str] = {}
