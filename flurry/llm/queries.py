@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flurry.llm.decontam import spaced_seed_overlaps
@@ -14,6 +14,9 @@ from flurry.llm.lines import dedup_lines
 from flurry.llm.packing import pack_documents
 from flurry.llm.quality import repetition_coverage
 from flurry.llm.repeats import remove_repeats
+from flurry.llm.secrets import KINDS as SECRET_KINDS
+from flurry.llm.secrets import find_secrets
+from flurry.llm.toxicity import fit_toxicity, score_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +52,36 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_packing, op3_repeats, op4_quality, op5_jaccard, op6_line_dedup)}
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
+    labels = (_table(spark, sf_dir, "labels").filter(~held_out).groupBy("doc_id").agg(F.max("toxic").alias("label")))
+    model = fit_toxicity(docs.select("doc_id", "text").join(labels, "doc_id"))
+    got = score_toxicity(docs, model)
+    return got.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def _spans(col: str) -> Column:
+    return F.array_join(F.transform(col, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+
+def _count(col: str, kind: str) -> Column:
+    return F.size(F.filter(col, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = find_secrets(_table(spark, sf_dir, "documents"))
+    order = F.array(*[F.lit(k) for k in SECRET_KINDS])
+    both = F.concat("base", F.transform("added", lambda x: F.struct(x["kind"], x["start"], x["end"])))
+    keyed = F.array_sort(F.transform(both, lambda x: F.struct(x["start"], F.array_position(order, x["kind"]).alias("k"),
+                                                               x["end"], x["kind"])))
+    got = got.withColumn("every", keyed)
+    n = [_count("base", k) for k in SECRET_KINDS]
+    return got.select("doc_id", *n, F.sha2(_spans("base").cast("binary"), 256).alias("base_sha256"),
+                      _spans("every").alias("spans"), F.size("added").cast("long").alias("n_added"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_packing, op3_repeats, op4_quality, op5_jaccard, op6_line_dedup,
+                                 op7_toxicity, op10_secrets)}
 
 ORACLE: dict[str, str] = {}
