@@ -26,6 +26,9 @@ MAX_ROWS = 20_000     # labelled rows the machine is fitted on (a hash sample);
 EPOCHS = 30
 RATE = 0.1
 DECAY = 1e-4
+POSITIVE = 3.0       # weight of a toxic row (they are few, and a miss is worse)
+SMOOTH = 2.0         # added to class counts
+HALF = 0.5           # share of a term's log-odds its weight starts from
 CHUNKS = 32
 
 
@@ -94,11 +97,12 @@ class FactorizationMachine:
         return self.bias + np.bincount(doc, self.weight[term], n) + 0.5 * ((s ** 2).sum(1) - sq)
 
     @classmethod
-    def fit(cls, slot: np.ndarray, rows: list[np.ndarray], y: np.ndarray, seed: int = 1) -> FactorizationMachine:
-        """Adagrad on the logistic loss; rows: chosen term numbers of each document."""
+    def fit(cls, slot: np.ndarray, rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray,
+            seed: int = 1) -> FactorizationMachine:
+        """Adagrad on the logistic loss; rows: chosen term numbers of each document; weight: where the weights start."""
         rng, m = np.random.default_rng(seed), int(slot.max()) + 1 if len(slot) else 0
         rate = min(max(float(y.mean()), 1e-3), 1 - 1e-3)
-        fm = cls(slot, float(np.log(rate / (1 - rate))), np.zeros(m), rng.normal(0, 0.05, (m, FACTORS)))
+        fm = cls(slot, float(np.log(rate / (1 - rate))), weight.copy(), rng.normal(0, 0.05, (m, FACTORS)))
         gw, gv, gb = np.full(m, 1e-6), np.full((m, FACTORS), 1e-6), 1e-6
         for _ in range(EPOCHS):
             order = rng.permutation(len(y))
@@ -107,7 +111,7 @@ class FactorizationMachine:
                 doc = np.repeat(np.arange(len(pick)), [len(rows[i]) for i in pick])
                 term = np.concatenate([rows[i] for i in pick]) if len(doc) else np.zeros(0, np.int64)
                 z = fm.margins(len(pick), doc, term)
-                d = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[pick]) / len(pick)
+                d = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[pick]) * np.where(y[pick] > 0, POSITIVE, 1.0) / len(pick)
                 gb += d.sum() ** 2
                 fm.bias -= RATE * d.sum() / np.sqrt(gb)
                 if not len(term):
@@ -139,6 +143,9 @@ def fit_toxicity(rows: DataFrame, text: str = "text", label: str = "label", max_
     if counts[:, -1].min() > 0:
         terms = _choose(counts)
         slot[terms] = np.arange(len(terms))
+    chosen = np.flatnonzero(slot >= 0)
+    seen = (counts[:, chosen] + SMOOTH) / (counts[:, -1:] + 2 * SMOOTH)  # over all labelled rows
+    weight = HALF * np.log(seen[1] / seen[0])
     share = min(1.0, max_rows / max(1, int(counts[:, -1].sum())))
     part = src.filter(F.pmod(F.xxhash64("__text", F.lit(17)), F.lit(1 << 20)) < int(share * (1 << 20)) + (share == 1.0))
 
@@ -153,7 +160,7 @@ def fit_toxicity(rows: DataFrame, text: str = "text", label: str = "label", max_
     if not len(y):
         n = counts[:, -1]
         return FactorizationMachine(slot, float(np.log((n[1] + 0.5) / (n[0] + 0.5))), np.zeros(TERMS), np.zeros((TERMS, FACTORS)))
-    return FactorizationMachine.fit(slot, [np.frombuffer(bytes(r[1]), np.int32).astype(np.int64) for r in got], y)
+    return FactorizationMachine.fit(slot, [np.frombuffer(bytes(r[1]), np.int32).astype(np.int64) for r in got], y, weight)
 
 
 def score_toxicity(docs: DataFrame, model: FactorizationMachine, text: str = "text") -> DataFrame:
