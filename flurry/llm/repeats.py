@@ -135,13 +135,30 @@ def _distinct_contexts(held: DataFrame, width: int, k: int) -> DataFrame:
             .groupBy("h", "key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
 
 
-def _mark(width: int):
+def _may_match(h: np.ndarray, keys: list[bytes], width: int, k: int) -> np.ndarray:
+    """Contexts that share more than the anchor: equal strings of ``width`` bytes around
+    it agree in at least half of the rest on its left or on its right."""
+    half = (width - k + 1) // 2
+    sides = []
+    for salt in (0, 1):
+        part = [(x[1 + x[0] - half:1 + x[0]] if x[0] >= half else None) if salt == 0 else
+                (x[1 + x[0] + k:1 + x[0] + k + half] if len(x) - 1 - x[0] - k >= half else None) for x in keys]
+        code = np.array([i * 2 + 1 if y is None else hash(y) & ~1 for i, y in enumerate(part)], np.int64).view(np.uint64)
+        sides.append(B.repeated(B.mix(code ^ B.mix(h.view(np.uint64)))))
+    return sides[0] | sides[1]
+
+
+def _mark(width: int, k: int):
     """One shard: which strings of each context occur in a context of a smaller document."""
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("h", "ascending"), ("lo", "ascending"), ("key", "ascending")])
         h, lo, hi = (table.column(c).to_numpy() for c in ("h", "lo", "hi"))
         keys = table.column("key").to_pylist()
-        hits = covered_windows([x[1:] for x in keys], h, lo, width)
+        hits = [np.zeros(0, np.int64)] * len(keys)
+        some = np.flatnonzero(_may_match(h, keys, width, k))
+        if len(some):
+            for i, got in zip(some, covered_windows([keys[i][1:] for i in some], h[some], lo[some], width)):
+                hits[i] = got
         out = {"h": [], "ch": [], "lo": [], "cuts": []}
         for i, starts in enumerate(hits):
             if len(starts) or lo[i] < hi[i]:
@@ -184,7 +201,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", width: int = WIDTH, k: i
     release_shuffles(spark)
     marks = cut_lineage(_distinct_contexts(held, width, k)
                         .withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(n_shards)))
-                        .groupBy("shard").applyInArrow(_mark(width), "h long, ch long, lo long, cuts array<int>"))
+                        .groupBy("shard").applyInArrow(_mark(width, k), "h long, ch long, lo long, cuts array<int>"))
     release_shuffles(spark)
     whole = F.when(F.col("size") >= width, F.array("start", F.col("start") + F.col("size")))
     parts = F.transform("cuts", lambda x: x + F.col("start"))

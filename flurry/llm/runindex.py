@@ -14,8 +14,9 @@ import numpy as np
 PACK = 7  # symbols of nine bits in one sort key
 
 
-def suffix_array(sym: np.ndarray) -> np.ndarray:
-    """Suffixes of concatenated strings in order; 0 ends a string, equal suffixes by position."""
+def suffix_array(sym: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes of concatenated strings in order (0 ends a string, equal suffixes
+    by position), and which of them begin with the same ``width`` symbols as the one before."""
     n = len(sym)
     pos = np.arange(n)
     ends = np.flatnonzero(sym == 0)
@@ -25,21 +26,25 @@ def suffix_array(sym: np.ndarray) -> np.ndarray:
         at = pos + i
         key = (key << 9) | np.where(at <= stop, sym[np.minimum(at, n - 1)], 0)
     _, rank = np.unique(key, return_inverse=True)
-    depth, longest = PACK, int((stop - pos).max()) + 1
+    depth, longest, near, known = PACK, int((stop - pos).max()) + 1, rank, PACK
     while depth < longest:
+        if depth <= width:
+            near, known = rank, depth  # width <= 2 * known: two look-ups cover the width
         at = pos + depth
         nxt = np.where(at <= stop, rank[np.minimum(at, n - 1)] + 1, 0)
         _, rank = np.unique(rank.astype(np.int64) * (n + 2) + nxt, return_inverse=True)
         depth *= 2
-    return np.argsort(rank, kind="stable")
+    sa = np.argsort(rank, kind="stable")
+    second = near[np.minimum(sa + width - known, n - 1)]
+    first = near[sa]
+    return sa, (first[1:] == first[:-1]) & (second[1:] == second[:-1])
 
 
 class RunIndex:
     """Index of strings given as symbols (byte + 1) with a 0 after each."""
 
-    def __init__(self, sym: np.ndarray, sa: np.ndarray | None = None):
-        self.sym = sym
-        sa = suffix_array(sym) if sa is None else sa
+    def __init__(self, sym: np.ndarray, sa: np.ndarray):
+        self.packed = packed(sym)
         bwt = sym[sa - 1]
         head = np.flatnonzero(np.concatenate([[True], bwt[1:] != bwt[:-1]]))
         self.head, self.char = head, bwt[head].astype(np.int64)
@@ -52,12 +57,9 @@ class RunIndex:
         self.lf[order] = upto
         self.by_char = self.char[order] * (len(head) + 1) + order  # runs of each character, in order
         self.order = order
-        self.up = np.full(len(sym), -1)   # neighbours in suffix order, to list occurrences
-        self.up[sa[1:]] = sa[:-1]
-        self.down = np.full(len(sym), -1)
-        self.down[sa[:-1]] = sa[1:]
+        self.rows = len(sa)
 
-    def matches(self, query: np.ndarray, begin: np.ndarray, end: np.ndarray, cap: int):
+    def matches(self, query: np.ndarray, packs: np.ndarray, begin: np.ndarray, end: np.ndarray, cap: int):
         """Stream matching statistics: yields (rows of the batch, query position, length, place).
 
         ``length`` (at most ``cap``) is the longest match of the query from
@@ -83,13 +85,13 @@ class RunIndex:
                     g = self.order[t]
                     ok = (s >= 0) & (s < len(self.order)) & (self.char[g] == ch)
                     p = self.last_at[g] if lower else self.first_at[g]
-                    n = self._common(p, query, i[off] + 1, np.minimum(length[w], end[w] - i[off] - 1))
+                    n = self._common(p, packs, i[off] + 1, np.minimum(length[w], end[w] - i[off] - 1))
                     n = np.where(ok, n, -1)
                     better = n > best
                     best = np.where(better, n, best)
                     to_run = np.where(better, g, to_run)
                     to_place = np.where(better, p, to_place)
-                    far = np.append(self.head[1:], len(self.up))[g] - 1 if lower else self.head[g]
+                    far = np.append(self.head[1:], self.rows)[g] - 1 if lower else self.head[g]
                     to_row = np.where(better, far, to_row)
                 found = best >= 0
                 length[w] = best  # -1: the character does not occur, the match is empty
@@ -106,15 +108,32 @@ class RunIndex:
             live = live[at[live] >= begin[live]]
 
     def _common(self, p: np.ndarray, query: np.ndarray, q: np.ndarray, limit: np.ndarray) -> np.ndarray:
-        """Length of the common prefix of text[p:] and query[q:], at most limit."""
-        n = np.zeros(len(p), np.int64)
-        todo = np.flatnonzero(limit > 0)
-        while len(todo):
-            eq = self.sym[np.minimum(p[todo] + n[todo], len(self.sym) - 1)] == query[q[todo] + n[todo]]
-            todo = todo[eq]
-            n[todo] += 1
-            todo = todo[n[todo] < limit[todo]]
-        return n
+        return common_prefix(self.packed, p, query, q, limit)
+
+
+def packed(sym: np.ndarray) -> np.ndarray:
+    """The PACK symbols from every place on in one number (0 past the end)."""
+    long = np.concatenate([sym, np.zeros(PACK, np.int64)])
+    out = np.zeros(len(sym), np.int64)
+    for i in range(PACK):
+        out = (out << 9) | long[i:i + len(sym)]
+    return out
+
+
+def common_prefix(text: np.ndarray, p: np.ndarray, query: np.ndarray, q: np.ndarray, limit: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of two packed texts from p and q on, at most limit."""
+    n = np.zeros(len(p), np.int64)
+    todo = np.flatnonzero(limit > 0)
+    while len(todo):
+        x = n[todo]
+        at, to = p[todo] + x, q[todo] + x
+        differ = text[np.minimum(at, len(text) - 1)] ^ query[np.minimum(to, len(query) - 1)]
+        differ[at >= len(text)] = 1 << 62
+        # the first differing symbol from the highest differing bit
+        _, top = np.frexp(differ.astype(np.float64))
+        n[todo] += np.where(differ == 0, PACK, (9 * PACK - top) // 9)
+        todo = todo[(differ == 0) & (n[todo] < limit[todo])]
+    return np.minimum(n, limit)
 
 
 def covered_windows(texts: list[bytes], group: np.ndarray, owner: np.ndarray, width: int) -> list[np.ndarray]:
@@ -137,41 +156,33 @@ def covered_windows(texts: list[bytes], group: np.ndarray, owner: np.ndarray, wi
     # texts of one owner in one group share a rank
     fresh = np.concatenate([[True], (group[1:] != group[:-1]) | (owner[1:] != owner[:-1])])
     rank = np.cumsum(fresh) - np.cumsum(fresh)[first][np.searchsorted(first, np.arange(n), "right") - 1]
-    hit = np.zeros(len(sym), bool)
+    hit, packs = np.zeros(len(sym), bool), packed(sym)
     if n < 2 or rank.max() == 0:
         return [np.zeros(0, np.int64)] * n
-    sa = suffix_array(sym)
+    sa, alike = suffix_array(sym, width)
+    # suffixes with one ``width``-byte beginning are neighbours: a class each
+    kind = np.cumsum(np.concatenate([[True], ~alike]))
     top = int(rank.max()).bit_length() - 1
     members = np.add.reduceat(np.ones(n, np.int64), first)
     most = np.repeat(np.maximum.reduceat(rank, first), members)
     for level in range(top, -1, -1):
         bit = (rank >> level) & 1
         low = (bit == 0) & (most >> level > 0)
-        ask = np.flatnonzero((bit == 1) & (size >= width))
+        open_ = np.add.reduceat(hit, begin) < size - width + 1  # some string is not covered yet
+        ask = np.flatnonzero((bit == 1) & (size >= width) & open_)
         if not len(ask) or not low.any():
             continue
         keep = low[of]
         back = np.flatnonzero(keep)           # kept symbol -> its place
         new = np.cumsum(keep) - 1
-        index = RunIndex(sym[keep], new[sa[keep[sa]]])
-        text_of = of[back]
-        for rows, i, length, place in index.matches(sym, begin[ask], begin[ask] + size[ask], width):
-            t = ask[rows]
-            long = np.flatnonzero((length >= width) & ~hit[i])
-            if not len(long):
-                continue
-            good = owner[text_of[place[long]]] < owner[t[long]]
-            hit[i[long[good]]] = True
-            for step in (index.up, index.down):  # other occurrences, if this one is no smaller owner's
-                todo = long[~hit[i[long]]]
-                p = place[todo]
-                while len(todo):
-                    p = step[p]
-                    ok = p >= 0
-                    todo, p = todo[ok], p[ok]
-                    same = index._common(p, sym, i[todo], np.full(len(todo), width)) >= width
-                    todo, p = todo[same], p[same]
-                    good = owner[text_of[p]] < owner[t[todo]]
-                    hit[i[todo[good]]] = True
-                    todo, p = todo[~good], p[~good]
+        kept = keep[sa]
+        rows_kind, at = kind[kept], new[sa[kept]]
+        index = RunIndex(sym[keep], at)
+        # smallest owner among the indexed texts that hold a place's string
+        edge = np.flatnonzero(np.concatenate([[True], rows_kind[1:] != rows_kind[:-1]]))
+        least = np.empty(len(at), np.int64)
+        least[at] = np.repeat(np.minimum.reduceat(owner[of[back[at]]], edge), np.diff(np.append(edge, len(at))))
+        for rows, i, length, place in index.matches(sym, packs, begin[ask], begin[ask] + size[ask], width):
+            long = np.flatnonzero(length >= width)
+            hit[i[long[least[place[long]] < owner[ask[rows[long]]]]]] = True
     return [np.flatnonzero(hit[b:b + s]) for b, s in zip(begin, size)]
