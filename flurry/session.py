@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -81,6 +82,14 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def staged_table(df: DataFrame, name: str) -> DataFrame:
+    """Write a large intermediate table as compressed Parquet into the shared
+    folder and read it back: like a checkpoint, but columns are compressed."""
+    path = scratch_path(df.sparkSession, f"stage/{name}-{uuid.uuid4().hex}")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of jobs whose results are checkpointed.
 
