@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from flurry.llm import blocks as B
 from flurry.llm.runindex import covered_windows
-from flurry.session import cut_lineage, release_shuffles
+from flurry.session import release_shuffles, staged_table
 
 WIDTH = 50
 K = 16
@@ -193,15 +193,15 @@ def repeated_spans(docs: DataFrame, text: str = "text", width: int = WIDTH, k: i
     """(did, cuts): per document byte ranges [start, end, start, end, ...] (they may
     overlap) covered by strings that also start in a document with a smaller id."""
     spark, src = docs.sparkSession, _source(docs, text)
-    shared = cut_lineage(_shared(src, width, k))
+    shared = staged_table(_shared(src, width, k), "anchors")
     release_shuffles(spark)
     n_shards = max(1, math.ceil(shared.count() / SHARD_CONTEXTS))
     lists = shared.groupBy("did").agg(F.collect_set("h").alias("hs"))  # a document's own anchors
-    held = cut_lineage(src.join(lists, "did"))
+    held = staged_table(src.join(lists, "did"), "held")
     release_shuffles(spark)
-    marks = cut_lineage(_distinct_contexts(held, width, k)
+    marks = staged_table(_distinct_contexts(held, width, k)
                         .withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(n_shards)))
-                        .groupBy("shard").applyInArrow(_mark(width, k), "h long, ch long, lo long, cuts array<int>"))
+                        .groupBy("shard").applyInArrow(_mark(width, k), "h long, ch long, lo long, cuts array<int>"), "marks")
     release_shuffles(spark)
     whole = F.when(F.col("size") >= width, F.array("start", F.col("start") + F.col("size")))
     parts = F.transform("cuts", lambda x: x + F.col("start"))
