@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from flurry.llm import blocks as B
 from flurry.llm.graph import components
-from flurry.session import cut_lineage, release_shuffles
+from flurry.session import cut_lineage, release_shuffles, staged_table
 
 WORDS = 5
 PERCENT = 80           # Jaccard threshold in percent
@@ -164,6 +164,7 @@ def _verify(src: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame
     each with a copy of the centre's text.
     """
     pairs = cut_lineage(pairs.select("a", "b").distinct())
+    release_shuffles(src.sparkSession)
     centres = pairs.groupBy("b").agg(F.expr(f"1 + count(*) div {GROUP}").alias("parts"))
     ends = pairs.join(centres, "b").select(F.col("a").alias("did"), "b", F.pmod(F.xxhash64("a"), "parts").alias("part"),
                                            F.lit(True).alias("is_a"))
@@ -225,7 +226,7 @@ def near_duplicate_groups(docs: DataFrame, text: str = "text", words: int = WORD
               .withColumn("before", F.lag("did").over(by)).withColumn("after", F.lead("did").over(by))
               .filter("before is not null or after is not null").drop("before", "after")
               .join(copies.select(F.col("a").alias("did")), "did", "left_anti"))
-    shared = cut_lineage(shared)
+    shared = staged_table(shared, "prefixes")
     release_shuffles(docs.sparkSession)
 
     # links along each shingle: to the most typical document holding it and to the one before;
@@ -246,11 +247,13 @@ def near_duplicate_groups(docs: DataFrame, text: str = "text", words: int = WORD
 
     # what is left: documents of different components that share enough prefix shingles;
     # shingle by shingle, (component, size) classes that cannot reach the overlap drop out first
-    held = cut_lineage(shared.join(groups, shared.did == groups.node, "left")
-                       .select("tok", "did", "n", "p", "m", F.coalesce("component", "did").alias("c")))
-    kinds = held.groupBy("tok", "c", "n").agg(F.min("p").alias("p"), F.max("m").alias("m"))
+    placed = (shared.join(groups, shared.did == groups.node, "left")
+              .select("tok", "did", "n", "p", "m", F.coalesce("component", "did").alias("c")))
+    kinds = placed.groupBy("tok", "c", "n").agg(F.min("p").alias("p"), F.max("m").alias("m"))
     mixed = kinds.groupBy("tok").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("tok")
-    kinds = cut_lineage(kinds.join(mixed, "tok", "left_semi"))
+    kinds = staged_table(kinds.join(mixed, "tok", "left_semi"), "classes")
+    held = staged_table(placed.join(kinds.select("tok").distinct(), "tok", "left_semi"), "mixed")
+    release_shuffles(docs.sparkSession)
     t = f"ceil((nx + ny) * {percent} / {100 + percent})"
     reach = (f"100 * least(nx, ny) >= {percent} * greatest(nx, ny) and "
              f"px < nx - {t} + least(mx, my) and py < ny - {t} + least(mx, my)")
