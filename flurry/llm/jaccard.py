@@ -15,6 +15,7 @@ still share enough prefix shingles are compared.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -249,21 +250,29 @@ def near_duplicate_groups(docs: DataFrame, text: str = "text", words: int = WORD
     # shingle by shingle, (component, size) classes that cannot reach the overlap drop out first
     placed = (shared.join(groups, shared.did == groups.node, "left")
               .select("tok", "did", "n", "p", "m", F.coalesce("component", "did").alias("c")))
-    kinds = placed.groupBy("tok", "c", "n").agg(F.min("p").alias("p"), F.max("m").alias("m"))
-    mixed = kinds.groupBy("tok").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("tok")
+    placed = placed.withColumn("z", F.floor(F.log(F.col("n").cast("double")) / math.log(1.1)))  # size classes
+    kinds = placed.groupBy("tok", "c", "z").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("p").alias("p"),
+                                                F.max("m").alias("m"))
+    mixed = kinds.groupBy("tok").agg(F.min("c").alias("a"), F.max("c").alias("b")).filter("a < b").select("tok")
     kinds = staged_table(kinds.join(mixed, "tok", "left_semi"), "classes")
     held = staged_table(placed.join(kinds.select("tok").distinct(), "tok", "left_semi"), "mixed")
     release_shuffles(docs.sparkSession)
-    t = f"ceil((nx + ny) * {percent} / {100 + percent})"
-    reach = (f"100 * least(nx, ny) >= {percent} * greatest(nx, ny) and "
-             f"px < nx - {t} + least(mx, my) and py < ny - {t} + least(mx, my)")
+
+    def reach(xlo: str, xhi: str, ylo: str, yhi: str) -> str:
+        """Whether sets with sizes in these ranges can reach the overlap with a common shingle at px and py."""
+        def need(a: str, b: str) -> str:
+            return f"ceil(({a} + {b}) * {percent} / {100 + percent})"
+        return (f"100 * {xhi} >= {percent} * {ylo} and 100 * {yhi} >= {percent} * {xlo} and "
+                f"px < {xhi} - {need(xhi, ylo)} + least(mx, my) and py < {yhi} - {need(yhi, xlo)} + least(mx, my)")
 
     def side(df: DataFrame, k: str) -> DataFrame:
         return df.select("tok", *[F.col(f).alias(f + k) for f in df.columns if f != "tok"])
 
-    meet = (side(kinds, "x").join(side(kinds, "y"), "tok").filter(f"cx < cy and {reach}")
-            .select("tok", "cx", "nx", "cy", "ny"))
-    crossed = (meet.join(side(held, "x"), ["tok", "cx", "nx"]).join(side(held, "y"), ["tok", "cy", "ny"]).filter(reach))
+    meet = (side(kinds, "x").join(side(kinds, "y"), "tok").filter(f"cx < cy and {reach('lox', 'hix', 'loy', 'hiy')}")
+            .select("tok", "cx", "zx", "cy", "zy", "loy", "hiy", F.col("py"), F.col("my")))
+    one = (meet.join(side(held, "x"), ["tok", "cx", "zx"]).filter(reach("nx", "nx", "loy", "hiy"))
+           .drop("loy", "hiy", "py", "my"))
+    crossed = one.join(side(held, "y"), ["tok", "cy", "zy"]).filter(reach("nx", "nx", "ny", "ny"))
     rest = (crossed.groupBy(F.greatest("didx", "didy").alias("a"), F.least("didx", "didy").alias("b"))
             .agg(F.count("*").alias("k"), F.min(F.least("mx", "my")).alias("m")).filter("k >= m"))
     more = _verify(src, rest, words, percent)
