@@ -70,9 +70,9 @@ def enumerate_map(arr) -> Column:
 
 
 def merge_maps(base, override) -> Column:
-    """Map merge where ``override`` wins (F15). Needs
-    spark.sql.mapKeyDedupPolicy=LAST_WIN (set by flurry.session)."""
-    return F.map_concat(_c(base), _c(override))
+    """Map merge where ``override`` wins (F15), whatever the session's policy for duplicate keys."""
+    new = _c(override)
+    return F.map_concat(F.map_filter(_c(base), lambda k, _: ~F.map_contains_key(new, k)), new)
 
 
 def vector_element(vec, i: int = 1) -> Column:

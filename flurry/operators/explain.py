@@ -29,6 +29,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -404,10 +405,15 @@ def explain_table(df: DataFrame, model, stats: TrainingStats, id_col: str = "id"
 
 
 def global_importance(explained: DataFrame, expl_col: str = "explanation") -> DataFrame:
-    """Mean |weight| per feature over all explained rows."""
-    e = explained.select(F.explode(F.col(expl_col)).alias("feature", "weight"))
-    return e.groupBy("feature").agg(F.avg(F.abs("weight")).alias("importance"),
-                                    F.count(F.lit(1)).alias("n_rows"))
+    """Mean |weight| per feature over all explained rows (X6); a row whose
+    explanation lacks the feature counts as weight 0. ``n_rows``: rows that have it."""
+    mark = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(0.0).alias("value")))  # one per row
+    entries = F.concat(F.coalesce(F.map_entries(expl_col), F.filter(mark, lambda _: F.lit(False))), mark)
+    e = explained.select(F.explode(entries).alias("x")).groupBy(F.col("x.key").alias("feature"))
+    per = e.agg(F.sum(F.abs("x.value")).alias("total"), F.count(F.lit(1)).alias("n_rows"))
+    rows = F.max(F.when(F.col("feature").isNull(), F.col("n_rows"))).over(Window.partitionBy())  # one row per feature
+    return (per.withColumn("importance", F.col("total") / rows).filter("feature is not null")
+            .select("feature", "importance", "n_rows"))
 
 
 def heat_bins(explained: DataFrame, expl_col: str = "explanation", prob_col: str = "probability",
