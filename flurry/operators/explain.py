@@ -79,7 +79,7 @@ def training_stats(train: DataFrame, categorical: list[str], numeric: list[str])
         long = train.select(*[F.col(c).cast("double").alias(c) for c in numeric]).unpivot(
             [], numeric, "feature", "value").where(F.col("value").isNotNull())
         qrows = exact_quantiles(long, ["feature"], "value", list(QUARTILES), ["q1", "q2", "q3"],
-                                extra_aggs={"lo": F.min, "hi": F.max}).collect()
+                                moments={"lo": "min", "hi": "max"}).collect()
         qs = {r["feature"]: [r["q1"], r["q2"], r["q3"]] for r in qrows}
         ext = {r["feature"]: (r["lo"], r["hi"]) for r in qrows}
         qcol = F.create_map(*[x for c in numeric for x in (F.lit(c), F.array(*[F.lit(float(q)) for q in qs[c]]))])

@@ -2,11 +2,13 @@
 
 Exact quantiles (median, quartiles) are computed by position instead of by
 Spark's ``percentile`` aggregate, whose buffer holds every distinct value of
-a group in one task: values are range-partitioned (a hot group is split
-across tasks), numbered with ``positions``, and only the one or two rows at
-the interpolation positions are kept. The interpolation is the linear one
-of ``median`` / ``quantile_cont``: position (n-1)·p between floor and ceil.
-``approx=True`` switches to ``percentile_approx`` (one pass, bounded memory).
+a group in one task: rows are first counted per (group, value), combined
+map-side, so equal values become one row; the distinct values get running
+counts from ``positions`` (a group with many values is split across tasks),
+and one aggregate picks the values that cover the interpolation positions.
+The interpolation is the linear one of ``median`` / ``quantile_cont``:
+position (n-1)·p between floor and ceil. ``approx=True`` switches to
+``percentile_approx`` (one pass, bounded memory).
 """
 
 from __future__ import annotations
@@ -44,48 +46,58 @@ def unpivot_numeric(df: DataFrame, cols: list[str], key: str = "feature",
         [], cols, key, value)
 
 
+def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """``(keys, _v, _c, _upto, _n, _mean)``: every distinct non-null value
+    with its count, the running count inside its key, and the key's row count
+    and mean."""
+    v, c = F.col("_v"), F.col("_c")
+    counted = (df.select(*keys, F.col(value).cast("double").alias("_v")).where(v.isNotNull())
+               .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    ranked = positions(counted.withColumn("_w", v * c), keys, ["_v"], "_pos", sum_cols=["_c", "_w"], totals=True)
+    return ranked.select(*keys, "_v", "_c", F.col("_c_running").alias("_upto"), F.col("_c_total").alias("_n"),
+                         (F.col("_w_total") / F.col("_c_total")).alias("_mean"))
+
+
+_MOMENTS = {
+    "mean": lambda: F.first("_mean"),
+    "min": lambda: F.min("_v"),
+    "max": lambda: F.max("_v"),
+    # sample standard deviation around the key's mean; null for one row
+    "std": lambda: F.sqrt(F.sum(F.col("_c") * F.pow(F.col("_v") - F.col("_mean"), 2))
+                          / F.nullif(F.first("_n") - 1, F.lit(0.0))),
+}
+
+
+def _from_counts(counts: DataFrame, keys: list[str], probs: list[float], names: list[str],
+                 moments: dict[str, str] | None = None) -> DataFrame:
+    """Quantiles and moments from ``value_counts`` in one aggregate: a value
+    covers the positions [running count - count, running count)."""
+    def at(pos: Column) -> Column:
+        return F.max(F.when((F.col("_upto") - F.col("_c") <= pos) & (pos < F.col("_upto")), F.col("_v")))
+
+    moments = moments or {}
+    x = [(F.col("_n") - 1) * F.lit(float(p)) for p in probs]
+    picked = counts.groupBy(*keys).agg(
+        *[at(F.floor(xi)).alias(f"_lo{i}") for i, xi in enumerate(x)],
+        *[at(F.ceil(xi)).alias(f"_hi{i}") for i, xi in enumerate(x)],
+        *[_MOMENTS[kind]().alias(n) for n, kind in moments.items()], F.first("_n").alias("_n"))
+    return picked.select(*keys, *[
+        (F.col(f"_lo{i}") + (x[i] - F.floor(x[i])) * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(n)
+        for i, n in enumerate(names)], *moments)
+
+
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
-                    names: list[str] | None = None, extra_aggs: dict | None = None) -> DataFrame:
+                    names: list[str] | None = None, moments: dict[str, str] | None = None) -> DataFrame:
     """Exact, linearly interpolated quantiles of ``value`` per ``keys``.
 
     Nulls are ignored. One row per key with one column per probability
-    (``names`` or ``q<p>``). Groups of any size: no group is held in one
-    task, see the module doc. ``extra_aggs`` {name: fn(col) -> Column}
-    (e.g. ``F.avg``) are computed from the same materialised rows, so the
-    source is read once for quantiles and moments together.
+    (``names`` or ``q<p>``); without keys and without values one row of
+    nulls. Groups and hot values of any size: see the module doc.
+    ``moments`` {name: "mean" | "min" | "max" | "std"} come from the same
+    value counts, so the source is read once.
     """
     names = names or [f"q{int(round(p * 100))}" for p in probs]
-    data = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    ranked = positions(data, keys, ["_v"], "_pos")   # materialised by positions
-    extra = extra_aggs or {}
-    counts = ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                       *[fn(F.col("_v")).alias(n) for n, fn in extra.items()])
-    # (key, prob) -> the two positions to interpolate between
-    want = counts.select(*keys, "_n", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("qi"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)
-    ])).alias("_q"))
-    want = want.select(*keys, "_q.qi", ((F.col("_n") - 1) * F.col("_q.p")).alias("_x"))
-    want = want.select(*keys, "qi", "_x", F.floor("_x").cast("long").alias("_lo"),
-                       F.ceil("_x").cast("long").alias("_hi"))
-    need = (want.select(*keys, F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_pos"))
-            .distinct())
-    # Join on (key, position): hashing includes the position, so a hot key
-    # does not land in one task; `need` has at most 2·len(probs) rows a key.
-    picked = join_on_keys(ranked, need, keys, ["_pos"]).select(*keys, "_pos", "_v")
-    lo = picked.select(*keys, F.col("_pos").alias("_lo"), F.col("_v").alias("_vlo"))
-    hi = picked.select(*keys, F.col("_pos").alias("_hi"), F.col("_v").alias("_vhi"))
-    res = (join_on_keys(join_on_keys(want, lo, keys, ["_lo"], "left"), hi, keys, ["_hi"], "left")
-           .select(*keys, "qi", (F.col("_vlo") + (F.col("_x") - F.col("_lo")) * (F.col("_vhi") - F.col("_vlo"))).alias("_qv")))
-    out = res.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("qi") == i, F.col("_qv"))).alias(n) for i, n in enumerate(names)])
-    if extra:
-        moments = counts.select(*keys, *extra)
-        if keys:
-            out = join_on_keys(out, moments, keys)
-        else:
-            m = moments.select(F.struct(*extra).alias("m")).scalar()
-            out = out.withColumn("_m", m).select(*out.columns, *[F.col("_m").getField(n).alias(n) for n in extra])
-    return out
+    return _from_counts(value_counts(df, keys, value), keys, probs, names, moments)
 
 
 def quantiles_of(df: DataFrame, keys: list[str], value: str, probs: list[float],
@@ -102,17 +114,14 @@ def quantiles_of(df: DataFrame, keys: list[str], value: str, probs: list[float],
 def describe_features(df: DataFrame, cols: list[str], approx: bool = False) -> DataFrame:
     """Per numeric column: median, mean, min, max, std (sample, n-1) (A4).
 
-    Long format ``(feature, median, mean, min, max, std)``. Mean, min, max
-    and std come from one partial-aggregated pass over the long form; the
-    median from ``exact_quantiles`` keyed by feature.
+    Long format ``(feature, median, mean, min, max, std)``.
     """
     long = unpivot_numeric(df, cols)
-    moments = {"mean": F.avg, "min": F.min, "max": F.max, "std": F.stddev_samp}
     if not approx:
-        # one read of the source: moments come from the rows the median uses
-        out = exact_quantiles(long, ["feature"], "value", [0.5], ["median"], extra_aggs=moments)
+        out = exact_quantiles(long, ["feature"], "value", [0.5], ["median"], {k: k for k in _MOMENTS})
     else:
-        basic = long.groupBy("feature").agg(*[fn("value").alias(n) for n, fn in moments.items()])
+        basic = long.groupBy("feature").agg(*[fn("value").alias(n) for n, fn in (
+            ("mean", F.avg), ("min", F.min), ("max", F.max), ("std", F.stddev_samp))])
         out = basic.join(quantiles_of(long, ["feature"], "value", [0.5], ["median"], approx=True), "feature")
     return out.select("feature", "median", "mean", "min", "max", "std")
 
@@ -222,33 +231,36 @@ def box_stats(df: DataFrame, x: str | None, y: str, approx: bool = False) -> Dat
     """Box-plot numbers of ``y`` per ``x`` group (A10): quartiles, whiskers
     (most extreme values inside 1.5·IQR fences) and outlier count."""
     keys = [x] if x else []
-    q = quantiles_of(df, keys, y, [0.25, 0.5, 0.75], ["q1", "median", "q3"], approx=approx)
+    names, probs = ["q1", "median", "q3"], [0.25, 0.5, 0.75]
+    # distinct values with their counts stand for the rows from here on
+    if approx:
+        values = (df.select(*keys, F.col(y).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+                  .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
+        q = quantiles_of(df, keys, y, probs, names, approx=True)
+    else:
+        values = value_counts(df, keys, y)
+        q = _from_counts(values, keys, probs, names)
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     q = q.withColumn("lo_fence", F.col("q1") - 1.5 * F.col("iqr")).withColumn(
         "hi_fence", F.col("q3") + 1.5 * F.col("iqr"))
-    v = F.col(y).cast("double")
-    data = df.select(*keys, v.alias("_y")).where(F.col("_y").isNotNull())
     qcols = ["q1", "median", "q3", "iqr", "lo_fence", "hi_fence"]
+    values = values.select(*keys, "_v", "_c")
     if keys:
         # one row per group on the right: Spark broadcasts it when small,
         # else a sort-merge join that AQE splits for skewed groups
-        joined = join_on_keys(data, q, keys)
-        ref = {c: F.col(c) for c in qcols}
+        joined = join_on_keys(values, q, keys)
     else:
         # ungrouped: the quartiles are one scalar subquery, no join at all
         sq = q.select(F.struct(*qcols).alias("q")).scalar()
-        joined = data.withColumn("_q", sq)
-        ref = {c: F.col("_q").getField(c) for c in qcols}
-    y_ = F.col("_y")
+        joined = values.withColumn("_q", sq).select("_v", "_c", *[F.col("_q").getField(c).alias(c) for c in qcols])
+    v, inside = F.col("_v"), F.col("_v").between(F.col("lo_fence"), F.col("hi_fence"))
     # the quartiles are constant within a group: carried through with first()
     # rather than joined back a second time
-    agg = joined.groupBy(*keys).agg(
-        *[F.first(ref[c]).alias(c) for c in qcols],
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.when(y_ >= ref["lo_fence"], y_)).alias("whisker_lo"),
-        F.max(F.when(y_ <= ref["hi_fence"], y_)).alias("whisker_hi"),
-        F.count_if((y_ < ref["lo_fence"]) | (y_ > ref["hi_fence"])).alias("n_outliers"))
-    return agg.select(*keys, *qcols, "n", "whisker_lo", "whisker_hi", "n_outliers")
+    return joined.groupBy(*keys).agg(
+        *[F.first(c).alias(c) for c in qcols], F.sum("_c").alias("n"),
+        F.min(F.when(v >= F.col("lo_fence"), v)).alias("whisker_lo"),
+        F.max(F.when(v <= F.col("hi_fence"), v)).alias("whisker_hi"),
+        F.sum(F.when(inside, F.lit(0)).otherwise(F.col("_c"))).cast("long").alias("n_outliers"))
 
 
 def pair_bins(df: DataFrame, x: str, y: str, hue: str | None, bins: int = 10) -> DataFrame:

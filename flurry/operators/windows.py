@@ -4,23 +4,20 @@ Ordered numbering inside a key is the one thing a plain window does badly at
 scale: ``row_number().over(partitionBy(key))`` sends every row of a key to one
 task, so a key that holds a third of the data becomes a third of the job on
 one core. ``positions`` instead range-partitions on (key, order), so a hot
-key is cut across many tasks, counts rows inside each partition in Arrow
-batches, and adds the number of rows the same key has in earlier partitions.
-Only the first key of a range partition can have rows in earlier partitions,
-so the offset table has at most one row per partition: its size is bounded
-by the partition count, not by the data, and it is safe to broadcast.
+key is cut across many tasks, and sorts each partition. There
+``monotonically_increasing_id`` numbers the rows (partition in the high bits,
+row in the low ones); one row per (partition, key) holds the number its run
+starts at and how many rows the key has in earlier partitions. Everything
+stays in the JVM, so payload columns keep their types and values.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from flurry.operators.keys import join_on_keys
 from flurry.session import cut_lineage
 
 
@@ -28,108 +25,48 @@ def _order_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _local_running(keys: list[str], sum_cols: list[str], pos_name: str):
-    """mapInPandas body: per-partition running count (and running sums) per
-    key run, carried across Arrow batches of the same partition."""
-
-    def run(batches):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        prev_key = None
-        prev_n = 0
-        prev_sums = [0.0] * len(sum_cols)
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            if keys:
-                kdf = pdf[keys]
-                first = tuple(kdf.iloc[0])
-                cc = pdf.groupby(keys, dropna=False, sort=False).cumcount().to_numpy()
-                # nulls add nothing, as in a SQL running sum
-                cs = [pdf[c].astype("float64").fillna(0.0).groupby([pdf[k] for k in keys], dropna=False,
-                                                                    sort=False).cumsum().to_numpy()
-                      for c in sum_cols]
-                same = _eq_row(kdf, kdf.iloc[0])
-                # rows of the leading run continue the previous batch's last run
-                lead = pd.Series(same).cummin().to_numpy()
-                if prev_key is not None and _same_key(first, prev_key):
-                    cc = cc + lead * prev_n
-                    cs = [s + lead * p for s, p in zip(cs, prev_sums)]
-                last = tuple(kdf.iloc[-1])
-                last_mask = _eq_row(kdf, kdf.iloc[-1])
-                prev_n = int(cc[last_mask].max()) + 1 if last_mask.any() else 0
-                prev_sums = [float(s[-1]) for s in cs]
-                prev_key = last
-            else:
-                cc = prev_n + pd.RangeIndex(len(pdf)).to_numpy()
-                cs = [prev + pdf[c].astype("float64").fillna(0.0).cumsum().to_numpy()
-                      for c, prev in zip(sum_cols, prev_sums)]
-                prev_n = int(cc[-1]) + 1
-                prev_sums = [float(s[-1]) for s in cs]
-            out = pdf.copy()
-            out["_pid"] = pid
-            out[pos_name] = cc.astype("int64")
-            for c, s in zip(sum_cols, cs):
-                out[f"_cum_{c}"] = s
-            yield out
-
-    return run
-
-
-def _eq_row(kdf: pd.DataFrame, row: pd.Series):
-    """Row-wise key equality with null == null (numpy bool array)."""
-    eq = (kdf == row) | (kdf.isna() & row.isna())
-    return eq.all(axis=1).to_numpy()
-
-
-def _same_key(a: tuple, b: tuple) -> bool:
-    return all((x == y) or (pd.isna(x) and pd.isna(y)) for x, y in zip(a, b))
-
-
 def positions(df: DataFrame, keys: list[str], order: list, name: str = "pos",
-              sum_cols: list[str] | None = None, num_partitions: int | None = None) -> DataFrame:
+              sum_cols: list[str] | None = None, num_partitions: int | None = None,
+              totals: bool = False) -> DataFrame:
     """0-based position of each row inside its key, in ``order`` (W1 core).
 
     With ``sum_cols`` also adds ``<c>_running``: the running sum of ``c`` up
-    to and including the row (W5 frame: unbounded preceding to current row).
-    ``order`` must make rows unique inside a key for a deterministic result.
+    to and including the row (W5 frame: unbounded preceding to current row;
+    nulls add nothing), and with ``totals`` ``<c>_total``, the sum over the
+    whole key. ``order`` must make rows unique inside a key for a
+    deterministic result. Only pass the columns that are needed: the numbered
+    rows are written once to the shared checkpoint folder.
     """
     sum_cols = list(sum_cols or [])
-    order_cols = [_order_col(c) for c in order]
-    part_cols = [F.col(k) for k in keys] + order_cols
+    part_cols = [F.col(k) for k in keys] + [_order_col(c) for c in order]
     ranged = (df.repartitionByRange(num_partitions, *part_cols) if num_partitions
               else df.repartitionByRange(*part_cols))
-    ranged = ranged.sortWithinPartitions(*part_cols)
-    out_schema = T.StructType(
-        ranged.schema.fields
-        + [T.StructField("_pid", T.IntegerType(), False), T.StructField(name, T.LongType(), False)]
-        + [T.StructField(f"_cum_{c}", T.DoubleType(), True) for c in sum_cols])
-    local = ranged.mapInPandas(_local_running(keys, sum_cols, name), out_schema)
-    # Both branches below (partition totals, final rows) read the numbered
-    # rows: materialise them once in the shared checkpoint folder, so the
-    # scan, range shuffle and Arrow pass run once, the partition ids they
-    # carry are fixed data, and a lost executor does not force a recompute.
-    local = cut_lineage(local)
-
-    # Per (partition, key) totals: map-side combined down to one row per pair.
-    stats = local.groupBy("_pid", *keys).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_s_{c}") for c in sum_cols])
+    local = ranged.sortWithinPartitions(*part_cols).withColumn("_mid", F.monotonically_increasing_id())
+    # Both the run table and the final rows read these numbers: they must be
+    # fixed data, or a recomputed range shuffle could number rows differently.
+    local = cut_lineage(local).withColumn("_pid", F.shiftright("_mid", 33))
+
+    amounts = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in sum_cols]
+    # one row per (partition, key), combined map-side: a key's rows of one
+    # partition are one run of consecutive numbers
+    runs = local.groupBy("_pid", *keys).agg(
+        F.min("_mid").alias("_start"), F.count(F.lit(1)).alias("_n"),
+        *[F.sum(a).alias(f"_s_{c}") for c, a in zip(sum_cols, amounts)])
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stats.select(
-        F.col("_pid").alias("_opid"), *[F.col(k).alias(f"_ok{i}") for i, k in enumerate(keys)],
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+    runs = runs.select(
+        "_pid", *keys, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_start")).alias("_shift"),
         *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0.0)).alias(f"_soff_{c}") for c in sum_cols],
-    ).where(F.col("_off") > 0)  # at most one row per partition, see module doc
-    cond = [F.col("_pid") == F.col("_opid")] + [F.col(k).eqNullSafe(F.col(f"_ok{i}"))
-                                              for i, k in enumerate(keys)]
-    joined = local.join(F.broadcast(offsets), on=reduce(lambda a, b: a & b, cond), how="left")
-    res = joined.select(
-        *[F.col(f"`{c}`") for c in df.columns],
-        (F.col(name) + F.coalesce(F.col("_off"), F.lit(0))).alias(name),
-        *[(F.col(f"_cum_{c}") + F.coalesce(F.col(f"_soff_{c}"), F.lit(0.0))).alias(f"{c}_running")
-          for c in sum_cols],
-    )
-    return res
+        *[F.sum(f"_s_{c}").over(Window.partitionBy(*keys)).alias(f"{c}_total") for c in sum_cols if totals])
+    if sum_cols:
+        upto = (Window.partitionBy("_pid", *keys).orderBy("_mid")
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        local = local.select("*", *[F.sum(a).over(upto).alias(f"_cum_{c}") for c, a in zip(sum_cols, amounts)])
+    # (partition, key) is the join key: a hot key is spread over its partitions
+    joined = join_on_keys(local, runs, keys, ["_pid"])
+    return joined.select(
+        *[F.col(f"`{c}`") for c in df.columns], (F.col("_mid") + F.col("_shift")).alias(name),
+        *[(F.col(f"_cum_{c}") + F.col(f"_soff_{c}")).alias(f"{c}_running") for c in sum_cols],
+        *[F.col(f"{c}_total") for c in sum_cols if totals])
 
 
 def with_position(df: DataFrame, keys: list[str], order: list, name: str = "pos",
@@ -151,7 +88,6 @@ def with_batch(df: DataFrame, keys: list[str], order: list, size: int = 100,
     if complete_only:
         full = (pos.groupBy(*keys, name).agg(F.count(F.lit(1)).alias("_bn"))
                 .where(F.col("_bn") == size).drop("_bn"))
-        from flurry.operators.keys import join_on_keys
         pos = join_on_keys(pos, full, keys, [name], "left_semi")
     return pos
 

@@ -410,3 +410,38 @@ def test_approximate_paths(spark):
     e = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
     near = vectors.knn_approx(e, e, 3, threshold=0.5, bucket_length=2.0, num_hash_tables=4).collect()
     assert all(r.dist <= 0.25 + 1e-12 for r in near)
+
+
+def test_positions_keep_long_values(spark):
+    big = 2 ** 53
+    rows = [(i, None if i % 3 == 0 else big + i) for i in range(40)]
+    df = spark.createDataFrame(rows, "t long, v long")
+    got = windows.positions(df, [], ["t"], "pos", num_partitions=7).collect()
+    assert sorted((r.t, r.v, r.pos) for r in got) == [(i, v, i) for i, v in rows]
+
+
+def test_quantiles_of_hot_values(spark):
+    # one value only; and a hot value inside a key that holds most of the rows
+    one = spark.range(20000).select(F.lit(4.0).alias("v"))
+    assert summary.value_counts(one, [], "v").select("_c", "_n", "_mean").collect() == [(20000, 20000, 4.0)]
+    assert tuple(summary.exact_quantiles(one, [], "v", [0.0, 0.5, 1.0], ["a", "b", "c"]).first()) == (4.0, 4.0, 4.0)
+    i = F.col("id")
+    df = spark.range(9000).select(F.when(i % 10 < 9, F.lit("hot")).otherwise(F.lit("x")).alias("g"),
+                                  F.when(i % 3 > 0, F.lit(7.0)).otherwise((i % 101).cast("double")).alias("v"))
+    probs = [0.1, 0.25, 0.5, 0.9]
+    pdf = df.toPandas()
+    for r in summary.exact_quantiles(df, ["g"], "v", probs, ["a", "b", "c", "d"], {"mean": "mean"}).collect():
+        v = pdf[pdf.g == r.g].v
+        assert np.allclose([r.a, r.b, r.c, r.d, r.mean], [*np.quantile(v, probs), v.mean()])
+    box = {r.g: r for r in summary.box_stats(df, "g", "v").collect()}
+    for g, v in pdf.groupby("g").v:
+        q1, q3 = np.quantile(v, [0.25, 0.75])
+        lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+        want = (len(v), v[v >= lo].min(), v[v <= hi].max(), int(((v < lo) | (v > hi)).sum()))
+        assert (box[g].n, box[g].whisker_lo, box[g].whisker_hi, box[g].n_outliers) == want
+
+
+def test_quantiles_without_values(spark):
+    df = spark.createDataFrame([], "g string, v double")
+    assert summary.exact_quantiles(df, ["g"], "v", [0.5], ["m"]).count() == 0
+    assert summary.exact_quantiles(df, [], "v", [0.5], ["m"]).collect() == [(None,)]
