@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flurry.llm import blocks as B
+from flurry.session import staged_table
 
 SPACE = 1 << 18       # hashed terms
 HEADS = (4, 5, 6)     # lengths in bytes of the word beginnings that are terms too
@@ -29,7 +30,7 @@ DECAY = 1e-4
 POSITIVE = 3.0       # weight of a toxic row (they are few, and a miss is worse)
 SMOOTH = 2.0         # added to class counts
 HALF = 0.5           # share of a term's log-odds its weight starts from
-CHUNKS = 32
+PLANES = SPACE >> 16  # values of a term's bits above the lower 16
 
 
 def _terms(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -46,21 +47,50 @@ def _terms(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return packed // SPACE, packed % SPACE
 
 
-def _class_counts(rows: DataFrame) -> np.ndarray:
+def _term_sets(src: DataFrame, keep: str) -> DataFrame:
+    """(keep, mark, planes, low): a row's distinct terms in two bytes each. ``low`` holds
+    the lower 16 bits of the sorted terms, ``planes`` how many terms have each
+    value of the bits above; ``mark`` is a hash of the text."""
+    src = src.withColumn("mark", F.pmod(F.xxhash64("__text", F.lit(17)), F.lit(1 << 20)).cast("int"))
+    kind = src.schema[keep].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, raw, off in B.blocks(batches, "__text"):
+            doc, term = _terms(raw, off)
+            k = batch.num_rows
+            planes = np.bincount(doc * PLANES + (term >> 16), minlength=k * PLANES).astype(np.uint32).reshape(k, PLANES)
+            low, cut = (term & 0xFFFF).astype(np.uint16), np.searchsorted(doc, np.arange(k + 1))
+            yield B.as_table(**{keep: batch.column(batch.schema.get_field_index(keep)),
+                                "mark": batch.column(batch.schema.get_field_index("mark")),
+                                "planes": pa.array([p.tobytes() for p in planes], pa.binary()),
+                                "low": pa.array([low[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())})
+
+    return src.mapInArrow(run, f"{keep} {kind}, mark int, planes binary, low binary")
+
+
+def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(label of each row, document, term) of a batch with term sets."""
+    y, planes, low = (batch.column(batch.schema.get_field_index(c)) for c in ("y", "planes", "low"))
+    many = np.frombuffer(b"".join(planes.to_pylist()), np.uint32).astype(np.int64)
+    at = np.repeat(np.arange(len(many)), many)
+    term = np.frombuffer(b"".join(low.to_pylist()), np.uint16).astype(np.int64) + ((at % PLANES) << 16)
+    return y.to_numpy(zero_copy_only=False).astype(np.int64), at // PLANES, term
+
+
+def _class_counts(sets: DataFrame) -> np.ndarray:
     """Documents of each class by hashed term, over all labelled rows: (2, SPACE + 1); the last column counts documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, SPACE), np.int64)
         docs = np.zeros(2, np.int64)
-        for batch, raw, off in B.blocks(batches, "__text"):
-            y = B.ids(batch, "y").to_numpy().astype(np.int64)
-            doc, term = _terms(raw, off)
+        for batch in batches:
+            y, doc, term = _unpacked(batch)
             total += np.bincount(y[doc] * SPACE + term, minlength=2 * SPACE).reshape(2, SPACE)
             docs += np.bincount(y, minlength=2)
         at = np.flatnonzero(total.any(0))
         if docs.any():
             yield B.as_table(term=np.append(at, SPACE), neg=np.append(total[0, at], docs[0]), pos=np.append(total[1, at], docs[1]))
 
-    got = (rows.mapInArrow(run, "term long, neg long, pos long").groupBy("term")
+    got = (sets.mapInArrow(run, "term long, neg long, pos long").groupBy("term")
            .agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")).toPandas())  # at most SPACE + 1 rows
     out = np.zeros((2, SPACE + 1), np.int64)
     out[0, got.term], out[1, got.term] = got.neg, got.pos
@@ -130,15 +160,26 @@ class FactorizationMachine:
         return fm
 
 
-def fit_toxicity(rows: DataFrame, text: str = "text", label: str = "label", max_rows: int = MAX_ROWS) -> FactorizationMachine:
+def fit_toxicity(rows: DataFrame, text: str = "text", label: str = "label", max_rows: int = MAX_ROWS,
+                 labels: DataFrame | None = None) -> FactorizationMachine:
     """Fit on labelled texts (label 0 or 1; rows with a null label are left out).
 
-    Term counts cover all rows; the machine itself is fitted on at most
-    ``max_rows`` of them, chosen by a hash of the text. Only the chosen terms
-    of those rows reach the driver. With one class only, scores are constant.
+    The labels are a column of ``rows``, or of the table ``labels`` (doc_id,
+    label; one row a document), which then meets the term sets by doc_id: no
+    text is shuffled, and as the labels grow with the documents they are not
+    broadcast, at any size. Term counts cover all rows; the machine itself is
+    fitted on at most ``max_rows`` of them, chosen by a hash of the text. Only
+    the chosen terms of those rows reach the driver. With one class only,
+    scores are constant.
     """
-    src = rows.filter(F.col(label).isNotNull()).select(F.col(text).alias("__text"), F.col(label).cast("int").alias("y"))
-    counts = _class_counts(src)
+    if labels is None:
+        sets = _term_sets(rows.filter(F.col(label).isNotNull()).select(F.col(text).alias("__text"), F.col(label).cast("int").alias("y")), "y")
+    else:
+        labels = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select(
+            "doc_id", F.col(label).cast("int").alias("y"))
+        sets = _term_sets(rows.select("doc_id", F.col(text).alias("__text")), "doc_id").join(labels.hint("merge"), "doc_id").drop("doc_id")
+    sets = staged_table(sets, "terms")  # read by the counts and by the fit
+    counts = _class_counts(sets)
     slot = np.full(SPACE, -1)
     if counts[:, -1].min() > 0:
         terms = _choose(counts)
@@ -147,13 +188,15 @@ def fit_toxicity(rows: DataFrame, text: str = "text", label: str = "label", max_
     seen = (counts[:, chosen] + SMOOTH) / (counts[:, -1:] + 2 * SMOOTH)  # over all labelled rows
     weight = HALF * np.log(seen[1] / seen[0])
     share = min(1.0, max_rows / max(1, int(counts[:, -1].sum())))
-    part = src.filter(F.pmod(F.xxhash64("__text", F.lit(17)), F.lit(1 << 20)) < int(share * (1 << 20)) + (share == 1.0))
+    part = sets.filter(F.col("mark") < int(share * (1 << 20)) + (share == 1.0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, raw, off in B.blocks(batches, "__text"):
-            doc, at = _chosen(raw, off, slot)
+        for batch in batches:
+            y, doc, term = _unpacked(batch)
+            at = slot[term]
+            doc, at = doc[at >= 0], at[at >= 0]
             cut = np.searchsorted(doc, np.arange(batch.num_rows + 1))
-            yield B.as_table(y=B.ids(batch, "y"), terms=pa.array([at[a:b].astype(np.int32).tobytes() for a, b in zip(cut, cut[1:])], pa.binary()))
+            yield B.as_table(y=pa.array(y, pa.int32()), terms=pa.array([at[a:b].astype(np.int32).tobytes() for a, b in zip(cut, cut[1:])], pa.binary()))
 
     got = sorted(map(tuple, part.mapInArrow(run, "y int, terms binary").collect()))  # bounded by max_rows and TERMS
     y = np.array([r[0] for r in got], float)

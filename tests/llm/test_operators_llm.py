@@ -242,6 +242,8 @@ def test_toxicity_learns_pairs(spark):
     got = {r[0]: r[1] for r in score_toxicity(df, model).collect()}
     right = sum((got[i] >= 0.5) == bool(y) for i, _, y in rows if i >= 1000)
     assert right >= 475 and got[5000] == got[5001] < 0.5 and 0 <= min(got.values()) and max(got.values()) <= 1
+    apart = fit_toxicity(df.filter("doc_id < 1000 or doc_id >= 5000").drop("label"), labels=df.select("doc_id", "label"))
+    assert {r[0]: r[1] for r in score_toxicity(df, apart).collect()} == got  # labels in a table of their own
     one = fit_toxicity(df.filter("label = 0"))
     assert score_toxicity(df.limit(3), one).count() == 3
     assert score_toxicity(df.limit(0), one).count() == 0
