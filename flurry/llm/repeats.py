@@ -4,15 +4,14 @@ compressed suffix indexes.
 Any two equal strings of ``width`` bytes share a content-defined anchor (a
 minimizer of their ``k``-byte substrings). Anchors held by two or more
 documents select short contexts that contain every string to be compared;
-equal contexts are collapsed with their smallest document before they are
-shuffled. Shards of contexts with common anchors are indexed by a run-length
+equal contexts are classes with a smallest document, found by their hashes.
+Shards of contexts with common anchors are indexed by a run-length
 Burrows-Wheeler transform, and matching statistics of the contexts streamed
 through it mark the strings that an earlier document holds.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections.abc import Iterator
 
@@ -27,7 +26,7 @@ from flurry.session import release_shuffles, staged_table
 
 WIDTH = 50
 K = 16
-SHARD_CONTEXTS = 1 << 13
+SHARD_CONTEXTS = 1 << 13  # contexts of one index
 TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -85,15 +84,12 @@ def _shared(src: DataFrame, width: int, k: int) -> DataFrame:
             .filter("x is not null or y is not null").select("h", "did"))
 
 
-def _contexts(raw, off, shared, width, k):
-    """Contexts around the shared anchors of a block: (document, start, hash, key bytes).
-
-    The key is the anchor's offset in the context and the context: equal keys
-    are equal contexts, equally placed.
-    """
+def _spots(raw: np.ndarray, off: np.ndarray, shared: list, width: int, k: int):
+    """Contexts around the shared anchors of a block, as arrays: document, start, stop, anchor,
+    ``ch`` (hash of context, anchor and its place in the context: equal ones are equal contexts),
+    and the hashes of the anchor with the half of the rest of a string on its left and on its
+    right (0: the document ends before). Equal strings around an anchor agree in one of these."""
     doc, pos, h = anchors(raw, off, width, k)
-    if not len(doc):
-        return
     keep = np.zeros(len(doc), bool)
     edge = np.searchsorted(doc, np.arange(len(off)))
     for d, hs in enumerate(shared):
@@ -105,109 +101,104 @@ def _contexts(raw, off, shared, width, k):
     doc, pos, h = doc[keep], pos[keep], h[keep]
     start = np.maximum(pos - (width - k), off[doc])
     stop = np.minimum(pos + width, off[doc + 1])
-    data = raw.tobytes()
-    for d, s, e, p, x in zip(doc.tolist(), start.tolist(), stop.tolist(), pos.tolist(), h.tolist()):
-        yield d, s, x, bytes([p - s]) + data[s:e]
-
-
-def _key_hash(key: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(key, digest_size=8).digest(), "little", signed=True)
+    prefix, half = B.prefix_hash(raw), (width - k + 1) // 2
+    ch = B.mix(B.span_hash(prefix, start, stop) ^ B.mix(h + ((pos - start).astype(np.uint64) << np.uint64(48))))
+    sides = []
+    for salt, x, whole in ((1, pos - half, pos - start >= half), (2, pos + k, stop - pos - k >= half)):
+        x = np.where(whole, x, start)
+        side = B.mix(B.span_hash(prefix, x, x + half) ^ B.mix(h + (np.uint64(salt) << np.uint64(56))))
+        sides.append(np.where(whole, side, np.uint64(0)))
+    return doc, start, stop, h, ch, *sides
 
 
-def _distinct_contexts(held: DataFrame, width: int, k: int) -> DataFrame:
+def _placed(held: DataFrame, width: int, k: int) -> DataFrame:
+    """Where each document holds its contexts: ch, l, r, did, start, size."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw, off in B.blocks(batches, "__text"):
-            did = B.ids(batch, "did").to_pylist()
-            seen: dict[tuple, list] = {}
-            for d, _, h, key in _contexts(raw, off, B.ids(batch, "hs").to_pylist(), width, k):
-                got = seen.get((h, key))
-                if got is None:
-                    seen[(h, key)] = [did[d], did[d]]
-                else:
-                    got[0], got[1] = min(got[0], did[d]), max(got[1], did[d])
-            if seen:
-                hs, keys = zip(*seen)
-                lo, hi = zip(*seen.values())
-                yield B.as_table(h=pa.array(hs, pa.int64()), key=pa.array(keys, pa.binary()),
-                                 lo=pa.array(lo, pa.int64()), hi=pa.array(hi, pa.int64()))
-
-    return (held.mapInArrow(run, "h long, key binary, lo long, hi long")
-            .groupBy("h", "key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
-
-
-def _may_match(h: np.ndarray, keys: list[bytes], width: int, k: int) -> np.ndarray:
-    """Contexts that share more than the anchor: equal strings of ``width`` bytes around
-    it agree in at least half of the rest on its left or on its right."""
-    half = (width - k + 1) // 2
-    sides = []
-    for salt in (0, 1):
-        part = [(x[1 + x[0] - half:1 + x[0]] if x[0] >= half else None) if salt == 0 else
-                (x[1 + x[0] + k:1 + x[0] + k + half] if len(x) - 1 - x[0] - k >= half else None) for x in keys]
-        code = np.array([i * 2 + 1 if y is None else hash(y) & ~1 for i, y in enumerate(part)], np.int64).view(np.uint64)
-        sides.append(B.repeated(B.mix(code ^ B.mix(h.view(np.uint64)))))
-    return sides[0] | sides[1]
+            did = B.ids(batch, "did").to_numpy()
+            doc, start, stop, _, ch, left, right = _spots(raw, off, B.ids(batch, "hs").to_numpy(zero_copy_only=False), width, k)
+            if len(doc):
+                yield B.as_table(ch=ch.view(np.int64), l=left.view(np.int64), r=right.view(np.int64), did=did[doc],
+                                 start=(start - off[doc]).astype(np.int32), size=(stop - start).astype(np.int32))
 
+    return held.mapInArrow(run, "ch long, l long, r long, did long, start int, size int")
 
-def _mark(width: int, k: int):
-    """One shard: which strings of each context occur in a context of a smaller document."""
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("h", "ascending"), ("lo", "ascending"), ("key", "ascending")])
-        h, lo, hi = (table.column(c).to_numpy() for c in ("h", "lo", "hi"))
-        keys = table.column("key").to_pylist()
-        hits = [np.zeros(0, np.int64)] * len(keys)
-        some = np.flatnonzero(_may_match(h, keys, width, k))
-        if len(some):
-            for i, got in zip(some, covered_windows([keys[i][1:] for i in some], h[some], lo[some], width)):
-                hits[i] = got
-        out = {"h": [], "ch": [], "lo": [], "cuts": []}
-        for i, starts in enumerate(hits):
-            if len(starts) or lo[i] < hi[i]:
-                cut = np.flatnonzero(np.diff(np.concatenate([[-width - 1], starts])) > width) if len(starts) else starts
-                runs = [(int(starts[a]), int(starts[b]) + width)
-                        for a, b in zip(cut, np.append(cut[1:], len(starts)) - 1)] if len(starts) else []
-                out["h"].append(int(h[i]))
-                out["ch"].append(_key_hash(keys[i]))
-                out["lo"].append(int(lo[i]))
-                out["cuts"].append([v for r in runs for v in r])
-        return pa.table(out, schema=pa.schema([("h", pa.int64()), ("ch", pa.int64()), ("lo", pa.int64()),
-                                               ("cuts", pa.list_(pa.int32()))]))
-    return run
 
-
-def _placed(held: DataFrame, width: int, k: int) -> DataFrame:
-    """Where each document holds its contexts: h, ch, did, start, size."""
+def _fetch(wanted: DataFrame, width: int, k: int) -> DataFrame:
+    """The texts of the wanted contexts of each document (list ``chs``): h, did, key, starts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw, off in B.blocks(batches, "__text"):
-            did = B.ids(batch, "did").to_pylist()
-            rows = [(h, _key_hash(key), did[d], s - int(off[d]), len(key) - 1)
-                    for d, s, h, key in _contexts(raw, off, B.ids(batch, "hs").to_pylist(), width, k)]
-            if rows:
-                h, ch, d, s, n = zip(*rows)
-                yield B.as_table(h=pa.array(h, pa.int64()), ch=pa.array(ch, pa.int64()), did=pa.array(d, pa.int64()),
-                                 start=pa.array(s, pa.int32()), size=pa.array(n, pa.int32()))
-
-    return held.mapInArrow(run, "h long, ch long, did long, start int, size int")
+            did, chs = B.ids(batch, "did").to_pylist(), B.ids(batch, "chs").to_numpy(zero_copy_only=False)
+            doc, start, stop, h, ch, *_ = _spots(raw, off, B.ids(batch, "hs").to_numpy(zero_copy_only=False), width, k)
+            edge, data = np.searchsorted(doc, np.arange(len(off))), raw.tobytes()
+            out: dict[str, list] = {"h": [], "did": [], "key": [], "starts": []}
+            for i, want in enumerate(chs):
+                mine = np.arange(edge[i], edge[i + 1])
+                mine = mine[np.isin(ch[mine].view(np.int64), np.asarray(want, np.int64))]
+                found: dict[int, list[int]] = {}
+                for j in mine.tolist():
+                    found.setdefault(int(ch[j]), []).append(j)
+                for js in found.values():
+                    out["h"].append(int(h[js[0]]))
+                    out["did"].append(did[i])
+                    out["key"].append(data[start[js[0]]:stop[js[0]]])
+                    out["starts"].append([int(start[j] - off[i]) for j in js])
+            if out["h"]:
+                yield B.as_table(h=pa.array(out["h"], pa.int64()), did=pa.array(out["did"], pa.int64()),
+                                 key=pa.array(out["key"], pa.binary()), starts=pa.array(out["starts"], pa.list_(pa.int32())))
+
+    return wanted.mapInArrow(run, "h long, did long, key binary, starts array<int>")
+
+
+def _mark(width: int):
+    """One shard: where strings of each context occur in a context of a smaller document."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("h", "ascending"), ("did", "ascending"), ("key", "ascending")])
+        h, did = (table.column(c).to_numpy() for c in ("h", "did"))
+        starts, out = table.column("starts").to_pylist(), {"did": [], "c": []}
+        for i, hit in enumerate(covered_windows(table.column("key").to_pylist(), h, did, width)):
+            if len(hit):
+                cut = np.flatnonzero(np.diff(hit) > width)
+                runs = [(int(a), int(b) + width) for a, b in zip(hit[np.append(0, cut + 1)], hit[np.append(cut, len(hit) - 1)])]
+                out["did"].append(int(did[i]))
+                out["c"].append([v + s for s in starts[i] for r in runs for v in r])
+        return pa.table(out, schema=pa.schema([("did", pa.int64()), ("c", pa.list_(pa.int32()))]))
+    return run
 
 
 def repeated_spans(docs: DataFrame, text: str = "text", width: int = WIDTH, k: int = K) -> DataFrame:
     """(did, cuts): per document byte ranges [start, end, start, end, ...] (they may
-    overlap) covered by strings that also start in a document with a smaller id."""
+    overlap) covered by strings that also start in a document with a smaller id.
+
+    Equal contexts form a class, known by its hash. All its documents but the
+    smallest lose the whole context. The texts of a class are fetched from the
+    smallest document, and only if another class agrees with it beyond the
+    anchor; these are indexed in shards and streamed.
+    """
     spark, src = docs.sparkSession, _source(docs, text)
     shared = staged_table(_shared(src, width, k), "anchors")
     release_shuffles(spark)
-    n_shards = max(1, math.ceil(shared.count() / SHARD_CONTEXTS))
     lists = shared.groupBy("did").agg(F.collect_set("h").alias("hs"))  # a document's own anchors
     held = staged_table(src.join(lists, "did"), "held")
     release_shuffles(spark)
-    marks = staged_table(_distinct_contexts(held, width, k)
+    classes = staged_table(_placed(held, width, k).groupBy("ch").agg(
+        F.min("did").alias("lo"), F.max("did").alias("hi"), F.min("l").alias("l"), F.min("r").alias("r")), "classes")
+    release_shuffles(spark)
+    ends = classes.select("ch", "lo", F.explode(F.array("l", "r")).alias("side")).filter("side <> 0")
+    mixed = ends.groupBy("side").agg(F.min("ch").alias("x"), F.max("ch").alias("y")).filter("x < y").select("side")
+    wanted = (ends.join(mixed, "side", "left_semi").groupBy("lo").agg(F.collect_set("ch").alias("chs"))
+              .withColumnRenamed("lo", "did"))  # at most a document's own contexts
+    wanted = staged_table(wanted, "wanted")
+    release_shuffles(spark)
+    n_shards = max(1, math.ceil((wanted.agg(F.sum(F.size("chs"))).first()[0] or 0) / SHARD_CONTEXTS))
+    marks = staged_table(_fetch(held.join(wanted, "did"), width, k)
                         .withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(n_shards)))
-                        .groupBy("shard").applyInArrow(_mark(width, k), "h long, ch long, lo long, cuts array<int>"), "marks")
+                        .groupBy("shard").applyInArrow(_mark(width), "did long, c array<int>"), "marks")
     release_shuffles(spark)
-    whole = F.when(F.col("size") >= width, F.array("start", F.col("start") + F.col("size")))
-    parts = F.transform("cuts", lambda x: x + F.col("start"))
-    cuts = (_placed(held, width, k).join(marks, ["h", "ch"])
-            .select("did", F.when(F.col("did") > F.col("lo"), whole).otherwise(parts).alias("c")).filter("size(c) > 0"))
-    return cuts.groupBy("did").agg(F.flatten(F.collect_list("c")).alias("cuts"))
+    whole = (_placed(held, width, k).select("ch", "did", "start", "size")
+             .join(classes.filter("lo < hi").select("ch", "lo"), "ch").filter("did > lo")
+             .select("did", F.array("start", F.col("start") + F.col("size")).alias("c")))
+    return whole.union(marks).groupBy("did").agg(F.flatten(F.collect_list("c")).alias("cuts"))
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", width: int = WIDTH, k: int = K) -> DataFrame:

@@ -139,50 +139,32 @@ def common_prefix(text: np.ndarray, p: np.ndarray, query: np.ndarray, q: np.ndar
 def covered_windows(texts: list[bytes], group: np.ndarray, owner: np.ndarray, width: int) -> list[np.ndarray]:
     """For each text, the starts of its ``width``-byte strings that also occur in a text of a smaller owner.
 
-    Texts come sorted by (group, owner); only texts of one group need to be
-    compared, and each is compared with the earlier ones of its group by
-    halving: at every level one half of each group is indexed and the other
-    half streamed through the index, from the coarsest level on.
+    Texts come sorted by (group, owner). All of them are indexed once; the
+    texts that have an earlier owner in their group are streamed through the
+    index. Where the matching statistic reaches ``width``, its place leads to
+    the class of the suffixes that begin with this string, and the string is
+    marked if the smallest owner in the class comes before the text's own.
     """
     n = len(texts)
+    hits = [np.zeros(0, np.int64)] * n
     size = np.array([len(t) for t in texts])
-    sym = np.zeros(int(size.sum()) + n, np.int64)
+    leader = np.repeat(owner[heads := np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))],
+                       np.diff(np.append(heads, n)))
+    ask = np.flatnonzero((owner > leader) & (size >= width))
+    if not len(ask):
+        return hits
+    sym = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.int64) + 1
     begin = np.cumsum(size + 1) - size - 1
-    flat = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.int64) + 1
-    sym[:] = flat
     sym[begin + size] = 0
-    of = np.repeat(np.arange(n), size + 1)
-    first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-    # texts of one owner in one group share a rank
-    fresh = np.concatenate([[True], (group[1:] != group[:-1]) | (owner[1:] != owner[:-1])])
-    rank = np.cumsum(fresh) - np.cumsum(fresh)[first][np.searchsorted(first, np.arange(n), "right") - 1]
-    hit, packs = np.zeros(len(sym), bool), packed(sym)
-    if n < 2 or rank.max() == 0:
-        return [np.zeros(0, np.int64)] * n
     sa, alike = suffix_array(sym, width)
-    # suffixes with one ``width``-byte beginning are neighbours: a class each
-    kind = np.cumsum(np.concatenate([[True], ~alike]))
-    top = int(rank.max()).bit_length() - 1
-    members = np.add.reduceat(np.ones(n, np.int64), first)
-    most = np.repeat(np.maximum.reduceat(rank, first), members)
-    for level in range(top, -1, -1):
-        bit = (rank >> level) & 1
-        low = (bit == 0) & (most >> level > 0)
-        open_ = np.add.reduceat(hit, begin) < size - width + 1  # some string is not covered yet
-        ask = np.flatnonzero((bit == 1) & (size >= width) & open_)
-        if not len(ask) or not low.any():
-            continue
-        keep = low[of]
-        back = np.flatnonzero(keep)           # kept symbol -> its place
-        new = np.cumsum(keep) - 1
-        kept = keep[sa]
-        rows_kind, at = kind[kept], new[sa[kept]]
-        index = RunIndex(sym[keep], at)
-        # smallest owner among the indexed texts that hold a place's string
-        edge = np.flatnonzero(np.concatenate([[True], rows_kind[1:] != rows_kind[:-1]]))
-        least = np.empty(len(at), np.int64)
-        least[at] = np.repeat(np.minimum.reduceat(owner[of[back[at]]], edge), np.diff(np.append(edge, len(at))))
-        for rows, i, length, place in index.matches(sym, packs, begin[ask], begin[ask] + size[ask], width):
-            long = np.flatnonzero(length >= width)
-            hit[i[long[least[place[long]] < owner[ask[rows[long]]]]]] = True
-    return [np.flatnonzero(hit[b:b + s]) for b, s in zip(begin, size)]
+    edge = np.flatnonzero(np.concatenate([[True], ~alike]))
+    holder = owner[np.repeat(np.arange(n), size + 1)[sa]]
+    least = np.empty(len(sym), np.int64)  # by text position: smallest owner of its class
+    least[sa] = np.repeat(np.minimum.reduceat(holder, edge), np.diff(np.append(edge, len(sa))))
+    index, hit = RunIndex(sym, sa), np.zeros(len(sym), bool)
+    for rows, i, length, place in index.matches(sym, index.packed, begin[ask], begin[ask] + size[ask], width):
+        long = np.flatnonzero(length >= width)
+        hit[i[long[least[place[long]] < owner[ask[rows[long]]]]]] = True
+    for j in ask:
+        hits[j] = np.flatnonzero(hit[begin[j]:begin[j] + size[j]])
+    return hits
