@@ -417,12 +417,13 @@ def global_importance(explained: DataFrame, expl_col: str = "explanation") -> Da
 
 
 def heat_bins(explained: DataFrame, expl_col: str = "explanation", prob_col: str = "probability",
-              bins: int = 7, weight_range: tuple | None = None, prob_range: tuple = (0.0, 1.0)) -> DataFrame:
+              bins: int = 7, weight_range: tuple | None = None, prob_range: tuple | None = None) -> DataFrame:
     """Colour bins 1..7 of every weight and of the probability.
 
-    ``weight_range=None`` uses the global extent of all weights (table view,
-    A12); the single-row view uses fixed (-0.3, 0.3). Values outside the
-    range fall in the end bins."""
+    A range of ``None`` is the extent of the data: of all weights (A12) and of
+    all probabilities, as in the table view; the single-row view uses the
+    fixed ranges (-0.3, 0.3) and (0, 1). Values outside the range fall in the
+    end bins."""
     if weight_range is None:
         # the extent goes into a column first (lambdas may not hold subqueries)
         ext = map_extent(explained, expl_col).select(F.struct("lo", "hi").alias("e")).scalar()
@@ -431,10 +432,14 @@ def heat_bins(explained: DataFrame, expl_col: str = "explanation", prob_col: str
     else:
         out = explained.withColumn("_lo", F.lit(float(weight_range[0]))).withColumn(
             "_hi", F.lit(float(weight_range[1])))
-    out = out.withColumn("weight_bins", F.transform_values(
+    if prob_range is None:
+        ends = explained.agg(F.struct(F.min(prob_col).alias("lo"), F.max(prob_col).alias("hi")).alias("p")).scalar()
+    else:
+        ends = F.struct(F.lit(float(prob_range[0])).alias("lo"), F.lit(float(prob_range[1])).alias("hi"))
+    out = out.withColumn("_p", ends).withColumn("weight_bins", F.transform_values(
         F.col(expl_col), lambda k, v: quantize(v, F.col("_lo"), F.col("_hi"), bins))).withColumn(
-        "probability_bin", quantize(F.col(prob_col), float(prob_range[0]), float(prob_range[1]), bins))
-    return out.drop("_lo", "_hi")
+        "probability_bin", quantize(F.col(prob_col), F.col("_p.lo"), F.col("_p.hi"), bins))
+    return out.drop("_lo", "_hi", "_p")
 
 
 def table_view(explained: DataFrame, id_col: str = "id") -> DataFrame:

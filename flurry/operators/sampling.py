@@ -55,12 +55,16 @@ def sample_n(df: DataFrame, key: str, n: int, seed: int | str = 42,
 
 def train_test_split(df: DataFrame, key: str, test: float = 0.25,
                      salt: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Hash split (O6): a row is in test when its bucket < test·100. The
-    halves are disjoint and complete; sizes are close to, not exactly, the
-    share."""
-    b = hash_bucket(key, 100, salt)
-    cut = int(round(test * 100))
-    return df.where(b >= cut), df.where(b < cut)
+    """Hash split (O6): a row is in test when its bucket of 100 is below the
+    whole percents of the share; the bucket that the share cuts is divided by
+    the rest of the hash. The halves are disjoint and complete; sizes are
+    close to, not exactly, the share."""
+    h = hash_bucket(key, 1 << 32, salt)
+    whole = int(round(test * 100, 9))
+    part = int(round(test * 100 - whole, 9) * ((1 << 32) // 100))
+    b = F.pmod(h, F.lit(100))
+    inside = (b < whole) | ((b == whole) & (F.floor(h / 100) < part))
+    return df.where(~inside), df.where(inside)
 
 
 def with_fold(df: DataFrame, key: str, folds: int = 5, name: str = "fold",

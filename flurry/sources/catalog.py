@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import logging
+
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flurry.sources.files import read_csv
 
+log = logging.getLogger(__name__)
+
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """Scan a catalog table by (qualified) name (S3)."""
@@ -15,17 +20,21 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def read_table_or_csv(spark: SparkSession, table: str, path: str,
-                      schema: T.StructType | None, use_table: bool = True) -> DataFrame:
+                      schema: T.StructType | None, use_table: bool = True,
+                      skip_broken: bool = False) -> DataFrame:
     """Source switch (S4): the catalog table when asked for and present,
-    otherwise the typed CSV at ``path``; a table that exists but cannot be
-    read (missing files, bad metadata) also falls back to the CSV."""
+    otherwise the typed CSV at ``path``. A table that exists but cannot be
+    resolved (missing files, bad metadata) raises; with ``skip_broken`` it is
+    logged and the CSV is read."""
     if use_table and spark.catalog.tableExists(table):
         try:
             df = spark.table(table)
             df.schema  # resolve now, so a broken table fails here
             return df
-        except Exception:  # fall back to the file source
-            pass
+        except PySparkException as e:
+            if not skip_broken:
+                raise
+            log.warning("table %s cannot be read, using %s: %s", table, path, e)
     return read_csv(spark, path, schema=schema)
 
 

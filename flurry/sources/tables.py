@@ -15,11 +15,3 @@ def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     """Lazy scan of ``<data_dir>/<name>.parquet``; Catalyst prunes columns and
     pushes filters into it, so callers select only what they use."""
     return spark.read.parquet(os.path.join(data_dir, f"{name}.parquet"))
-
-
-def register_views(spark: SparkSession, data_dir: str) -> None:
-    """Expose every table as a temp view for ``spark.sql``."""
-    for t in TABLES:
-        p = os.path.join(data_dir, f"{t}.parquet")
-        if os.path.exists(p):
-            spark.read.parquet(p).createOrReplaceTempView(t)

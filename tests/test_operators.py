@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flurry.functions import scalar, structs, urls, vectors as vf
-from flurry.operators import clean, evaluate, joins, monitor, pages, sampling, summary, vectors, windows
+from flurry.operators import clean, evaluate, explain, joins, monitor, pages, sampling, summary, vectors, windows
 from flurry.sources import files
 from flurry.sources.schemas import CHURN_SCHEMA
 
@@ -206,6 +206,19 @@ def test_split_disjoint_and_complete(spark):
     assert tr.count() + te.count() == 10000
     assert tr.join(te, "k").count() == 0
     assert te.count() == 2474  # same count as the DuckDB form of the bucket
+    for share in (0.004, 0.125, 0.29):  # shares that are no whole percents too
+        tr, te = sampling.train_test_split(df, "k", share)
+        n = te.count()
+        assert tr.count() + n == 10000 and abs(n - 10000 * share) < 4 * math.sqrt(10000 * share)
+
+
+def test_heat_bins_take_both_ranges_from_the_data(spark):
+    ex = spark.createDataFrame([(1, 0.2, {"a": -1.0, "b": 0.0}), (2, 0.4, {"a": 1.0}), (3, 0.9, {})],
+                               "id int, probability double, explanation map<string,double>")
+    got = {r.id: (r.weight_bins, r.probability_bin) for r in explain.heat_bins(ex).collect()}
+    assert got == {1: ({"a": 1, "b": 4}, 1), 2: ({"a": 7}, 3), 3: ({}, 7)}
+    fixed = explain.heat_bins(ex, weight_range=(-0.3, 0.3), prob_range=(0.0, 1.0))
+    assert [r.probability_bin for r in fixed.orderBy("id").collect()] == [2, 3, 7]
 
 
 # --- vectors ----------------------------------------------------------------------------------
