@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from flurry.llm import blocks, queries, tokens
+from flurry.llm import blocks, queries, secrets, tokens
 from flurry.llm.chat import canonical_turns, format_chat, read_back
 from flurry.llm.decontam import spaced_seed_overlaps
 from flurry.llm.graph import components
@@ -299,6 +299,49 @@ def test_secrets_in_nested_layers():
     assert search(loop)[1] == []
 
 
+def _finds(enc, before=b"see "):
+    return any(k == 0 and len(before) <= a < z <= len(before) + len(enc) for a, k, z, _ in search(before + enc + b" end")[1])
+
+
+def test_secrets_in_wrapped_and_glued_base64():
+    plain, b64, zipped = b"api_key=abcdEFGH12345678", base64.b64encode, gzip.compress
+    long = b64(b"some words first, " + plain + b" and some words after it")
+    packed = b64(zipped(bytes(random.Random(3).randrange(32, 127) for _ in range(200)) + b" " + plain))
+    for breaks in (b"\n", b"\r\n", b"\n    ", b"\\n"):
+        for width in (10, 20, 64):
+            assert _finds(breaks.join(long[i:i + width] for i in range(0, len(long), width))), (breaks, width)
+            assert _finds(breaks.join(packed[i:i + width] for i in range(0, len(packed), width))), (breaks, width)
+    for glue in (b"/", b"_", b"-", b"v1/", b"sk_live_", b"path/to/"):
+        for n in range(4):
+            assert _finds(glue + b64(b"x" * n + plain).rstrip(b"=")), (glue, n)
+            assert _finds(glue + b64(zipped(plain + b"x" * n)).rstrip(b"=")), (glue, n)
+    assert _finds(b64(plain).rstrip(b"=") + b"A")  # 4k + 1 characters
+    one, two = b64(b"secret=abcdefghijklmn"), b64(b"secret=opqrstuvwxyzab")
+    found = search(one + b"\n" + two)[1]
+    assert {(0, 28), (29, 57)} <= {(a, z) for a, k, z, _ in found if k == 0}
+
+
+def test_secrets_in_layers_that_are_no_utf8():
+    plain, b64, zipped = b"api_key=abcdEFGH12345678", base64.b64encode, gzip.compress
+    text = plain.decode()
+    layers = [b"\xff " + plain, bytes(range(128, 256)) + plain, text.encode("utf-16"), text.encode("utf-16-be"), text.encode("utf-32-le"),
+              zipped(b"first") + zipped(plain), zipped(plain[:9]) + zipped(plain[9:]), zipped(b"first") + b"rubbish" + zipped(plain),
+              zipped(plain)[:-6] + b"damage"]
+    for data in layers:
+        assert _finds(b64(data)), data
+
+
+def test_secrets_across_windows(monkeypatch):
+    monkeypatch.setattr(secrets, "WINDOW", 1 << 15)
+    monkeypatch.setattr(secrets, "OVERLAP", 1 << 10)
+    plain, b64, zipped = b"api_key=abcdEFGH12345678", base64.b64encode, gzip.compress
+    noise = random.Random(5).randbytes(100_000)
+    for inner in (zipped(noise + plain), b64(noise + b" " + plain), b64(zipped(noise + plain))):
+        data = zipped(b"-" * 1000 + b" " + inner + b" end")
+        found = search(b"see " + b64(data))[1]
+        assert any(k == 0 for _, k, _, _ in found)
+
+
 def test_queries_run_over_whole_tables(spark, small_dir):
     n = spark.read.parquet(f"{small_dir}/documents.parquet").count()
     for name in ("op4_quality", "op6_line_dedup", "op7_toxicity", "op10_secrets"):
