@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,6 @@ from flurry.llm import blocks as B
 MASKS = ("1111111", "11011011011", "1101010110011", "10100110111001")
 MIN_TOKENS = 10       # agreeing tokens of a verified overlap
 MIN_AGREE = 0.8       # share of agreeing tokens inside it
-MISS = 3              # a run is cut where misses cost more than matches before it gained
 BLOCK_ITEMS_BYTES = 4 << 20
 
 
@@ -86,15 +86,21 @@ def _hits(index: TestIndex, words: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
 
 
-def _best_run(same: np.ndarray) -> tuple[int, int]:
-    """Best local run: +1 per agreeing token, -MISS per substitution; ends agree."""
-    score = np.cumsum(np.where(same, 1, -MISS))
-    floor = np.minimum.accumulate(np.concatenate([[0], score[:-1]]))
-    gain = score - floor
-    hi = int(np.argmax(gain))
-    before = np.concatenate([[0], score[:-1]])
-    lo = int(np.flatnonzero(before[:hi + 1] == floor[hi])[-1])
-    return lo, hi + 1
+def _best_run(same: np.ndarray, min_agree: float) -> tuple[int, int]:
+    """Of all runs in which the share ``min_agree`` of the tokens agrees, the one
+    with the most agreeing tokens (then the shortest, the first); ends agree.
+    """
+    share = Fraction(str(min_agree))
+    hit, miss = share.denominator - share.numerator, share.numerator  # a run qualifies if its sum is not negative
+    level = np.concatenate([[0], np.cumsum(np.where(same, hit, -miss))])
+    count = np.concatenate([[0], np.cumsum(same)])
+    end = np.flatnonzero(same) + 1
+    if not len(end):
+        return 0, 0
+    first = np.searchsorted(-np.minimum.accumulate(level), -level[end])  # earliest start that is not above the end
+    start = end[count[first]] - 1
+    best = np.lexsort((end, end - start, count[start] - count[end]))[0]
+    return int(start[best]), int(end[best])
 
 
 def spaced_seed_overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text",
@@ -104,7 +110,8 @@ def spaced_seed_overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "tex
 
     Tokens are runs of letters and digits (ASCII case ignored; punctuation
     separates). Returns ``doc_id, item_id, n_agree`` (agreeing tokens of the
-    best overlap), ``n_span`` (its tokens), ``item_tokens, doc_start, doc_end``
+    best overlap: the most that a run of tokens with a share of at least
+    ``min_agree`` agreeing has), ``n_span`` (its tokens), ``item_tokens, doc_start, doc_end``
     (token positions in the document).
 
     The benchmark is the bounded side: it is read in blocks of at most
@@ -147,9 +154,9 @@ def _scanner(index, min_tokens: int, min_agree: float):
                 a, z = ix.first[item], ix.first[item + 1]
                 lo, hi = max(a, first[d] - diag), min(z, first[d + 1] - diag)
                 same = words[lo + diag:hi + diag] == ix.words[lo:hi]
-                x, y = _best_run(same)
+                x, y = _best_run(same, min_agree)
                 agree = int(same[x:y].sum())
-                if agree >= min_tokens and agree >= min_agree * (y - x):
+                if agree >= min_tokens:
                     row = (agree, y - x, int(z - a), int(lo + diag + x - first[d]), int(lo + diag + y - first[d]))
                     key = (d, ix.item_ids[item])
                     if key not in best or row[:1] > best[key][:1]:

@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 from flurry.llm import blocks, queries, secrets, tokens
 from flurry.llm.chat import canonical_turns, format_chat, read_back
-from flurry.llm.decontam import spaced_seed_overlaps
+from flurry.llm.decontam import _best_run, spaced_seed_overlaps
 from flurry.llm.graph import components
 from flurry.llm.jaccard import near_duplicate_groups
 from flurry.llm.lines import PerfectHash, dedup_lines
@@ -182,6 +182,25 @@ def test_decontamination(spark):
     assert spaced_seed_overlaps(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_finds_every_qualifying_run(spark):
+    rng = np.random.default_rng(1)
+    for _ in range(150):
+        same = rng.random(int(rng.integers(1, 60))) < rng.choice([0.5, 0.79, 0.95])
+        runs = [(int(same[a:z].sum()), a - z) for a in range(len(same)) for z in range(a + 1, len(same) + 1)
+                if 10 * int(same[a:z].sum()) >= 8 * (z - a)]
+        a, z = _best_run(same, 0.8)
+        assert (int(same[a:z].sum()), a - z) == max(runs, default=(0, 0))
+    uneven = "1111111001101111101111101101110110000111"  # 24 of the first 30 tokens agree
+    item = [f"b{i}" for i in range(len(uneven))]
+    text = " ".join(w if c == "1" else "zzz" for w, c in zip(item, uneven))
+    long = [f"d{i}" for i in range(200)]  # 12 tokens in a row, then one of two for a long stretch
+    noisy = " ".join(w if i < 12 or i % 2 else "zzz" for i, w in enumerate(long))
+    docs = spark.createDataFrame([(1, "one two " + text), (2, noisy)], "doc_id long, text string")
+    bench = spark.createDataFrame([(9, " ".join(item)), (8, " ".join(long))], "item_id long, text string")
+    got = _got(spaced_seed_overlaps(docs, bench), "doc_id", "item_id", "n_agree", "n_span", "doc_start")
+    assert got[0] == (1, 9, 24, 30, 2) and got[1][:2] == (2, 8) and got[1][2] >= 12
+
+
 def test_tokens_equal_the_tokenizers_own():
     rng = random.Random(1)
     parts = ["'", "s", "t", "re", "ll", "d", " ", "  ", "\n", "\t", "a", "B", "1", "23", "é", "ß", "“", "日", "!", "'S", "<|endoftext|>"]
