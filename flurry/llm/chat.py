@@ -10,6 +10,7 @@ mask is kept as code point ranges of it.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 
 TURN = "array<struct<role:string,text:string>>"
 OPEN, CLOSE = "### ", "</turn>"
+FIELD = r"try_variant_get\(v, '\$\.(\w+)', '([^']*)'\)"
+LONG = 1 << 21  # characters from which a record may exceed what a variant or its parser holds
 # role names of other layouts -> canonical
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
@@ -81,6 +84,22 @@ def fingerprint(variant: Column) -> Column:
     return F.xxhash64(paths)
 
 
+def outline(record: Column) -> Column:
+    """The record with empty texts and each run of equal array elements once: it has the same nested field paths."""
+    body = r'[^"\\]*+(?:\\[\s\S][^"\\]*+)*+'
+    bare = F.regexp_replace(record, rf'("{body}"\s*+:)|("){body}(")', "$1$2$3")
+    return F.regexp_replace(bare, r"(\{[^{}]*+\})(?:\s*+,\s*+\1)++", "$1")
+
+
+def _unparsed(x: Layout, record: str) -> str:
+    """The layout's turns read from the JSON text, without a variant, which bounds texts and records; null if it is malformed."""
+    fields = dict(re.findall(FIELD, x.turns))
+    ddl = ", ".join(f"`{name}` {kind}" for name, kind in {**fields, "__bad": "string"}.items())
+    options = f"map('maxStringLen', '{(1 << 31) - 1}', 'columnNameOfCorruptRecord', '__bad')"
+    turns = re.sub(FIELD, r"w.`\1`", x.turns)
+    return f"transform(array(from_json(`{record}`, '{ddl}', {options})), w -> if(w.__bad is null, cast({turns} as {TURN}), null))[0]"
+
+
 def _escape(c: Column) -> Column:
     for a, b in (("\\", "\\\\"), (OPEN, "\\h"), (CLOSE, "\\t")):
         c = F.replace(c, F.lit(a), F.lit(b))
@@ -100,21 +119,28 @@ def canonical_turns(records: DataFrame, record: str = "record", layouts: tuple[L
 
     ``record`` is a JSON string. Null, malformed and unknown layouts get null
     ``layout`` and no turns; null texts are empty; null roles are the empty
-    role. Other columns pass through (``layout`` and ``turns`` are replaced).
+    role. Records and texts of any length that a column holds are read. Other columns pass through (``layout`` and ``turns`` are replaced).
     """
-    v = records.withColumn("v", F.try_parse_json(F.col(record))).withColumn("__print", fingerprint(F.col("v")))
+    v = records.withColumn("v", F.try_parse_json(F.col(record)))
+    long = F.col("v").isNull() & (F.length(record) >= LONG)
+    v = v.withColumn("__long", long).withColumn("__print", fingerprint(
+        F.when(F.col("__long"), F.try_parse_json(outline(F.col(record)))).otherwise(F.col("v"))))
     name, turns = F.lit(None).cast("string"), F.expr(f"cast(array() as {TURN})")
     for x in reversed(layouts):
         same = F.col("__print") == F.xxhash64(F.lit(skeleton(x.paths)))
         name = F.when(same, F.lit(x.name)).otherwise(name)
-        turns = F.when(same, F.expr(x.turns).cast(TURN)).otherwise(turns)
+        turns = (F.when(same & F.col("__long"), F.expr(_unparsed(x, record))).when(same, F.expr(x.turns).cast(TURN))
+                 .otherwise(turns))
+    v = v.withColumn("__turns", turns)
+    wrong = F.col("__long") & F.col("__turns").isNull()
+    name, turns = F.when(~wrong, name), F.when(wrong, F.expr(f"cast(array() as {TURN})")).otherwise(F.col("__turns"))
     roles = F.create_map(*[F.lit(s) for kv in ROLES.items() for s in kv])
 
     def canonical(t: Column) -> Column:
         role = F.coalesce(t["role"], F.lit(""))
         return F.struct(F.coalesce(F.try_element_at(roles, role), role).alias("role"),
                         F.coalesce(t["text"], F.lit("")).alias("text"))
-    return v.withColumn("layout", name).withColumn("turns", F.transform(turns, canonical)).drop("v", "__print")
+    return v.withColumn("layout", name).withColumn("turns", F.transform(turns, canonical)).drop("v", "__long", "__print", "__turns")
 
 
 def format_chat(turned: DataFrame, learn: str = "assistant") -> DataFrame:

@@ -4,6 +4,7 @@ tables and extra columns with clashing names."""
 
 import base64
 import gzip
+import json
 import math
 import random
 import urllib.parse
@@ -15,7 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from flurry.llm import blocks, queries, secrets, tokens
+from flurry.llm import blocks, chat, queries, secrets, tokens
 from flurry.llm.chat import canonical_turns, format_chat, read_back
 from flurry.llm.decontam import _best_run, spaced_seed_overlaps
 from flurry.llm.graph import components
@@ -318,6 +319,38 @@ def test_secrets_in_nested_layers():
     assert search(loop)[1] == []
 
 
+def test_chat_keeps_long_conversations(spark):
+    n = 20_000_001
+    huge = F.concat(F.lit('a "q" \\ \n'), F.repeat(F.lit("x"), n))
+    rows = spark.range(2).select(F.lit(0).alias("conv_id"), F.col("id").alias("turn"),
+                                 F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+                                 F.when(F.col("id") == 0, huge).otherwise(F.lit("fine")).alias("text"))
+    got = canonical_turns(chat.records_of_rows(rows)).select("conv_id", "layout", F.transform(
+        "turns", lambda x: F.concat_ws(":", x["role"], F.length(x["text"]), F.md5(x["text"]))).alias("t"))
+    big = spark.range(1).select(F.concat_ws(":", F.lit("user"), F.length(huge), F.md5(huge))).first()[0]
+    fine = spark.range(1).select(F.concat_ws(":", F.lit("assistant"), F.lit(4), F.md5(F.lit("fine")))).first()[0]
+    assert sorted(tuple(r) for r in got.collect()) == [(0, "prompt", [big, fine])]
+    pad = "y" * (1 << 21)
+    for bad in (f'{{"prompt": "{pad}\\q", "response": "a"}}', f'{{"prompt": "{pad}", "other": "a"}}', f'["{pad}"'):
+        r = canonical_turns(spark.createDataFrame([(bad,)], "record string")).select("layout", F.size("turns")).first()
+        assert tuple(r) == (None, 0), bad[-30:]
+
+
+def test_chat_reads_long_records_as_others(spark):
+    text = 'He said "hi": {"a": 1}, \\" [x] \n'
+    records = [{"messages": [{"role": "user", "content": text}] * 3 + [{"role": None, "content": None}]}, {"prompt": text, "response": None},
+               {"instruction": "i", "input": text, "output": "o"}, {"system": "s", "prompt": text, "response": "r"},
+               {"conversations": [{"from": "human", "value": text}, {"from": "gpt", "value": text}]}]
+    for r in records:
+        df = spark.createDataFrame([(json.dumps(r),)], "record string")
+        want = canonical_turns(df).select("layout", "turns").first()
+        x = next(x for x in chat.LAYOUTS if x.name == want.layout)
+        same = df.select(F.expr(chat._unparsed(x, "record")).alias("t"), chat.fingerprint(F.try_parse_json(chat.outline(F.col("record")))),
+                         F.xxhash64(F.lit(chat.skeleton(x.paths)))).first()
+        assert same[1] == same[2]
+        assert [t.text for t in same.t] == [t.text for t in want.turns]
+
+
 def _finds(enc, before=b"see "):
     return any(k == 0 and len(before) <= a < z <= len(before) + len(enc) for a, k, z, _ in search(before + enc + b" end")[1])
 
