@@ -58,25 +58,35 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _unwrap(dedup_lines(_wrap(docs)), docs)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__key``, a 64-bit hash of id and text: rows with null or repeated ids are told apart by their texts."""
+    key = F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.coalesce("text", F.lit("")))
+    return _wrap(docs).withColumn("__key", key)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every near-duplicate group; of
-    repeated rows (equal id and text) one. Rows of one id with other texts stay."""
+    """The row with the smallest id of every near-duplicate group (null ids
+    last; of rows with one id any one); of repeated rows (equal id and text)
+    one. Every row is judged by its own text: other texts of its id stay."""
     ship_package(spark)
-    groups = near_duplicate_groups(docs)
-    gone = groups.filter("doc_id > component_id or (doc_id is null and component_id is not null)").select(
-        F.col("doc_id").alias("__gone")).distinct()
-    rows = _wrap(docs).join(gone, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
-    again = Window.partitionBy("doc_id", F.md5(F.coalesce("text", F.lit("")))).orderBy("doc_id")
+    rows = _keyed(docs)
+    groups = near_duplicate_groups(rows.select(F.col("__key").alias("doc_id"), "text"))
+    ids = rows.groupBy("__key").agg(F.min("doc_id").alias("id"))
+    order = F.struct(F.col("id").isNull().alias("last"), "id", "__key")
+    kept = (groups.select(F.col("doc_id").alias("__key"), "component_id").distinct().join(ids, "__key")
+            .groupBy("component_id").agg(F.min(order).alias("k")).select("k.__key"))
+    rows = rows.join(kept, "__key", "left_semi")
+    again = Window.partitionBy("__key").orderBy("__key")
     return _unwrap(rows.withColumn("__k", F.row_number().over(again)).filter("__k = 1"), docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a verified overlap with a benchmark item."""
+    """Documents without a verified overlap with a benchmark item, each row judged by its own text."""
     ship_package(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    bad = contaminated_ids(spaced_seed_overlaps(docs, benchmark)).withColumnRenamed("doc_id", "__gone")
-    rows = _wrap(docs).join(bad, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
-    return _unwrap(rows, docs)
+    rows = _keyed(docs)
+    bad = contaminated_ids(spaced_seed_overlaps(rows.select(F.col("__key").alias("doc_id"), "text"), benchmark))
+    return _unwrap(rows.join(bad.withColumnRenamed("doc_id", "__key"), "__key", "left_anti"), docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """The corpus pipeline: stages keep the columns of documents and their decisions take effect."""
 
+import random
+
 import corpus_pipeline as C
 from pyspark.sql import functions as F
 from tests.llm import brute
@@ -34,3 +36,18 @@ def test_stages_on_an_empty_table(spark, small_dir):
     docs = spark.read.parquet(f"{small_dir}/documents.parquet").limit(0)
     for _, stage in C.STAGES:
         assert stage(spark, docs, small_dir).count() == 0
+
+
+def test_rows_with_null_or_repeated_ids_are_judged_by_their_texts(spark, small_dir):
+    rng = random.Random(8)
+    a, b, c, d = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(4))
+    rows = [(1, a), (None, a + " end"), (None, b), (None, b), (2, a), (2, c), (2, c), (None, None), (3, d), (3, "another " + d)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit("en"))
+    got = [tuple(r) for r in C.near_duplicates(spark, docs, small_dir).select("doc_id", "text").collect()]
+    first = next(t for i, t in got if i == 3)
+    assert sorted(got, key=str) == sorted([(1, a), (None, b), (2, c), (None, None), (3, first)], key=str)
+    item = max((r[0] for r in spark.read.parquet(f"{small_dir}/benchmark.parquet").select("text").collect()), key=len)
+    rows = [(None, "so " + item), (None, b), (2, item), (2, c), (3, d), (3, d)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit("en"))
+    got = [tuple(r) for r in C.decontamination(spark, docs, small_dir).select("doc_id", "text").collect()]
+    assert sorted(got, key=str) == sorted([(None, b), (2, c), (3, d), (3, d)], key=str)
