@@ -12,6 +12,8 @@ from flurry.llm.chat import canonical_turns, format_chat, read_back, records_of_
 from flurry.llm.decontam import spaced_seed_overlaps
 from flurry.llm.jaccard import near_duplicate_groups
 from flurry.llm.lines import dedup_lines
+from flurry.llm.mixing import MIX_SQL, mix_sources
+from flurry.llm.negatives import NEGATIVES_SQL, mine_hard_negatives
 from flurry.llm.packing import pack_documents
 from flurry.llm.pii import KINDS as PII_KINDS
 from flurry.llm.pii import find_personal_data
@@ -20,6 +22,7 @@ from flurry.llm.repeats import remove_repeats
 from flurry.llm.secrets import KINDS as SECRET_KINDS
 from flurry.llm.secrets import find_secrets
 from flurry.llm.toxicity import fit_toxicity, score_toxicity
+from flurry.llm.whitening import quantised, whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -111,7 +114,22 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                       _spans("every").alias("spans"), F.size("added").cast("long").alias("n_added"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quantised(_table(spark, sf_dir, "embeddings").filter("label is not null"), "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(rows.select("vec_id", moved.alias("label"), "x"))
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (op1_decontamination, op2_packing, op3_repeats, op4_quality, op5_jaccard, op6_line_dedup,
-                                 op7_toxicity, op8_chat, op9_personal_data, op10_secrets)}
+                                 op7_toxicity, op8_chat, op9_personal_data, op10_secrets, op11_hard_negatives,
+                                 op12_mixing, op13_whitening)}
 
-ORACLE: dict[str, str] = {}
+ORACLE = {"op11_hard_negatives": NEGATIVES_SQL, "op12_mixing": MIX_SQL}
