@@ -25,10 +25,10 @@ from flurry.session import staged_table
 COMPONENTS = 4
 SCALE = 256
 BLOCK_BYTES = 4 << 20   # of a block of rows, as doubles
-INNER = 12              # MINRES steps of a correction
-INNER_TOL = 1e-2
+INNER = 6               # MINRES steps of a correction
+INNER_TOL = 1e-3
 OUTER = 200
-BASIS = 24              # vectors of the subspace before it is collapsed
+BASIS = 32              # vectors of the subspace before it is collapsed
 
 
 def quantised(rows: DataFrame, vec: str, scale: int = SCALE) -> DataFrame:
