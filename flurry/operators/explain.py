@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flurry.functions.scalar import quantize
+from flurry.operators.models import without_summary
 from flurry.operators.summary import exact_quantiles, map_extent
 
 # --- fixed values: settings of the tabular explanation method ----------------
@@ -362,7 +363,7 @@ def explain(df: DataFrame, model, stats: TrainingStats, id_col: str = "id", n_sa
             F.when(F.col(c) >= 0, F.element_at(F.array(*[F.lit(v) for v in stats.classes[c][0]]),
                                                F.col(c) + 1)).alias(c)
             if c in stats.classes else F.col(c) for c in feats])
-    scored = model.transform(samples).select(id_col, "_s", "_z",
+    scored = without_summary(model).transform(samples).select(id_col, "_s", "_z",
                                              vector_to_array(F.col("probability"))[1].alias("_p"))
     out_schema = (f"{id_col} {id_type.simpleString()}, probability double, explanation map<string,double>, "
                   "intercept double, score double, local_pred double")
@@ -474,7 +475,7 @@ def what_if(df: DataFrame, model, stats: TrainingStats, id_col: str = "id",
         *[F.when(F.col("_a.f") == c, F.col("_a.s") if c in stats.classes else F.col("_a.x"))
           .otherwise(F.col(c)).alias(c) for c in feats])
     p1 = vector_to_array(F.col("probability"))[1]
-    scored = model.transform(variants).select(id_col, "feature", "value", p1.alias("probability"))
+    scored = without_summary(model).transform(variants).select(id_col, "feature", "value", p1.alias("probability"))
     base_p = model.transform(base).select(id_col, p1.alias("base_probability"))
     return scored.join(base_p, id_col).withColumn("delta", F.col("probability") - F.col("base_probability"))
 
@@ -488,7 +489,7 @@ def score_log(requests: DataFrame, model, stats: TrainingStats | None = None, de
     req = with_defaults(requests, defaults) if defaults is not None else requests
     p1 = vector_to_array(F.col("probability"))[1]
     feats = [c for c in req.columns if c != id_col]
-    scored = model.transform(req).select(
+    scored = without_summary(model).transform(req).select(
         id_col, F.to_json(F.struct(*feats)).alias("input_data"), p1.alias("probability"))
     out = scored.select(F.expr("uuid()").alias("uuid"), F.current_timestamp().alias("ts"), "*")
     if explain_samples and stats is not None:

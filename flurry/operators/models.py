@@ -22,7 +22,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,6 +80,42 @@ def with_label(df: DataFrame, label: str, positive="Yes", out: str = "label") ->
     return df.withColumn(out, (F.col(label) == F.lit(positive)).cast("double"))
 
 
+# --- fitted models without their training summary ----------------------------------
+
+
+def without_summary(model):
+    """The fitted model (stage by stage for a pipeline) without its training summary.
+
+    In Spark 4.1 the summary of a binary classifier holds the SparkSession, and
+    the session cannot be serialized once jobs have been tagged in it
+    (``spark.addTag``, as time limits do). Scoring ships the model to the
+    executors, so every later ``transform`` would fail. Only the metrics of the
+    fit on its own training rows go; the model is the same.
+    """
+    if isinstance(model, PipelineModel):
+        for stage in model.stages:
+            without_summary(stage)
+    elif getattr(model, "hasSummary", False) and hasattr(model, "_java_obj"):
+        empty = SparkSession.active().sparkContext._jvm.scala.Option.empty()
+        model._java_obj.setSummary(empty)
+    return model
+
+
+class WithoutSummary(Estimator):
+    """Fits the inner estimator and drops the summary at once: for a stage whose
+    output a later stage of the same pipeline is fitted on."""
+
+    def __init__(self, inner: Estimator):
+        super().__init__()
+        self.inner = inner
+
+    def copy(self, extra=None):
+        return WithoutSummary(self.inner.copy(extra))
+
+    def _fit(self, df: DataFrame) -> Model:
+        return without_summary(self.inner.fit(df))
+
+
 # --- logistic regression with CV (M4) --------------------------------------------
 
 
@@ -117,7 +153,7 @@ def fit_logistic_cv(train: DataFrame, categorical: list[str], numeric: list[str]
     def run(job):
         ci, f = job
         m = n - sizes.get(f, 0)
-        model = lr(1.0 / (grid[ci] * m)).fit(data.where(F.col("fold") != f))
+        model = without_summary(lr(1.0 / (grid[ci] * m)).fit(data.where(F.col("fold") != f)))
         return ci, _fold_metrics(model.transform(data.where(F.col("fold") == f)), label)["accuracy"]
 
     jobs = [(ci, f) for ci in range(len(grid)) for f in range(folds) if sizes.get(f)]
@@ -125,7 +161,7 @@ def fit_logistic_cv(train: DataFrame, categorical: list[str], numeric: list[str]
         scores = list(pool.map(run, jobs))
     mean = {ci: float(np.mean([a for c, a in scores if c == ci])) for ci in range(len(grid))}
     best_c = grid[max(mean, key=lambda ci: (mean[ci], -ci))]   # ties: the smaller C
-    best = lr(1.0 / (best_c * n)).fit(data)
+    best = without_summary(lr(1.0 / (best_c * n)).fit(data))
     if persist:
         data.unpersist()
     return PipelineModel(prep.stages + [best])
@@ -134,8 +170,8 @@ def fit_logistic_cv(train: DataFrame, categorical: list[str], numeric: list[str]
 def fit_classifier(train: DataFrame, categorical: list[str], numeric: list[str], classifier,
                    scale: bool = True, one_hot: bool = True) -> PipelineModel:
     """Encode (+ scale) + any Spark classifier, fitted once (M5, M6, M8)."""
-    return Pipeline(stages=feature_stages(categorical, numeric, scale=scale, one_hot=one_hot)
-                    + [classifier]).fit(train)
+    return without_summary(Pipeline(stages=feature_stages(categorical, numeric, scale=scale, one_hot=one_hot)
+                                    + [classifier]).fit(train))
 
 
 def forest(num_trees: int = 100, impurity: str = "gini", max_features: str | None = "sqrt",
@@ -179,7 +215,7 @@ def svm_with_probability(c: float, n: int, weight_col: str | None = None, label:
     from pyspark.ml.feature import VectorSlicer
     svm = linear_svm(c, n, weight_col, label, features, max_iter)
     svm.setPredictionCol("svm_prediction").setRawPredictionCol("svm_raw")
-    return [svm, VectorSlicer(inputCol="svm_raw", outputCol="svm_margin", indices=[1]),
+    return [WithoutSummary(svm), VectorSlicer(inputCol="svm_raw", outputCol="svm_margin", indices=[1]),
             LogisticRegression(featuresCol="svm_margin", labelCol=label, maxIter=max_iter)]
 
 
@@ -350,7 +386,7 @@ class SmoteThen(Estimator):
     def _fit(self, df: DataFrame) -> Model:
         over = smote(df, self.label, self.minority, self.getOrDefault(self.ratio), self.k, self.seed,
                      self.id_col, self.vec)
-        return self.inner.fit(over.drop("synthetic"))
+        return without_summary(self.inner.fit(over.drop("synthetic")))
 
 
 # --- grid search with several scores (M12) ------------------------------------------------
@@ -394,7 +430,7 @@ def grid_search(estimator: Estimator, grid: list[dict], data: DataFrame, label:
         ix, pm = ix_pm
         per_fold = []
         for f in range(folds):
-            m = estimator.fit(d.where(F.col("fold") != f), pm)
+            m = without_summary(estimator.fit(d.where(F.col("fold") != f), pm))
             per_fold.append(_fold_metrics(m.transform(d.where(F.col("fold") == f)), label))
         return ix, {s: float(np.mean([x[s] for x in per_fold])) for s in _SCORES}
 
@@ -406,7 +442,7 @@ def grid_search(estimator: Estimator, grid: list[dict], data: DataFrame, label:
     best = {}
     for s in scores:
         ix = max(results, key=lambda i: (results[i][s], -i))
-        best[s] = (ix, estimator.fit(d, grid[ix]) if refit else None)
+        best[s] = (ix, without_summary(estimator.fit(d, grid[ix])) if refit else None)
     d.unpersist()
     return res_df, best
 
@@ -416,7 +452,7 @@ def grid_search(estimator: Estimator, grid: list[dict], data: DataFrame, label:
 
 def score(df: DataFrame, model: Transformer, out: str = "probability_1", keep: list[str] | None = None) -> DataFrame:
     """P(class 1) per row (M13): ``vector_to_array(probability)[1]``."""
-    scored = model.transform(df)
+    scored = without_summary(model).transform(df)
     p = vector_to_array(F.col("probability"))[1].alias(out)
     cols = keep if keep is not None else df.columns
     return scored.select(*cols, p, F.col("prediction"))
@@ -426,6 +462,7 @@ def compare(models: dict, train: DataFrame, test: DataFrame, label: str = "label
     """Train and test accuracy of several fitted models."""
     rows = []
     for name, m in models.items():
+        without_summary(m)
         for part, d in (("train", train), ("test", test)):
             met = _fold_metrics(m.transform(d), label)
             rows.append((name, part, met["accuracy"], met["precision"], met["recall"], met["f1"],

@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from flurry.functions.scalar import epoch_micros
 from flurry.operators.keys import join_on_keys
+from flurry.operators.models import without_summary
 from flurry.operators.windows import positions
 from flurry.session import checkpoint_dir
 
@@ -78,7 +79,7 @@ def instant_micros(c) -> "F.Column":
 def stream_score(stream: DataFrame, model, keep: list[str], out: str = "probability_1") -> DataFrame:
     """Score each arriving row (L8): ``keep`` columns + P(class 1) +
     prediction. Stateless, so any output mode and trigger works."""
-    s = model.transform(stream)
+    s = without_summary(model).transform(stream)
     return s.select(*keep, vector_to_array(F.col("probability"))[1].alias(out), "prediction")
 
 

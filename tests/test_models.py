@@ -154,3 +154,26 @@ def test_logistic_cv_picks_and_refits(spark):
 def test_encode_keeps_null_as_null(spark):
     df = spark.createDataFrame([("b",), (None,), ("a",)], "s string")
     assert [r.s for r in encode.encode_categories(df, ["s"]).collect()] == [1, None, 0]
+
+
+def test_models_score_in_a_session_with_tagged_jobs(spark):
+    """Tagging jobs makes the session unserializable; fitted models must not hold it."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from flurry.operators import explain as xp
+    s = spark.newSession()
+    s.conf.set("spark.sql.shuffle.partitions", "4")
+    s.addTag("limit")
+    try:
+        df = s.createDataFrame([(i, "ab"[i % 2], float(i % 7), float(i % 2)) for i in range(80)], "id long, c string, x double, label double")
+        own = Pipeline(stages=models.feature_stages(["c"], ["x"]) + [LogisticRegression(maxIter=5)]).fit(df)   # a user's own fit
+        assert models.score(df, own, keep=["id"]).count() == 80 and not own.stages[-1].hasSummary
+        cv = models.fit_logistic_cv(df, ["c"], ["x"], folds=2, cs=[1.0], max_iter=5)
+        assert len(models.score(df, cv, keep=["id"]).collect()) == 80
+        svm = Pipeline(stages=models.feature_stages(["c"], ["x"]) + models.svm_with_probability(1.0, 80, max_iter=5)).fit(df)
+        rf = models.fit_classifier(df, ["c"], ["x"], models.forest(3))
+        assert models.compare({"svm": svm, "forest": rf}, df, df).count() == 4
+        st = xp.training_stats(df, ["c"], ["x"])
+        assert len(xp.explain_table(df, cv, st, n_samples=50, n_features=2).collect()) == 80
+    finally:
+        s.removeTag("limit")
