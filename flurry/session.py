@@ -63,7 +63,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir is not set; a shared folder is required")
         d = tempfile.mkdtemp(prefix="flurry-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
