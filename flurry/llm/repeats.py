@@ -1,13 +1,16 @@
 """Removal of long byte strings that repeat across documents, by run-length
 compressed suffix indexes.
 
-Any two equal strings of ``width`` bytes share a content-defined anchor (a
-minimizer of their ``k``-byte substrings). Anchors held by two or more
+Any two equal strings of ``width`` bytes share a content-defined anchor (the
+first minimizer of their ``k``-byte substrings). Anchors held by two or more
 documents select short contexts that contain every string to be compared;
-equal contexts are classes with a smallest document, found by their hashes.
-Shards of contexts with common anchors are indexed by a run-length
-Burrows-Wheeler transform, and matching statistics of the contexts streamed
-through it mark the strings that an earlier document holds.
+equal contexts are classes with a smallest document, found by 96-bit hashes.
+Different classes that agree with each other beyond an anchor form groups:
+shards of groups are indexed by a run-length Burrows-Wheeler transform, and
+matching statistics of the contexts streamed through it mark the strings that
+an earlier document holds. A group too large for one index (a passage that very
+many documents hold between different neighbours) is decided string by string,
+by the smallest document of each string's hash.
 """
 
 from __future__ import annotations
@@ -27,39 +30,56 @@ from flurry.session import release_shuffles, staged_table
 WIDTH = 50
 K = 16
 SHARD_CONTEXTS = 1 << 13  # contexts of one index
+GROUP_CONTEXTS = 1 << 12  # largest group that is indexed whole
+BLOCK = 1 << 18           # bytes hashed together
+PLACE_BITS = np.uint64(31)
 TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
+SECOND = B.BYTE_VALUE[::-1].copy()  # byte values of the second hash
 
 
-def _slide(x: np.ndarray, w: int, f) -> np.ndarray:
-    """f over every window of w entries (f: minimum or maximum)."""
+def _slide(x: np.ndarray, w: int) -> np.ndarray:
+    """Minimum of every window of w entries."""
     span, out = 1, x
     while span * 2 <= w:
-        out = f(out[:-span], out[span:])
+        out = np.minimum(out[:-span], out[span:])
         span *= 2
     if span < w:
-        out = f(out[:len(out) - (w - span)], out[w - span:])
+        out = np.minimum(out[:len(out) - (w - span)], out[w - span:])
     return out
 
 
-def anchors(raw: np.ndarray, off: np.ndarray, width: int = WIDTH, k: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, position in the block, hash) of the minimizers of every ``width``-byte string."""
+def _before(off: np.ndarray, size: int, n: int) -> np.ndarray:
+    """Places whose next ``size`` bytes cross the end of a text."""
+    at = (off[1:-1, None] - np.arange(1, size)).ravel()
+    return at[(at >= 0) & (at < n)]
+
+
+def anchors(raw: np.ndarray, off: np.ndarray, prefix: np.ndarray, width: int = WIDTH, k: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, position in the block, hash) of the first minimizer of every ``width``-byte string.
+
+    Hash (high bits) and position (low bits) share a word, so one sliding
+    minimum gives the smallest hash and, among equal ones, the first place.
+    """
     n, w = len(raw), width - k + 1
     none = np.zeros(0, np.int64)
     if n < width:
         return none, none, np.zeros(0, np.uint64)
-    prefix = B.prefix_hash(raw)
-    at = np.arange(n - k + 1)
-    h = B.span_hash(prefix, at, at + k) >> np.uint64(16)  # 48 bits travel
-    h = h | np.uint64(1 << 48)
-    doc = np.repeat(np.arange(len(off) - 1), np.diff(off))
-    h[doc[:n - k + 1] != doc[k - 1:]] = TOP
-    low = _slide(h, w, np.minimum)                        # per width-byte string
-    whole = doc[:n - width + 1] == doc[width - 1:]
-    low = np.where(whole, low[:n - width + 1], 0)
-    low = np.concatenate([np.zeros(w - 1, np.uint64), low, np.zeros(w - 1, np.uint64)])
-    most = _slide(low, w, np.maximum)[:len(h)]            # per anchor place: strings that contain it
-    pick = np.flatnonzero((most == h) & (h != TOP))
-    return doc[pick], pick, h[pick] & np.uint64((1 << 48) - 1)
+    _, down = B.powers(n + 1)
+    x = (prefix[k:] - prefix[:-k]) * down[:n - k + 1]
+    key = (x ^ (x >> np.uint64(29))) * B.GRAM
+    key >>= PLACE_BITS
+    key <<= PLACE_BITS
+    key |= np.arange(n - k + 1, dtype=np.uint64)
+    key[_before(off, k, len(key))] = TOP
+    low = _slide(key, w)                                    # per width-byte string
+    low[_before(off, width, len(low))] = TOP
+    low = low[low != TOP]
+    if not len(low):
+        return none, none, np.zeros(0, np.uint64)
+    place = (low & np.uint64((1 << 31) - 1)).astype(np.int64)
+    pick = place[np.concatenate([[True], place[1:] != place[:-1]])]
+    h = B.span_hash(prefix, pick, pick + k) >> np.uint64(16)  # 48 bits travel
+    return np.searchsorted(off, pick, "right") - 1, pick, h
 
 
 def _source(docs: DataFrame, text: str) -> DataFrame:
@@ -69,8 +89,8 @@ def _source(docs: DataFrame, text: str) -> DataFrame:
 def _shared(src: DataFrame, width: int, k: int) -> DataFrame:
     """(h, did): anchors held by two or more documents, one row per document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, raw, off in B.blocks(batches, "__text", 1 << 20):
-            doc, _, h = anchors(raw, off, width, k)
+        for batch, raw, off in B.blocks(batches, "__text", BLOCK):
+            doc, _, h = anchors(raw, off, B.prefix_hash(raw), width, k)
             if len(doc):
                 did = B.ids(batch, "did").to_numpy()
                 order = np.lexsort((h, doc))
@@ -84,121 +104,178 @@ def _shared(src: DataFrame, width: int, k: int) -> DataFrame:
             .filter("x is not null or y is not null").select("h", "did"))
 
 
-def _spots(raw: np.ndarray, off: np.ndarray, shared: list, width: int, k: int):
-    """Contexts around the shared anchors of a block, as arrays: document, start, stop, anchor,
-    ``ch`` (hash of context, anchor and its place in the context: equal ones are equal contexts),
-    and the hashes of the anchor with the half of the rest of a string on its left and on its
-    right (0: the document ends before). Equal strings around an anchor agree in one of these."""
-    doc, pos, h = anchors(raw, off, width, k)
-    keep = np.zeros(len(doc), bool)
-    edge = np.searchsorted(doc, np.arange(len(off)))
-    for d, hs in enumerate(shared):
-        x, y = edge[d], edge[d + 1]
-        if x < y and hs is not None and len(hs):
-            s = np.sort(np.asarray(hs, np.uint64))
-            at = np.minimum(np.searchsorted(s, h[x:y]), len(s) - 1)
-            keep[x:y] = s[at] == h[x:y]
-    doc, pos, h = doc[keep], pos[keep], h[keep]
-    start = np.maximum(pos - (width - k), off[doc])
-    stop = np.minimum(pos + width, off[doc + 1])
-    prefix, half = B.prefix_hash(raw), (width - k + 1) // 2
-    ch = B.mix(B.span_hash(prefix, start, stop) ^ B.mix(h + ((pos - start).astype(np.uint64) << np.uint64(48))))
-    sides = []
-    for salt, x, whole in ((1, pos - half, pos - start >= half), (2, pos + k, stop - pos - k >= half)):
-        x = np.where(whole, x, start)
-        side = B.mix(B.span_hash(prefix, x, x + half) ^ B.mix(h + (np.uint64(salt) << np.uint64(56))))
-        sides.append(np.where(whole, side, np.uint64(0)))
-    return doc, start, stop, h, ch, *sides
-
-
-def _placed(held: DataFrame, width: int, k: int) -> DataFrame:
-    """Where each document holds its contexts: ch, l, r, did, start, size."""
+def _flat(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(row, value) of a list column's entries."""
+    if isinstance(col, pa.ChunkedArray):
+        col = col.combine_chunks()
+    size = col.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(col)), size), col.flatten()
+
+
+def _second(prefix: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """32 more bits of the hash of a context."""
+    return (B.span_hash(prefix, start, stop) >> np.uint64(33)).astype(np.int32)
+
+
+def _placed(listed: DataFrame, width: int, k: int) -> DataFrame:
+    """Where each document holds the contexts of its shared anchors (list ``hs``): ch, c2, l, r, did, start, size.
+
+    ``ch, c2``: hashes of the context with its anchor's place (equal ones are
+    equal contexts). ``l, r``: the anchor with the half of the rest of a string
+    on its left and on its right (0: the document ends before). Equal strings
+    around an anchor agree in one of these.
+    """
+    half = (width - k + 1) // 2
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, raw, off in B.blocks(batches, "__text"):
+        for batch, raw, off in B.blocks(batches, "__text", BLOCK):
+            prefix = B.prefix_hash(raw)
+            doc, pos, h = anchors(raw, off, prefix, width, k)
+            of, hs = _flat(B.ids(batch, "hs"))
+            known = np.sort((of.astype(np.uint64) << np.uint64(48)) | hs.to_numpy(zero_copy_only=False).astype(np.uint64))
+            mine = (doc.astype(np.uint64) << np.uint64(48)) | h
+            if not len(doc) or not len(known):
+                continue
+            keep = known[np.minimum(np.searchsorted(known, mine), len(known) - 1)] == mine
+            doc, pos, h = doc[keep], pos[keep], h[keep]
+            if not len(doc):
+                continue
+            start = np.maximum(pos - (width - k), off[doc])
+            stop = np.minimum(pos + width, off[doc + 1])
+            ch = B.mix(B.span_hash(prefix, start, stop) ^ B.mix(h + ((pos - start).astype(np.uint64) << np.uint64(48))))
+            sides = []
+            for salt, x, whole in ((1, pos - half, pos - start >= half), (2, pos + k, stop - pos - k >= half)):
+                x = np.where(whole, x, start)
+                side = B.mix(B.span_hash(prefix, x, x + half) ^ B.mix(h + (np.uint64(salt) << np.uint64(56))))
+                sides.append(np.where(whole, side, np.uint64(0)).view(np.int64))
+            c2 = _second(B.prefix_hash(raw, SECOND), start, stop)
             did = B.ids(batch, "did").to_numpy()
-            doc, start, stop, _, ch, left, right = _spots(raw, off, B.ids(batch, "hs").to_numpy(zero_copy_only=False), width, k)
-            if len(doc):
-                yield B.as_table(ch=ch.view(np.int64), l=left.view(np.int64), r=right.view(np.int64), did=did[doc],
-                                 start=(start - off[doc]).astype(np.int32), size=(stop - start).astype(np.int32))
+            yield B.as_table(ch=ch.view(np.int64), c2=c2, l=sides[0], r=sides[1], did=did[doc],
+                             start=(start - off[doc]).astype(np.int32), size=(stop - start).astype(np.int32))
+
+    return listed.mapInArrow(run, "ch long, c2 int, l long, r long, did long, start int, size int")
 
-    return held.mapInArrow(run, "ch long, l long, r long, did long, start int, size int")
 
+def _fetch(wanted: DataFrame) -> DataFrame:
+    """The bytes of the wanted contexts (list ``cs``) of each document: side, did, ch, c2, key.
 
-def _fetch(wanted: DataFrame, width: int, k: int) -> DataFrame:
-    """The texts of the wanted contexts of each document (list ``chs``): h, did, key, starts."""
+    Rows of one id may have different texts: the second hash tells whose context it is.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw, off in B.blocks(batches, "__text"):
-            did, chs = B.ids(batch, "did").to_pylist(), B.ids(batch, "chs").to_numpy(zero_copy_only=False)
-            doc, start, stop, h, ch, *_ = _spots(raw, off, B.ids(batch, "hs").to_numpy(zero_copy_only=False), width, k)
-            edge, data = np.searchsorted(doc, np.arange(len(off))), raw.tobytes()
-            out: dict[str, list] = {"h": [], "did": [], "key": [], "starts": []}
-            for i, want in enumerate(chs):
-                mine = np.arange(edge[i], edge[i + 1])
-                mine = mine[np.isin(ch[mine].view(np.int64), np.asarray(want, np.int64))]
-                found: dict[int, list[int]] = {}
-                for j in mine.tolist():
-                    found.setdefault(int(ch[j]), []).append(j)
-                for js in found.values():
-                    out["h"].append(int(h[js[0]]))
-                    out["did"].append(did[i])
-                    out["key"].append(data[start[js[0]]:stop[js[0]]])
-                    out["starts"].append([int(start[j] - off[i]) for j in js])
-            if out["h"]:
-                yield B.as_table(h=pa.array(out["h"], pa.int64()), did=pa.array(out["did"], pa.int64()),
-                                 key=pa.array(out["key"], pa.binary()), starts=pa.array(out["starts"], pa.list_(pa.int32())))
-
-    return wanted.mapInArrow(run, "h long, did long, key binary, starts array<int>")
+            row, cs = _flat(B.ids(batch, "cs"))
+            if not len(row):
+                continue
+            field = {f.name: cs.field(i) for i, f in enumerate(cs.type)}
+            start = off[row] + field["start"].to_numpy(zero_copy_only=False)
+            stop = start + field["size"].to_numpy(zero_copy_only=False)
+            ok = stop <= off[row + 1]
+            prefix = B.prefix_hash(raw, SECOND)
+            ok &= _second(prefix, np.where(ok, start, 0), np.where(ok, stop, 0)) == field["c2"].to_numpy(zero_copy_only=False)
+            at, data = np.flatnonzero(ok), raw.tobytes()
+            if len(at):
+                pick, did = pa.array(at), B.ids(batch, "did").to_numpy()
+                yield B.as_table(side=field["side"].take(pick), did=did[row[at]], ch=field["ch"].take(pick), c2=field["c2"].take(pick),
+                                 key=pa.array([data[a:z] for a, z in zip(start[at].tolist(), stop[at].tolist())], pa.binary()))
+
+    return wanted.mapInArrow(run, "side long, did long, ch long, c2 int, key binary")
+
+
+def _ranges(hit: np.ndarray, width: int) -> list[int]:
+    """[start, end, start, end, ...] of strings that start at the sorted places ``hit``."""
+    cut = np.flatnonzero(np.diff(hit) > width)
+    first, last = hit[np.append(0, cut + 1)], hit[np.append(cut, len(hit) - 1)] + width
+    return np.stack([first, last], 1).ravel().tolist()
+
+
+MARKS = "ch long, c2 int, lo long, rel array<int>"
 
 
 def _mark(width: int):
     """One shard: where strings of each context occur in a context of a smaller document."""
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("h", "ascending"), ("did", "ascending"), ("key", "ascending")])
-        h, did = (table.column(c).to_numpy() for c in ("h", "did"))
-        starts, out = table.column("starts").to_pylist(), {"did": [], "c": []}
-        for i, hit in enumerate(covered_windows(table.column("key").to_pylist(), h, did, width)):
-            if len(hit):
-                cut = np.flatnonzero(np.diff(hit) > width)
-                runs = [(int(a), int(b) + width) for a, b in zip(hit[np.append(0, cut + 1)], hit[np.append(cut, len(hit) - 1)])]
-                out["did"].append(int(did[i]))
-                out["c"].append([v + s for s in starts[i] for r in runs for v in r])
-        return pa.table(out, schema=pa.schema([("did", pa.int64()), ("c", pa.list_(pa.int32()))]))
+        table = table.sort_by([("side", "ascending"), ("did", "ascending"), ("ch", "ascending")])
+        side, did, ch, c2 = (table.column(c).to_numpy() for c in ("side", "did", "ch", "c2"))
+        hits = covered_windows(table.column("key").to_pylist(), side, did, width)
+        at = [i for i, hit in enumerate(hits) if len(hit)]
+        return pa.table({"ch": pa.array(ch[at], pa.int64()), "c2": pa.array(c2[at], pa.int32()), "lo": pa.array(did[at], pa.int64()),
+                         "rel": pa.array([_ranges(hits[i], width) for i in at], pa.list_(pa.int32()))})
     return run
 
 
-def repeated_spans(docs: DataFrame, text: str = "text", width: int = WIDTH, k: int = K) -> DataFrame:
+def _strings(contexts: DataFrame, width: int) -> DataFrame:
+    """Every ``width``-byte string of the contexts by two 64-bit hashes: a, b, did, ch, c2, at."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cut in range(0, batch.num_rows, 2048):
+                part = batch.slice(cut, 2048)
+                keys = B.ids(part, "key").to_pylist()
+                raw = np.frombuffer(b"".join(keys), np.uint8)
+                off = np.append(0, np.cumsum([len(v) for v in keys]))
+                n = np.maximum(np.diff(off) - width + 1, 0)
+                row = np.repeat(np.arange(len(keys)), n)
+                at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                x = off[row] + at
+                a, b = (B.span_hash(B.prefix_hash(raw, v), x, x + width).view(np.int64) for v in (B.BYTE_VALUE, SECOND))
+                pick = pa.array(row)
+                yield B.as_table(a=a, b=b, did=B.ids(part, "did").take(pick), ch=B.ids(part, "ch").take(pick),
+                                 c2=B.ids(part, "c2").take(pick), at=at.astype(np.int32))
+
+    return contexts.mapInArrow(run, "a long, b long, did long, ch long, c2 int, at int")
+
+
+def _by_string(contexts: DataFrame, width: int) -> DataFrame:
+    """Marks of contexts of any number, without bringing a group together: each string's smallest
+    document is a grouped minimum (combined before the shuffle), and goes back to the strings by a join."""
+    rows = staged_table(_strings(contexts, width), "strings")
+    least = rows.groupBy("a", "b").agg(F.min("did").alias("least"), F.max("did").alias("most")).filter("least < most").drop("most")
+    covered = rows.join(least, ["a", "b"]).filter("did > least")
+    rel = F.flatten(F.transform(F.array_sort(F.collect_set("at")), lambda v: F.array(v, v + F.lit(width))))  # at most a context's strings
+    return covered.groupBy("ch", "c2", F.col("did").alias("lo")).agg(rel.alias("rel"))
+
+
+def repeated_spans(docs: DataFrame, text: str = "text", width: int = WIDTH, k: int = K,
+                   group_contexts: int = GROUP_CONTEXTS) -> DataFrame:
     """(did, cuts): per document byte ranges [start, end, start, end, ...] (they may
     overlap) covered by strings that also start in a document with a smaller id.
 
-    Equal contexts form a class, known by its hash. All its documents but the
-    smallest lose the whole context. The texts of a class are fetched from the
+    Equal contexts form a class, known by its hashes. All its documents but the
+    smallest lose the whole context. The bytes of a class are fetched from the
     smallest document, and only if another class agrees with it beyond the
-    anchor; these are indexed in shards and streamed.
+    anchor (a group): groups of at most ``group_contexts`` are indexed in shards
+    and streamed, larger ones decided by grouped minima of their strings.
     """
     spark, src = docs.sparkSession, _source(docs, text)
-    shared = staged_table(_shared(src, width, k), "anchors")
-    release_shuffles(spark)
-    lists = shared.groupBy("did").agg(F.collect_set("h").alias("hs"))  # a document's own anchors
-    held = staged_table(src.join(lists, "did"), "held")
-    release_shuffles(spark)
-    classes = staged_table(_placed(held, width, k).groupBy("ch").agg(
-        F.min("did").alias("lo"), F.max("did").alias("hi"), F.min("l").alias("l"), F.min("r").alias("r")), "classes")
+    lists = _shared(src, width, k).groupBy("did").agg(F.collect_set("h").alias("hs"))  # a document's own anchors
+    placed = staged_table(_placed(src.join(lists, "did"), width, k), "contexts")
     release_shuffles(spark)
-    ends = classes.select("ch", "lo", F.explode(F.array("l", "r")).alias("side")).filter("side <> 0")
-    mixed = ends.groupBy("side").agg(F.min("ch").alias("x"), F.max("ch").alias("y")).filter("x < y").select("side")
-    wanted = (ends.join(mixed, "side", "left_semi").groupBy("lo").agg(F.collect_set("ch").alias("chs"))
-              .withColumnRenamed("lo", "did"))  # at most a document's own contexts
-    wanted = staged_table(wanted, "wanted")
+    classes = placed.groupBy("ch", "c2").agg(F.min(F.struct("did", "start", "size", "l", "r")).alias("x"), F.max("did").alias("hi"))
+    classes = staged_table(classes.select("ch", "c2", F.col("x.did").alias("lo"), "x.start", "x.size", "x.l", "x.r", "hi"), "classes")
     release_shuffles(spark)
-    n_shards = max(1, math.ceil((wanted.agg(F.sum(F.size("chs"))).first()[0] or 0) / SHARD_CONTEXTS))
-    marks = staged_table(_fetch(held.join(wanted, "did"), width, k)
-                        .withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(n_shards)))
-                        .groupBy("shard").applyInArrow(_mark(width), "did long, c array<int>"), "marks")
+    ends = classes.select("ch", "c2", "lo", "start", "size", F.explode(F.array("l", "r")).alias("side")).filter("side <> 0")
+    groups = staged_table(ends.groupBy("side").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "groups")
+    total = groups.agg(F.sum(F.when(F.col("n") <= group_contexts, F.col("n"))).alias("small"),
+                       F.max("n").alias("most")).first()
+
+    def fetched(which: DataFrame) -> DataFrame:
+        cs = F.collect_list(F.struct("side", "ch", "c2", "start", "size"))  # at most a document's own contexts
+        wanted = ends.join(which, "side", "left_semi").groupBy("lo").agg(cs.alias("cs")).withColumnRenamed("lo", "did")
+        return _fetch(src.join(wanted, "did"))
+
+    n_shards = max(1, math.ceil((total["small"] or 0) / SHARD_CONTEXTS))
+    small = fetched(groups.filter(F.col("n") <= group_contexts)).withColumn("shard", F.pmod(F.xxhash64("side"), F.lit(n_shards)))
+    marks = staged_table(small.groupBy("shard").applyInArrow(_mark(width), MARKS), "marks")
     release_shuffles(spark)
-    whole = (_placed(held, width, k).select("ch", "did", "start", "size")
-             .join(classes.filter("lo < hi").select("ch", "lo"), "ch").filter("did > lo")
-             .select("did", F.array("start", F.col("start") + F.col("size")).alias("c")))
-    return whole.union(marks).groupBy("did").agg(F.flatten(F.collect_list("c")).alias("cuts"))
+    if (total["most"] or 0) > group_contexts:
+        large = fetched(groups.filter(F.col("n") > group_contexts)).drop("side").distinct()
+        marks = marks.unionByName(staged_table(_by_string(large, width), "marks"))
+        release_shuffles(spark)
+    decided = classes.filter("lo < hi").select("ch", "c2", "lo", F.lit(None).cast("array<int>").alias("rel")).unionByName(marks)
+    cut = placed.select("ch", "c2", "did", "start", "size").join(decided, ["ch", "c2"]).filter(
+        (F.col("rel").isNull() & (F.col("did") > F.col("lo"))) | (F.col("rel").isNotNull() & (F.col("did") == F.col("lo"))))
+    whole, part = F.array("start", F.col("start") + F.col("size")), F.transform("rel", lambda v: v + F.col("start"))
+    return (cut.select("did", F.when(F.col("rel").isNull(), whole).otherwise(part).alias("c"))
+            .groupBy("did").agg(F.flatten(F.collect_list("c")).alias("cuts")))
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", width: int = WIDTH, k: int = K) -> DataFrame:

@@ -144,6 +144,46 @@ def test_repeats(spark, docs, rows):
     assert remove_repeats(_empty(spark)).count() == 0
 
 
+def test_repeats_of_a_passage_in_a_third_of_the_documents(spark):
+    """One 60-byte passage between different neighbours: one anchor, as many contexts as documents."""
+    rng = random.Random(4)
+    noise = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    passage, other = noise(60), noise(75)
+    rows = []
+    for i in range(360):
+        body = noise(rng.randrange(20, 200))
+        if i % 3 == 0:
+            body += passage + noise(rng.randrange(0, 90))
+        elif i % 3 == 1:  # strings of the passage, cut at different places
+            a = rng.randrange(0, 20)
+            body += other[a:a + rng.randrange(49, 62)] + noise(5)
+        rows.append((i, body))
+    rows += [(400, "z" * 500), (401, "z" * 300 + "y" * 80), (402, noise(10) + "y" * 60)]
+    df, want = spark.createDataFrame(rows, "doc_id long, text string"), brute.repeats(rows)
+    for group_contexts in (4, 50, 1 << 12):  # string by string, mixed, all indexed
+        from flurry.llm import repeats
+        spans = repeats.repeated_spans(df.repartition(4), group_contexts=group_contexts)
+        got = {r["did"]: r["cuts"] for r in spans.collect()}
+        for i, t in rows:
+            gone = set()
+            for a, b in zip(got.get(i, [])[::2], got.get(i, [])[1::2]):
+                gone |= set(range(a, b))
+            mine = [w for w in want if w[0] == i][0]
+            assert len(gone) == mine[2], (group_contexts, i)
+    kept = remove_repeats(df).withColumn("sha", F.sha2("kept", 256))
+    assert _got(kept, "doc_id", "n_bytes", "n_removed", "n_spans", "sha") == want
+
+
+def test_repeats_of_null_and_repeated_ids(spark):
+    rng = random.Random(5)
+    a, b, c = ("".join(rng.choice("abcdefgh ") for _ in range(70)) for _ in range(3))
+    rows = [(1, a), (1, "short"), (None, b), (2, a), (2, "x" * 10 + b), (None, a[:60]), (3, c), (3, "y" + c[:55])]
+    got = sorted(((r["doc_id"], r["n_bytes"], r["n_removed"]) for r in remove_repeats(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    # rows of one id are one document: (2, ...) loses bytes 0-70 of both its rows, a null id comes last
+    assert got == sorted([(1, 70, 0), (1, 5, 0), (2, 70, 70), (2, 80, 70), (3, 70, 0), (3, 56, 0), (None, 70, 70), (None, 60, 60)], key=str)
+
+
 def test_run_index_marks_strings_of_smaller_owners():
     rng = random.Random(5)
     for trial in range(30):
