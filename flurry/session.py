@@ -84,10 +84,21 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
 
 def staged_table(df: DataFrame, name: str) -> DataFrame:
     """Write a large intermediate table as compressed Parquet into the shared
-    folder and read it back: like a checkpoint, but columns are compressed."""
+    folder and read it back: like a checkpoint, but columns are compressed.
+    ``discard`` removes it once what was made of it is written."""
     path = scratch_path(df.sparkSession, f"stage/{name}-{uuid.uuid4().hex}")
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out.staged_at = path
+    return out
+
+
+def discard(*staged: DataFrame) -> None:
+    """Delete staged tables whose last reader has written its result."""
+    for df in staged:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release_shuffles(spark: SparkSession) -> None:
