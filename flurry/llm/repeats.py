@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from flurry.llm import blocks as B
 from flurry.llm.runindex import covered_windows
-from flurry.session import release_shuffles, staged_table
+from flurry.session import discard, release_shuffles, staged_table
 
 WIDTH = 50
 K = 16
@@ -117,6 +117,14 @@ def _second(prefix: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarr
     return (B.span_hash(prefix, start, stop) >> np.uint64(33)).astype(np.int32)
 
 
+def _contexts(raw: np.ndarray, off: np.ndarray, prefix: np.ndarray, pos: np.ndarray, h: np.ndarray, doc: np.ndarray,
+              width: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, stop, hash with the anchor's place) of the context around each anchor: all strings that contain it."""
+    start = np.maximum(pos - (width - k), off[doc])
+    stop = np.minimum(pos + width, off[doc + 1])
+    return start, stop, B.mix(B.span_hash(prefix, start, stop) ^ B.mix(h + ((pos - start).astype(np.uint64) << np.uint64(48))))
+
+
 def _placed(listed: DataFrame, width: int, k: int) -> DataFrame:
     """Where each document holds the contexts of its shared anchors (list ``hs``): ch, c2, l, r, did, start, size.
 
@@ -140,9 +148,7 @@ def _placed(listed: DataFrame, width: int, k: int) -> DataFrame:
             doc, pos, h = doc[keep], pos[keep], h[keep]
             if not len(doc):
                 continue
-            start = np.maximum(pos - (width - k), off[doc])
-            stop = np.minimum(pos + width, off[doc + 1])
-            ch = B.mix(B.span_hash(prefix, start, stop) ^ B.mix(h + ((pos - start).astype(np.uint64) << np.uint64(48))))
+            start, stop, ch = _contexts(raw, off, prefix, pos, h, doc, width, k)
             sides = []
             for salt, x, whole in ((1, pos - half, pos - start >= half), (2, pos + k, stop - pos - k >= half)):
                 x = np.where(whole, x, start)
@@ -156,55 +162,82 @@ def _placed(listed: DataFrame, width: int, k: int) -> DataFrame:
     return listed.mapInArrow(run, "ch long, c2 int, l long, r long, did long, start int, size int")
 
 
-def _fetch(wanted: DataFrame) -> DataFrame:
-    """The bytes of the wanted contexts (list ``cs``) of each document: side, did, ch, c2, key.
+def _fetch(wanted: DataFrame, width: int, k: int) -> DataFrame:
+    """The bytes of the wanted contexts (list ``cs``) of each document, as far as strings with the wanted
+    side reach: side, did, ch, c2, at (first byte in the context), key."""
+    half = (width - k + 1) // 2
 
-    Rows of one id may have different texts: the second hash tells whose context it is.
-    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, raw, off in B.blocks(batches, "__text"):
+        for batch, raw, off in B.blocks(batches, "__text", BLOCK):
             row, cs = _flat(B.ids(batch, "cs"))
-            if not len(row):
+            prefix = B.prefix_hash(raw)
+            doc, pos, h = anchors(raw, off, prefix, width, k)
+            if not len(row) or not len(doc):
                 continue
+            start, stop, ch = _contexts(raw, off, prefix, pos, h, doc, width, k)
+            key = B.mix(ch ^ B.mix(doc.astype(np.uint64)))
+            order = np.argsort(key, kind="stable")
             field = {f.name: cs.field(i) for i, f in enumerate(cs.type)}
-            start = off[row] + field["start"].to_numpy(zero_copy_only=False)
-            stop = start + field["size"].to_numpy(zero_copy_only=False)
-            ok = stop <= off[row + 1]
-            prefix = B.prefix_hash(raw, SECOND)
-            ok &= _second(prefix, np.where(ok, start, 0), np.where(ok, stop, 0)) == field["c2"].to_numpy(zero_copy_only=False)
-            at, data = np.flatnonzero(ok), raw.tobytes()
-            if len(at):
-                pick, did = pa.array(at), B.ids(batch, "did").to_numpy()
-                yield B.as_table(side=field["side"].take(pick), did=did[row[at]], ch=field["ch"].take(pick), c2=field["c2"].take(pick),
-                                 key=pa.array([data[a:z] for a, z in zip(start[at].tolist(), stop[at].tolist())], pa.binary()))
+            want = field["ch"].to_numpy(zero_copy_only=False).view(np.uint64)
+            spot = order[np.minimum(np.searchsorted(key[order], B.mix(want ^ B.mix(row.astype(np.uint64)))), len(order) - 1)]
+            ok = (ch[spot] == want) & (doc[spot] == row)   # another row of the same id may hold it
+            at = np.flatnonzero(ok)
+            if not len(at):
+                continue
+            spot, left = spot[at], field["left"].to_numpy(zero_copy_only=False)[at]
+            begin = np.where(left, start[spot], np.maximum(start[spot], pos[spot] - half))
+            end = np.where(left, np.minimum(stop[spot], pos[spot] + k + half), stop[spot])
+            pick, did, data = pa.array(at), B.ids(batch, "did").to_numpy(), raw.tobytes()
+            yield B.as_table(side=field["side"].take(pick), did=did[row[at]], ch=field["ch"].take(pick), c2=field["c2"].take(pick),
+                             at=(begin - start[spot]).astype(np.int32),
+                             key=pa.array([data[a:z] for a, z in zip(begin.tolist(), end.tolist())], pa.binary()))
 
-    return wanted.mapInArrow(run, "side long, did long, ch long, c2 int, key binary")
+    return wanted.mapInArrow(run, "side long, did long, ch long, c2 int, at int, key binary")
 
 
-def _ranges(hit: np.ndarray, width: int) -> list[int]:
+def _ranges(hit: np.ndarray, width: int, shift: int) -> list[int]:
     """[start, end, start, end, ...] of strings that start at the sorted places ``hit``."""
     cut = np.flatnonzero(np.diff(hit) > width)
     first, last = hit[np.append(0, cut + 1)], hit[np.append(cut, len(hit) - 1)] + width
-    return np.stack([first, last], 1).ravel().tolist()
+    return (np.stack([first, last], 1).ravel() + shift).tolist()
 
 
 MARKS = "ch long, c2 int, lo long, rel array<int>"
 
 
 def _mark(width: int):
-    """One shard: where strings of each context occur in a context of a smaller document."""
+    """One shard: where strings of each context occur in a context of a smaller document.
+
+    Equal keys of a group are indexed once, for their smallest document; the others are covered whole."""
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("side", "ascending"), ("did", "ascending"), ("ch", "ascending")])
-        side, did, ch, c2 = (table.column(c).to_numpy() for c in ("side", "did", "ch", "c2"))
-        hits = covered_windows(table.column("key").to_pylist(), side, did, width)
-        at = [i for i, hit in enumerate(hits) if len(hit)]
-        return pa.table({"ch": pa.array(ch[at], pa.int64()), "c2": pa.array(c2[at], pa.int32()), "lo": pa.array(did[at], pa.int64()),
-                         "rel": pa.array([_ranges(hits[i], width) for i in at], pa.list_(pa.int32()))})
+        table = table.sort_by([("side", "ascending"), ("key", "ascending"), ("did", "ascending")])
+        side, did, ch, c2, at = (table.column(c).to_numpy() for c in ("side", "did", "ch", "c2", "at"))
+        keys = table.column("key").to_pylist()
+        new = np.array([i == 0 or side[i] != side[i - 1] or keys[i] != keys[i - 1] for i in range(len(keys))])
+        head, of = np.flatnonzero(new), np.cumsum(new) - 1
+        many = np.bincount(np.unique(side[head], return_inverse=True)[1])[np.unique(side[head], return_inverse=True)[1]] > 1
+        ask = head[many]                                      # groups of one key need no index
+        ask = ask[np.lexsort((did[ask], side[ask]))]
+        hits = dict(zip(ask.tolist(), covered_windows([keys[i] for i in ask], side[ask], did[ask], width)))
+        out: dict[str, list] = {"i": [], "rel": []}
+        for i in range(len(keys)):
+            first = head[of[i]]
+            if did[i] > did[first]:
+                rel = [int(at[i]), int(at[i]) + len(keys[i])] if len(keys[i]) >= width else []
+            else:
+                hit = hits.get(int(first), ())
+                rel = _ranges(hit, width, int(at[i])) if len(hit) else []
+            if rel:
+                out["i"].append(i)
+                out["rel"].append(rel)
+        i = np.array(out["i"], np.int64)
+        return pa.table({"ch": pa.array(ch[i], pa.int64()), "c2": pa.array(c2[i], pa.int32()), "lo": pa.array(did[i], pa.int64()),
+                         "rel": pa.array(out["rel"], pa.list_(pa.int32()))})
     return run
 
 
 def _strings(contexts: DataFrame, width: int) -> DataFrame:
-    """Every ``width``-byte string of the contexts by two 64-bit hashes: a, b, did, ch, c2, at."""
+    """Every ``width``-byte string of the contexts by two 64-bit hashes, with its place in the context: a, b, did, ch, c2, at."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for cut in range(0, batch.num_rows, 2048):
@@ -219,7 +252,7 @@ def _strings(contexts: DataFrame, width: int) -> DataFrame:
                 a, b = (B.span_hash(B.prefix_hash(raw, v), x, x + width).view(np.int64) for v in (B.BYTE_VALUE, SECOND))
                 pick = pa.array(row)
                 yield B.as_table(a=a, b=b, did=B.ids(part, "did").take(pick), ch=B.ids(part, "ch").take(pick),
-                                 c2=B.ids(part, "c2").take(pick), at=at.astype(np.int32))
+                                 c2=B.ids(part, "c2").take(pick), at=at.astype(np.int32) + B.ids(part, "at").to_numpy()[row])
 
     return contexts.mapInArrow(run, "a long, b long, did long, ch long, c2 int, at int")
 
@@ -227,7 +260,7 @@ def _strings(contexts: DataFrame, width: int) -> DataFrame:
 def _by_string(contexts: DataFrame, width: int) -> DataFrame:
     """Marks of contexts of any number, without bringing a group together: each string's smallest
     document is a grouped minimum (combined before the shuffle), and goes back to the strings by a join."""
-    rows = staged_table(_strings(contexts, width), "strings")
+    rows = staged_table(_strings(contexts, width), "strings")  # the group's strings, a row each
     least = rows.groupBy("a", "b").agg(F.min("did").alias("least"), F.max("did").alias("most")).filter("least < most").drop("most")
     covered = rows.join(least, ["a", "b"]).filter("did > least")
     rel = F.flatten(F.transform(F.array_sort(F.collect_set("at")), lambda v: F.array(v, v + F.lit(width))))  # at most a context's strings
@@ -246,36 +279,48 @@ def repeated_spans(docs: DataFrame, text: str = "text", width: int = WIDTH, k: i
     and streamed, larger ones decided by grouped minima of their strings.
     """
     spark, src = docs.sparkSession, _source(docs, text)
-    lists = _shared(src, width, k).groupBy("did").agg(F.collect_set("h").alias("hs"))  # a document's own anchors
+    lists = staged_table(_shared(src, width, k).groupBy("did").agg(F.collect_set("h").alias("hs")), "anchors")  # a document's own
+    release_shuffles(spark)
     placed = staged_table(_placed(src.join(lists, "did"), width, k), "contexts")
+    discard(lists)
     release_shuffles(spark)
-    classes = placed.groupBy("ch", "c2").agg(F.min(F.struct("did", "start", "size", "l", "r")).alias("x"), F.max("did").alias("hi"))
-    classes = staged_table(classes.select("ch", "c2", F.col("x.did").alias("lo"), "x.start", "x.size", "x.l", "x.r", "hi"), "classes")
+    classes = staged_table(placed.groupBy("ch", "c2").agg(
+        F.min("did").alias("lo"), F.max("did").alias("hi"), F.min("l").alias("l"), F.min("r").alias("r")), "classes")
     release_shuffles(spark)
-    ends = classes.select("ch", "c2", "lo", "start", "size", F.explode(F.array("l", "r")).alias("side")).filter("side <> 0")
+    side = F.explode(F.array(F.struct(F.col("l").alias("side"), F.lit(True).alias("left")), F.struct(F.col("r").alias("side"), F.lit(False).alias("left")))).alias("s")
+    ends = classes.select("ch", "c2", "lo", side).select("ch", "c2", "lo", "s.*").filter("side <> 0")
     groups = staged_table(ends.groupBy("side").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "groups")
-    total = groups.agg(F.sum(F.when(F.col("n") <= group_contexts, F.col("n"))).alias("small"),
-                       F.max("n").alias("most")).first()
+    release_shuffles(spark)
+    total = groups.agg(F.sum(F.when(F.col("n") <= group_contexts, F.col("n"))).alias("small"), F.max("n").alias("most")).first()
 
-    def fetched(which: DataFrame) -> DataFrame:
-        cs = F.collect_list(F.struct("side", "ch", "c2", "start", "size"))  # at most a document's own contexts
-        wanted = ends.join(which, "side", "left_semi").groupBy("lo").agg(cs.alias("cs")).withColumnRenamed("lo", "did")
-        return _fetch(src.join(wanted, "did"))
+    def fetched(which: DataFrame) -> tuple[DataFrame, DataFrame]:
+        cs = F.collect_list(F.struct("side", "left", "ch", "c2"))  # at most a document's own contexts
+        wanted = staged_table(ends.join(which, "side", "left_semi").groupBy("lo").agg(cs.alias("cs")).withColumnRenamed("lo", "did"), "wanted")
+        release_shuffles(spark)
+        return _fetch(src.join(wanted, "did"), width, k), wanted
 
     n_shards = max(1, math.ceil((total["small"] or 0) / SHARD_CONTEXTS))
-    small = fetched(groups.filter(F.col("n") <= group_contexts)).withColumn("shard", F.pmod(F.xxhash64("side"), F.lit(n_shards)))
-    marks = staged_table(small.groupBy("shard").applyInArrow(_mark(width), MARKS), "marks")
-    release_shuffles(spark)
+    small, wanted = fetched(groups.filter(F.col("n") <= group_contexts))
+    small = small.withColumn("shard", F.pmod(F.xxhash64("side"), F.lit(n_shards)))
+    parts = [staged_table(small.groupBy("shard").applyInArrow(_mark(width), MARKS), "marks")]
+    done = [groups, wanted]
     if (total["most"] or 0) > group_contexts:
-        large = fetched(groups.filter(F.col("n") > group_contexts)).drop("side").distinct()
-        marks = marks.unionByName(staged_table(_by_string(large, width), "marks"))
-        release_shuffles(spark)
-    decided = classes.filter("lo < hi").select("ch", "c2", "lo", F.lit(None).cast("array<int>").alias("rel")).unionByName(marks)
+        large, wanted = fetched(groups.filter(F.col("n") > group_contexts))
+        parts.append(staged_table(_by_string(large.drop("side"), width), "marks"))
+        done.append(wanted)
+    discard(*done)
+    release_shuffles(spark)
+    decided = classes.filter("lo < hi").select("ch", "c2", "lo", F.lit(None).cast("array<int>").alias("rel"))
+    for marks in parts:
+        decided = decided.unionByName(marks)
     cut = placed.select("ch", "c2", "did", "start", "size").join(decided, ["ch", "c2"]).filter(
         (F.col("rel").isNull() & (F.col("did") > F.col("lo"))) | (F.col("rel").isNotNull() & (F.col("did") == F.col("lo"))))
     whole, part = F.array("start", F.col("start") + F.col("size")), F.transform("rel", lambda v: v + F.col("start"))
-    return (cut.select("did", F.when(F.col("rel").isNull(), whole).otherwise(part).alias("c"))
-            .groupBy("did").agg(F.flatten(F.collect_list("c")).alias("cuts")))
+    cuts = staged_table(cut.select("did", F.when(F.col("rel").isNull(), whole).otherwise(part).alias("c"))
+                        .groupBy("did").agg(F.flatten(F.collect_list("c")).alias("cuts")), "cuts")
+    discard(placed, classes, *parts)
+    release_shuffles(spark)
+    return cuts
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", width: int = WIDTH, k: int = K) -> DataFrame:
