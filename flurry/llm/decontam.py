@@ -25,6 +25,7 @@ MASKS = ("1111111", "11011011011", "1101010110011", "10100110111001")
 MIN_TOKENS = 10       # agreeing tokens of a verified overlap
 MIN_AGREE = 0.8       # share of agreeing tokens inside it
 BLOCK_ITEMS_BYTES = 4 << 20
+PAIRS_AT_ONCE = 1 << 20  # seed hits expanded together
 
 
 def _care(masks: tuple[str, ...]) -> list[np.ndarray]:
@@ -58,32 +59,84 @@ class TestIndex:
             h = _window_hashes(self.words, care, k)
             at = np.flatnonzero(of[:len(h)] == of[int(care[-1]):]) if len(h) else np.zeros(0, np.int64)
             order = np.argsort(h[at], kind="stable")
-            keys, begin = np.unique(h[at][order], return_index=True)
+            h, at = h[at][order], at[order]
+            keys, rank = np.unique(h, return_inverse=True)
+            item = of[at]
+            # places of one hash in one item: entries first[key] .. first[key + 1], each with its run of places
+            head = np.flatnonzero(np.concatenate([[True], (rank[1:] != rank[:-1]) | (item[1:] != item[:-1])])) if len(at) else at
+            entries = np.searchsorted(rank[head], np.arange(len(keys) + 1))
             seen = np.zeros(1 << 22, bool)  # first test of a training hash: one table look-up
             seen[(keys & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
-            self.tables.append((care, keys, np.append(begin, len(at)), at[order], seen))
-
-
-def _hits(index: TestIndex, words: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Distinct (text, item, diagonal) of all seed hits; diagonal = training - item position."""
+            self.tables.append((care, keys, entries, item[head], np.append(head, len(at)), at, seen))
+
+
+def _ramp(n: np.ndarray) -> np.ndarray:
+    """0 .. n_i - 1 for each i, concatenated."""
+    return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+
+
+def _triples(index: TestIndex, words: np.ndarray, doc: np.ndarray, mask: int):
+    """Seed hits of one mask, grouped: arrays (document, item, document's hits, item's places) with one row per
+    (document, hash, item); hits and places are runs [begin, end) of the two position arrays that follow."""
+    care, keys, entries, item, head, places, seen = index.tables[mask]
+    h = _window_hashes(words, care, mask)
+    if not len(h) or not len(keys):
+        return None
+    at = np.flatnonzero(seen[(h & np.uint64((1 << 22) - 1)).astype(np.int64)])
+    at = at[doc[at] == doc[at + int(care[-1])]]
+    key = np.minimum(np.searchsorted(keys, h[at]), len(keys) - 1)
+    ok = keys[key] == h[at]
+    at, key = at[ok], key[ok]
+    if not len(at):
+        return None
+    order = np.lexsort((at, key, doc[at]))
+    at, key = at[order], key[order]
+    begin = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (doc[at[1:]] != doc[at[:-1]])]))
+    end, k = np.append(begin[1:], len(at)), key[begin]
+    n = entries[k + 1] - entries[k]
+    g = np.repeat(np.arange(len(begin)), n)
+    e = _ramp(n) + entries[k][g]
+    return doc[at[begin[g]]], item[e], begin[g], end[g], head[e], head[e + 1], at, places
+
+
+def _hits(index: TestIndex, words: np.ndarray, doc: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Seed hits as distinct (text, item, diagonal) rows, diagonal = training - item position, and the
+    (text, item) pairs with more hits of a mask than diagonals, as in repetitive texts: these are not expanded.
+
+    ``size``: tokens of each text."""
+    masks = [t for t in (_triples(index, words, doc, m) for m in range(len(index.tables))) if t is not None]
+    if not masks:
+        return np.zeros((0, 3), np.int64), np.zeros((0, 2), np.int64)
+    items = len(index.first) - 1
+    pair = [t[0] * items + t[1] for t in masks]
+    many = [(t[3] - t[2]) * (t[5] - t[4]) for t in masks]
+    pairs, of = np.unique(np.concatenate(pair), return_inverse=True)
+    hits = np.bincount(of, np.concatenate(many))
+    dense = pairs[hits > len(index.tables) * (size[pairs // items] + np.diff(index.first)[pairs % items])]
     found = []
-    item_of = B.text_of(index.first, len(index.words))
-    for k, (care, keys, begin, places, seen) in enumerate(index.tables):
-        h = _window_hashes(words, care, k)
-        if not len(h) or not len(keys):
-            continue
-        at = np.flatnonzero(seen[(h & np.uint64((1 << 22) - 1)).astype(np.int64)])
-        at = at[doc[at] == doc[at + int(care[-1])]]
-        pos = np.minimum(np.searchsorted(keys, h[at]), len(keys) - 1)
-        ok = keys[pos] == h[at]
-        at, pos = at[ok], pos[ok]
-        if not len(at):
-            continue
-        n = begin[pos + 1] - begin[pos]
-        rep = np.repeat(np.arange(len(at)), n)
-        slot = places[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + begin[pos][rep]]
-        found.append(np.stack([doc[at][rep], item_of[slot], at[rep] - slot], 1))
-    return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
+    for (d, item, b, e, lo, hi, at, places), p, m in zip(masks, pair, many):
+        rows = np.flatnonzero(~np.isin(p, dense))
+        cut = np.searchsorted(np.cumsum(m[rows]), np.arange(0, m[rows].sum(), PAIRS_AT_ONCE), "right")
+        for part in np.split(rows, np.unique(cut)[1:]) if len(rows) else []:
+            r = np.repeat(part, m[part])
+            step, width = _ramp(m[part]), (hi - lo)[r]
+            diag = at[b[r] + step // width] - places[lo[r] + step % width]
+            found.append(np.unique(np.stack([d[r], item[r], diag], 1), axis=0))
+    sparse = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
+    return sparse, np.stack([dense // items, dense % items], 1)
+
+
+def _seeded(same: np.ndarray, masks: list[np.ndarray]) -> bool:
+    """Whether a diagonal has a seed hit: some window in which all positions of a mask agree."""
+    for care in masks:
+        m = len(same) - int(care[-1])
+        if m > 0:
+            hit = same[:m].copy()
+            for i in care[1:]:
+                hit &= same[i:i + m]
+            if hit.any():
+                return True
+    return False
 
 
 def _best_run(same: np.ndarray, min_agree: float) -> tuple[int, int]:
@@ -120,6 +173,10 @@ def spaced_seed_overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "tex
     in a narrow pass without a shuffle. Items longer than a block form larger
     blocks; nothing is cut.
 
+    A (document, item) pair with more seed hits than diagonals, as in repetitive
+    texts, is not expanded into its hits: its diagonals are compared from the
+    longest on, and end where none can agree more. Ties go to the smaller diagonal.
+
     Null or empty texts (either side) overlap with nothing; texts with fewer
     tokens than a mask cannot hit it. Repeated documents each get their rows;
     repeated items with one id give one row, the best. Other columns are not
@@ -150,17 +207,34 @@ def _scanner(index, min_tokens: int, min_agree: float):
             _, _, first, words = _tokens(raw, off)
             doc = B.text_of(first, len(words))
             best: dict[tuple, tuple] = {}
-            for d, item, diag in _hits(ix, words, doc).tolist():
+            size, seeds = np.diff(first), _care(ix.masks)
+            sparse, dense = _hits(ix, words, doc, size)
+            head = np.flatnonzero(np.concatenate([[True], (sparse[1:, :2] != sparse[:-1, :2]).any(1)])) if len(sparse) else []
+            jobs = [(*sparse[a, :2].tolist(), sparse[a:z, 2], False) for a, z in zip(head, [*head[1:], len(sparse)])]
+            jobs += [(d, i, np.arange(first[d] - ix.first[i + 1] + 1, first[d + 1] - ix.first[i]), True) for d, i in dense.tolist()]
+            for d, item, diag, unsure in sorted(jobs, key=lambda j: j[:2]):
                 a, z = ix.first[item], ix.first[item + 1]
-                lo, hi = max(a, first[d] - diag), min(z, first[d + 1] - diag)
-                same = words[lo + diag:hi + diag] == ix.words[lo:hi]
-                x, y = _best_run(same, min_agree)
-                agree = int(same[x:y].sum())
-                if agree >= min_tokens:
-                    row = (agree, y - x, int(z - a), int(lo + diag + x - first[d]), int(lo + diag + y - first[d]))
-                    key = (d, ix.item_ids[item])
-                    if key not in best or row[:1] > best[key][:1]:
-                        best[key] = row
+                los, his = np.maximum(a, first[d] - diag), np.minimum(z, first[d + 1] - diag)
+                key = (d, ix.item_ids[item])
+                top = best[key][0] if key in best else min_tokens - 1
+                mine = None
+                # longest diagonals first: one that is not longer than what is found cannot agree more
+                for j in np.lexsort((diag, los - his)).tolist():
+                    lo, hi, g = int(los[j]), int(his[j]), int(diag[j])
+                    if hi - lo < top or (hi - lo == top and (mine is None or g > mine[5])):
+                        if hi - lo < top:
+                            break
+                        continue
+                    same = words[lo + g:hi + g] == ix.words[lo:hi]
+                    if int(same.sum()) < top or (unsure and not _seeded(same, seeds)):
+                        continue
+                    x, y = _best_run(same, min_agree)
+                    agree = int(same[x:y].sum())
+                    if agree > top or (agree == top and mine is not None and g < mine[5]):
+                        top = agree
+                        mine = (agree, y - x, int(z - a), int(lo + g + x - first[d]), int(lo + g + y - first[d]), g)
+                if mine is not None:
+                    best[key] = mine[:5]
             if best:
                 own = B.ids(batch)
                 cols = list(zip(*best.values()))

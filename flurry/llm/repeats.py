@@ -30,7 +30,7 @@ from flurry.session import discard, release_shuffles, staged_table
 WIDTH = 50
 K = 16
 SHARD_CONTEXTS = 1 << 13  # contexts of one index
-GROUP_CONTEXTS = 1 << 12  # largest group that is indexed whole
+GROUP_CONTEXTS = 1 << 15  # largest group that is indexed whole (about 2 MB of text)
 BLOCK = 1 << 18           # bytes hashed together
 PLACE_BITS = np.uint64(31)
 TOP = np.uint64(0xFFFFFFFFFFFFFFFF)

@@ -223,6 +223,39 @@ def test_decontamination(spark):
     assert spaced_seed_overlaps(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_repetitive_texts(spark):
+    """Few different words: more seed hits than diagonals. Against all diagonals."""
+    from flurry.llm.decontam import MASKS
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(v) for _ in range(n)) for v, n in (("a", 60), ("ab", 90), ("ab", 40), ("abc", 120), (["x", "y", "z z"], 70))]
+    texts += ["a " * 30 + "b " + "a " * 25, "q " * 5, texts[1] + " c c c " + texts[3][:80]]
+    rows, items = list(enumerate(texts)), [(i, t) for i, t in enumerate(texts[:6])] + [(0, "a " * 70), (7, texts[2] + " " + texts[0])]
+    want = []
+    for d, t in rows:
+        best = {}
+        for i, u in items:
+            x, y = np.array(t.split()), np.array(u.split())
+            mine = None
+            for g in range(1 - len(y), len(x)):
+                lo, hi = max(0, -g), min(len(y), len(x) - g)
+                same = x[lo + g:hi + g] == y[lo:hi]
+                if not any(all(same[p + k] for k, c in enumerate(m) if c == "1") for m in MASKS for p in range(len(same) - len(m) + 1)):
+                    continue
+                a, z = _best_run(same, 0.8)
+                if same[a:z].sum() >= 10 and (mine is None or same[a:z].sum() > mine[0]):
+                    mine = (int(same[a:z].sum()), z - a, lo + g + a)
+            if mine and (i not in best or mine[0] > best[i][0]):
+                best[i] = mine
+        want += [(d, i, *v) for i, v in best.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = _got(spaced_seed_overlaps(docs, bench), "doc_id", "item_id", "n_agree", "n_span", "doc_start")
+    assert sorted(r[:3] for r in got) == sorted(r[:3] for r in want) and len(want) > 20
+    long = spark.createDataFrame([(1, "a " * 20_000), (2, "a b " * 10_000)], "doc_id long, text string")
+    got = _got(spaced_seed_overlaps(long, long.withColumnRenamed("doc_id", "item_id")), "doc_id", "item_id", "n_agree")
+    assert got == [(1, 1, 20_000), (2, 2, 20_000)]
+
+
 def test_decontamination_finds_every_qualifying_run(spark):
     rng = np.random.default_rng(1)
     for _ in range(150):
