@@ -294,11 +294,9 @@ def _minority_neighbours(pts: DataFrame, kk: int, neighbours: str, lsh: dict | N
     from flurry.operators.vectors import knn_approx
     opts = dict(threshold=None, bucket_length=1.0, num_hash_tables=4)
     opts.update(lsh or {})
-    ap = knn_approx(pts, pts, kk + 1, opts["threshold"], "_id", "_arr", opts["bucket_length"],
-                    opts["num_hash_tables"]).where(F.col("q") != F.col("b"))
-    from pyspark.sql.window import Window
-    ap = ap.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy("dist", "b")))
-    ap = ap.where(F.col("rank") <= kk)
+    ap = knn_approx(pts, pts, kk, opts["threshold"], "_id", "_arr", opts["bucket_length"],
+                    opts["num_hash_tables"], exclude_self=True)
+    # a threshold may leave too few
     full = ap.groupBy("q").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") == kk).select("q")
     short = pts.join(full.withColumnRenamed("q", "_id"), "_id", "left_anti")
     exact = knn(short, pts, kk, "_id", "_id", "_arr", "_arr", exclude_self=True)
@@ -329,9 +327,11 @@ def smote(df: DataFrame, label: str, minority, ratio: float = 1.0, k: int = 5, s
     n_maj = base.where(F.col(label) != F.lit(minority)).count()
     n_new = int(ratio * n_maj) - n_min
     out = df.withColumn("synthetic", F.lit(False))
-    if n_new <= 0 or n_min < 2:
+    if n_new <= 0:
         return out
-    kk = min(k, n_min - 1)
+    if n_min <= k:
+        raise ValueError(f"SMOTE needs more than k = {k} minority rows, found {n_min}")
+    kk = k
     pts = mino.select(F.col(id_col).alias("_id"), "_arr")
     nn = _minority_neighbours(pts, kk, neighbours, lsh)
     numbered = positions(pts.select("_id"), [], ["_id"], "_pos")

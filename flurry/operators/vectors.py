@@ -1,14 +1,12 @@
 """Vector similarity (K2-K5, K7, M7).
 
-Exact k-nearest neighbours by squared L2, without a cross join and without
-emitting all pairs. Both sides are hashed into blocks of at most
-``block_rows`` rows; every (query block, base block) pair meets in one
-``cogroup`` task, where numpy computes that block's distance matrix in
-memory and emits only each query's k best. A query therefore produces at
-most k rows per base block, and a window keeps its overall k best. Work per
-task is bounded by ``block_rows``² · dim whatever the data size; the number
-of tasks grows with the number of block pairs, which is the cost of an
-exact search. For large data use ``knn_approx`` (LSH).
+Exact k-nearest neighbours by squared L2 (``knn``), without a cross join:
+base rows belong to the cell of their nearest pivot (a Voronoi partition, as
+in kNN joins with pivots). Every query first searches its own cell; the
+distance of its k-th neighbour there, with the triangle inequality, rules out
+cells, and inside a visited cell rows by their distance to the pivot. Cells
+are cut into blocks of at most ``block_rows`` rows, and blocks meet queries in
+bounded ``cogroup`` tasks that emit only each query's k best.
 
 Distances: candidates are chosen with the ||a||² + ||b||² - 2a·b form and
 re-scored as the sum of squared differences in float64, so exact
@@ -27,119 +25,230 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 from pyspark.ml.functions import vector_to_array
 
-_PAIR_SCHEMA = "q long, b long, dist double"
+from flurry.session import cut_lineage
 
+SAMPLE_ROWS = 4096   # rows the pivots are chosen from
+MAX_PIVOTS = 256
+QUERY_ROWS = 4096    # queries that meet a block in one task
+STRIP = 256          # queries scored together
 
-def _block_topk(k: int, exclude_self: bool = False):
-    """cogroup body: exact top-k of each query against one base block.
 
-    The ||a||² + ||b||² - 2a·b form ranks the block; every candidate within
-    rounding distance of the k-th value is then re-scored exactly (sum of
-    squared differences) and ordered by (distance, id). Keeping the whole
-    tolerance band means exact ties -- duplicates -- are all compared, so the
-    id tie-break is exact too.
+def _nearest(Q: np.ndarray, own: np.ndarray, B: np.ndarray, bid: np.ndarray, k: int):
+    """Exact top-k of each query against one block: (query row, block row, distance).
+
+    ``bid``: order of the block rows by id (ties), ``own``: the query's own
+    code among them, or -1. The ||a||² + ||b||² - 2a·b form ranks the block;
+    every candidate within rounding distance of the k-th value is re-scored
+    exactly and ordered by (distance, id). Keeping the whole tolerance band
+    means exact ties -- duplicates -- are all compared.
     """
+    skip = bool((own >= 0).any())
+    kk = min(k + (1 if skip else 0), len(bid))
+    bn = (B * B).sum(axis=1)
+    qn = (Q * Q).sum(axis=1)
+    approx = qn[:, None] + bn[None, :] - 2.0 * (Q @ B.T)
+    kth = np.partition(approx, kk - 1, axis=1)[:, kk - 1]
+    tol = 1e-9 * (qn + bn.max()) + 1e-12
+    r, c = np.nonzero(approx <= (kth + tol)[:, None])
+    out = []
+    for part in np.array_split(np.arange(len(r)), max(1, len(r) // 65536)):
+        diff = Q[r[part]] - B[c[part]]
+        out.append((diff * diff).sum(axis=1))
+    d = np.concatenate(out)
+    if skip:
+        other = bid[c] != own[r]
+        r, c, d = r[other], c[other], d[other]
+    order = np.lexsort((bid[c], d, r))
+    r, c, d = r[order], c[order], d[order]
+    top = np.arange(len(r)) - np.searchsorted(r, r) < k
+    return r[top], c[top], d[top]
+
+
+def _codes(qid: np.ndarray, bid: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Ids as numbers in id order: (codes of the queries or -1, codes of the block rows)."""
+    values, codes = np.unique(bid, return_inverse=True)
+    if not same:
+        return np.full(len(qid), -1), codes
+    at = np.minimum(np.searchsorted(values, qid), len(values) - 1)
+    return np.where(values[at] == qid, at, -1), codes
+
+
+def _block_topk(k: int, exclude_self: bool = False):
+    """cogroup body: top-k of each query against one block. Columns ``d`` (distance to the block's pivot) and
+    ``reach`` (the query's k-th distance so far) restrict the block's rows, if present."""
     def fn(key, qdf: pd.DataFrame, bdf: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"q": pd.Series([], dtype="int64"), "b": pd.Series([], dtype="int64"),
-                              "dist": pd.Series([], dtype="float64")})
-        if len(qdf) == 0 or len(bdf) == 0:
-            return empty
-        Q = np.stack(qdf["v"].to_numpy()).astype(np.float64)
-        B = np.stack(bdf["v"].to_numpy()).astype(np.float64)
-        qid = qdf["id"].to_numpy(dtype=np.int64)
-        bid = bdf["id"].to_numpy(dtype=np.int64)
-        bn = (B * B).sum(axis=1)
-        kk = min(k + (1 if exclude_self else 0), len(bid))
-        out_q, out_b, out_d = [], [], []
-        step = 256
-        for s0 in range(0, len(qid), step):
-            q, qi = Q[s0:s0 + step], qid[s0:s0 + step]
-            qn = (q * q).sum(axis=1)
-            approx = qn[:, None] + bn[None, :] - 2.0 * (q @ B.T)
-            kth = np.partition(approx, kk - 1, axis=1)[:, kk - 1]
-            tol = 1e-9 * (qn + bn.max()) + 1e-12
-            band = approx <= (kth + tol)[:, None]
-            plain = band.sum(axis=1) == kk          # no ties at the cut: kk candidates
-            if plain.any():
-                rows = np.flatnonzero(plain)
-                cand = np.argpartition(approx[rows], kk - 1, axis=1)[:, :kk]
-                diff = q[rows][:, None, :] - B[cand]
-                ex = (diff * diff).sum(axis=2)
-                ids = bid[cand]
-                if exclude_self:
-                    ex = np.where(ids == qi[rows][:, None], np.inf, ex)
-                o = np.lexsort((ids, ex), axis=1)[:, :k]
-                sel = np.arange(len(rows))[:, None]
-                d, b = ex[sel, o], ids[sel, o]
-                ok = np.isfinite(d)
-                out_q.append(np.repeat(qi[rows], o.shape[1])[ok.ravel()])
-                out_b.append(b.ravel()[ok.ravel()])
-                out_d.append(d.ravel()[ok.ravel()])
-            for r in np.flatnonzero(~plain):       # ties at the cut: compare them all
-                c = np.flatnonzero(band[r])
-                diff = B[c] - q[r]
-                ex = (diff * diff).sum(axis=1)
-                ids = bid[c]
-                if exclude_self:
-                    keep = ids != qi[r]
-                    ex, ids = ex[keep], ids[keep]
-                o = np.lexsort((ids, ex))[:k]
-                out_q.append(np.full(len(o), qi[r], dtype=np.int64))
-                out_b.append(ids[o])
-                out_d.append(ex[o])
-        if not out_q:
-            return empty
-        return pd.DataFrame({"q": np.concatenate(out_q), "b": np.concatenate(out_b),
-                             "dist": np.concatenate(out_d)})
+        found = {"q": [], "b": [], "dist": []}
+        if len(qdf) and len(bdf):
+            pivoted = "reach" in qdf
+            if pivoted:
+                qdf, bdf = qdf.sort_values("d"), bdf.sort_values("d")
+            Q = np.stack(qdf["v"].to_numpy()).astype(np.float64)
+            B = np.stack(bdf["v"].to_numpy()).astype(np.float64)
+            qid, bid = qdf["id"].to_numpy(), bdf["id"].to_numpy()
+            own, code = _codes(qid, bid, exclude_self)
+            for at in range(0, len(qid), STRIP):
+                cut = slice(at, at + STRIP)
+                lo, hi = 0, len(bid)
+                if pivoted:  # | |q - p| - |x - p| | <= |q - x|
+                    d, reach, have = qdf["d"].to_numpy()[cut], qdf["reach"].to_numpy()[cut], bdf["d"].to_numpy()
+                    reach = reach * (1 + 1e-9) + 1e-9 * (1 + d)
+                    lo, hi = np.searchsorted(have, (d - reach).min()), np.searchsorted(have, (d + reach).max(), "right")
+                if hi > lo:
+                    r, c, dist = _nearest(Q[cut], own[cut], B[lo:hi], code[lo:hi], k)
+                    found["q"].append(qid[cut][r])
+                    found["b"].append(bid[lo:hi][c])
+                    found["dist"].append(dist)
+        if not found["q"]:
+            return pd.DataFrame({"q": pd.Series([], dtype=qdf["id"].dtype), "b": pd.Series([], dtype=bdf["id"].dtype),
+                                 "dist": pd.Series([], dtype="float64")})
+        return pd.DataFrame({c: np.concatenate(v) for c, v in found.items()})
     return fn
 
 
+def _pair_schema(q: DataFrame, b: DataFrame) -> str:
+    return f"q {q.schema['id'].dataType.simpleString()}, b {b.schema['id'].dataType.simpleString()}, dist double"
+
+
+def _ranked(pairs: DataFrame, k: int) -> DataFrame:
+    w = Window.partitionBy("q").orderBy("dist", "b")
+    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def choose_pivots(x: np.ndarray, count: int, rounds: int = 5) -> np.ndarray:
+    """``count`` centres of the sample ``x``: the farthest rows in turn, then a few means of their cells."""
+    picked, near = [0], ((x - x[0]) ** 2).sum(1)
+    while len(picked) < min(count, len(x)) and near.max() > 0:
+        picked.append(int(near.argmax()))
+        near = np.minimum(near, ((x - x[picked[-1]]) ** 2).sum(1))
+    p = x[picked]
+    for _ in range(rounds):
+        cell = (((p * p).sum(1)[None, :]) - 2 * x @ p.T).argmin(1)
+        n = np.bincount(cell, minlength=len(p))
+        total = np.zeros_like(p)
+        np.add.at(total, cell, x)
+        p = np.where(n[:, None] > 0, total / np.maximum(n, 1)[:, None], p)
+    return p
+
+
+def _to_pivots(df: DataFrame, pivots: np.ndarray, every: bool) -> DataFrame:
+    """``id, v, cell, d`` (nearest pivot and the distance to it), with ``ds`` (to every pivot) if asked."""
+    def run(batches):
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            x = np.stack(pdf["v"].to_numpy()).astype(np.float64)
+            d = np.empty((len(x), len(pivots)))
+            for j, p in enumerate(pivots):
+                d[:, j] = np.sqrt(((x - p) ** 2).sum(1))
+            cell = d.argmin(1)
+            out = pdf.assign(cell=cell.astype(np.int32), d=d[np.arange(len(x)), cell])
+            yield out.assign(ds=list(d)) if every else out
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+    return df.mapInPandas(run, kinds + ", cell int, d double" + (", ds array<double>" if every else ""))
+
+
+def far_routes(queries: DataFrame, cells: dict, reach: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """``id, v, to, d, reach`` for every cell that may hold a nearer row than the query's k-th so far
+    (``reach``: id, reach; none: every cell). ``cells``: cell -> (rows, least and largest distance to the pivot)."""
+    order = sorted(cells)
+    low, high = (np.array([cells[c][i] for c in order]) for i in (1, 2))
+    mid = np.sqrt(((pivots[order][:, None, :] - pivots[None]) ** 2).sum(2))   # between pivots
+
+    def run(batches):
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            ds = np.stack(pdf["ds"].to_numpy())[:, order]
+            home, own = pdf["cell"].to_numpy(), pdf["d"].to_numpy()[:, None]
+            r = pdf["reach"].to_numpy(dtype=float, na_value=np.inf)[:, None]
+            least = np.maximum(ds - high, low - ds)
+            between = mid[:, home].T
+            with np.errstate(divide="ignore", invalid="ignore"):   # beyond the plane between both pivots
+                plane = np.where(between > 0, (ds ** 2 - own ** 2) / (2 * between), 0.0)
+            least = np.maximum(least, plane) - 1e-9 * (1 + ds)
+            go = (least <= r) & (np.array(order)[None, :] != home[:, None])
+            row, to = np.nonzero(go)
+            if len(row):
+                yield pd.DataFrame({"id": pdf["id"].to_numpy()[row], "v": pdf["v"].to_numpy()[row],
+                                    "to": np.array(order, np.int32)[to], "d": ds[row, to], "reach": r[row, 0]})
+    kinds = {f.name: f.dataType.simpleString() for f in queries.schema}
+    return queries.join(reach, "id", "left").mapInPandas(run, f"id {kinds['id']}, v {kinds['v']}, to int, d double, reach double")
+
+
+def _visit(routes: DataFrame, base: DataFrame, cells: dict, k: int, block_rows: int, exclude_self: bool) -> DataFrame:
+    """Queries against the blocks of the cells they are routed to."""
+    visits = {r["to"]: r["n"] for r in routes.groupBy("to").agg(F.count(F.lit(1)).alias("n")).collect()}  # a number a cell
+    if not visits:
+        return base.sparkSession.createDataFrame([], _pair_schema(routes, base))
+
+    def of(counts: dict, col: str):
+        return F.element_at(F.create_map(*[F.lit(x) for c in sorted(counts) for x in (c, counts[c])]), F.col(col))
+
+    sub = {c: math.ceil(n / block_rows) for c, (n, _, _) in cells.items()}
+    part = {c: math.ceil(n / QUERY_ROWS) for c, n in visits.items()}
+    q = routes.withColumn("p", F.pmod(F.xxhash64("id"), of(part, "to").cast("long")).cast("int")).withColumn(
+        "s", F.explode(F.sequence(F.lit(0), of(sub, "to") - 1)))
+    b = (base.where(F.col("cell").isin(sorted(visits))).withColumnRenamed("cell", "to")
+         .withColumn("s", F.pmod(F.xxhash64("id"), of(sub, "to").cast("long")).cast("int"))
+         .withColumn("p", F.explode(F.sequence(F.lit(0), of(part, "to") - 1))))
+    return q.groupBy("to", "s", "p").cogroup(b.groupBy("to", "s", "p")).applyInPandas(
+        _block_topk(k, exclude_self), _pair_schema(q, b))
+
+
 def knn(queries: DataFrame, base: DataFrame, k: int, q_id: str = "vec_id", b_id: str = "vec_id",
         q_vec: str = "embedding", b_vec: str = "embedding", block_rows: int = 2048,
-        exclude_self: bool = False, q_group: str | None = None, b_group: str | None = None) -> DataFrame:
+        exclude_self: bool = False, pivots: int | None = None) -> DataFrame:
     """Exact top-k neighbours of each query in ``base`` (K2).
 
-    Returns ``(q, b, dist, rank)``: ``dist`` is the squared L2 distance,
-    ``rank`` 1..k in (dist, b) order. ``exclude_self`` drops b == q.
+    Returns ``(q, b, dist, rank)`` with ids of any type: ``dist`` is the
+    squared L2 distance, ``rank`` 1..k in (dist, b) order. ``exclude_self``
+    drops b == q. Ids must be unique on each side; rows with a null vector take
+    no part.
 
-    With ``q_group``/``b_group`` a query only meets base rows of its own
-    group (e.g. an LSH bucket); each group is cut into blocks of at most
-    ``block_rows`` rows, so a group holding a third of the data is spread
-    over many tasks like the whole set would be. A query that sits in
-    several groups gets the best k over all of them.
+    ``pivots`` (one per ``block_rows`` base rows unless given, at most
+    ``MAX_PIVOTS``) come from a hash sample of at most ``SAMPLE_ROWS`` base
+    rows; they decide how much work is skipped, not the result. The driver holds
+    the pivots and three numbers a cell.
     """
-    qsel = [F.col(q_id).cast("long").alias("id"), F.col(q_vec).alias("v")]
-    bsel = [F.col(b_id).cast("long").alias("id"), F.col(b_vec).alias("v")]
-    if q_group is None:
-        nq = max(1, math.ceil(queries.count() / block_rows))
-        nb = max(1, math.ceil(base.count() / block_rows))
-        qs = queries.select(*qsel, F.lit(0).cast("long").alias("g"),
-                            F.lit(nq).cast("long").alias("_nq"), F.lit(nb).cast("long").alias("_nb"))
-        bs = base.select(*bsel, F.lit(0).cast("long").alias("g"),
-                         F.lit(nq).cast("long").alias("_nq"), F.lit(nb).cast("long").alias("_nb"))
-    else:
-        qs = queries.select(*qsel, F.col(q_group).cast("long").alias("g"))
-        bs = base.select(*bsel, F.col(b_group).cast("long").alias("g"))
-        blocks = (lambda d, n: d.groupBy("g").agg(
-            F.greatest(F.ceil(F.count(F.lit(1)) / block_rows), F.lit(1)).cast("long").alias(n)))
-        # one row per group present on both sides (a small table next to the
-        # rows; Spark broadcasts it when it is small, AQE splits skew if not)
-        gs = blocks(qs, "_nq").join(blocks(bs, "_nb"), "g")
-        qs, bs = qs.join(gs, "g"), bs.join(gs, "g")
-    qs = qs.withColumn("qb", F.pmod(F.xxhash64("id"), F.col("_nq"))).withColumn(
-        "bb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_nb") - 1)))
-    bs = bs.withColumn("bb", F.pmod(F.xxhash64("id"), F.col("_nb"))).withColumn(
-        "qb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_nq") - 1)))
-    # each query block meets each base block of its group once
+    q = queries.select(F.col(q_id).alias("id"), F.col(q_vec).alias("v")).where("v is not null")
+    b = base.select(F.col(b_id).alias("id"), F.col(b_vec).alias("v")).where("v is not null")
+    n = b.count()
+    count = min(MAX_PIVOTS, pivots or math.ceil(n / block_rows))
+    if count <= 1:
+        whole = {0: (max(n, 1), 0.0, 0.0)}
+        return _ranked(_visit(q.withColumn("to", F.lit(0)), b.withColumn("cell", F.lit(0)), whole, k, block_rows, exclude_self), k)
+    sample = b.select("v").orderBy(F.xxhash64("v")).limit(SAMPLE_ROWS).toPandas()["v"]
+    centres = choose_pivots(np.stack(sample.to_numpy()).astype(np.float64), count)
+    b = cut_lineage(_to_pivots(b, centres, False))
+    q = cut_lineage(_to_pivots(q, centres, True))
+    cells = {r["cell"]: (r["n"], r["lo"], r["hi"]) for r in b.groupBy("cell").agg(
+        F.count(F.lit(1)).alias("n"), F.min("d").alias("lo"), F.max("d").alias("hi")).collect()}
+    far = F.lit(float("inf"))
+    home = cut_lineage(_ranked(_visit(q.select("id", "v", F.col("cell").alias("to"), "d", far.alias("reach")),
+                                      b, cells, k, block_rows, exclude_self), k))
+    reach = home.where(F.col("rank") == k).select(F.col("q").alias("id"), F.sqrt("dist").alias("reach"))
+    other = _visit(far_routes(q, cells, reach, centres), b, cells, k, block_rows, exclude_self)
+    return _ranked(home.drop("rank").unionByName(other), k)
+
+
+def _grouped_knn(queries: DataFrame, base: DataFrame, k: int, block_rows: int, exclude_self: bool) -> DataFrame:
+    """Top-k where a query only meets base rows of its own group (columns ``id, v, g``; e.g. a hash bucket).
+    Each group is cut into blocks, so one that holds a third of the data is spread over many tasks. A query
+    in several groups gets the best k over all of them."""
+    def blocks(d, rows, n):
+        return d.groupBy("g").agg(F.greatest(F.ceil(F.count(F.lit(1)) / rows), F.lit(1)).cast("long").alias(n))
+    queries = queries.select(*[F.col(c).alias(c) for c in ("id", "v", "g")])  # both sides may be one table
+    # one row per group present on both sides
+    gs = blocks(queries, QUERY_ROWS, "_nq").join(blocks(base, block_rows, "_nb"), "g")
+    qs, bs = queries.join(gs, "g"), base.join(gs, "g")
+    zero = F.lit(0).cast("long")
+    qs = qs.withColumn("qb", F.pmod(F.xxhash64("id"), F.col("_nq"))).withColumn("bb", F.explode(F.sequence(zero, F.col("_nb") - 1)))
+    bs = bs.withColumn("bb", F.pmod(F.xxhash64("id"), F.col("_nb"))).withColumn("qb", F.explode(F.sequence(zero, F.col("_nq") - 1)))
     pairs = (qs.select("g", "qb", "bb", "id", "v").groupBy("g", "qb", "bb")
              .cogroup(bs.select("g", "qb", "bb", "id", "v").groupBy("g", "qb", "bb"))
-             .applyInPandas(_block_topk(k, exclude_self=exclude_self), _PAIR_SCHEMA))
-    if q_group is not None:
-        # the same pair may meet in several groups
-        pairs = pairs.groupBy("q", "b").agg(F.min("dist").alias("dist"))
-    # at most (#blocks · k) candidates per query: keep the k best
-    w = Window.partitionBy("q").orderBy("dist", "b")
-    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+             .applyInPandas(_block_topk(k, exclude_self), _pair_schema(qs, bs)))
+    # the same pair may meet in several groups
+    return _ranked(pairs.groupBy("q", "b").agg(F.min("dist").alias("dist")), k)
 
 
 def most_similar(vectors: DataFrame, id_col: str = "vec_id", vec: str = "embedding",
@@ -170,34 +279,35 @@ def most_unique(vectors: DataFrame, n: int = 3, id_col: str = "vec_id", vec: str
 def knn_predict(train: DataFrame, query: DataFrame, k: int, label: str = "label",
                 id_col: str = "vec_id", vec: str = "embedding") -> DataFrame:
     """k-nearest-neighbour classifier (M7): majority label of the k nearest
-    training rows, ties to the lowest label; ``share`` is the winner's vote
-    share. Output ``(id, pred, share)``."""
+    training rows, ties to the lowest label (labels of any ordered type);
+    ``share`` is the winner's vote share. Output ``(id, pred, share)``."""
     nn = knn(query, train, k, id_col, id_col, vec, vec)
-    lab = train.select(F.col(id_col).cast("long").alias("b"), F.col(label).alias("_lab"))
+    lab = train.select(F.col(id_col).alias("b"), F.col(label).alias("_lab"))
     votes = nn.join(lab, "b").groupBy("q", "_lab").agg(F.count(F.lit(1)).alias("_v"))
-    best = votes.groupBy("q").agg(F.max(F.struct("_v", (-F.col("_lab")).alias("_neg"))).alias("w"))
-    return best.select(F.col("q").alias(id_col), (-F.col("w._neg")).alias("pred"),
-                       (F.col("w._v") / F.lit(float(k))).alias("share"))
+    best = votes.groupBy("q").agg(F.min(F.struct((-F.col("_v")).alias("_less"), "_lab")).alias("w"))
+    return best.select(F.col("q").alias(id_col), F.col("w._lab").alias("pred"),
+                       (-F.col("w._less") / F.lit(float(k))).alias("share"))
 
 
 def knn_approx(queries: DataFrame, base: DataFrame, k: int, threshold: float | None = None,
                id_col: str = "vec_id", vec: str = "embedding", bucket_length: float = 1.0,
-               num_hash_tables: int = 3, seed: int = 42, block_rows: int = 2048) -> DataFrame:
-    """Approximate neighbours with random-projection LSH (K5).
-
-    Candidates are the rows sharing a bucket in any hash table; each bucket
-    is searched with the blocked exact search (``knn`` with groups), so even
-    a bucket holding a third of all rows is cut into bounded blocks and no
-    bucket-wide list of pairs is ever formed. ``threshold`` (plain L2)
-    optionally drops farther candidates. Returns ``(q, b, dist, rank)``,
-    ``dist`` squared, to compare with ``knn``.
+               num_hash_tables: int = 3, seed: int = 42, block_rows: int = 2048, exclude_self: bool = False) -> DataFrame:
+    """Approximate neighbours with random-projection LSH and several probes (K5).
+
+    A table cuts one random direction into buckets. A query probes, in every
+    table, its own bucket and as many to both sides as hold at least ``k``
+    base rows together, so it always gets k neighbours (all rows, if the base
+    has fewer). The probed buckets are searched block by block, so even a
+    bucket holding a third of all rows is cut into bounded blocks.
+    ``threshold`` (plain L2) optionally drops farther candidates. Returns
+    ``(q, b, dist, rank)``, ``dist`` squared, to compare with ``knn``.
     """
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector
 
     def prep(df):
-        return df.select(F.col(id_col).cast("long").alias("id"), F.col(vec).alias("v"),
-                         array_to_vector(F.col(vec).cast("array<double>")).alias("features"))
+        return df.select(F.col(id_col).alias("id"), F.col(vec).alias("v"),
+                         array_to_vector(F.col(vec).cast("array<double>")).alias("features")).where("v is not null")
     q, b = prep(queries), prep(base)
     lsh = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes",
                                       bucketLength=bucket_length, numHashTables=num_hash_tables,
@@ -205,9 +315,27 @@ def knn_approx(queries: DataFrame, base: DataFrame, k: int, threshold: float | N
 
     def bucketed(df):
         h = lsh.transform(df).select("id", "v", F.posexplode("hashes").alias("t", "h"))
-        return h.select("id", "v", F.xxhash64("t", vector_to_array("h")[0]).alias("bucket"))
-    nn = knn(bucketed(q), bucketed(b), k, "id", "id", "v", "v", block_rows,
-             q_group="bucket", b_group="bucket")
+        return h.select("id", "v", "t", F.round(vector_to_array("h")[0]).cast("long").alias("h"))
+    qh, bh = cut_lineage(bucketed(q).drop("v")), bucketed(b)
+    sizes = cut_lineage(bh.groupBy("t", "h").agg(F.count(F.lit(1)).alias("n")))  # a row per bucket in use
+    ends = sizes.groupBy("t").agg(F.min("h").alias("first"), F.max("h").alias("last"))
+    need, open_, done, radius = k + int(exclude_self), qh.join(ends, "t"), None, 0
+    while True:
+        lo, hi = F.col("h") - radius, F.col("h") + radius
+        probe = open_.select("id", "t", "h", "first", "last", F.explode(F.sequence(lo, hi)).alias("at"))
+        have = probe.join(sizes.select("t", F.col("h").alias("at"), "n"), ["t", "at"], "left").groupBy("id", "t", "h", "first", "last").agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+        every = (F.col("h") - radius <= F.col("first")) & (F.col("h") + radius >= F.col("last"))
+        have = cut_lineage(have.withColumn("_enough", (F.col("n") >= need) | every))
+        got = have.where("_enough").select("id", "t", F.explode(F.sequence(lo, hi)).alias("at"))
+        done = got if done is None else done.unionByName(got)
+        open_ = have.where("not _enough").select("id", "t", "h", "first", "last")
+        if open_.isEmpty():
+            break
+        radius = 2 * radius + 1
+    g = F.xxhash64("t", "at").alias("g")
+    probes = done.select("id", g).join(q.select("id", "v"), "id")
+    nn = _grouped_knn(probes, bh.select("id", "v", F.xxhash64("t", "h").alias("g")), k, block_rows, exclude_self)
     if threshold is not None:
         nn = nn.where(F.col("dist") <= float(threshold) ** 2)
     return nn

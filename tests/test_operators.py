@@ -361,7 +361,7 @@ def test_grouped_knn_hot_group_blocks(spark):
     grp = [0 if i < 300 else 1 + i % 3 for i in range(400)]
     df = spark.createDataFrame([(i, p.tolist(), g) for i, (p, g) in enumerate(zip(pts, grp))],
                                "vec_id long, embedding array<float>, g long")
-    got = vectors.knn(df, df, 2, block_rows=50, q_group="g", b_group="g").collect()
+    got = vectors._grouped_knn(*[df.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"), F.col("g").cast("long").alias("g"))] * 2, 2, 50, False).collect()
     d = ((pts[:, None, :].astype(float) - pts[None, :, :].astype(float)) ** 2).sum(-1)
     for r in got:
         same = [j for j in range(400) if grp[j] == grp[r.q]]
@@ -391,6 +391,63 @@ def test_knn_many_duplicates_tie_by_id(spark):
     assert sorted(r.b for r in ex) == [101, 102, 103]
 
 
+def _clustered(n, seed=3, dim=8, spread=0.05):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(12, dim)) * 3
+    return [centres[i % 12] + spread * rng.normal(size=dim) for i in range(n)]
+
+
+def test_knn_pivots_equal_brute_force_for_any_ids(spark):
+    x = _clustered(400) + [np.zeros(8)] * 5
+    rows = [(f"id{i:03d}é", v.tolist()) for i, v in enumerate(x)] + [("none", None)]
+    df = spark.createDataFrame(rows, "vec_id string, embedding array<double>").repartition(5)
+    for self_out in (False, True):
+        got = {}
+        for r in vectors.knn(df, df, 4, block_rows=32, exclude_self=self_out).collect():
+            got.setdefault(r.q, {})[r.rank] = (r.dist, r.b)
+        assert len(got) == 405
+        X, ids = np.array(x), [r[0] for r in rows[:-1]]
+        for i, q in enumerate(ids):
+            d = ((X - X[i]) ** 2).sum(1)
+            want = sorted((float(d[j]), ids[j]) for j in range(len(ids)) if not (self_out and j == i))[:4]
+            mine = [got[q][r + 1] for r in range(4)]
+            assert [b for _, b in mine] == [b for _, b in want]
+            assert np.allclose([v for v, _ in mine], [v for v, _ in want], atol=1e-12)
+    assert vectors.knn(df.limit(0), df, 3).count() == 0 and vectors.knn(df, df.limit(0), 3).count() == 0
+    assert vectors.knn(df, df.limit(2), 3, block_rows=1).groupBy("q").count().where("count <> 2").count() == 0
+
+
+def test_knn_pivots_visit_few_cells_of_clustered_rows(spark):
+    """Rows sent to other cells stay far below queries x cells."""
+    x = _clustered(1200)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    centres = vectors.choose_pivots(np.array(x[:600]), 12)
+    q = vectors._to_pivots(df, centres, True)
+    cells = {r["cell"]: (r["n"], r["lo"], r["hi"]) for r in q.groupBy("cell").agg(
+        F.count("*").alias("n"), F.min("d").alias("lo"), F.max("d").alias("hi")).collect()}
+    home = vectors._ranked(vectors._visit(q.select("id", "v", F.col("cell").alias("to"), "d", F.lit(float("inf")).alias("reach")),
+                                          q.select("id", "v", "cell", "d"), cells, 3, 64, False), 3)
+    reach = home.where("rank = 3").select(F.col("q").alias("id"), F.sqrt("dist").alias("reach"))
+    assert vectors.far_routes(q, cells, reach, centres).count() < 0.1 * 1200 * len(cells)
+
+
+def test_knn_predict_text_labels(spark):
+    rows = [(f"k{i}", [float(i % 2), 0.1 * i], "xy"[i % 2]) for i in range(20)]
+    df = spark.createDataFrame(rows, "vec_id string, embedding array<double>, label string")
+    got = {r["vec_id"]: r["pred"] for r in vectors.knn_predict(df, df, 3).collect()}
+    assert set(got.values()) == {"x", "y"} and got["k0"] == "x" and got["k1"] == "y"
+
+
+def test_knn_approx_always_finds_k(spark):
+    """Narrow buckets: most hold one row, so neighbours come from probing on."""
+    x = _clustered(150, spread=1.0) + [np.full(8, 50.0)]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = vectors.knn_approx(df, df, 5, bucket_length=0.05, num_hash_tables=6)
+    assert got.groupBy("q").agg(F.count("*").alias("n"), F.max("rank").alias("r")).where("n <> 5 or r <> 5").count() == 0
+    assert got.select("q").distinct().count() == 151
+    assert vectors.recall_at_k(vectors.knn_approx(df, df, 5, bucket_length=4.0, num_hash_tables=6), vectors.knn(df, df, 5)).first()[0] > 0.9
+
+
 def test_null_group_keeps_its_quantiles(spark):
     rows = [(None, float(v)) for v in range(1, 6)] + [("a", float(v)) for v in (10, 20, 30)]
     df = spark.createDataFrame(rows, "g string, v double")
