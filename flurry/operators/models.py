@@ -2,8 +2,9 @@
 
 Every fit is a distributed ``pyspark.ml`` fit; the driver only loops over
 parameter settings and folds and reads back a handful of metric numbers.
-Folds and splits come from key hashes (``sampling.with_fold``), so they are
-the same on every run and cluster size.
+Folds come from key hashes within each label
+(``sampling.with_stratified_fold``), so they are the same on every run and
+cluster size.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flurry.operators.encode import indexer_stages, one_hot_stage
-from flurry.operators.sampling import with_fold
+from flurry.operators.sampling import with_stratified_fold
 from flurry.operators.vectors import knn
 from flurry.operators.windows import positions
 
@@ -139,7 +140,7 @@ def fit_logistic_cv(train: DataFrame, categorical: list[str], numeric: list[str]
     concurrently from a thread pool; each one is a distributed fit.
     """
     prep = Pipeline(stages=feature_stages(categorical, numeric)).fit(train)
-    data = with_fold(prep.transform(train), id_col, folds).select("features", label, "fold")
+    data = with_stratified_fold(prep.transform(train).select(id_col, "features", label), id_col, label, folds)
     if persist:
         data = data.persist(StorageLevel.MEMORY_AND_DISK)
     sizes = {r["fold"]: r["n"] for r in data.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -360,18 +361,20 @@ def smote(df: DataFrame, label: str, minority, ratio: float = 1.0, k: int = 5, s
 class SmoteThen(Estimator):
     """Oversample with SMOTE, then fit the inner estimator (fit only; the
     returned model is the inner model, so predictions are untouched). Used
-    inside CV so sampling happens within each training fold. ``ratio`` is a
-    Param, so a grid can search it together with the inner estimator's
-    params."""
+    inside CV so sampling happens within each training fold; with a
+    ``Pipeline`` as inner estimator its scaler and PCA see the sampled training
+    fold only. ``ratio`` is a Param, so a grid can search it together with the
+    inner estimator's params. ``weight_col`` names a column of balanced class
+    weights, rows / (classes * rows of the class), added after the sampling."""
 
     ratio = Param(Params._dummy(), "ratio", "minority / majority after sampling", TypeConverters.toFloat)
 
     def __init__(self, inner: Estimator, label: str = "label", minority: float = 1.0,
                  ratio: float = 1.0, k: int = 5, seed: int = 42, id_col: str = "id",
-                 vec: str = "features"):
+                 vec: str = "features", weight_col: str | None = None):
         super().__init__()
         self.inner, self.label, self.minority = inner, label, minority
-        self.k, self.seed, self.id_col, self.vec = k, seed, id_col, vec
+        self.k, self.seed, self.id_col, self.vec, self.weight_col = k, seed, id_col, vec, weight_col
         self._set(ratio=ratio)
 
     def copy(self, extra=None):
@@ -381,12 +384,27 @@ class SmoteThen(Estimator):
         rest = {p: v for p, v in extra.items() if p.parent != self.uid}
         return SmoteThen(self.inner.copy(rest), self.label, self.minority,
                          own.get("ratio", self.getOrDefault(self.ratio)), self.k, self.seed,
-                         self.id_col, self.vec)
+                         self.id_col, self.vec, self.weight_col)
 
     def _fit(self, df: DataFrame) -> Model:
         over = smote(df, self.label, self.minority, self.getOrDefault(self.ratio), self.k, self.seed,
-                     self.id_col, self.vec)
-        return without_summary(self.inner.fit(over.drop("synthetic")))
+                     self.id_col, self.vec).drop("synthetic")
+        if self.weight_col:
+            n = {r[0]: r["n"] for r in over.groupBy(self.label).agg(F.count(F.lit(1)).alias("n")).collect()}
+            total = sum(n.values())
+            weight = F.element_at(F.create_map(*[F.lit(x) for c in sorted(n) for x in (c, total / (len(n) * n[c]))]), F.col(self.label))
+            over = over.withColumn(self.weight_col, weight)
+        return without_summary(self.inner.fit(over))
+
+
+def team_pipeline(features: str = "features", label: str = "label", n: int = 1000, components: int = 5, c: float = 1.0,
+                  gamma: float = 0.001, ratio: float = 0.25, k: int = 5, seed: int = 42, dim: int = 200) -> SmoteThen:
+    """The production team model: SMOTE (fit only) -> scaler -> PCA -> RBF support vector machine with
+    balanced class weights and probabilities. ``n``: rows the SVM is fitted on (for its C)."""
+    stages = [PopulationStandardScaler(features, "scaled"), pca_stage(components, "scaled", "pca"),
+              RandomFourierFeatures("pca", "kernel", gamma=gamma, dim=dim, seed=seed),
+              *svm_with_probability(c, n, "class_weight", label, "kernel")]
+    return SmoteThen(Pipeline(stages=stages), label, 1.0, ratio, k, seed, "id", features, "class_weight")
 
 
 # --- grid search with several scores (M12) ------------------------------------------------
@@ -424,7 +442,7 @@ def grid_search(estimator: Estimator, grid: list[dict], data: DataFrame, label:
     settings run concurrently from a thread pool; each fit is distributed.
     """
     spark = data.sparkSession
-    d = with_fold(data, id_col, folds).persist(StorageLevel.MEMORY_AND_DISK)
+    d = with_stratified_fold(data, id_col, label, folds).persist(StorageLevel.MEMORY_AND_DISK)
 
     def run(ix_pm):
         ix, pm = ix_pm

@@ -38,14 +38,27 @@ def batch_accuracy(log: DataFrame, truth_col: str = "final_label", pred_col: str
     return agg.where(F.col("n") == size)
 
 
+DAY_MS = 86_400_000
+
+
+def write_metrics(log: DataFrame, path: str, mode: str = "append") -> None:
+    """Store a metric log partitioned by ``day`` (days since 1970 of the start time), so a time range reads its days only."""
+    day = F.floor(F.col("startTimeStampMs") / DAY_MS).cast("int")
+    log.withColumn("day", day).write.mode(mode).partitionBy("day").parquet(path)
+
+
 def read_metrics(log: DataFrame, model: str | None = None, deployment: str | None = None,
                  start_ms: int = 0, end_ms: int | None = None) -> DataFrame:
-    """Metric rows of one model / deployment in [start_ms, end_ms] (L4);
-    the filters reach the scan (and partition pruning if the log is
-    partitioned by day)."""
+    """Metric rows of one model / deployment in [start_ms, end_ms] (L4). The
+    filters reach the scan; a log with a ``day`` column (``write_metrics``) is
+    pruned to the days of the range (a record ends no earlier than it starts)."""
     cond = F.col("startTimeStampMs") >= F.lit(start_ms)
     if end_ms is not None:
         cond = cond & (F.col("endTimeStampMs") <= F.lit(end_ms))
+    if "day" in log.columns:
+        cond = cond & (F.col("day") >= F.lit(start_ms // DAY_MS))
+        if end_ms is not None:
+            cond = cond & (F.col("day") <= F.lit(end_ms // DAY_MS))
     if model is not None:
         cond = cond & (F.col("model_crn") == F.lit(model))
     if deployment is not None:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flurry.operators.windows import positions
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -39,9 +41,13 @@ def top_k(df: DataFrame, score: str, k: int, tiebreak: str | None = None,
     return df.orderBy(*keys).limit(k)
 
 
-def bernoulli_sample(df: DataFrame, fraction: float, seed: int = 83) -> DataFrame:
-    """Each row kept with probability ``fraction``."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def bernoulli_sample(df: DataFrame, fraction: float, seed: int = 83, key: str | None = None) -> DataFrame:
+    """Each row kept with probability ``fraction`` (O4). With ``key`` a hash of
+    key and seed decides (the same rows in any md5 engine and on any number of
+    tasks), without it Spark's seeded sampler."""
+    if key is None:
+        return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+    return df.where(hash_bucket(key, 1 << 32, str(seed)) < int(fraction * (1 << 32)))
 
 
 def sample_n(df: DataFrame, key: str, n: int, seed: int | str = 42,
@@ -73,6 +79,15 @@ def with_fold(df: DataFrame, key: str, folds: int = 5, name: str = "fold",
     return df.withColumn(name, F.pmod(hash_bucket(key, 1 << 30, salt), F.lit(folds)).cast("int"))
 
 
+def with_stratified_fold(df: DataFrame, key: str, label: str, folds: int = 5, name: str = "fold") -> DataFrame:
+    """Fold id 0..folds-1 such that every label's rows are spread evenly: rows of
+    one label, numbered in hash order of the key, take the folds in turn, so
+    counts of a label differ by at most one a fold. The numbering is
+    range-partitioned: a label holding most rows is not one task."""
+    order = F.md5(F.col(key).cast("string"))
+    return positions(df, [label], [order, key], "_pos").withColumn(name, F.pmod(F.col("_pos"), F.lit(folds)).cast("int")).drop("_pos")
+
+
 def split_before(df: DataFrame, col: str, cut) -> tuple[DataFrame, DataFrame]:
     """Time split (O7): (rows before ``cut``, rows at or after it)."""
     return df.where(F.col(col) < F.lit(cut)), df.where(F.col(col) >= F.lit(cut))

@@ -277,6 +277,27 @@ def pair_bins(df: DataFrame, x: str, y: str, hue: str | None, bins: int = 10) ->
     return d.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
 
 
+def pair_grid(df: DataFrame, cols: list[str], hue: str | None = None, bins: int = 10) -> DataFrame:
+    """2-D bin counts of every pair of ``cols`` (A11, the pair plot's grid):
+    ``(x, y, [hue,] bx, by, count)``.
+
+    Every column is binned once, on its own extent; the pairs of a row are
+    stacked and counted in one aggregation, combined before the shuffle to at
+    most pairs x bins x bins (x hue) rows a task. A pair with a null is left out.
+    """
+    st = df.agg(*[f(F.col(c).cast("double")).alias(f"{n}_{c}") for c in cols for n, f in (("lo", F.min), ("hi", F.max))])
+    sq = st.select(F.struct(*st.columns).alias("s")).scalar()
+    own = [F.col(hue).alias("_hue")] if hue else []
+    d = df.select(*own, *[F.col(c).cast("double").alias(c) for c in cols]).withColumn("_s", sq)
+    d = d.select(*[F.col("_hue")] * bool(hue), *[F.when(F.col(c).isNotNull(), _bin_of(
+        F.col(c), F.col("_s").getField(f"lo_{c}"), F.col("_s").getField(f"hi_{c}"), F.lit(bins))).alias(c) for c in cols])
+    pairs = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(x).alias("bx"), F.col(y).alias("by"))
+                      for i, x in enumerate(cols) for y in cols[i + 1:]])
+    long = d.select(*[F.col("_hue").alias(hue)] if hue else [], F.explode(pairs).alias("p")).select(*[hue] if hue else [], "p.*")
+    return long.where("bx is not null and by is not null").groupBy("x", "y", *[hue] if hue else [], "bx", "by").agg(
+        F.count(F.lit(1)).alias("count"))
+
+
 def map_extent(df: DataFrame, map_col: str) -> DataFrame:
     """min and max over all values of a map column."""
     vals = df.select(F.explode(F.map_values(F.col(map_col))).alias("v"))

@@ -328,6 +328,26 @@ def q_pair_bins(spark, d):
     return summary.pair_bins(table(spark, d, "lineitem"), "l_quantity", "l_discount", "l_returnflag", 10)
 
 
+_GRID = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _grid_sql() -> str:
+    ends = ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in _GRID)
+    bins = ", ".join(f"CASE WHEN {c} IS NULL THEN NULL WHEN hi_{c} = lo_{c} THEN 1 ELSE "
+                     f"least(CAST(floor(10 * ({c}::DOUBLE - lo_{c}) / (hi_{c} - lo_{c})) AS BIGINT) + 1, 10) END AS {c}" for c in _GRID)
+    pairs = " UNION ALL ".join(f"SELECT '{x}' AS x, '{y}' AS y, l_returnflag, {x} AS bx, {y} AS \"by\" FROM b WHERE {x} IS NOT NULL AND {y} IS NOT NULL"
+                               for i, x in enumerate(_GRID) for y in _GRID[i + 1:])
+    return (f"WITH st AS (SELECT {ends} FROM (SELECT {', '.join(f'{c}::DOUBLE AS {c}' for c in _GRID)} FROM lineitem)),"
+            f" b AS (SELECT l_returnflag, {bins} FROM lineitem, st), p AS ({pairs})"
+            " SELECT x, y, l_returnflag, bx, \"by\", count(*) AS count FROM p GROUP BY ALL")
+
+
+@register("pair_grid", _grid_sql())
+def q_pair_grid(spark, d):
+    """Every pair of four measures, by return flag."""
+    return summary.pair_grid(table(spark, d, "lineitem"), _GRID, "l_returnflag", 10)
+
+
 @register("scaler_stats", _with(CF) + f""",
 lng AS ({_long_sql(_NUM, 'cf')})
 SELECT feature, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std FROM lng GROUP BY feature""")
@@ -469,12 +489,13 @@ def q_sample_n(spark, d):
     return sampling.sample_n(cf, "id", 10, seed=42)
 
 
-@register("bernoulli_sample")
+@register("bernoulli_sample", _with(CF) + """
+SELECT id, segment, "Churn" FROM cf
+WHERE ('0x' || substr(md5(CAST(id AS VARCHAR) || '83'), 1, 8))::BIGINT < 2147483648""")
 def q_bernoulli_sample(spark, d):
-    """Each customer kept with probability 0.5, seed 83 (O4). Spark's seeded
-    sampler decides the rows, so there is no SQL oracle."""
+    """Each customer kept with probability 0.5, seed 83 (O4), decided by a hash of the id."""
     cf = derived.customer_features(spark, d).select("id", "segment", "Churn")
-    return sampling.bernoulli_sample(cf, 0.5, 83)
+    return sampling.bernoulli_sample(cf, 0.5, 83, key="id")
 
 
 @register("train_test_split", _with(CF) + """
@@ -488,6 +509,13 @@ def q_train_test_split(spark, d):
 
 # --- windows -----------------------------------------------------------------------
 
+@register("stratified_folds", _with(CF) + """
+SELECT id, "Churn", CAST((row_number() OVER (PARTITION BY "Churn" ORDER BY md5(CAST(id AS VARCHAR)), id) - 1) % 5 AS INTEGER) AS fold FROM cf""")
+def q_stratified_folds(spark, d):
+    """Cross-validation folds with equal shares of every label."""
+    return sampling.with_stratified_fold(derived.customer_features(spark, d).select("id", "Churn"), "id", "Churn", 5)
+
+
 @register("latest_event_per_user", """
 SELECT user_id, event_id, epoch_us(ts) AS ts_us, event_type, round(value, 6) AS value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
@@ -781,7 +809,7 @@ def q_link_files(spark, d):
 @register("two_hop_images", _with(LINKS) + """,
 hop AS (SELECT DISTINCT r.page_id, p.page_id AS link_page_id, p.url, p.html
         FROM resolved r JOIN pages p ON r.resolved = p.url
-        WHERE contains(r.resolved, 'http') AND contains(r.resolved, 'example')),
+        WHERE contains(r.link, 'http') AND contains(r.link, 'example')),
 im_arr AS (SELECT page_id, link_page_id, url, regexp_extract_all(html,
              '(?i)<img\\s(?:[^>]*?\\s)?src\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s"''>]+)', 1) AS arr FROM hop),
 im_raw AS (SELECT page_id, link_page_id, url, unnest(arr) AS raw FROM im_arr),
@@ -800,6 +828,54 @@ def q_two_hop_images(spark, d):
     return pages.two_hop_images(table(spark, d, "pages"), ["http", "example"])
 
 
+# Crawled pages written from the tables: a page per nation links to its
+# suppliers' pages; each of those was crawled twice, with images in both.
+def _supplier_site(spark, d):
+    nation, supplier = table(spark, d, "nation"), table(spark, d, "supplier")
+    n, k = F.col("n_nationkey").cast("string"), F.col("s_suppkey").cast("string")
+    link = F.concat(F.lit('<li><A class="a > b" HREF="http://site.example/Desktop/a&amp;b/s'), k, F.lit('.html">s</A></li>'))
+    links = supplier.groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(F.array_join(F.array_sort(F.collect_list(link)), "").alias("links"))
+    top = nation.join(links, "n_nationkey").select(
+        F.col("n_nationkey").cast("long").alias("page_id"), F.concat(F.lit("http://site.example/n"), n).alias("url"),
+        F.concat(F.lit('<html><script>var a = "<a href=x>";</script><!-- <a href="http://html.Desktop/"> --><a href="/html">no</a>'),
+                 F.col("links"), F.lit("</html>")).alias("html"))
+    crawl = supplier.withColumn("c", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn("cs", F.col("c").cast("string"))
+    below = crawl.select(
+        (F.col("s_suppkey").cast("long") * 10 + F.col("c") + 1000).alias("page_id"),
+        F.concat(F.lit("http://site.example/Desktop/a&b/s"), k, F.lit(".html")).alias("url"),
+        F.concat(F.lit('<body><img alt="x > y" src="/pics/'), k, F.lit("/v"), F.col("cs"), F.lit("/f.png\"><img><img src=''><!-- <img src=z.png> -->"),
+                 F.lit("<img data-src=no.gif src='q"), F.col("cs"), F.lit(".jpg'><img src=http://other.example/a/b/c.png></body>")).alias("html"))
+    return top.unionByName(below)
+
+
+@register("two_hop_supplier_images", """
+WITH c AS (SELECT s_nationkey::BIGINT AS page_id, s_suppkey, x FROM supplier JOIN nation ON s_nationkey = n_nationkey, (SELECT unnest([1, 2]) AS x)),
+i AS (SELECT page_id, s_suppkey::BIGINT * 10 + x + 1000 AS link_page_id,
+             unnest(['http://site.example/pics/' || s_suppkey || '/v' || x || '/f.png', 'http://site.example/Desktop/a&b/q' || x || '.jpg']) AS image FROM c)
+SELECT page_id, link_page_id, image, string_split(image, '/')[-3] || '_' || string_split(image, '/')[-1] AS file_name FROM i""")
+def q_two_hop_supplier_images(spark, d):
+    """Pages -> links whose text names all tokens -> images of the right host (H7)."""
+    return pages.two_hop_images(_supplier_site(spark, d), ["http", "html", "Desktop"], "site.example")
+
+
+@register("html_table_rows", """
+SELECT n_regionkey::BIGINT AS page_id, CAST(row_number() OVER w - 1 AS INTEGER) AS row_idx,
+       [r_name || ' & co', n_name, n_name, CAST(n_nationkey AS VARCHAR)] AS cells, ['Region', 'Name', 'Name', 'Key'] AS header
+FROM nation JOIN region ON n_regionkey = r_regionkey WINDOW w AS (PARTITION BY n_regionkey ORDER BY n_name)""")
+def q_html_table_rows(spark, d):
+    """Rows of a table with spans, a two-level header and character references, a page per region (H8)."""
+    nation, region = table(spark, d, "nation"), table(spark, d, "region")
+    cells = F.concat(F.lit("<td colspan=2> <b>"), "n_name", F.lit("</b>\n</td><td>"), F.col("n_nationkey").cast("string"), F.lit("</td>"))
+    per = nation.groupBy(F.col("n_regionkey").alias("r_regionkey")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("n_name", cells.alias("c")))), lambda x: x["c"]).alias("rows"))
+    html = F.concat(
+        F.lit('<table><tr><td>no</td></tr></table><table class=x id="champions_index"><tr><th colspan=4>Top</th></tr>'
+              "<tr><th>Region<th colspan=2>Name</th><th>Key</th></tr><!-- <tr><td>hidden</td></tr> --><tr><td rowspan=\""),
+        F.size("rows").cast("string"), F.lit('">'), F.col("r_name"), F.lit(" &amp; co</td>"), F.array_join("rows", "</tr><tr>"), F.lit("</tr></table>"))
+    site = region.join(per, "r_regionkey").select(F.col("r_regionkey").cast("long").alias("page_id"), html.alias("html"))
+    return pages.extract_table(site, "champions_index")
+
+
 # --- models, explanations, monitoring log (no SQL oracle: rows-only checks) -------------
 # These fit models (pyspark.ml) or draw seeded samples, which SQL cannot express.
 
@@ -876,8 +952,9 @@ def q_model_comparison(spark, d):
     n = train.count()
     fitted = {
         "logistic": model,
-        "forest": models.fit_classifier(train, _CAT, _NUM, models.forest(100)),
-        "boosted_trees": models.fit_classifier(train, _CAT, _NUM, models.boosted_trees(0.1, 20)),
+        # trees split on class codes, as the reference encodes them
+        "forest": models.fit_classifier(train, _CAT, _NUM, models.forest(100), one_hot=False),
+        "boosted_trees": models.fit_classifier(train, _CAT, _NUM, models.boosted_trees(0.1, 20), one_hot=False),
         "linear_svm": models.fit_classifier(train, _CAT, _NUM, models.linear_svm(1.0, n)),
         "rbf_svm": Pipeline(stages=models.feature_stages(_CAT, _NUM, out="features_in") + [
             models.RandomFourierFeatures("features_in", "features", gamma=0.1, dim=200, seed=42)]
@@ -921,6 +998,30 @@ def q_grid_search(spark, d):
     return res
 
 
+@register("team_ranking")
+def q_team_ranking(spark, d):
+    """Champion probability of the last season's teams by the production pipeline: SMOTE 0.25, scaler, PCA(5),
+    RBF SVM with C 1, gamma 0.001 and balanced weights, fitted on the seasons before (M9-M12)."""
+    t = flagship.team_features(spark, d)
+    t = VectorAssembler(inputCols=flagship.TEAM_FEATURES, outputCol="features").transform(t)
+    past, last = sampling.split_before(t, "season", t.agg(F.max("season")).first()[0])
+    past = past.select("id", "label", "features")
+    ratio, least = 0.25, past.where("label = 0").count()
+    model = models.team_pipeline(n=least + int(ratio * least), ratio=ratio).fit(past)
+    return models.score(last, model, "probability", keep=["uid"]).select("uid", "probability").orderBy(F.col("probability").desc(), "uid")
+
+
+@register("knn_approx_full", """
+SELECT (SELECT 3 * count(*) FROM embeddings) AS found, (SELECT count(*) FROM embeddings) AS queries, true AS recall_reached""")
+def q_knn_approx_full(spark, d):
+    """Approximate search gives k rows for every query, at a recall of at least 0.9 (K5)."""
+    e = _emb(spark, d)
+    approx = vectors.knn_approx(e, e, 3, bucket_length=1.0, num_hash_tables=6)
+    n = approx.agg(F.count(F.lit(1)).alias("found"), F.count_distinct("q").alias("queries"))
+    recall = vectors.recall_at_k(approx, vectors.knn(e, e, 3)).select(F.col("recall") >= 0.9).scalar()
+    return n.withColumn("recall_reached", recall)
+
+
 @register("knn_approx_recall")
 def q_knn_approx_recall(spark, d):
     e = _emb(spark, d)

@@ -6,31 +6,40 @@ from pyspark.sql import types as T
 
 # --- fixed values: column layout of the telco churn table -------------------
 # Names, order and types must equal the published churn table so that a file
-# written for it scans without inference. 18 strings, 3 doubles.
-CHURN_STRING_COLUMNS_HEAD = ["customerID", "gender", "SeniorCitizen", "Partner", "Dependents"]
-CHURN_TENURE = "tenure"
-CHURN_STRING_COLUMNS_MID = [
-    "PhoneService", "MultipleLines", "InternetService", "OnlineSecurity",
-    "OnlineBackup", "DeviceProtection", "TechSupport", "StreamingTV",
-    "StreamingMovies", "Contract", "PaperlessBilling", "PaymentMethod",
+# written for it scans without inference.
+CHURN_COLUMNS = [
+    ("customerID", "string"),
+    ("gender", "string"),
+    ("SeniorCitizen", "string"),
+    ("Partner", "string"),
+    ("Dependents", "string"),
+    ("tenure", "double"),
+    ("PhoneService", "string"),
+    ("MultipleLines", "string"),
+    ("InternetService", "string"),
+    ("OnlineSecurity", "string"),
+    ("OnlineBackup", "string"),
+    ("DeviceProtection", "string"),
+    ("TechSupport", "string"),
+    ("StreamingTV", "string"),
+    ("StreamingMovies", "string"),
+    ("Contract", "string"),
+    ("PaperlessBilling", "string"),
+    ("PaymentMethod", "string"),
+    ("MonthlyCharges", "double"),
+    ("TotalCharges", "double"),
+    ("Churn", "string"),
 ]
-CHURN_DOUBLE_TAIL = ["MonthlyCharges", "TotalCharges"]
 CHURN_LABEL = "Churn"
 CHURN_ID = "customerID"
 # ---------------------------------------------------------------------------
 
-CHURN_SCHEMA = T.StructType(
-    [T.StructField(c, T.StringType(), True) for c in CHURN_STRING_COLUMNS_HEAD]
-    + [T.StructField(CHURN_TENURE, T.DoubleType(), True)]
-    + [T.StructField(c, T.StringType(), True) for c in CHURN_STRING_COLUMNS_MID]
-    + [T.StructField(c, T.DoubleType(), True) for c in CHURN_DOUBLE_TAIL]
-    + [T.StructField(CHURN_LABEL, T.StringType(), True)]
-)
+CHURN_SCHEMA = T.StructType([T.StructField(c, T.DoubleType() if kind == "double" else T.StringType(), True) for c, kind in CHURN_COLUMNS])
 
-# Feature list used for modelling: every column but the id and the label.
-CHURN_FEATURES = [f.name for f in CHURN_SCHEMA.fields if f.name not in (CHURN_ID, CHURN_LABEL)]
-CHURN_NUMERIC = [CHURN_TENURE] + CHURN_DOUBLE_TAIL
-CHURN_CATEGORICAL = [c for c in CHURN_FEATURES if c not in CHURN_NUMERIC]
+# Features used for modelling: every column but the id and the label, by type.
+CHURN_NUMERIC = [c for c, kind in CHURN_COLUMNS if kind == "double"]
+CHURN_CATEGORICAL = [c for c, kind in CHURN_COLUMNS if kind == "string" and c not in (CHURN_ID, CHURN_LABEL)]
+CHURN_FEATURES = [c for c, _ in CHURN_COLUMNS if c not in (CHURN_ID, CHURN_LABEL)]
 
 # Metric log record: uuid, model ids, start/end epoch ms and nested metrics.
 METRIC_LOG_SCHEMA = T.StructType([

@@ -177,3 +177,20 @@ def test_models_score_in_a_session_with_tagged_jobs(spark):
         assert len(xp.explain_table(df, cv, st, n_samples=50, n_features=2).collect()) == 80
     finally:
         s.removeTag("limit")
+
+
+def test_team_pipeline_samples_and_scales_at_fit_only(spark):
+    """Nothing of the scored rows reaches the fit: scores of a row do not depend on the others, and the
+    fitted scaler has the moments of the sampled training rows."""
+    rng = np.random.default_rng(6)
+    rows = [(i, float(i % 10 == 0), (rng.normal(size=6) * [1, 5, 9, 2, 3, 4] + (2 if i % 10 == 0 else 0)).tolist()) for i in range(200)]
+    from pyspark.ml.functions import array_to_vector
+    df = spark.createDataFrame(rows, "id long, label double, a array<double>").select("id", "label", array_to_vector("a").alias("features"))
+    model = models.team_pipeline(n=225).fit(df)
+    over = models.smote(df, "label", 1.0, ratio=0.25, k=5).select(vector_to_array("features").alias("a")).toPandas()["a"]
+    assert np.allclose(model.stages[0].stages[0].mean.toArray(), np.stack(over.to_numpy()).mean(0))
+    some = models.score(df.limit(20), model, keep=["id"]).toPandas().set_index("id")["probability_1"]
+    every = models.score(df, model, keep=["id"]).toPandas().set_index("id")["probability_1"]
+    assert np.allclose(some, every[some.index]) and every.between(0, 1).all()
+    lab = df.toPandas().set_index("id")["label"]
+    assert every[lab == 1].mean() > every[lab == 0].mean()

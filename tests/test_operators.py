@@ -515,3 +515,61 @@ def test_quantiles_without_values(spark):
     df = spark.createDataFrame([], "g string, v double")
     assert summary.exact_quantiles(df, ["g"], "v", [0.5], ["m"]).count() == 0
     assert summary.exact_quantiles(df, [], "v", [0.5], ["m"]).collect() == [(None,)]
+
+
+def test_page_markup_is_read_as_markup(spark):
+    html = """<!-- <a href="/hidden"> --><SCRIPT>x = '<a href="/s">'; if (a > b) {}</SCRIPT><style>a[href="q"]{}</style>
+    <A title="x > y href='/wrong'" HREF='/one?a=1&amp;b=2'>1</A><a name=top>no</a><a data-href="/d" href=/two>2</a>
+    <a href="/t&#104;ree&#x1F600;&lt;&quot;&amp;amp;&nope;">3</a><abbr href="/no">x</abbr><a href="">empty</a><a/href="/four">4</a>
+    <img alt="<img src=z>" src="a.png"><img><img src=""><img srcset="s" SRC = 'b.png'><!-- open <a href="/late">"""
+    df = spark.createDataFrame([(1, "http://h/p", html), (2, "http://h/q", None), (3, "http://h/r", ""), (4, "u", "<a href=x" + " y=1" * 5000 + ">")],
+                               "page_id long, url string, html string")
+    got = [(r.page_id, r.pos, r.link) for r in pages.extract_links(df).orderBy("page_id", "pos").collect()]
+    assert got == [(1, 0, "/one?a=1&b=2"), (1, 1, "/two"), (1, 2, '/three\U0001f600<"&amp;&nope;'), (1, 3, ""), (1, 4, "/four"), (4, 0, "x")]
+    assert [r.src for r in pages.extract_images(df).orderBy("pos").collect()] == ["a.png", "b.png"]
+
+
+def test_table_spans(spark):
+    html = """<table id="other"><tr><td>x</td></tr></table>
+    <table id='t'><tr><th rowspan=2>A<th colspan=2>B</tr><tr><th>b1</th><th>b2</th></tr>
+    <tr><td rowspan=3>1</td><td>2 &amp; <i>3</i></td><td rowspan="0">z</td><tr><td>4<table id=in><tr><td>in</td></tr></table></td></tr>
+    <tr><td colspan="2">5</td></tr><tr></tr></table><table id=t><tr><td>second</td></tr></table>"""
+    df = spark.createDataFrame([(1, html), (2, None), (3, "<p>no</p>")], "page_id long, html string")
+    got = [(r.row_idx, r.cells, r.header) for r in pages.extract_table(df, "t").orderBy("row_idx").collect()]
+    head = ["A", "b1", "b2"]
+    assert [g[1] for g in got] == [["1", "2 & 3", "z"], ["1", "4in", "z"], ["1", "5", "5"], ["", "", "z"]]
+    assert all(g[2] == head for g in got)
+
+
+def test_two_hop_images_counts_every_crawl_of_a_target(spark):
+    rows = [(1, "http://h/", '<a href="http://h/x/html">a</a><a href="http://h/x/html">again</a><a href="/x/html">relative</a>'),
+            (2, "http://h/x/html", "<img src=/i/j/1.png>"), (3, "http://h/x/html", "<img src=/i/j/2.png><img src=http://else/a/b/3.png>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((r.page_id, r.link_page_id, r.file_name) for r in pages.two_hop_images(df, ["http", "html"], "h").collect())
+    assert got == [(1, 2, "i_1.png"), (1, 3, "i_2.png")]
+    plan = pages.two_hop_images(df, ["http", "html"])._jdf.queryExecution().executedPlan().toString()
+    exchange = [line for line in plan.splitlines() if "Exchange" in line]
+    assert exchange and not any("html" in line for line in exchange)
+
+
+def test_metric_log_is_pruned_by_day(spark, tmp_path):
+    from flurry.operators import monitor
+    rows = [(f"u{i}", "m", "d", i * 3_600_000, i * 3_600_000 + 5) for i in range(24 * 6)]
+    log = spark.createDataFrame(rows, "uuid string, model_crn string, model_deployment_crn string, startTimeStampMs long, endTimeStampMs long")
+    monitor.write_metrics(log, str(tmp_path / "log"))
+    stored = spark.read.parquet(str(tmp_path / "log"))
+    got = monitor.read_metrics(stored, "m", "d", 2 * monitor.DAY_MS, 3 * monitor.DAY_MS)
+    assert got.count() == 24
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "(day#" in plan.split("PartitionFilters")[1]
+
+
+def test_stratified_folds_are_even(spark):
+    from flurry.operators import sampling
+    df = spark.createDataFrame([(i, "yes" if i % 9 == 0 else "no", "kept") for i in range(500)], "id long, label string, extra string")
+    got = sampling.with_stratified_fold(df, "id", "label", 4)
+    n = {(r["label"], r["fold"]): r["count"] for r in got.groupBy("label", "fold").count().collect()}
+    for lab in ("yes", "no"):
+        c = [n[lab, f] for f in range(4)]
+        assert max(c) - min(c) <= 1
+    assert got.columns == ["id", "label", "extra", "fold"] and got.count() == 500
