@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,6 +87,16 @@ def _source(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(F.coalesce("doc_id", F.lit(B.NO_ID)).cast("long").alias("did"), F.col(text).alias("__text"))
 
 
+def _copies(src: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
+    """(rows of ``src`` to compare, whole copies): a text that a smaller document holds too is covered
+    whole, and takes no part. Equal texts are known by 128 bits of hash; ``did, a, b, n`` of the copies."""
+    hashes = (F.xxhash64("__text").alias("a"), F.xxhash64(F.lit(width), "__text").alias("b"))
+    hashed = src.select("did", *hashes, F.octet_length("__text").alias("n")).filter(F.col("n") >= width)
+    least = hashed.groupBy("a", "b").agg(F.min("did").alias("lo"), F.max("did").alias("hi")).filter("lo < hi").drop("hi")
+    copies = staged_table(hashed.join(least, ["a", "b"]).filter("did > lo").drop("lo").distinct(), "copies")
+    return src.select("did", "__text", *hashes).join(copies.drop("n"), ["did", "a", "b"], "left_anti").select("did", "__text"), copies
+
+
 def _shared(src: DataFrame, width: int, k: int) -> DataFrame:
     """(h, did): anchors held by two or more documents, one row per document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,24 +223,22 @@ def _mark(width: int):
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("side", "ascending"), ("key", "ascending"), ("did", "ascending")])
         side, did, ch, c2, at = (table.column(c).to_numpy() for c in ("side", "did", "ch", "c2", "at"))
-        keys = table.column("key").to_pylist()
-        new = np.array([i == 0 or side[i] != side[i - 1] or keys[i] != keys[i - 1] for i in range(len(keys))])
-        head, of = np.flatnonzero(new), np.cumsum(new) - 1
-        many = np.bincount(np.unique(side[head], return_inverse=True)[1])[np.unique(side[head], return_inverse=True)[1]] > 1
-        ask = head[many]                                      # groups of one key need no index
+        column = table.column("key").combine_chunks()
+        keys, size = column.to_pylist(), pc.binary_length(column).to_numpy(zero_copy_only=False)
+        other = pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False).astype(bool)
+        head = np.flatnonzero(np.concatenate([[True], other | (side[1:] != side[:-1])]))
+        first = np.repeat(head, np.diff(np.append(head, len(keys))))   # a key's smallest document
+        _, group, many = np.unique(side[head], return_inverse=True, return_counts=True)
+        ask = head[many[group] > 1]                           # groups of one key need no index
         ask = ask[np.lexsort((did[ask], side[ask]))]
-        hits = dict(zip(ask.tolist(), covered_windows([keys[i] for i in ask], side[ask], did[ask], width)))
-        out: dict[str, list] = {"i": [], "rel": []}
-        for i in range(len(keys)):
-            first = head[of[i]]
-            if did[i] > did[first]:
-                rel = [int(at[i]), int(at[i]) + len(keys[i])] if len(keys[i]) >= width else []
-            else:
-                hit = hits.get(int(first), ())
-                rel = _ranges(hit, width, int(at[i])) if len(hit) else []
-            if rel:
+        hits = dict(zip(ask.tolist(), covered_windows([keys[i] for i in ask.tolist()], side[ask], did[ask], width)))
+        whole = np.flatnonzero((did > did[first]) & (size >= width))
+        out: dict[str, list] = {"i": whole.tolist(), "rel": np.stack([at, at + size], 1)[whole].tolist()}
+        for i in np.flatnonzero(did == did[first]).tolist():
+            hit = hits.get(int(first[i]), ())
+            if len(hit):
                 out["i"].append(i)
-                out["rel"].append(rel)
+                out["rel"].append(_ranges(hit, width, int(at[i])))
         i = np.array(out["i"], np.int64)
         return pa.table({"ch": pa.array(ch[i], pa.int64()), "c2": pa.array(c2[i], pa.int32()), "lo": pa.array(did[i], pa.int64()),
                          "rel": pa.array(out["rel"], pa.list_(pa.int32()))})
@@ -272,13 +281,15 @@ def repeated_spans(docs: DataFrame, text: str = "text", width: int = WIDTH, k: i
     """(did, cuts): per document byte ranges [start, end, start, end, ...] (they may
     overlap) covered by strings that also start in a document with a smaller id.
 
+    Whole copies of an earlier document are found first and take no further part.
     Equal contexts form a class, known by its hashes. All its documents but the
     smallest lose the whole context. The bytes of a class are fetched from the
     smallest document, and only if another class agrees with it beyond the
     anchor (a group): groups of at most ``group_contexts`` are indexed in shards
     and streamed, larger ones decided by grouped minima of their strings.
     """
-    spark, src = docs.sparkSession, _source(docs, text)
+    spark = docs.sparkSession
+    src, copies = _copies(_source(docs, text), width)
     lists = staged_table(_shared(src, width, k).groupBy("did").agg(F.collect_set("h").alias("hs")), "anchors")  # a document's own
     release_shuffles(spark)
     placed = staged_table(_placed(src.join(lists, "did"), width, k), "contexts")
@@ -316,9 +327,10 @@ def repeated_spans(docs: DataFrame, text: str = "text", width: int = WIDTH, k: i
     cut = placed.select("ch", "c2", "did", "start", "size").join(decided, ["ch", "c2"]).filter(
         (F.col("rel").isNull() & (F.col("did") > F.col("lo"))) | (F.col("rel").isNotNull() & (F.col("did") == F.col("lo"))))
     whole, part = F.array("start", F.col("start") + F.col("size")), F.transform("rel", lambda v: v + F.col("start"))
-    cuts = staged_table(cut.select("did", F.when(F.col("rel").isNull(), whole).otherwise(part).alias("c"))
+    copied = copies.select("did", F.array(F.lit(0), F.col("n")).alias("c"))
+    cuts = staged_table(cut.select("did", F.when(F.col("rel").isNull(), whole).otherwise(part).alias("c")).unionByName(copied)
                         .groupBy("did").agg(F.flatten(F.collect_list("c")).alias("cuts")), "cuts")
-    discard(placed, classes, *parts)
+    discard(placed, classes, copies, *parts)
     release_shuffles(spark)
     return cuts
 
