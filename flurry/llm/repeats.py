@@ -33,6 +33,7 @@ K = 16
 SHARD_CONTEXTS = 1 << 13  # contexts of one index
 GROUP_CONTEXTS = 1 << 15  # largest group that is indexed whole (about 2 MB of text)
 BLOCK = 1 << 18           # bytes hashed together
+BROADCAST_COPIES = 1 << 20  # keys of whole copies (24 bytes each) sent to every task at most
 PLACE_BITS = np.uint64(31)
 TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 SECOND = B.BYTE_VALUE[::-1].copy()  # byte values of the second hash
@@ -94,7 +95,10 @@ def _copies(src: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     hashed = src.select("did", *hashes, F.octet_length("__text").alias("n")).filter(F.col("n") >= width)
     least = hashed.groupBy("a", "b").agg(F.min("did").alias("lo"), F.max("did").alias("hi")).filter("lo < hi").drop("hi")
     copies = staged_table(hashed.join(least, ["a", "b"]).filter("did > lo").drop("lo").distinct(), "copies")
-    return src.select("did", "__text", *hashes).join(copies.drop("n"), ["did", "a", "b"], "left_anti").select("did", "__text"), copies
+    keys = copies.drop("n")
+    if copies.count() <= BROADCAST_COPIES:  # the texts stay where they are; beyond, they are dealt by id once a pass
+        keys = F.broadcast(keys)
+    return src.select("did", "__text", *hashes).join(keys, ["did", "a", "b"], "left_anti").select("did", "__text"), copies
 
 
 def _shared(src: DataFrame, width: int, k: int) -> DataFrame:
