@@ -308,7 +308,7 @@ def _minority_neighbours(pts: DataFrame, kk: int, neighbours: str, lsh: dict | N
 
 def smote(df: DataFrame, label: str, minority, ratio: float = 1.0, k: int = 5, seed: int = 42,
           id_col: str = "id", vec: str = "features", neighbours: str = "exact",
-          lsh: dict | None = None) -> DataFrame:
+          lsh: dict | None = None, few: str = "raise") -> DataFrame:
     """Synthetic minority rows x + u·(neighbour − x) (M11, Chawla et al. 2002).
 
     Adds int(ratio · n_majority) − n_minority rows, spread evenly over the
@@ -319,6 +319,9 @@ def smote(df: DataFrame, label: str, minority, ratio: float = 1.0, k: int = 5, s
     null ``id_col``. Neighbours come from the blocked exact kNN (no minority
     x minority pairs are materialised), or with ``neighbours="lsh"`` from
     LSH backed by the exact search where LSH finds too few.
+
+    k or fewer minority rows are an error; with ``few="fewer"`` the neighbours
+    are then all other minority rows.
     """
     is_vec = not isinstance(df.schema[vec].dataType, T.ArrayType)
     arr = vector_to_array(F.col(vec)) if is_vec else F.col(vec).cast("array<double>")
@@ -330,9 +333,9 @@ def smote(df: DataFrame, label: str, minority, ratio: float = 1.0, k: int = 5, s
     out = df.withColumn("synthetic", F.lit(False))
     if n_new <= 0:
         return out
-    if n_min <= k:
+    kk = min(k, n_min - 1) if few == "fewer" else k
+    if n_min <= kk or kk < 1:
         raise ValueError(f"SMOTE needs more than k = {k} minority rows, found {n_min}")
-    kk = k
     pts = mino.select(F.col(id_col).alias("_id"), "_arr")
     nn = _minority_neighbours(pts, kk, neighbours, lsh)
     numbered = positions(pts.select("_id"), [], ["_id"], "_pos")
@@ -371,9 +374,9 @@ class SmoteThen(Estimator):
 
     def __init__(self, inner: Estimator, label: str = "label", minority: float = 1.0,
                  ratio: float = 1.0, k: int = 5, seed: int = 42, id_col: str = "id",
-                 vec: str = "features", weight_col: str | None = None):
+                 vec: str = "features", weight_col: str | None = None, few: str = "raise"):
         super().__init__()
-        self.inner, self.label, self.minority = inner, label, minority
+        self.inner, self.label, self.minority, self.few = inner, label, minority, few
         self.k, self.seed, self.id_col, self.vec, self.weight_col = k, seed, id_col, vec, weight_col
         self._set(ratio=ratio)
 
@@ -384,11 +387,11 @@ class SmoteThen(Estimator):
         rest = {p: v for p, v in extra.items() if p.parent != self.uid}
         return SmoteThen(self.inner.copy(rest), self.label, self.minority,
                          own.get("ratio", self.getOrDefault(self.ratio)), self.k, self.seed,
-                         self.id_col, self.vec, self.weight_col)
+                         self.id_col, self.vec, self.weight_col, self.few)
 
     def _fit(self, df: DataFrame) -> Model:
         over = smote(df, self.label, self.minority, self.getOrDefault(self.ratio), self.k, self.seed,
-                     self.id_col, self.vec).drop("synthetic")
+                     self.id_col, self.vec, few=self.few).drop("synthetic")
         if self.weight_col:
             n = {r[0]: r["n"] for r in over.groupBy(self.label).agg(F.count(F.lit(1)).alias("n")).collect()}
             total = sum(n.values())

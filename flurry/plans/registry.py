@@ -992,7 +992,8 @@ def q_smote_oversample(spark, d):
 def q_grid_search(spark, d):
     t = _team(spark, d).select("id", "label", "features")
     rf = models.forest(10, seed=42)
-    est = models.SmoteThen(rf, "label", 1.0, ratio=0.25, k=5, seed=42, id_col="id")
+    # seven champions: a training fold may hold five, fewer than SMOTE's six
+    est = models.SmoteThen(rf, "label", 1.0, ratio=0.25, k=5, seed=42, id_col="id", few="fewer")
     grid = [{rf.numTrees: nt, est.ratio: r} for nt in (10, 50) for r in (0.25, 0.5)]
     res, best = models.grid_search(est, grid, t, "label", "id", folds=5, parallelism=4, refit=False)
     return res

@@ -68,13 +68,15 @@ def churn_workflow(spark: SparkSession, csv_path: str, table: str | None = None,
 def team_workflow(seasons: DataFrame, champions: DataFrame, features: list[str], holdout_season: int,
                   name: str = "name", season: str = "season", games: str = "games_played",
                   grid: list[dict] | None = None, folds: int = 5, explain_samples: int = 1000,
-                  explain_features: int = 5) -> dict:
+                  explain_features: int = 5, few: str = "fewer") -> dict:
     """Team-season table -> champion probability of the held-out season.
 
     seasons: one row per team and season; champions: (Year, Champion).
     Counting stats are made per game (columns containing 'percentage' and
     the ids are left as they are); seasons before ``holdout_season`` train a
     scaled random forest with SMOTE inside each CV fold, chosen per score.
+    One champion a season makes few positives: a fold with at most 5 takes all
+    of them as neighbours, or is refused with ``few="raise"``.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
@@ -89,7 +91,7 @@ def team_workflow(seasons: DataFrame, champions: DataFrame, features: list[str],
                             models.PopulationStandardScaler("features_raw", "features")]).fit(past)
     train = prep.transform(past).select("id", "label", "features")
     rf = models.forest(100, weight_col=None)
-    est = models.SmoteThen(rf, "label", 1.0, ratio=0.25, k=5, id_col="id")
+    est = models.SmoteThen(rf, "label", 1.0, ratio=0.25, k=5, id_col="id", few=few)
     grid = grid or [{rf.numTrees: n, est.ratio: r} for n in (10, 100) for r in (0.25, 0.5)]
     results, best = models.grid_search(est, grid, train, "label", "id", folds=folds)
     model = best["balanced_accuracy"][1]

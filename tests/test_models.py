@@ -194,3 +194,13 @@ def test_team_pipeline_samples_and_scales_at_fit_only(spark):
     assert np.allclose(some, every[some.index]) and every.between(0, 1).all()
     lab = df.toPandas().set_index("id")["label"]
     assert every[lab == 1].mean() > every[lab == 0].mean()
+
+
+def test_smote_refuses_too_few_minority_rows(spark):
+    import pytest
+    from pyspark.ml.functions import array_to_vector
+    df = spark.createDataFrame([(i, float(i < 4), [float(i), 1.0]) for i in range(40)], "id long, label double, a array<double>")
+    df = df.select("id", "label", array_to_vector("a").alias("features"))
+    with pytest.raises(ValueError, match="more than k = 5"):
+        models.smote(df, "label", 1.0, ratio=0.5, k=5)
+    assert models.smote(df, "label", 1.0, ratio=0.5, k=5, few="fewer").where("synthetic").count() == 14
