@@ -20,7 +20,7 @@ TURN = "array<struct<role:string,text:string>>"
 OPEN, CLOSE = "### ", "</turn>"
 FIELD = r"try_variant_get\(v, '\$\.(\w+)', '([^']*)'\)"
 LONG = 1 << 21  # characters from which a record may exceed what a variant or its parser holds
-# role names of other layouts -> canonical
+# role names of the shared layout -> canonical
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
 
@@ -41,15 +41,20 @@ def _get(path: str) -> str:
     return f"coalesce(try_variant_get(v, '$.{path}', 'string'), '')"
 
 
-def _messages(field: str, role: str, text: str) -> str:
+def _messages(field: str, role: str, text: str, names: dict[str, str] | None = None) -> str:
+    """``names`` renames roles; others stay as they are."""
+    said = f"m.{role}"
+    if names:
+        known = ", ".join(f"'{a}', '{b}'" for a, b in names.items())
+        said = f"coalesce(try_element_at(map({known}), m.{role}), m.{role})"
     return (f"transform(try_variant_get(v, '$.{field}', 'array<struct<{role}:string,{text}:string>>'), "
-            f"m -> struct(m.{role} as role, coalesce(m.{text}, '') as text))")
+            f"m -> struct({said} as role, coalesce(m.{text}, '') as text))")
 
 
 _alpaca = f"concat({_get('instruction')}, if({_get('input')} = '', '', concat('\\n\\n', {_get('input')})))"
 LAYOUTS = (
     Layout("messages", ("messages[].role", "messages[].content"), _messages("messages", "role", "content")),
-    Layout("shared", ("conversations[].from", "conversations[].value"), _messages("conversations", "from", "value")),
+    Layout("shared", ("conversations[].from", "conversations[].value"), _messages("conversations", "from", "value", ROLES)),
     Layout("prompt", ("prompt", "response"), _pair(_get("prompt"), _get("response"))),
     Layout("completion", ("prompt", "completion"), _pair(_get("prompt"), _get("completion"))),
     Layout("question", ("question", "answer"), _pair(_get("question"), _get("answer"))),
@@ -119,7 +124,7 @@ def canonical_turns(records: DataFrame, record: str = "record", layouts: tuple[L
 
     ``record`` is a JSON string. Null, malformed and unknown layouts get null
     ``layout`` and no turns; null texts are empty; null roles are the empty
-    role. Records and texts of any length that a column holds are read. Other columns pass through (``layout`` and ``turns`` are replaced).
+    role. Roles keep their names, but for the ``ROLES`` of the shared layout. Records and texts of any length that a column holds are read. Other columns pass through (``layout`` and ``turns`` are replaced).
     """
     v = records.withColumn("v", F.try_parse_json(F.col(record)))
     long = F.col("v").isNull() & (F.length(record) >= LONG)
@@ -134,12 +139,9 @@ def canonical_turns(records: DataFrame, record: str = "record", layouts: tuple[L
     v = v.withColumn("__turns", turns)
     wrong = F.col("__long") & F.col("__turns").isNull()
     name, turns = F.when(~wrong, name), F.when(wrong, F.expr(f"cast(array() as {TURN})")).otherwise(F.col("__turns"))
-    roles = F.create_map(*[F.lit(s) for kv in ROLES.items() for s in kv])
 
     def canonical(t: Column) -> Column:
-        role = F.coalesce(t["role"], F.lit(""))
-        return F.struct(F.coalesce(F.try_element_at(roles, role), role).alias("role"),
-                        F.coalesce(t["text"], F.lit("")).alias("text"))
+        return F.struct(F.coalesce(t["role"], F.lit("")).alias("role"), F.coalesce(t["text"], F.lit("")).alias("text"))
     return v.withColumn("layout", name).withColumn("turns", F.transform(turns, canonical)).drop("v", "__long", "__print", "__turns")
 
 

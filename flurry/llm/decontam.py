@@ -44,7 +44,7 @@ def _window_hashes(words: np.ndarray, care: np.ndarray, salt: int) -> np.ndarray
 
 def _tokens(raw: np.ndarray, off: np.ndarray):
     start, end, first = B.spans(raw, off, B.PUNCT)
-    return start, end, first, B.span_hash(B.prefix_hash(raw, B.BYTE_VALUE_LOWER), start, end)
+    return start, end, first, B.bytes_hash(B.LOWER[raw], start, end)
 
 
 class TestIndex:

@@ -35,6 +35,7 @@ CHUNKS = 64
 FAN_IN = 256           # sketches summed in one task
 VERIFY_COST = 20.0     # verifying a candidate, in prefix shingles
 GROUP = 512            # documents compared with one centre in one task
+HOT = 1 << 16          # documents of one shingle that are ordered in one task
 DOC_BITS = 10          # documents of a block; the rest of a sort key is the shingle
 _D = np.uint64(DOC_BITS)
 _T = np.uint64(64 - DOC_BITS)
@@ -47,7 +48,7 @@ def token_sets(raw: np.ndarray, off: np.ndarray, n: int = WORDS) -> tuple[np.nda
     without words has none.
     """
     start, end, first = B.spans(raw, off, B.SPACE)
-    words = B.span_hash(B.prefix_hash(raw, B.BYTE_VALUE_LOWER), start, end)
+    words = B.bytes_hash(B.LOWER[raw], start, end)
     doc = B.text_of(first, len(words))
     h = B.grams(words, (n,))[n]
     at = np.flatnonzero(B.inside(first, n, len(words)))
@@ -114,14 +115,18 @@ def _frequencies(profile: DataFrame) -> np.ndarray:
 
 
 def _prefix_rows(src: DataFrame, freq, n: int, percent: int) -> DataFrame:
-    """(tok, did, n, p, m, q): each document's prefix shingles with their position,
+    """(tok, s, did, n, p, m, q): each document's prefix shingles with their position,
     its m, and how typical the document is (mean log frequency of its shingles).
+    ``s`` deals the documents of a shingle estimated above ``HOT`` into parts; -1 for others.
 
     Documents of one block with equal sets are written once (the smallest id
     stands for them; they are in one class anyway).
     """
+    hot = HOT
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         est = freq.value
+        parts = np.ceil(est / hot).astype(np.uint64)
         rank = np.floor(np.log2(est)).astype(np.uint64)
         for batch, raw, off in B.blocks(batches, "__text", rows=1 << DOC_BITS):
             doc, tok = token_sets(raw, off, n)
@@ -150,11 +155,12 @@ def _prefix_rows(src: DataFrame, freq, n: int, percent: int) -> DataFrame:
             level = np.concatenate([[0.0], np.cumsum(np.log2(est[cell]))])
             typical = (1024 * np.diff(level[edge]) / np.maximum(size, 1)).astype(np.int32)
             keep = (pos < (base + pick)[doc]) & one[doc]
-            d = doc[keep]
-            yield B.as_table(tok=tok[keep].view(np.int64), did=did[d], n=size[d].astype(np.int32),
+            d, split = doc[keep], parts[cell[keep]]
+            part = np.where(split > 1, B.mix(did.view(np.uint64))[d] % split, 0).astype(np.int32) - (split <= 1)
+            yield B.as_table(tok=tok[keep].view(np.int64), s=part.astype(np.int32), did=did[d], n=size[d].astype(np.int32),
                              p=pos[keep].astype(np.int32), m=pick[d].astype(np.int32), q=typical[d])
 
-    return src.mapInArrow(run, "tok long, did long, n int, p int, m int, q int")
+    return src.mapInArrow(run, "tok long, s int, did long, n int, p int, m int, q int")
 
 
 def _verify(src: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -209,7 +215,7 @@ def near_duplicate_groups(docs: DataFrame, text: str = "text", words: int = WORD
     fewer than ``words`` words is one shingle.
 
     Texts without words (null, empty, blank) have no shingles and link with
-    nothing. Rows with one doc_id are one node. A null doc_id sorts last; a
+    nothing. Rows with one doc_id are one node, linked by each of its texts. A null doc_id sorts last; a
     component of null ids only has a null component_id. Other columns are not
     read. An empty table gives an empty result.
     """
@@ -217,22 +223,25 @@ def near_duplicate_groups(docs: DataFrame, text: str = "text", words: int = WORD
     profile = cut_lineage(_profile(src, words))
     sets = profile.filter("chunk is null").select("did", "n", "sa", "sb")
     classes = sets.filter("n > 0").groupBy("n", "sa", "sb").agg(F.min("did").alias("b"))
-    copies = (sets.join(classes.withColumnRenamed("n", "__n"), (F.col("n") == F.col("__n")) & sets.sa.eqNullSafe(classes.sa)
-                        & sets.sb.eqNullSafe(classes.sb)).filter("did > b").select(F.col("did").alias("a"), "b").distinct())
-    copies = cut_lineage(copies)
+    # the class of every set; an id whose rows differ has several
+    classed = cut_lineage(sets.join(classes, ["n", "sa", "sb"]).select("did", "b").distinct())
+    copies = classed.filter("did > b").select(F.col("did").alias("a"), "b")
+    # others stand for these ids with all their texts
+    stood_for = classed.groupBy("did").agg(F.max("b").alias("top")).filter("top < did").select("did")
     freq = docs.sparkSession.sparkContext.broadcast(_frequencies(profile))
 
-    by = Window.partitionBy("tok").orderBy("did")
+    by = Window.partitionBy("tok", "s").orderBy("did")
     shared = (_prefix_rows(src, freq, words, percent)
               .withColumn("before", F.lag("did").over(by)).withColumn("after", F.lead("did").over(by))
-              .filter("before is not null or after is not null").drop("before", "after")
-              .join(copies.select(F.col("a").alias("did")), "did", "left_anti"))
+              .filter("s >= 0 or before is not null or after is not null").drop("before", "after")
+              .join(stood_for, "did", "left_anti"))
     shared = staged_table(shared, "prefixes")
     release_shuffles(docs.sparkSession)
 
     # links along each shingle: to the most typical document holding it and to the one before;
-    # an edited copy resembles the unedited text more than another edited copy
-    by = Window.partitionBy("tok").orderBy(F.desc("q"), "did")
+    # an edited copy resembles the unedited text more than another edited copy. The parts of a
+    # frequent shingle are linked by their most typical documents
+    by = Window.partitionBy("tok", "s").orderBy(F.desc("q"), "did")
     near = (shared.withColumn("first", F.first(F.struct("did", "n", "m")).over(by))
             .withColumn("prev", F.lag(F.struct("did", "n", "m")).over(by)))
     stars = None
@@ -240,6 +249,11 @@ def near_duplicate_groups(docs: DataFrame, text: str = "text", words: int = WORD
         one = near.select(F.col("did").alias("a"), F.col(f"{c}.did").alias("b"), "n", F.col(f"{c}.n").alias("nb"),
                           F.least("m", f"{c}.m").alias("m")).filter("a <> b")
         stars = one if stars is None else stars.union(one)
+    tops = (shared.filter("s >= 0").groupBy("tok", "s")
+            .agg(F.min(F.struct((-F.col("q")).alias("q"), "did", "n", "m")).alias("top")))
+    best = tops.groupBy("tok").agg(F.min("top").alias("best"))
+    stars = stars.union(tops.join(best, "tok").filter("top.did <> best.did")
+                        .select("top.did", "best.did", "top.n", "best.n", F.least("top.m", "best.m")))
     fits = f"100 * least(n, nb) >= {percent} * greatest(n, nb)"
     pairs = stars.filter(fits).groupBy("a", "b").agg(F.count("*").alias("k"), F.min("m").alias("m")).filter("k >= m")
     links = cut_lineage(_verify(src, pairs, words, percent).union(copies))

@@ -37,7 +37,6 @@ def _block(batch: pa.RecordBatch, raw: np.ndarray, off: np.ndarray, lengths: tup
     total, doc = len(start), B.text_of(first, len(start))
     head = (raw & 0xC0) != 0x80  # first bytes of code points
     chars = np.concatenate([[0], np.cumsum(head & ~B.SPACE[raw])])
-    prefix = B.prefix_hash(raw)
     out = {"n_words": np.diff(first), "word_chars": np.diff(chars[off]),
            "n_symbols": np.diff(np.concatenate([[0], np.cumsum(SYMBOLS[raw])])[off])}
 
@@ -52,7 +51,7 @@ def _block(batch: pa.RecordBatch, raw: np.ndarray, off: np.ndarray, lengths: tup
     lchars = chars[lend] - chars[lstart]
     ldoc = B.text_of(lfirst, nline)
     real = np.flatnonzero(lchars > 0)
-    key = B.mix(B.span_hash(prefix, lstart[real], lend[real]) + ldoc[real].astype(np.uint64) * B.STEP)
+    key = B.mix(B.bytes_hash(raw, lstart[real], lend[real]) + ldoc[real].astype(np.uint64) * B.STEP)
     order = np.argsort(key, kind="stable")
     same = np.concatenate([[False], key[order][1:] == key[order][:-1]]) if len(order) else np.zeros(0, bool)
     later = real[order[same]]
@@ -60,7 +59,7 @@ def _block(batch: pa.RecordBatch, raw: np.ndarray, off: np.ndarray, lengths: tup
     twice = real[B.repeated(key)]
     out["dup_line_chars"] = np.bincount(ldoc[twice], lchars[twice], n).astype(np.int64)
 
-    words = B.span_hash(prefix, start, end)
+    words = B.bytes_hash(raw, start, end)
     salt = doc.astype(np.uint64) * B.STEP
     wchars = chars[end] - chars[start]
     for k, h in B.grams(words, lengths).items():

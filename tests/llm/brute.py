@@ -21,6 +21,33 @@ def quality(t):
     return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(cover), failed)
 
 
+def covered_chars(t, n):
+    """Characters of words inside n-word windows found twice or more."""
+    w = WORD.findall(t)
+    seen = collections.Counter(tuple(w[i:i + n]) for i in range(len(w) - n + 1))
+    cover = {j for i in range(len(w) - n + 1) if seen[tuple(w[i:i + n])] > 1 for j in range(i, i + n)}
+    return sum(len(w[j]) for j in cover)
+
+
+def repetition(t):
+    """(dup_line_chars, chars_5, chars_7, chars_10, kept) at the default shares."""
+    n_words, chars, symbols, _, _, failed = quality(t)
+    held = collections.Counter(x for x in t.split("\n") if WORD.search(x))
+    dup = sum(k * sum(map(len, WORD.findall(x))) for x, k in held.items() if k > 1)
+    inside = [covered_chars(t, n) for n in (5, 7, 10)]
+    ok = dup <= 0.3 * chars and symbols <= 0.1 * n_words and all(c <= s * chars for c, s in zip(inside, (0.25, 0.22, 0.2)))
+    return (dup, *inside, not failed and ok)
+
+
+def chat(turns):
+    """(n_turns, turns digest, characters and digest under the loss mask, formatted characters) of (role, text) turns."""
+    def escape(s):
+        return s.replace("\\", "\\\\").replace("### ", "\\h").replace("</turn>", "\\t")
+    learned = "".join(t for r, t in turns if r == "assistant")
+    formatted = "".join(f"### {escape(r)}\n{escape(t)}</turn>\n" for r, t in turns)
+    return (len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(learned), sha(learned), len(formatted))
+
+
 def lines(rows):
     def key(x):
         return x.strip(" \t\n\x0b\x0c\r").translate(LOW)

@@ -16,7 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from flurry.llm import blocks, chat, queries, secrets, tokens
+from flurry.llm import blocks, chat, jaccard, queries, secrets, tokens
 from flurry.llm.chat import canonical_turns, format_chat, read_back
 from flurry.llm.decontam import _best_run, spaced_seed_overlaps
 from flurry.llm.graph import components
@@ -78,10 +78,39 @@ def test_quality(spark, docs, rows):
     got = repetition_coverage(docs, carry=("doc_id", "lang"))
     cols = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
     assert _got(got, *cols) == sorted((d, *brute.quality(t)) for d, t in rows)
+    assert _got(got, "doc_id", "dup_line_chars", "chars_5", "chars_7", "chars_10", "kept") == sorted(
+        (d, *brute.repetition(t)) for d, t in rows)
     assert got.filter("base_failed and kept").count() == 0
     assert repetition_coverage(_empty(spark)).count() == 0
 
 
+def _thue_morse(n):
+    """Two strings of 2**n characters that collide in every polynomial hash modulo 2**64 (n >= 10)."""
+    a, b = "a", "b"
+    for _ in range(n):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_words_and_lines_of_any_length_have_their_own_hash(spark):
+    rng = np.random.default_rng(5)
+    raw = rng.integers(97, 99, 40_000).astype(np.uint8)
+    start = rng.integers(0, 39_000, 5000)
+    end = start + rng.integers(0, 200, 5000)
+    strings = [raw[a:b].tobytes() for a, b in zip(start, end)]
+    assert len(set(zip(strings, blocks.bytes_hash(raw, start, end).tolist()))) == len(set(strings))
+    assert len(set(blocks.bytes_hash(raw, start, end).tolist())) == len(set(strings))
+    tail = " ".join(f"v{i}" for i in range(40))
+    pairs = [_thue_morse(n) for n in (10, 11, 12)]
+    rows = [(i, f"{x}\n{tail}") for i, x in enumerate(x for p in pairs for x in p)]
+    rows += [(10 + i, f"{a}\n{b}\n{tail}") for i, (a, b) in enumerate(pairs)]
+    rows += [(20 + i, x) for i, x in enumerate(x for p in pairs for x in p)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert _got(repetition_coverage(df), "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                "base_failed") == sorted((d, *brute.quality(t)) for d, t in rows)
+    assert _got(near_duplicate_groups(df), "doc_id", "n_shingles", "component_id") == brute.jaccard(rows)
+
+
 def test_line_dedup(spark, docs, rows):
     got = dedup_lines(docs).withColumn("sha", F.sha2(F.col("text").cast("binary"), 256))
     assert _got(got, "doc_id", "n_lines", "n_dropped", "sha") == brute.lines(rows)
@@ -122,6 +151,33 @@ def test_jaccard_random(spark):
         assert _got(got, "doc_id", "n_shingles", "component_id") == brute.jaccard(rows)
 
 
+def test_jaccard_of_null_and_repeated_ids(spark):
+    rng = random.Random(4)
+    a, c, e = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(3))
+    rows = [(1, a), (2, a), (2, c), (3, c + " more"), (4, e), (None, e + " end"), (None, None), (5, None)]
+    got = near_duplicate_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, got.select("doc_id", "component_id").collect()), key=str) == sorted(
+        [(1, 1), (2, 1), (2, 1), (3, 1), (4, 4), (None, 4), (None, 4), (5, 5)], key=str)
+
+
+@pytest.mark.parametrize("hot", [3, 20])
+def test_jaccard_of_frequent_shingles_in_parts(spark, monkeypatch, hot):
+    """A group of near copies holding a third of the documents, its shingles dealt into parts."""
+    monkeypatch.setattr(jaccard, "HOT", hot)
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(80)]
+    rows = []
+    for d in range(120):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(80)] if d % 3 else list(base)
+        if d % 3 == 0:
+            w[rng.randrange(80)] = f"x{d}"
+            w[rng.randrange(80)] = f"y{rng.randrange(4)}"
+        rows.append((d, " ".join(w)))
+    rows += [(200 + d, t + " z") for d, t in rows[:30]]
+    got = near_duplicate_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert _got(got, "doc_id", "n_shingles", "component_id") == brute.jaccard(rows)
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 460)]
@@ -361,6 +417,25 @@ def test_chat_layouts_and_round_trip(spark):
     assert back[2]["read"] == [] and back[2]["formatted"] == ""
 
 
+def test_chat_roles_of_rows_stay_as_they_are(spark, tmp_path):
+    """The query against brute force: roles that another layout renames, odd orders, nulls and clashing columns."""
+    talks = {1: [("user", "q"), ("assistant", "a")], 2: [("system", "s"), ("user", "q ### x"), ("assistant", "\\t</turn>")],
+             3: [("human", "q"), ("gpt", "a"), ("bot", "b"), ("model", "c")], 4: [("assistant", ""), ("assistant", "é" * 3000)],
+             5: [("", "x\ny")], 6: [("user", "a"), ("user", "b"), ("assistant", "c"), ("assistant", "d")] * 200}
+    rows = [(k, i, r, t or None, "v", "p") for k, turns in talks.items() for i, (r, t) in enumerate(turns)]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, v string, __turns string")
+    df.repartition(3).write.parquet(str(tmp_path / "conversations.parquet"))
+    said = "\\### Assistant: </turn> ok"
+    talks[-7] = [("user", said), ("assistant", said)]
+    got = queries.op8_chat(spark, str(tmp_path))
+    assert _got(got, "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars") == sorted(
+        (k, *brute.chat(turns)) for k, turns in talks.items())
+    recs = [f'{{"{field}":[{{"{role}":"{name}","{text}":"t"}}]}}' for name in ("human", "gpt", "system")
+            for field, role, text in (("messages", "role", "content"), ("conversations", "from", "value"))]
+    mixed = canonical_turns(spark.createDataFrame([(i, r) for i, r in enumerate(recs)], "k long, record string").repartition(1))
+    assert [r["turns"][0]["role"] for r in mixed.orderBy("k").collect()] == ["human", "user", "gpt", "assistant", "system", "system"]
+
+
 def test_personal_data(spark, docs, rows):
     got = {r[0]: ",".join(f"{s.kind}:{s.start}:{s.end}" for s in r[1]) for r in find_personal_data(docs).select("doc_id", "base").collect()}
     assert got == {d: brute.personal(t) for d, t in rows}
