@@ -12,7 +12,7 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flurry.llm.decontam import contaminated_ids, spaced_seed_overlaps
@@ -75,9 +75,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     order = F.struct(F.col("id").isNull().alias("last"), "id", "__key")
     kept = (groups.select(F.col("doc_id").alias("__key"), "component_id").distinct().join(ids, "__key")
             .groupBy("component_id").agg(F.min(order).alias("k")).select("k.__key"))
-    rows = rows.join(kept, "__key", "left_semi")
-    again = Window.partitionBy("__key").orderBy("__key")
-    return _unwrap(rows.withColumn("__k", F.row_number().over(again)).filter("__k = 1"), docs)
+    # repeated rows are merged before they are shuffled: a text repeated often is one row a task
+    return _unwrap(rows.dropDuplicates(["__key"]).join(kept, "__key", "left_semi"), docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
