@@ -13,17 +13,19 @@ model's P(class 1) on the 0/1 features gives one weight per feature.
 Feature choice: forward selection when at most 6 features are asked for,
 otherwise the largest |weights| of a light ridge (alpha 0.01) on all.
 
-Plan: rows -> mapInPandas (draw samples, seeded by row id) -> one
-``model.transform`` over all samples -> mapInPandas (one weighted ridge per
-row). The transform is narrow, so the samples of a row stay together in
-their partition and the second step needs no shuffle; a row's samples are
-``n_samples`` rows, bounded by the parameter, not by the data.
+The samples do not depend on the row they explain (only the 0/1 form and
+sample 0 do), so one set is drawn from the seed, scored once by the model and
+shared by all rows: its size is a parameter (samples x features). Plan: rows ->
+``model.transform`` for their own probability -> Arrow batches of ridge fits,
+one narrow pass without a shuffle; all other columns stay in the JVM. Rows of
+the same classes and bins share their weighted sums, kept in a bounded cache.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -151,25 +153,21 @@ def _truncnorm(rng, mean, std, lo, hi):
     return np.where(ok, x, np.where(hi <= lo, lo, mean))
 
 
-def _bin_of(x: float, qs: list[float]) -> int:
-    return int(sum(x > q for q in qs))
+def _moments(Z: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple:
+    """Weighted sums over samples: of 1, Z, y, Z'Z, Z'y and y²."""
+    Zw = Z * w[:, None]
+    return w.sum(), Zw.sum(axis=0), float(w @ y), Z.T @ Zw, Zw.T @ y, float(w @ (y * y))
 
 
-def _wridge(X: np.ndarray, y: np.ndarray, w: np.ndarray, alpha: float):
-    """Weighted ridge with intercept; returns (coef, intercept, weighted R²)."""
-    g = _gram(X, y, w)
-    return _solve(g, list(range(X.shape[1])), alpha)
-
-
-def _gram(X: np.ndarray, y: np.ndarray, w: np.ndarray):
-    """Weighted centred cross-products: everything a ridge fit on any subset
+def _gram(m: tuple, p: float) -> dict:
+    """Weighted centred cross-products of the samples in ``m`` and the row itself
+    (all ones, weight 1, probability ``p``): everything a ridge fit on any subset
     of the columns needs, so selection never revisits the samples."""
-    ws = w.sum()
-    xm = (w @ X) / ws
-    ym = (w @ y) / ws
-    Xc, yc = X - xm, y - ym
-    Xw = Xc * w[:, None]
-    return {"G": Xc.T @ Xw, "b": Xw.T @ yc, "syy": float(w @ (yc * yc)), "xm": xm, "ym": ym}
+    sw, sx, sy, sxx, sxy, syy = m
+    sw, sx, sy = sw + 1.0, sx + 1.0, sy + p
+    xm, ym = sx / sw, sy / sw
+    return {"G": sxx + 1.0 - sw * np.outer(xm, xm), "b": sxy + p - sw * xm * ym,
+            "syy": max(syy + p * p - sw * ym * ym, 0.0), "xm": xm, "ym": ym}
 
 
 def _solve(g: dict, cols: list[int], alpha: float):
@@ -209,165 +207,123 @@ def _select(g: dict, n_f: int, k: int, method: str):
 
 # --- X1 ----------------------------------------------------------------------------
 
-_CHUNK_ROWS = 1 << 16   # sample rows per Arrow batch handed back to the JVM
-SAMPLES_PER_TASK = 1_000_000
+_CACHE_BYTES = 1 << 26   # weighted sums kept per task
 
 
-def _id_seed(rid) -> tuple[int, int]:
-    """Two 31-bit words from a row id: the id itself when integral, else a
-    stable hash of its text, so draws do not depend on partitioning."""
-    if isinstance(rid, (int, np.integer)):
-        v = int(rid)
-    else:
-        import hashlib
-        v = int.from_bytes(hashlib.md5(str(rid).encode("utf-8")).digest()[:8], "little")
-    return v & 0x7FFFFFFF, (v >> 31) & 0x7FFFFFFF
+def draw_samples(stats: TrainingStats, n_samples: int, seed: int) -> tuple[np.ndarray, dict]:
+    """The perturbation samples: class or bin number of every sample and feature,
+    and the values that the model scores."""
+    rng = np.random.default_rng(seed)
+    codes = np.empty((n_samples, len(stats.features)), dtype=np.int32)
+    values = {}
+    for j, c in enumerate(stats.features):
+        if c in stats.classes:
+            names, freq = stats.classes[c]
+            codes[:, j] = rng.choice(len(names), size=n_samples, p=freq)
+            values[c] = np.asarray(names, dtype=object)[codes[:, j]]
+        else:
+            p, mean, std, lo, hi = np.asarray(stats.bins[c], dtype=float).T
+            codes[:, j] = b = rng.choice(4, size=n_samples, p=p / p.sum())
+            values[c] = _truncnorm(rng, mean[b], std[b], lo[b], hi[b])
+    return codes, values
+
+
+def _score_samples(spark, model, stats: TrainingStats, values: dict) -> np.ndarray:
+    """P(class 1) of every sample, in order."""
+    n = len(next(iter(values.values())))
+    schema = ", ".join(["_s long", *[f"`{c}` {'string' if c in stats.classes else 'double'}" for c in values]])
+    pool = spark.createDataFrame(pd.DataFrame({"_s": np.arange(n), **values}), schema)
+    out = np.empty(n)
+    for r in model.transform(pool).select("_s", vector_to_array(F.col("probability"))[1].alias("p")).collect():
+        out[r["_s"]] = r["p"]
+    return out
 
 
-def _sample_fn(stats: TrainingStats, id_col: str, n_samples: int, seed: int, id_dtype=np.int64):
-    """Draw the perturbation samples of each row. Categorical samples leave
-    Python as integer class codes (mapped back to the class text in the
-    JVM), numeric ones as doubles, the 0/1 form as one bit-packed long."""
+def _fit_udf(stats: TrainingStats, codes: np.ndarray, drawn: np.ndarray, n_features: int, method: str,
+             kernel_width: float | None):
+    """Arrow function (row's probability, its features ...) -> weights of the
+    chosen features, largest first, with their feature numbers, and the fit's numbers."""
     feats = stats.features
     n_f = len(feats)
-    if n_f > 62:
-        raise ValueError("at most 62 features (the 0/1 form is packed in one long)")
-    bits = (1 << np.arange(n_f, dtype=np.int64))
-    per_chunk = max(1, _CHUNK_ROWS // n_samples)
-    cat_p = {c: np.asarray(stats.classes[c][1], dtype=float) for c in stats.classes}
-    cat_idx = {c: {v: i for i, v in enumerate(stats.classes[c][0])} for c in stats.classes}
-    num = {}
-    for c in stats.numeric:
-        b = np.asarray(stats.bins[c], dtype=float)        # rows: (freq, mean, std, lo, hi)
-        num[c] = (b[:, 0] / b[:, 0].sum(), b[:, 1], b[:, 2], b[:, 3], b[:, 4])
-
-    def one_row(rec, cols, Z, sl):
-        rng = np.random.default_rng([seed, *_id_seed(rec[id_col])])
+    width = kernel_width or KERNEL_WIDTH_FACTOR * math.sqrt(n_f)
+    by_distance = np.sqrt(np.exp(-np.arange(n_f + 1) / width ** 2))   # of d² = number of disagreements
+    # sample 0 is the row itself
+    codes, drawn = codes[1:], drawn[1:]
+    index = {c: pd.Index(stats.classes[c][0]) for c in stats.classes}
+    quart = {c: np.asarray(stats.quartiles[c], dtype=float) for c in stats.numeric}
+    keep = max(16, _CACHE_BYTES // (8 * (n_f + 2) ** 2))
+
+    def own_codes(cols) -> np.ndarray:
+        own = np.empty((len(cols[0]), n_f), dtype=np.int32)
         for j, c in enumerate(feats):
-            v0 = rec[c]
-            if c in cat_p:
-                code = rng.choice(len(cat_p[c]), size=n_samples, p=cat_p[c])
-                own = cat_idx[c].get(v0, -1)
-                Z[sl, j] = code == own
-                code[0] = own
-                cols[c][sl] = code
+            if c in index:
+                own[:, j] = index[c].get_indexer(cols[j])        # unseen class or null: -1, agrees with no sample
             else:
-                p, mean, std, lo, hi = num[c]
-                bi = rng.choice(4, size=n_samples, p=p)
-                v = _truncnorm(rng, mean[bi], std[bi], lo[bi], hi[bi])
-                row_bin = _bin_of(float(v0), stats.quartiles[c]) if v0 is not None else -1
-                Z[sl, j] = bi == row_bin
-                v[0] = np.nan if v0 is None else v0
-                cols[c][sl] = v
+                v = cols[j].to_numpy(dtype=float)
+                own[:, j] = np.where(np.isnan(v), -1, np.searchsorted(quart[c], v, side="left"))
+        return own
 
     def run(batches):
-        for pdf in batches:
-            recs = pdf.to_dict("records")
-            for start in range(0, len(recs), per_chunk):
-                chunk = recs[start:start + per_chunk]
-                m = len(chunk) * n_samples
-                cols = {c: np.empty(m, dtype=np.int32 if c in cat_p else float) for c in feats}
-                Z = np.zeros((m, n_f), dtype=bool)
-                for i, rec in enumerate(chunk):
-                    one_row(rec, cols, Z, slice(i * n_samples, (i + 1) * n_samples))
-                Z[::n_samples] = True  # sample 0 is the row itself
-                out = pd.DataFrame(cols)
-                out.insert(0, "_s", np.tile(np.arange(n_samples, dtype=np.int64), len(chunk)))
-                out.insert(0, id_col, np.repeat(np.array([r[id_col] for r in chunk], dtype=id_dtype),
-                                                n_samples))
-                out["_z"] = Z.astype(np.int64) @ bits
-                yield out
-
-    return run
-
-
-def _fit_fn(stats: TrainingStats, id_col: str, n_features: int, method: str, kernel_width: float | None):
+        @lru_cache(maxsize=keep)
+        def moments(own: tuple):
+            Z = codes == np.asarray(own, dtype=np.int32)
+            return _moments(Z.astype(float), drawn, by_distance[n_f - Z.sum(axis=1)])
+
+        def one(own: tuple, p: float):
+            g = _gram(moments(own), p)
+            used = _select(g, n_f, min(n_features, n_f), method)
+            coef, icpt, r2 = _solve(g, used, RIDGE_ALPHA)
+            rank = np.argsort(-np.abs(coef), kind="stable")
+            return [used[i] for i in rank], coef[rank].tolist(), icpt, r2, float(icpt + coef.sum())
+
+        names = ["order", "weights", "intercept", "score", "local_pred"]
+        for p, *cols in batches:
+            own = own_codes(cols)
+            yield pd.DataFrame([one(tuple(o), float(x)) for o, x in zip(own.tolist(), p)], columns=names)
+
+    out = "order array<int>, weights array<double>, intercept double, score double, local_pred double"
+    from collections.abc import Iterator
+
+    def typed(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        return run(batches)
+    typed.__annotations__ = {"batches": Iterator[tuple[pd.Series, ...]], "return": Iterator[pd.DataFrame]}
+    return F.pandas_udf(typed, out)
+
+
+def with_explanations(df: DataFrame, model, stats: TrainingStats, n_samples: int = 5000, n_features: int = 10,
+                      method: str = "auto", seed: int = 42, kernel_width: float | None = None) -> DataFrame:
+    """``df`` with ``probability``, ``explanation`` (map<feature, weight>, largest
+    first), ``intercept``, ``score`` (weighted R²) and ``local_pred`` of every row.
+
+    ``model`` is a fitted pipeline taking the raw feature columns and producing
+    ``probability``; what it does with a null or an unseen class decides those
+    rows. Any number of features; rows and ids may repeat.
+    """
     feats = stats.features
-    n_f = len(feats)
-    width = kernel_width or KERNEL_WIDTH_FACTOR * math.sqrt(n_f)
-    shifts = np.arange(n_f, dtype=np.int64)
-
-    def one(rid, s, z, p):
-        order = np.argsort(s, kind="stable")
-        Z = ((z[order][:, None] >> shifts) & 1).astype(float)
-        y = p[order]
-        d = np.sqrt(((Z - 1.0) ** 2).sum(axis=1))
-        w = np.sqrt(np.exp(-(d ** 2) / width ** 2))
-        g = _gram(Z, y, w)
-        used = _select(g, n_f, min(n_features, n_f), method)
-        coef, icpt, r2 = _solve(g, used, RIDGE_ALPHA)
-        rank = np.argsort(-np.abs(coef), kind="stable")
-        return (rid, float(y[0]), {feats[used[i]]: float(coef[i]) for i in rank}, icpt, r2,
-                float(icpt + coef.sum()))
-
-    def fit_runs(pdf):
-        ids = pdf[id_col].to_numpy()
-        s, z, p = pdf["_s"].to_numpy(), pdf["_z"].to_numpy(), pdf["_p"].to_numpy(dtype=float)
-        cuts = np.flatnonzero(ids[1:] != ids[:-1]) + 1
-        bounds = np.concatenate([[0], cuts, [len(ids)]])
-        res = [one(ids[a], s[a:b], z[a:b], p[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
-        return pd.DataFrame(res, columns=[id_col, "probability", "explanation", "intercept", "score",
-                                          "local_pred"])
-
-    def run(batches):
-        # an id's samples are contiguous; one may straddle two batches
-        carry = None
-        for pdf in batches:
-            if carry is not None:
-                pdf = pd.concat([carry, pdf], ignore_index=True)
-            if len(pdf) == 0:
-                continue
-            last = pdf[id_col].iloc[-1]
-            tail = pdf[id_col].to_numpy() == last
-            done, carry = pdf[~tail], pdf[tail]
-            if len(done):
-                yield fit_runs(done)
-        if carry is not None and len(carry):
-            yield fit_runs(carry)
-
-    return run
+    model = without_summary(model)
+    codes, values = draw_samples(stats, n_samples, seed)
+    drawn = _score_samples(df.sparkSession, model, stats, values)
+    fit = _fit_udf(stats, codes, drawn, n_features, method, kernel_width)
+    rows = model.transform(df.select(*feats, F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")))
+    rows = rows.select("_row", *[F.col(c).cast("string" if c in stats.classes else "double").alias(c) for c in feats],
+                       vector_to_array(F.col("probability"))[1].alias("probability"))
+    rows = rows.withColumn("_fit", fit("probability", *feats))
+    names = F.array(*[F.lit(c) for c in feats])
+    expl = F.map_from_arrays(F.transform("_fit.order", lambda i: F.element_at(names, i + 1)), F.col("_fit.weights"))
+    new = {"probability": F.col("probability"), "explanation": expl,
+           **{c: F.col(f"_fit.{c}") for c in ("intercept", "score", "local_pred")}}
+    return rows.select(*[F.col(f"_row.`{c}`") for c in df.columns if c not in new],
+                       *[v.alias(c) for c, v in new.items()])
 
 
 def explain(df: DataFrame, model, stats: TrainingStats, id_col: str = "id", n_samples: int = 5000,
             n_features: int = 10, method: str = "auto", seed: int = 42,
             kernel_width: float | None = None) -> DataFrame:
     """Explain every row of ``df`` (X1): ``(id, probability, explanation
-    map<feature, weight>, intercept, score, local_pred)``.
-
-    ``model`` is a fitted pipeline taking the raw feature columns and
-    producing ``probability``. Rows of one id must not repeat.
-    """
-    feats = stats.features
-    rows = df.select(id_col, *feats)
-    # The sampler multiplies rows by n_samples: size its input partitions by
-    # the output (~SAMPLES_PER_TASK sample rows a task), not by the input,
-    # which AQE would otherwise pack into very few tasks.
-    n = rows.count()
-    parts = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(n * n_samples / SAMPLES_PER_TASK))
-    rows = rows.repartition(parts)
-    id_type = rows.schema[id_col].dataType
-    integral = isinstance(id_type, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
-    if integral:
-        rows = rows.withColumn(id_col, F.col(id_col).cast("long"))
-        id_type = T.LongType()
-    sample_schema = T.StructType(
-        [T.StructField(id_col, id_type), T.StructField("_s", T.LongType())]
-        + [T.StructField(c, T.IntegerType() if c in stats.classes else T.DoubleType()) for c in feats]
-        + [T.StructField("_z", T.LongType())])
-    samples = rows.mapInPandas(_sample_fn(stats, id_col, n_samples, seed, np.int64 if integral else object),
-                               sample_schema)
-    # class codes -> class text, JVM-side; a class unseen in training (code
-    # -1) becomes null, which the fitted encoder rejects as it would the text
-    if stats.categorical:
-        samples = samples.select(id_col, "_s", "_z", *[
-            F.when(F.col(c) >= 0, F.element_at(F.array(*[F.lit(v) for v in stats.classes[c][0]]),
-                                               F.col(c) + 1)).alias(c)
-            if c in stats.classes else F.col(c) for c in feats])
-    scored = without_summary(model).transform(samples).select(id_col, "_s", "_z",
-                                             vector_to_array(F.col("probability"))[1].alias("_p"))
-    out_schema = (f"{id_col} {id_type.simpleString()}, probability double, explanation map<string,double>, "
-                  "intercept double, score double, local_pred double")
-    return scored.mapInPandas(_fit_fn(stats, id_col, n_features, method, kernel_width), out_schema)
+    map<feature, weight>, intercept, score, local_pred)``."""
+    got = with_explanations(df.select(id_col, *stats.features), model, stats, n_samples, n_features, method, seed,
+                            kernel_width)
+    return got.select(id_col, "probability", "explanation", "intercept", "score", "local_pred")
 
 
 def explanation_list(stats: TrainingStats, data_col: str = "data", expl_col: str = "explanation") -> "F.Column":
@@ -400,9 +356,8 @@ def explain_table(df: DataFrame, model, stats: TrainingStats, id_col: str = "id"
     many rows instead of all."""
     from flurry.operators.sampling import sample_n
     rows = sample_n(df, id_col, sample, seed) if sample else df
-    ex = explain(rows, model, stats, id_col, seed=seed, **kw)
-    data = rows.select(id_col, F.struct(*stats.features).alias("data"))
-    return data.join(ex, id_col).select(id_col, "data", "probability", "explanation")
+    rows = rows.select(id_col, F.struct(*stats.features).alias("data"), *stats.features)
+    return with_explanations(rows, model, stats, seed=seed, **kw).select(id_col, "data", "probability", "explanation")
 
 
 def global_importance(explained: DataFrame, expl_col: str = "explanation") -> DataFrame:
@@ -455,44 +410,51 @@ def what_if(df: DataFrame, model, stats: TrainingStats, id_col: str = "id",
     ``(id, feature, value, probability, base_probability, delta)``.
 
     Each categorical feature is set in turn to every training class; each
-    numeric feature to the values given in ``numeric_values``. All variants
-    of all rows are scored in one ``model.transform``.
+    numeric feature to the values given in ``numeric_values`` (``None``: the
+    training quartiles of every numeric feature). All variants of all rows are
+    scored in one narrow pass that carries the row's own probability.
     """
     feats = stats.features
-    base = df.select(id_col, *feats)
+    if numeric_values is None:
+        numeric_values = {c: sorted(set(stats.quartiles[c])) for c in stats.numeric}
+    model = without_summary(model)
+    p1 = vector_to_array(F.col("probability"))[1]
+    base = model.transform(df.select(id_col, *feats)).select(id_col, *feats, p1.alias("base_probability"))
     alts = []
     for c in stats.categorical:
         for v in stats.classes[c][0]:
             alts.append(F.struct(F.lit(c).alias("f"), F.lit(str(v)).alias("s"), F.lit(None).cast("double").alias("x")))
-    for c, vals in (numeric_values or {}).items():
+    for c, vals in numeric_values.items():
         for v in vals:
             alts.append(F.struct(F.lit(c).alias("f"), F.lit(None).cast("string").alias("s"),
                                  F.lit(float(v)).alias("x")))
-    variants = base.select(id_col, *feats, F.explode(F.array(*alts)).alias("_a"))
+    variants = base.select(id_col, "base_probability", *feats, F.explode(F.array(*alts)).alias("_a"))
     variants = variants.select(
-        id_col, F.col("_a.f").alias("feature"),
+        id_col, "base_probability", F.col("_a.f").alias("feature"),
         F.coalesce(F.col("_a.s"), F.col("_a.x").cast("string")).alias("value"),
         *[F.when(F.col("_a.f") == c, F.col("_a.s") if c in stats.classes else F.col("_a.x"))
           .otherwise(F.col(c)).alias(c) for c in feats])
-    p1 = vector_to_array(F.col("probability"))[1]
-    scored = without_summary(model).transform(variants).select(id_col, "feature", "value", p1.alias("probability"))
-    base_p = model.transform(base).select(id_col, p1.alias("base_probability"))
-    return scored.join(base_p, id_col).withColumn("delta", F.col("probability") - F.col("base_probability"))
+    scored = model.transform(variants).select(id_col, "feature", "value", p1.alias("probability"), "base_probability")
+    return scored.withColumn("delta", F.col("probability") - F.col("base_probability"))
 
 
 def score_log(requests: DataFrame, model, stats: TrainingStats | None = None, defaults: DataFrame | None = None,
-              explain_samples: int = 0, id_col: str = "id") -> DataFrame:
-    """Scoring log (L1): requests filled from defaults, scored, stamped with
-    a new uuid and the scoring time; optionally explained.
-    ``(uuid, ts, id, input_data, probability[, explanation])``."""
+              explain_samples: int = 0, id_col: str = "id", schema: T.StructType | None = None,
+              explain_features: int = 10) -> DataFrame:
+    """Scoring log (L1): requests cast to their training types (``schema``; text
+    that is no value of the type becomes null), filled from defaults, scored,
+    explained (``explain_samples`` > 0), stamped with a new uuid and the scoring
+    time. ``(uuid, ts, id, input_data, probability[, explanation])``."""
+    from flurry.functions.structs import cast_like
     from flurry.operators.clean import with_defaults
-    req = with_defaults(requests, defaults) if defaults is not None else requests
-    p1 = vector_to_array(F.col("probability"))[1]
+    req = cast_like(requests, schema) if schema is not None else requests
+    req = with_defaults(req, defaults) if defaults is not None else req
     feats = [c for c in req.columns if c != id_col]
-    scored = without_summary(model).transform(req).select(
-        id_col, F.to_json(F.struct(*feats)).alias("input_data"), p1.alias("probability"))
-    out = scored.select(F.expr("uuid()").alias("uuid"), F.current_timestamp().alias("ts"), "*")
+    req = req.withColumn("input_data", F.to_json(F.struct(*[F.col(f"`{c}`") for c in feats])))
     if explain_samples and stats is not None:
-        ex = explain(req, model, stats, id_col, n_samples=explain_samples)
-        out = out.join(ex.select(id_col, "explanation"), id_col, "left")
-    return out
+        out = with_explanations(req, model, stats, explain_samples, explain_features).select(
+            id_col, "input_data", "probability", "explanation")
+    else:
+        p1 = vector_to_array(F.col("probability"))[1]
+        out = without_summary(model).transform(req).select(id_col, "input_data", p1.alias("probability"))
+    return out.select(F.expr("uuid()").alias("uuid"), F.current_timestamp().alias("ts"), "*")

@@ -23,6 +23,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -235,7 +236,7 @@ def pca_stage(k: int, input_col: str = "features", output_col: str = "pca") -> P
 # --- RBF kernel approximation (M9) ---------------------------------------------------
 
 
-class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol):
+class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """z(x) = sqrt(2/D) · cos(W x + b), W ~ N(0, 2γ), b ~ U[0, 2π) (Rahimi &
     Recht, 2007): a linear model on z approximates an RBF-kernel SVM. W is
     D x d, regenerated from the seed on each worker (d read from the data),
@@ -274,6 +275,76 @@ class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol):
         return df.withColumn(self.getOutputCol(), array_to_vector(rff(arr)))
 
 
+class NystromModel(Model, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """z(x) = k(x, L) · K(L, L)^(-1/2) for landmarks L and the RBF kernel k: z·z' is
+    the kernel itself between landmarks. Landmarks and gamma are params, so
+    the model saves and loads with its pipeline."""
+
+    gamma = Param(Params._dummy(), "gamma", "RBF gamma", TypeConverters.toFloat)
+    landmarks = Param(Params._dummy(), "landmarks", "one vector a landmark", TypeConverters.toList)
+
+    def __init__(self, inputCol="features", outputCol="kernel", gamma=1.0, landmarks=()):
+        super().__init__()
+        self._set(inputCol=inputCol, outputCol=outputCol, gamma=gamma, landmarks=list(landmarks))
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        gamma, land = self.getOrDefault(self.gamma), np.asarray(self.getOrDefault(self.landmarks), dtype=float)
+        root: list = []
+
+        def kernel(X):
+            d2 = (X * X).sum(1)[:, None] + (land * land).sum(1)[None, :] - 2.0 * X @ land.T
+            return np.exp(-gamma * np.maximum(d2, 0.0))
+
+        def half():
+            if not root:   # once a worker
+                e, U = np.linalg.eigh(kernel(land))
+                # directions at rounding level carry no kernel
+                root.append(U * np.where(e > 1e-12 * e[-1], 1.0 / np.sqrt(np.maximum(e, 1e-300)), 0.0))
+            return root[0]
+
+        @F.pandas_udf(T.ArrayType(T.DoubleType()))
+        def features(x: pd.Series) -> pd.Series:
+            if len(x) == 0:
+                return pd.Series([], dtype=object)
+            return pd.Series(list(kernel(np.stack(x.to_numpy())) @ half()))
+
+        arr = vector_to_array(F.col(self.getInputCol()))
+        return df.withColumn(self.getOutputCol(), array_to_vector(features(arr)))
+
+
+class NystromFeatures(Estimator, HasInputCol, HasOutputCol):
+    """RBF kernel features from landmark rows (Williams & Seeger, 2001): a linear
+    SVM on them is a kernel SVM, exact once every distinct row is a landmark.
+
+    ``gamma``: a number, ``"scale"`` (1 / (features · variance of all entries)) or
+    ``"auto"`` (1 / features). The landmarks are the ``landmarks`` distinct rows
+    with the smallest seeded hashes: a bounded sample that does not depend
+    on partitioning or on how often a row is repeated."""
+
+    def __init__(self, inputCol="features", outputCol="kernel", gamma="scale", landmarks=200, seed=42):
+        super().__init__()
+        if not (gamma in ("scale", "auto") or isinstance(gamma, (int, float)) and gamma > 0):
+            raise ValueError(f"gamma must be 'scale', 'auto' or a positive number, not {gamma!r}")
+        if landmarks < 1:
+            raise ValueError("at least one landmark")
+        self._set(inputCol=inputCol, outputCol=outputCol)
+        self.gamma, self.landmarks, self.seed = gamma, landmarks, seed
+
+    def _fit(self, df: DataFrame) -> NystromModel:
+        rows = df.select(vector_to_array(F.col(self.getInputCol())).alias("a")).where(F.col("a").isNotNull())
+        rows = rows.withColumn("h", F.xxhash64("a", F.lit(self.seed)))
+        land = [r["a"] for r in rows.dropDuplicates(["h"]).orderBy("h").limit(self.landmarks).collect()]
+        if not land:
+            raise ValueError("no rows to take landmarks from")
+        gamma, d = self.gamma, len(land[0])
+        if gamma == "scale":
+            var = rows.select(F.explode("a").alias("x")).agg(F.var_pop("x")).first()[0]
+            gamma = 1.0 / (d * var) if var > 0 else 1.0
+        elif gamma == "auto":
+            gamma = 1.0 / d
+        return NystromModel(self.getInputCol(), self.getOutputCol(), float(gamma), land)
+
+
 # --- SMOTE (M11) ----------------------------------------------------------------------
 
 

@@ -42,19 +42,6 @@ def churn_scores(spark: SparkSession, d: str) -> DataFrame:
         .orderBy(F.col("probability").desc(), F.col("id"))
 
 
-def churn_fixed_model(spark: SparkSession, d: str, c: float = 1.0):
-    """Single logistic fit with sklearn-style C (no search): the model the
-    explanation and what-if queries explain. Returns (model, table, train)."""
-    from pyspark.ml.classification import LogisticRegression
-    from flurry.operators.models import fit_classifier
-    cf = labelled_features(spark, d)
-    train, _ = train_test_split(cf, "id", 0.25)
-    n = train.count()
-    lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=100, regParam=1.0 / (c * n),
-                            standardization=False)
-    return fit_classifier(train, CUSTOMER_CATEGORICAL, CUSTOMER_NUMERIC, lr), cf, train
-
-
 def team_features(spark: SparkSession, d: str) -> DataFrame:
     """Per-game team table (F-B) with a numeric id and 0/1 label: the input
     of the oversampling, PCA and grid-search queries."""

@@ -886,22 +886,16 @@ from flurry.operators import explain as xp  # noqa: E402
 from flurry.operators import models  # noqa: E402
 from flurry.plans import flagship  # noqa: E402
 
-# Parameters from the reference: 500 perturbation samples and the top 5
-# features for the team explanations; 10 C values and 5 folds for the churn
-# model; 100 trees; a 25 % hold-out.
-EXPLAIN_SAMPLES = 500
-EXPLAIN_FEATURES = 5
-
-
 @register("churn_scores")
 def q_churn_scores(spark, d):
     return flagship.churn_scores(spark, d)
 
 
 def _explained(spark, d):
-    model, cf, train = flagship.churn_fixed_model(spark, d)
+    """Every customer explained with 5,000 samples and up to 10 features, on the cross-validated model."""
+    model, cf, train, _ = flagship.churn_model(spark, d)
     st = xp.training_stats(train, _CAT, _NUM)
-    return xp.explain_table(cf, model, st, n_samples=EXPLAIN_SAMPLES, n_features=EXPLAIN_FEATURES), st
+    return xp.explain_table(cf, model, st), st
 
 
 @register("churn_explanations")
@@ -930,34 +924,33 @@ def q_global_importance(spark, d):
 
 @register("what_if")
 def q_what_if(spark, d):
-    model, cf, train = flagship.churn_fixed_model(spark, d)
-    st = xp.training_stats(train, _CAT, _NUM)
-    return xp.what_if(cf, model, st, numeric_values={"n_orders": [1.0, 10.0, 20.0]})
+    model, cf, train, _ = flagship.churn_model(spark, d)
+    return xp.what_if(cf, model, xp.training_stats(train, _CAT, _NUM))
 
 
 @register("scoring_log")
 def q_scoring_log(spark, d):
-    model, cf, train = flagship.churn_fixed_model(spark, d)
-    dflt = summary.default_row(train, _CAT, _NUM)
+    """Requests as a form sends them (text, fields missing): cast, filled, scored and explained."""
+    model, cf, train, _ = flagship.churn_model(spark, d)
+    st = xp.training_stats(train, _CAT, _NUM)
     neg = F.col("acctbal") < 0   # requests with a missing field, filled from the defaults
-    req = cf.select("id", *_CAT, *[F.when(neg, None).otherwise(F.col(c)).alias(c) if c == "acctbal" else F.col(c)
-                                   for c in _NUM])
-    return xp.score_log(req, model, defaults=dflt)
+    req = cf.select("id", *_CAT, *[F.when(neg, "").otherwise(F.col(c).cast("string")).alias(c) if c == "acctbal"
+                                   else F.col(c).cast("string") for c in _NUM])
+    return xp.score_log(req, model, st, summary.default_row(train, _CAT, _NUM), 5000, schema=train.schema)
 
 
 @register("model_comparison")
 def q_model_comparison(spark, d):
-    model, cf, train = flagship.churn_fixed_model(spark, d)
-    _, test = sampling.train_test_split(cf, "id", 0.25)
+    model, _, train, test = flagship.churn_model(spark, d)
     n = train.count()
     fitted = {
         "logistic": model,
         # trees split on class codes, as the reference encodes them
         "forest": models.fit_classifier(train, _CAT, _NUM, models.forest(100), one_hot=False),
-        "boosted_trees": models.fit_classifier(train, _CAT, _NUM, models.boosted_trees(0.1, 20), one_hot=False),
+        "boosted_trees": models.fit_classifier(train, _CAT, _NUM, models.boosted_trees(0.1, 100), one_hot=False),
         "linear_svm": models.fit_classifier(train, _CAT, _NUM, models.linear_svm(1.0, n)),
         "rbf_svm": Pipeline(stages=models.feature_stages(_CAT, _NUM, out="features_in") + [
-            models.RandomFourierFeatures("features_in", "features", gamma=0.1, dim=200, seed=42)]
+            models.NystromFeatures("features_in", "features", gamma="scale", landmarks=200)]
             + models.svm_with_probability(1.0, n)).fit(train),
         "poly_svm": Pipeline(stages=models.feature_stages(_CAT, _NUM, out="features_in") + [
             models.polynomial_stage(2, "features_in", "features"), models.linear_svm(1.0, n)]).fit(train),
@@ -1088,7 +1081,7 @@ def _stream_log(spark, d):
 
 @register("stream_scoring")
 def q_stream_scoring(spark, d):
-    model, cf, _ = flagship.churn_fixed_model(spark, d)
+    model, cf, _, _ = flagship.churn_model(spark, d)
     path = _stage_table(cf.select("id", *_CAT, *_NUM), spark, "requests")
     ss = stm.stream_session(spark)
     reqs = ss.readStream.schema(ss.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
@@ -1145,9 +1138,10 @@ def q_html_tables(spark, d):
 def q_feature_card(spark, d):
     """Per customer and feature: value, explanation weight (0 when not
     among the explained features), training mean/min/max or class list (J4)."""
-    model, cf, train = flagship.churn_fixed_model(spark, d)
+    model, cf, train, _ = flagship.churn_model(spark, d)
     st = xp.training_stats(train, _CAT, _NUM)
-    ex = xp.explain_table(cf, model, st, n_samples=EXPLAIN_SAMPLES, n_features=EXPLAIN_FEATURES)
+    # values and weights both read it: explained once
+    ex = cut_lineage(xp.explain_table(cf, model, st))
     values = ex.select("id", F.explode(F.map_from_arrays(
         F.array(*[F.lit(c) for c in st.features]),
         F.array(*[F.col(f"data.{c}").cast("string") for c in st.features]))).alias("feature", "value"))

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -204,3 +205,115 @@ def test_smote_refuses_too_few_minority_rows(spark):
     with pytest.raises(ValueError, match="more than k = 5"):
         models.smote(df, "label", 1.0, ratio=0.5, k=5)
     assert models.smote(df, "label", 1.0, ratio=0.5, k=5, few="fewer").where("synthetic").count() == 14
+
+
+def _linear_model(spark, n_num, seed=3):
+    """(table with a class column and n_num numbers, model fitted on it, its stats)."""
+    rng = np.random.default_rng(seed)
+    X = rng.normal(size=(120, n_num))
+    names = [f"x{j}" for j in range(n_num)]
+    rows = [(i, "abc"[i % 3], *map(float, X[i])) for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, c string, " + ", ".join(f"{x} double" for x in names))
+    df = df.withColumn("label", ((F.col("x0") * 2 + (F.col("c") == "a").cast("int") - F.col("x1")) > 0.2).cast("double"))
+    return df, models.fit_classifier(df, ["c"], names, LogisticRegression(maxIter=20)), explain.training_stats(df, ["c"], names)
+
+
+def test_explanations_equal_a_plain_weighted_ridge(spark):
+    df, model, st = _linear_model(spark, 3)
+    feats, n = st.features, 300
+    codes, values = explain.draw_samples(st, n, 42)
+    ex = explain.explain(df, model, st, n_samples=n, n_features=10).withColumn("order", F.map_keys("explanation"))
+    got = {r.id: r for r in ex.collect()}
+    data = df.toPandas().set_index("id")
+    pool = spark.createDataFrame([(s, *[values[c][s].item() if c != "c" else str(values[c][s]) for c in feats]) for s in range(n)],
+                                 "s long, " + ", ".join(f"{c} {'string' if c == 'c' else 'double'}" for c in feats))
+    p = models.score(pool, model, "p", keep=["s"]).toPandas().set_index("s")["p"].sort_index().to_numpy()
+    own_p = models.score(df, model, "p", keep=["id"]).toPandas().set_index("id")["p"]
+    assert len(got) == 120
+    for rid in range(0, 120, 11):
+        row = data.loc[rid]
+        own = [st.classes["c"][0].index(row["c"])] + [sum(row[c] > q for q in st.quartiles[c]) for c in st.numeric]
+        Z = (codes == np.array(own)).astype(float)
+        Z[0] = 1
+        y = p.copy()
+        y[0] = own_p[rid]
+        w = np.sqrt(np.exp(-((1 - Z) ** 2).sum(1) / (0.75 * 2) ** 2))   # width 0.75 * sqrt(4 features)
+        A = np.column_stack([Z, np.ones(n)])
+        beta = np.linalg.solve(A.T @ (A * w[:, None]) + np.diag([1.0] * 4 + [0.0]), A.T @ (w * y))
+        r = got[rid]
+        assert r.probability == pytest.approx(own_p[rid])
+        assert [r.explanation[c] for c in feats] == pytest.approx(beta[:4].tolist(), abs=1e-9)
+        assert r.intercept == pytest.approx(beta[4], abs=1e-9) and r.local_pred == pytest.approx(beta.sum(), abs=1e-9)
+        res, dev = y - A @ beta, y - np.average(y, weights=w)
+        assert r.score == pytest.approx(1 - (w @ res ** 2) / (w @ dev ** 2), abs=1e-9)
+        assert r.order == sorted(r.explanation, key=lambda c: -abs(r.explanation[c]))
+
+
+def test_explanations_of_many_features_repeated_ids_and_extra_columns(spark):
+    df, model, st = _linear_model(spark, 70)
+    twice = df.unionByName(df).withColumn("explanation", F.lit("mine")).withColumn("order", F.lit(1))
+    got = explain.with_explanations(twice, model, st, n_samples=400, n_features=8)
+    assert "order" in got.columns and got.columns.count("explanation") == 1
+    rows = got.collect()
+    assert len(rows) == 240 and all(len(r.explanation) == 8 for r in rows)
+    by = {}
+    for r in rows:
+        by.setdefault(r.id, []).append(r.explanation)
+    assert all(a == b for a, b in by.values())
+    assert explain.explain(df.limit(0), model, st, n_samples=50).collect() == []
+
+
+def test_what_if_and_log_of_dirty_requests(spark):
+    df, model, st = _linear_model(spark, 2)
+    wi = explain.what_if(df.where("id < 5"), model, st).collect()
+    assert len(wi) == 5 * (3 + 3 + 3) and {r.feature for r in wi} == {"c", "x0", "x1"}
+    base = {r.id: r.p for r in models.score(df, model, "p", keep=["id"]).collect()}
+    assert all(r.base_probability == pytest.approx(base[r.id]) and r.delta == pytest.approx(r.probability - base[r.id]) for r in wi)
+    own = {r.id: r.c for r in df.collect()}
+    assert all(abs(r.delta) < 1e-12 for r in wi if r.feature == "c" and r.value == own[r.id])
+    from flurry.operators.summary import default_row
+    req = df.select("id", "c", F.when(F.col("id") == 1, "n/a").otherwise(F.col("x0").cast("string")).alias("x0"),
+                    F.col("x1").cast("string").alias("x1"))
+    log = explain.score_log(req, model, st, default_row(df, ["c"], ["x0", "x1"]), 100, schema=df.schema).collect()
+    assert len({r.uuid for r in log}) == 120 and all(len(r.explanation) == 3 for r in log)
+    assert all(r.probability == pytest.approx(base[r.id]) for r in log if r.id != 1)
+    with pytest.raises(KeyError):
+        explain.score_log(req.withColumn("unknown", F.lit(1)), model, schema=df.schema)
+
+
+def test_nystrom_features_are_the_kernel_and_save_with_the_model(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import array_to_vector
+    rng = np.random.default_rng(8)
+    X = rng.normal(size=(50, 3)) * [1, 2, 4]
+    y = (np.linalg.norm(X / [1, 2, 4], axis=1) > 1.5).astype(float)   # a ring: not linear
+    rows = [(i, float(y[i]), X[i].tolist()) for i in range(50)]
+    df = spark.createDataFrame(rows + [(100 + i, float(y[0]), X[0].tolist()) for i in range(60)], "id long, label double, a array<double>")
+    df = df.select("id", "label", array_to_vector("a").alias("features"))
+    every = np.vstack([X, np.repeat(X[:1], 60, axis=0)])
+
+    def gram(m):
+        z = m.transform(df).orderBy("id").select(vector_to_array(m.getOutputCol()).alias("z")).collect()
+        Z = np.array([r.z for r in z])
+        return Z @ Z.T
+
+    for gamma, value in (("scale", 1 / (3 * every.var())), ("auto", 1 / 3), (0.05, 0.05)):
+        m = models.NystromFeatures("features", "z", gamma, landmarks=60).fit(df)
+        K = np.exp(-value * ((every[:, None] - every[None]) ** 2).sum(-1))
+        assert len(m.getOrDefault(m.landmarks)) == 50 and np.abs(gram(m) - K).max() < 1e-6   # copies are one landmark
+    few = models.NystromFeatures("features", "z", 0.05, landmarks=25).fit(df)
+    assert 1e-6 < np.abs(gram(few) - K).max() and np.abs(gram(few) - K).mean() < 0.1
+    svm = Pipeline(stages=[models.NystromFeatures("features", "kernel", "auto")] + models.svm_with_probability(10.0, 110, features="kernel")).fit(df)
+    assert models._fold_metrics(svm.transform(df), "label")["accuracy"] > 0.9
+    team = models.team_pipeline(n=110, components=3, k=3).fit(df)
+    for name, m in (("svm", svm), ("team", team)):
+        path = str(tmp_path / name)
+        m.write().overwrite().save(path)
+        again = PipelineModel.load(path)
+        a = models.score(df, m, "p", keep=["id"]).orderBy("id").collect()
+        assert a == models.score(df, again, "p", keep=["id"]).orderBy("id").collect()
+    for bad in (dict(gamma="wide"), dict(gamma=0), dict(landmarks=0)):
+        with pytest.raises(ValueError):
+            models.NystromFeatures(**bad)
+    with pytest.raises(ValueError, match="no rows"):
+        models.NystromFeatures("features", "z").fit(df.limit(0))
