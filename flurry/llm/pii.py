@@ -41,7 +41,6 @@ WIDE = {
 CONTEXT = {"email": "mail|contact|write|@", "ip": "ip|host|server|address|login", "card": "card|pay|visa|credit|iban",
            "phone": "call|phone|tel|fax|mobile"}
 AROUND = 24           # code points of context on each side
-MAX_ROWS = 20_000     # self-labelled candidates the trees are fitted on (first by a hash)
 PRECISION = 0.95      # wanted among held-out candidates above a kind's threshold
 MIN_CLASS = 20        # labelled candidates of each class needed to fit at all
 SPAN = "array<struct<kind:string,start:bigint,end:bigint>>"
@@ -142,15 +141,16 @@ def _order() -> Column:
     return F.array(*[F.lit(k) for k in KINDS])
 
 
-def find_personal_data(docs: DataFrame, text: str = "text", max_rows: int = MAX_ROWS, precision: float = PRECISION) -> DataFrame:
+def find_personal_data(docs: DataFrame, text: str = "text", precision: float = PRECISION) -> DataFrame:
     """doc_id, base and added: arrays of struct(kind, start, end) in code points, end exclusive,
     ordered by kind as in ``KINDS``, then start; ``added`` also has the ``score``.
 
     ``base`` are the strict formats (leftmost, non-overlapping, failing
     matches dropped). ``added`` are wider candidates that the trees score at
-    least at their kind's threshold and that overlap no strict span. The
-    trees are fitted on at most ``max_rows`` self-labelled candidates (a hash
-    sample); with too few of a class nothing is added.
+    least at their kind's threshold and that overlap no strict span. All
+    self-labelled candidates take part: a hash holds out a quarter for the
+    thresholds, the trees are fitted on the others; with too few of a class
+    nothing is added.
 
     Null and empty texts have no spans. Every row is judged by itself and
     keeps its own result, also with equal or null ids; other columns are not
@@ -162,7 +162,7 @@ def find_personal_data(docs: DataFrame, text: str = "text", max_rows: int = MAX_
                                                                x["end"].alias("end"), x["kind"].alias("kind"))))
     found = found.withColumn("base", F.transform(base, lambda x: F.struct(x["kind"], x["start"], x["end"])).cast(SPAN))
     rows = _features(found.select("row", F.explode("every").alias("c")).select("row", "c.*"))
-    scored = _scored(rows, max_rows, precision)
+    scored = _scored(rows, precision)
     if scored is None:
         return found.select("doc_id", "base", F.expr("cast(array() as array<struct<kind:string,start:bigint,end:bigint,score:double>>)").alias("added"))
     spans = F.array_sort(F.collect_list(F.struct(F.array_position(_order(), F.col("kind")).alias("k"), "start", "end", "kind", "score")))
@@ -173,13 +173,13 @@ def find_personal_data(docs: DataFrame, text: str = "text", max_rows: int = MAX_
             .select("doc_id", "base", F.transform("__a", lambda a: F.struct(a["kind"], a["start"], a["end"], a["score"])).alias("added")))
 
 
-def _scored(rows: DataFrame, max_rows: int, precision: float) -> DataFrame | None:
+def _scored(rows: DataFrame, precision: float) -> DataFrame | None:
     """Wider candidates at or above their kind's threshold."""
     names = [c for c in rows.columns if c.startswith("f_")]
     known = rows.filter("strict is not null").withColumn("label", F.col("strict").cast("double"))
-    known = known.withColumn("__h", F.xxhash64("value", "before", "start")).orderBy("__h", "row").limit(max_rows)
+    fold = F.pmod(F.xxhash64("value", "before", "start"), F.lit(4))
     known = cut_lineage(VectorAssembler(inputCols=names, outputCol="features")
-                        .transform(known).select("kind", "label", "features", F.pmod("__h", F.lit(4)).alias("fold")))
+                        .transform(known).select("kind", "label", "features", fold.alias("fold")))
     count = {r[0]: r[1] for r in known.filter("fold > 0").groupBy("label").count().collect()}
     if min(count.get(0.0, 0), count.get(1.0, 0)) < MIN_CLASS:
         return None

@@ -547,3 +547,25 @@ def test_queries_run_over_whole_tables(spark, small_dir):
     for name in ("op4_quality", "op6_line_dedup", "op7_toxicity", "op10_secrets"):
         assert queries.QUERIES[name](spark, small_dir).count() == n, name
     assert queries.QUERIES["op8_chat"](spark, small_dir).filter("conv_id = -7").count() == 1
+
+
+def test_personal_data_fits_on_every_labelled_candidate(spark, monkeypatch):
+    """More self-labelled candidates than the former limit of 20,000: none is left out of the fit."""
+    from flurry.llm import pii
+    rows = spark.range(26000).select(
+        F.col("id").alias("row"), F.lit("ip").alias("kind"), F.lit(5).cast("long").alias("start"), F.lit(20).cast("long").alias("end"),
+        F.col("id").cast("string").alias("value"), F.lit("a").alias("before"), F.lit("b").alias("after"),
+        (F.col("id") % 2 == 0).alias("strict"), (F.col("id") % 3).cast("double").alias("f_x"))
+    want = rows.where(F.pmod(F.xxhash64("value", "before", "start"), F.lit(4)) > 0).count()
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    def fit(self, df):
+        seen.append(df.count())
+        raise Stop
+    monkeypatch.setattr(pii.GBTClassifier, "fit", fit)
+    with pytest.raises(Stop):
+        pii._scored(rows, 0.95)
+    assert seen == [want] and want > 19000
