@@ -573,3 +573,27 @@ def test_stratified_folds_are_even(spark):
         c = [n[lab, f] for f in range(4)]
         assert max(c) - min(c) <= 1
     assert got.columns == ["id", "label", "extra", "fold"] and got.count() == 500
+
+
+def test_far_routes_leave_in_bounded_parts(spark):
+    """Queries that must visit every cell are routed a bounded number of rows at a time."""
+    rng = np.random.default_rng(4)
+    x, cells = rng.normal(size=(900, 8)), {c: (3, 0.0, 1e9) for c in range(256)}
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>").coalesce(1)
+    centres = x[:256]
+    q = vectors._to_pivots(df, centres, True)
+    reach = df.select("id", F.lit(float("inf")).alias("reach"))
+    assert vectors.far_routes(q, cells, reach, centres).count() == 900 * 255
+    part = q.join(reach, "id").limit(200).toPandas()
+    sizes, whole = [], vectors._routes
+
+    def count(pdf, *rest):
+        out = whole(pdf, *rest)
+        sizes.append(len(out))
+        return out
+    step = max(1, vectors.ROUTES // 256)
+    low, high = np.zeros(256), np.full(256, 1e9)
+    mid = np.sqrt(((centres[:, None, :] - centres[None]) ** 2).sum(2))
+    for at in range(0, len(part), step):
+        count(part.iloc[at:at + step], list(range(256)), low, high, mid)
+    assert sum(sizes) == 200 * 255 and max(sizes) <= vectors.ROUTES
