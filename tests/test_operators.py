@@ -597,3 +597,19 @@ def test_far_routes_leave_in_bounded_parts(spark):
     for at in range(0, len(part), step):
         count(part.iloc[at:at + step], list(range(256)), low, high, mid)
     assert sum(sizes) == 200 * 255 and max(sizes) <= vectors.ROUTES
+
+
+def test_supplier_seasons_tasks_follow_the_rows(spark, tmp_path, monkeypatch):
+    from flurry.plans import derived
+    d = str(tmp_path)
+    n = 3000
+    spark.range(n).select((F.col("id") % 700).alias("l_orderkey"), (F.col("id") % 7).alias("l_suppkey"),
+                          *[(F.col("id") % 9 / 100).alias(c) for c in ("l_discount", "l_tax")],
+                          *[(F.col("id") % 50 + 1.25).alias(c) for c in ("l_quantity", "l_extendedprice")]).write.parquet(f"{d}/lineitem.parquet")
+    spark.range(700).select(F.col("id").alias("o_orderkey"), F.date_add(F.lit("1995-01-01").cast("date"), F.col("id").cast("int")).alias("o_orderdate")).write.parquet(f"{d}/orders.parquet")
+    spark.range(6).select(F.col("id").alias("s_suppkey"), F.concat(F.lit("s"), "id").alias("s_name")).write.parquet(f"{d}/supplier.parquet")
+    want = sorted(map(str, derived.supplier_seasons(spark, d).collect()))
+    monkeypatch.setattr(derived, "TASK_ROWS", 100)
+    got = derived.supplier_seasons(spark, d)
+    assert "hashpartitioning(l_orderkey" in got._jdf.queryExecution().toString() and ", 30)" in got._jdf.queryExecution().toString()
+    assert sorted(map(str, got.collect())) == want and len(want) > 7
