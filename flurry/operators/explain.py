@@ -205,6 +205,32 @@ def _select(g: dict, n_f: int, k: int, method: str):
     return used
 
 
+def _affine(m: tuple) -> tuple:
+    """The ridge fit on all columns as a function of the row's probability p:
+    coefficients c0 + p·c1, right-hand side b0 + p·b1, then the means and sums they need."""
+    sw, sx, sy, sxx, sxy, syy = m
+    xm = (sx + 1.0) / (sw + 1.0)
+    G = sxx + 1.0 - (sw + 1.0) * np.outer(xm, xm) + RIDGE_ALPHA * np.eye(len(xm))
+    b0, b1 = sxy - xm * sy, 1.0 - xm
+    c0, c1 = np.linalg.solve(G, np.stack([b0, b1], axis=1)).T
+    return c0, c1, b0, b1, xm, sw + 1.0, sy, syy
+
+
+def _fit_all(solved: list[tuple], of: np.ndarray, p: np.ndarray, names: list[str]) -> pd.DataFrame:
+    """Fits of rows ``of`` the solved kinds with probabilities ``p``, all columns used."""
+    c0, c1, b0, b1, xm, sw, sy, syy = (np.stack(x)[of] for x in zip(*solved))
+    q = p[:, None]
+    coef, b, ym = c0 + q * c1, b0 + q * b1, (sy + p) / sw
+    ss = np.maximum(syy + p * p - sw * ym * ym, 0.0)
+    # G·c = b - alpha·c
+    res = ss - (coef * b).sum(1) - RIDGE_ALPHA * (coef * coef).sum(1)
+    r2 = np.where(ss > 0, 1.0 - res / np.where(ss > 0, ss, 1.0), 0.0)
+    icpt = ym - (xm * coef).sum(1)
+    rank = np.argsort(-np.abs(coef), axis=1, kind="stable")
+    cols = [list(rank.astype(np.int32)), list(np.take_along_axis(coef, rank, axis=1)), icpt, r2, icpt + coef.sum(1)]
+    return pd.DataFrame(dict(zip(names, cols)))
+
+
 # --- X1 ----------------------------------------------------------------------------
 
 _CACHE_BYTES = 1 << 26   # weighted sums kept per task
@@ -252,6 +278,8 @@ def _fit_udf(stats: TrainingStats, codes: np.ndarray, drawn: np.ndarray, n_featu
     index = {c: pd.Index(stats.classes[c][0]) for c in stats.classes}
     quart = {c: np.asarray(stats.quartiles[c], dtype=float) for c in stats.numeric}
     keep = max(16, _CACHE_BYTES // (8 * (n_f + 2) ** 2))
+    # with every feature in the fit, rows of the same classes and bins differ in their own probability only
+    every = n_features >= n_f and (method == "highest_weights" or method == "auto" and n_features > FORWARD_SELECTION_MAX_FEATURES)
 
     def own_codes(cols) -> np.ndarray:
         own = np.empty((len(cols[0]), n_f), dtype=np.int32)
@@ -277,9 +305,14 @@ def _fit_udf(stats: TrainingStats, codes: np.ndarray, drawn: np.ndarray, n_featu
             return [used[i] for i in rank], coef[rank].tolist(), icpt, r2, float(icpt + coef.sum())
 
         names = ["order", "weights", "intercept", "score", "local_pred"]
+        solved = lru_cache(maxsize=keep)(lambda own: _affine(moments(own)))
         for p, *cols in batches:
             own = own_codes(cols)
-            yield pd.DataFrame([one(tuple(o), float(x)) for o, x in zip(own.tolist(), p)], columns=names)
+            if every and len(own):
+                kinds, of = np.unique(own, axis=0, return_inverse=True)
+                yield _fit_all([solved(tuple(o)) for o in kinds.tolist()], of.reshape(-1), p.to_numpy(dtype=float), names)
+            else:
+                yield pd.DataFrame([one(tuple(o), float(x)) for o, x in zip(own.tolist(), p)], columns=names)
 
     out = "order array<int>, weights array<double>, intercept double, score double, local_pred double"
     from collections.abc import Iterator

@@ -317,3 +317,17 @@ def test_nystrom_features_are_the_kernel_and_save_with_the_model(spark, tmp_path
             models.NystromFeatures(**bad)
     with pytest.raises(ValueError, match="no rows"):
         models.NystromFeatures("features", "z").fit(df.limit(0))
+
+
+def test_fits_on_all_features_are_the_row_by_row_fits():
+    from flurry.operators import explain as xp
+    rng = np.random.default_rng(9)
+    Z, y, w = rng.integers(0, 2, size=(2, 60, 4)).astype(float), rng.uniform(size=60), rng.uniform(size=60)
+    m = [xp._moments(z, y, w) for z in Z]
+    of, p = rng.integers(0, 2, size=30), rng.uniform(size=30)
+    got = xp._fit_all([xp._affine(x) for x in m], of, p, ["order", "weights", "intercept", "score", "local_pred"])
+    for i in range(30):
+        coef, icpt, r2 = xp._solve(xp._gram(m[of[i]], p[i]), [0, 1, 2, 3], xp.RIDGE_ALPHA)
+        rank = np.argsort(-np.abs(coef), kind="stable")
+        assert list(got["order"][i]) == list(rank) and np.allclose(got["weights"][i], coef[rank], atol=1e-12)
+        assert np.allclose([got["intercept"][i], got["score"][i], got["local_pred"][i]], [icpt, r2, icpt + coef.sum()], atol=1e-10)
