@@ -613,3 +613,30 @@ def test_supplier_seasons_tasks_follow_the_rows(spark, tmp_path, monkeypatch):
     got = derived.supplier_seasons(spark, d)
     assert "hashpartitioning(l_orderkey" in got._jdf.queryExecution().toString() and ", 30)" in got._jdf.queryExecution().toString()
     assert sorted(map(str, got.collect())) == want and len(want) > 7
+
+
+def test_far_routes_send_each_vector_out_of_python_once(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 8))
+    centres = x[:40]
+    cells = {c: (3, 0.2, 1.0 + c % 3) for c in range(40)}
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>").coalesce(1)
+    reach = df.where("id % 3 > 0").select("id", F.when(F.col("id") % 3 == 1, 1.5).otherwise(0.0).alias("reach"))
+    routes = vectors.far_routes(vectors._to_pivots(df, centres, True), cells, reach, centres)
+    assert routes.columns == ["id", "v", "to", "d", "reach"]
+    plan = routes._jdf.queryExecution().analyzed().toString()
+    assert plan.index("Generate explode") < plan.index("MapInPandas")   # rows per cell are made in Spark
+    got = {(r["id"], r["to"]): r for r in routes.collect()}
+    dist = np.sqrt(((x[:, None, :] - centres[None]) ** 2).sum(2))
+    home, mid = dist.argmin(1), np.sqrt(((centres[:, None, :] - centres[None]) ** 2).sum(2))
+    want = set()
+    for i in range(300):
+        r = {0: np.inf, 1: 1.5, 2: 0.0}[i % 3]
+        for c, (_, lo, hi) in cells.items():
+            m, own = mid[home[i], c], dist[i, home[i]]
+            plane = (dist[i, c] ** 2 - own ** 2) / (2 * m) if m > 0 else 0.0
+            if c != home[i] and max(dist[i, c] - hi, lo - dist[i, c], plane) - 1e-9 * (1 + dist[i, c]) <= r:
+                want.add((i, c))
+    assert set(got) == want and 300 < len(want) < 300 * 39
+    for (i, c), r in got.items():
+        assert r["v"] == x[i].tolist() and abs(r["d"] - dist[i, c]) < 1e-12 and r["reach"] == {0: float("inf"), 1: 1.5}.get(i % 3, 0.0)
