@@ -11,6 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from flurry.operators import encode, explain, models
+from flurry.session import cut_lineage
 
 
 def test_population_scaler_matches_numpy(spark):
@@ -152,6 +153,61 @@ def test_logistic_cv_picks_and_refits(spark):
     assert lr.getRegParam() in (1.0 / (1.0 * 600), 1.0 / (100.0 * 600))  # the weak-penalty Cs win
 
 
+def _churners(spark, n=240):
+    rows = [(i, "abc"[i % 3], float((i * 7) % 31), float((i * 11) % 17), 1.0 if (i * 7) % 31 + (i * 13) % 9 > 18 else 0.0)
+            for i in range(n)]
+    return spark.createDataFrame(rows, "id long, c string, x double, y double, label double")
+
+
+def test_logistic_cv_scores_all_models_of_a_fold_in_one_pass(spark, monkeypatch):
+    df, seen = _churners(spark).coalesce(1), []
+    kind = type(df)
+    first = kind.first
+    monkeypatch.setattr(kind, "first", lambda self: (seen.append(1), first(self))[1])
+    cs = [1e-4, 1.0]
+    best = models.fit_logistic_cv(df, ["c"], ["x", "y"], folds=3, cs=cs)
+    assert len(seen) == 3
+    monkeypatch.undo()
+    prep = Pipeline(stages=models.feature_stages(["c"], ["x", "y"])).fit(df)
+    data = models.with_stratified_fold(prep.transform(df), "id", "label", 3)
+    mean = {}
+    for c in cs:
+        acc = []
+        for f in range(3):
+            part = data.where(F.col("fold") != f)
+            m = LogisticRegression(maxIter=100, tol=1e-4, standardization=False, regParam=1.0 / (c * part.count())).fit(part)
+            acc.append(models._fold_metrics(models.without_summary(m).transform(data.where(F.col("fold") == f)), "label")["accuracy"])
+        mean[c] = sum(acc) / 3
+    want = max(mean, key=lambda c: (round(mean[c], 12), -c))
+    assert best.stages[-1].getRegParam() == pytest.approx(1.0 / (want * 240))
+
+
+def test_model_comparison_encodes_rows_once_with_the_results_of_separate_fits(spark, monkeypatch):
+    svm = models.LinearSVC   # few rounds keep the test short
+    monkeypatch.setattr(models, "LinearSVC", lambda **k: svm(**{**k, "maxIter": 3}))
+    df = cut_lineage(_churners(spark).coalesce(1))
+    train, test = df.where("id % 4 > 0"), df.where("id % 4 = 0")
+    cat, num, n = ["c"], ["x", "y"], 180
+    model = models.fit_logistic_cv(train, cat, num, folds=2, cs=[1.0])
+    indexed, fit = [], encode.StringIndexer._fit
+    monkeypatch.setattr(encode.StringIndexer, "_fit", lambda self, d: (indexed.append(1), fit(self, d))[1])
+    got = models.compare_classifiers(model, train, test, cat, num, trees=5, rounds=3, landmarks=20).collect()
+    assert not indexed
+    stages = models.feature_stages(cat, num, out="features_in")
+    want = models.compare({
+        "logistic": model,
+        "forest": models.fit_classifier(train, cat, num, models.forest(5), one_hot=False),
+        "boosted_trees": models.fit_classifier(train, cat, num, models.boosted_trees(0.1, 3), one_hot=False),
+        "linear_svm": models.fit_classifier(train, cat, num, models.linear_svm(1.0, n)),
+        "rbf_svm": Pipeline(stages=stages + [models.NystromFeatures("features_in", "features", landmarks=20)]
+                            + models.svm_with_probability(1.0, n)).fit(train),
+        "poly_svm": Pipeline(stages=stages + [models.polynomial_stage(2, "features_in", "features"),
+                                              models.linear_svm(1.0, n)]).fit(train)}, train, test).collect()
+    assert [tuple(r)[:2] for r in got] == [tuple(r)[:2] for r in want]
+    for g, w in zip(got, want):
+        assert tuple(g)[2:] == pytest.approx(tuple(w)[2:], abs=1e-9)
+
+
 def test_encode_keeps_null_as_null(spark):
     df = spark.createDataFrame([("b",), (None,), ("a",)], "s string")
     assert [r.s for r in encode.encode_categories(df, ["s"]).collect()] == [1, None, 0]
