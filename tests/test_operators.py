@@ -640,3 +640,64 @@ def test_far_routes_send_each_vector_out_of_python_once(spark):
     assert set(got) == want and 300 < len(want) < 300 * 39
     for (i, c), r in got.items():
         assert r["v"] == x[i].tolist() and abs(r["d"] - dist[i, c]) < 1e-12 and r["reach"] == {0: float("inf"), 1: 1.5}.get(i % 3, 0.0)
+
+
+def _spread(spark, n, dim=8, seed=12):
+    x = np.random.default_rng(seed).normal(size=(n, dim))
+    return x, spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+
+
+def test_knn_sends_a_vector_once_to_each_block_of_cells(spark, monkeypatch):
+    """Rows without clusters, where nearly every query must search every cell."""
+    n = 1200
+    x, df = _spread(spark, n)
+    visit, sent = vectors._visit, []
+
+    def count(routes, base, cells, *rest):
+        sent.append((routes.count(), len(cells)))
+        return visit(routes, base, cells, *rest)
+    monkeypatch.setattr(vectors, "_visit", count)
+    d = ((x[:, None] - x[None]) ** 2).sum(2)
+    got = {(r.q, r["rank"]): r.b for r in vectors.knn(df, df, 3, block_rows=20).collect()}
+    assert got == {(i, j + 1): b for i in range(n) for j, b in enumerate(sorted(range(n), key=lambda b: (d[i, b], b))[:3])}
+    (home, cells), (far, _) = sent
+    assert home == n and cells > 50 and far < 10 * n   # before: up to a row per query and cell
+
+
+def test_block_topk_gives_nothing_beyond_reach():
+    import pyarrow as pa
+    x = np.random.default_rng(3).normal(size=(3000, 4))
+    p = np.zeros(4)
+    rows = dict(id=np.arange(3000), v=list(x), d=np.sqrt((x ** 2).sum(1)))
+    b = pa.table(rows | {"cell": np.zeros(3000, np.int32)})
+    d = ((x[:300, None] - x[None]) ** 2).sum(2)
+    reach = np.sqrt(np.sort(d, 1)[:, 1])      # the second nearest row, itself included
+    q = pa.table({k: v[:300] for k, v in rows.items()} | {"reach": reach})
+    got = vectors._block_topk(3)((0,), q, b).to_pandas()
+    assert sorted(got.groupby("q").size().unique()) == [2] and len(got) == 600
+    assert (got["dist"] <= (reach ** 2)[got["q"]] * (1 + 1e-6)).all()
+
+
+def test_knn_of_one_hot_vector(spark):
+    """Equal rows in number: the first ids of them are the neighbours, with and without the row itself."""
+    x, _ = _spread(spark, 200)
+    x = np.concatenate([x, np.repeat(x[:1], 2500, 0)])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    for alone in (False, True):
+        got = vectors.knn(df, df, 3, block_rows=64, exclude_self=alone).where("q = 0 or q >= 2000").collect()
+        hot = [0, 200, 201, 202]
+        assert len(got) == 3 * 701
+        for r in got:
+            assert r.dist == 0 and r.b == [b for b in hot if not (alone and b == r.q)][r["rank"] - 1]
+
+
+def test_knn_approx_compares_no_pair_twice_in_wide_buckets(spark, monkeypatch):
+    n = 900
+    x, df = _spread(spark, n)
+    ask = dict(bucket_length=4.0, num_hash_tables=5)
+    by_bucket = {(r.q, r["rank"]): (r.b, r.dist) for r in vectors.knn_approx(df, df, 4, **ask, block_rows=2048).collect()}
+    monkeypatch.setattr(vectors, "_grouped_knn", None)   # before: each table's buckets, so most pairs five times
+    for alone in (False, True):
+        got = {(r.q, r["rank"]): (r.b, r.dist) for r in vectors.knn_approx(df, df, 4, **ask, block_rows=100, exclude_self=alone).collect()}
+        assert len(got) == 4 * n and all(q != b for (q, _), (b, _) in got.items()) == alone
+        assert alone or got == by_bucket
