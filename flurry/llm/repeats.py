@@ -21,20 +21,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flurry.llm import blocks as B
-from flurry.llm.runindex import covered_windows
+from flurry.llm.runindex import covered_starts
 from flurry.session import discard, release_shuffles, staged_table
 
 WIDTH = 50
 K = 16
-SHARD_CONTEXTS = 1 << 13  # contexts of one index
+SHARD_CONTEXTS = 1 << 12  # contexts of one index (its arrays stay in a core's cache)
 GROUP_CONTEXTS = 1 << 15  # largest group that is indexed whole (about 2 MB of text)
 BLOCK = 1 << 18           # bytes hashed together
+FLUSH = 1 << 20           # anchors of a task that travel together (16 bytes each)
 BROADCAST_COPIES = 1 << 20  # keys of whole copies (24 bytes each) sent to every task at most
-PLACE_BITS = np.uint64(31)
+PLACE = np.uint64((1 << 31) - 1)
+NONE = np.zeros(0, np.int64)
 TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 SECOND = B.BYTE_VALUE[::-1].copy()  # byte values of the second hash
 
@@ -67,10 +69,11 @@ def anchors(raw: np.ndarray, off: np.ndarray, prefix: np.ndarray, width: int = W
     if n < width:
         return none, none, np.zeros(0, np.uint64)
     _, down = B.powers(n + 1)
-    x = (prefix[k:] - prefix[:-k]) * down[:n - k + 1]
-    key = (x ^ (x >> np.uint64(29))) * B.GRAM
-    key >>= PLACE_BITS
-    key <<= PLACE_BITS
+    key = prefix[k:] - prefix[:-k]
+    key *= down[:n - k + 1]
+    key ^= key >> np.uint64(29)
+    key *= B.GRAM
+    key &= ~PLACE
     key |= np.arange(n - k + 1, dtype=np.uint64)
     key[_before(off, k, len(key))] = TOP
     low = _slide(key, w)                                    # per width-byte string
@@ -78,7 +81,7 @@ def anchors(raw: np.ndarray, off: np.ndarray, prefix: np.ndarray, width: int = W
     low = low[low != TOP]
     if not len(low):
         return none, none, np.zeros(0, np.uint64)
-    place = (low & np.uint64((1 << 31) - 1)).astype(np.int64)
+    place = (low & PLACE).view(np.int64)
     pick = place[np.concatenate([[True], place[1:] != place[:-1]])]
     h = B.span_hash(prefix, pick, pick + k) >> np.uint64(16)  # 48 bits travel
     return np.searchsorted(off, pick, "right") - 1, pick, h
@@ -101,22 +104,48 @@ def _copies(src: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     return src.select("did", "__text", *hashes).join(keys, ["did", "a", "b"], "left_anti").select("did", "__text"), copies
 
 
-def _shared(src: DataFrame, width: int, k: int) -> DataFrame:
-    """(h, did): anchors held by two or more documents, one row per document."""
+def _shared(src: DataFrame, width: int, k: int, flush: int = FLUSH) -> DataFrame:
+    """(h, did): anchors held by two or more documents, one row per document. Anchors travel packed: a task
+    sends its anchors of a bucket of hashes as one row, and each bucket is sorted by itself."""
+    buckets = 8 * int(src.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def packed(parts: list) -> pa.RecordBatch:
+        h, did = (np.concatenate(x) for x in zip(*parts))
+        b = h % buckets
+        order = np.argsort(b, kind="stable")
+        off = np.searchsorted(b[order], np.arange(buckets + 1))
+        full = pa.array(np.flatnonzero(np.diff(off)))
+        cols = (pa.LargeBinaryArray.from_buffers(pa.large_binary(), buckets, [None, pa.py_buffer(off * 8), pa.py_buffer(x[order])])
+                for x in (h, did))
+        return B.as_table(bucket=full.cast(pa.int32()), **{c: x.take(full).cast(pa.binary()) for c, x in zip(("hs", "dids"), cols)})
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, n = [], 0
         for batch, raw, off in B.blocks(batches, "__text", BLOCK):
             doc, _, h = anchors(raw, off, B.prefix_hash(raw), width, k)
             if len(doc):
-                did = B.ids(batch, "did").to_numpy()
-                order = np.lexsort((h, doc))
-                doc, h = doc[order], h[order]
-                new = np.concatenate([[True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])])
-                yield B.as_table(h=h[new].astype(np.int64), did=did[doc[new]])
-
-    by = Window.partitionBy("h").orderBy("did")
-    return (src.mapInArrow(run, "h long, did long")
-            .withColumn("x", F.lag("did").over(by)).withColumn("y", F.lead("did").over(by))
-            .filter("x is not null or y is not null").select("h", "did"))
+                key = np.sort((doc.astype(np.uint64) << np.uint64(48)) | h)   # a block has at most 50,000 rows
+                key = key[np.concatenate([[True], key[1:] != key[:-1]])]
+                did = B.ids(batch, "did").to_numpy()[(key >> np.uint64(48)).astype(np.int64)]
+                parts.append(((key & np.uint64((1 << 48) - 1)).astype(np.int64), did))
+                n += len(did)
+            if n >= flush:
+                yield packed(parts)
+                parts, n = [], 0
+        if parts:
+            yield packed(parts)
+
+    return src.mapInArrow(run, "bucket int, hs binary, dids binary").groupBy("bucket").applyInArrow(_twice, "h long, did long")
+
+
+def _twice(bucket: pa.Table) -> pa.Table:
+    """The anchors of a bucket that stand in two rows or more."""
+    h, did = (np.frombuffer(b"".join(bucket.column(c).to_pylist()), np.int64) for c in ("hs", "dids"))
+    order = np.argsort(h)
+    h = h[order]
+    same = h[1:] == h[:-1]
+    keep = np.append(same, False) | np.concatenate([[False], same])
+    return pa.table({"h": h[keep], "did": did[order[keep]]})
 
 
 def _flat(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -210,11 +239,12 @@ def _fetch(wanted: DataFrame, width: int, k: int) -> DataFrame:
     return wanted.mapInArrow(run, "side long, did long, ch long, c2 int, at int, key binary")
 
 
-def _ranges(hit: np.ndarray, width: int, shift: int) -> list[int]:
-    """[start, end, start, end, ...] of strings that start at the sorted places ``hit``."""
-    cut = np.flatnonzero(np.diff(hit) > width)
-    first, last = hit[np.append(0, cut + 1)], hit[np.append(cut, len(hit) - 1)] + width
-    return (np.stack([first, last], 1).ravel() + shift).tolist()
+def _ranges(text: np.ndarray, start: np.ndarray, width: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, end, offsets): the ranges of strings that start at the sorted places of each of ``n`` texts."""
+    new = np.concatenate([[True], (text[1:] != text[:-1]) | (np.diff(start) > width)])[:len(text)]
+    head = np.flatnonzero(new)
+    last = np.append(head[1:], len(text))[:len(head)] - 1
+    return start[head], start[last] + width, np.searchsorted(text[head], np.arange(n + 1))
 
 
 MARKS = "ch long, c2 int, lo long, rel array<int>"
@@ -228,24 +258,29 @@ def _mark(width: int):
         table = table.sort_by([("side", "ascending"), ("key", "ascending"), ("did", "ascending")])
         side, did, ch, c2, at = (table.column(c).to_numpy() for c in ("side", "did", "ch", "c2", "at"))
         column = table.column("key").combine_chunks()
-        keys, size = column.to_pylist(), pc.binary_length(column).to_numpy(zero_copy_only=False)
+        size = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
         other = pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False).astype(bool)
         head = np.flatnonzero(np.concatenate([[True], other | (side[1:] != side[:-1])]))
-        first = np.repeat(head, np.diff(np.append(head, len(keys))))   # a key's smallest document
+        first = np.repeat(head, np.diff(np.append(head, len(column))))   # a key's smallest document
         _, group, many = np.unique(side[head], return_inverse=True, return_counts=True)
         ask = head[many[group] > 1]                           # groups of one key need no index
         ask = ask[np.lexsort((did[ask], side[ask]))]
-        hits = dict(zip(ask.tolist(), covered_windows([keys[i] for i in ask.tolist()], side[ask], did[ask], width)))
+        asked = column.take(pa.array(ask))
+        raw = np.frombuffer(asked.buffers()[2] or b"", np.uint8)[:size[ask].sum()]
+        begin, end, off = _ranges(*covered_starts(raw, size[ask], side[ask], did[ask], width), width, len(ask)) if len(ask) else (NONE, NONE, np.zeros(1, np.int64))
+        slot = np.full(len(column), -1)
+        slot[ask] = np.arange(len(ask))
+        own = np.flatnonzero((did == did[first]) & (slot[first] >= 0))
+        runs = np.diff(off)[slot[first[own]]]
+        own, runs = own[runs > 0], runs[runs > 0]
+        pick = np.arange(runs.sum()) + np.repeat(off[slot[first[own]]] - np.cumsum(runs) + runs, runs)
+        part = np.stack([begin[pick], end[pick]], 1) + np.repeat(at[own], runs)[:, None]
         whole = np.flatnonzero((did > did[first]) & (size >= width))
-        out: dict[str, list] = {"i": whole.tolist(), "rel": np.stack([at, at + size], 1)[whole].tolist()}
-        for i in np.flatnonzero(did == did[first]).tolist():
-            hit = hits.get(int(first[i]), ())
-            if len(hit):
-                out["i"].append(i)
-                out["rel"].append(_ranges(hit, width, int(at[i])))
-        i = np.array(out["i"], np.int64)
+        i = np.concatenate([whole, own])
+        rel = np.concatenate([np.stack([at, at + size], 1)[whole], part]).astype(np.int32).ravel()
+        stop = np.cumsum(np.concatenate([[0], np.full(len(whole), 2), 2 * runs])).astype(np.int32)
         return pa.table({"ch": pa.array(ch[i], pa.int64()), "c2": pa.array(c2[i], pa.int32()), "lo": pa.array(did[i], pa.int64()),
-                         "rel": pa.array(out["rel"], pa.list_(pa.int32()))})
+                         "rel": pa.ListArray.from_arrays(pa.array(stop), pa.array(rel))})
     return run
 
 

@@ -12,6 +12,16 @@ from __future__ import annotations
 import numpy as np
 
 PACK = 7  # symbols of nine bits in one sort key
+FIRST = np.array([((1 << 9 * m) - 1) << 9 * (PACK - m) for m in range(PACK + 1)], np.int64)  # a key's first m symbols
+
+
+def _ranks(key: np.ndarray) -> np.ndarray:
+    """Place of every key among the distinct keys."""
+    order = np.argsort(key)
+    key = key[order]
+    rank = np.empty(len(key), np.int64)
+    rank[order] = np.cumsum(np.concatenate([[False], key[1:] != key[:-1]]))
+    return rank
 
 
 def suffix_array(sym: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -20,21 +30,17 @@ def suffix_array(sym: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(sym)
     pos = np.arange(n)
     ends = np.flatnonzero(sym == 0)
-    stop = ends[np.searchsorted(ends, pos)]
-    key = np.zeros(n, np.int64)
-    for i in range(PACK):
-        at = pos + i
-        key = (key << 9) | np.where(at <= stop, sym[np.minimum(at, n - 1)], 0)
-    _, rank = np.unique(key, return_inverse=True)
+    stop = np.repeat(ends, np.diff(ends, prepend=-1))
+    rank = _ranks(packed(sym) & FIRST[np.minimum(stop - pos + 1, PACK)])
     depth, longest, near, known = PACK, int((stop - pos).max()) + 1, rank, PACK
     while depth < longest:
         if depth <= width:
             near, known = rank, depth  # width <= 2 * known: two look-ups cover the width
         at = pos + depth
         nxt = np.where(at <= stop, rank[np.minimum(at, n - 1)] + 1, 0)
-        _, rank = np.unique(rank.astype(np.int64) * (n + 2) + nxt, return_inverse=True)
+        rank = _ranks(rank * (n + 2) + nxt)
         depth *= 2
-    sa = np.argsort(rank, kind="stable")
+    sa = np.sort(rank * n + pos) % n
     second = near[np.minimum(sa + width - known, n - 1)]
     first = near[sa]
     return sa, (first[1:] == first[:-1]) & (second[1:] == second[:-1])
@@ -137,34 +143,40 @@ def common_prefix(text: np.ndarray, p: np.ndarray, query: np.ndarray, q: np.ndar
 
 
 def covered_windows(texts: list[bytes], group: np.ndarray, owner: np.ndarray, width: int) -> list[np.ndarray]:
-    """For each text, the starts of its ``width``-byte strings that also occur in a text of a smaller owner.
+    """For each text, the starts of its ``width``-byte strings that also occur in a text of a smaller owner."""
+    size = np.array([len(t) for t in texts], np.int64)
+    text, start = covered_starts(np.frombuffer(b"".join(texts), np.uint8), size, group, owner, width)
+    return np.split(start, np.searchsorted(text, np.arange(1, len(texts))))
+
+
+def covered_starts(raw: np.ndarray, size: np.ndarray, group: np.ndarray, owner: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, start), in order, of the ``width``-byte strings that also occur in a text of a smaller owner.
 
-    Texts come sorted by (group, owner). All of them are indexed once; the
+    Texts (their bytes and sizes) come sorted by (group, owner). All of them are indexed once; the
     texts that have an earlier owner in their group are streamed through the
     index. Where the matching statistic reaches ``width``, its place leads to
     the class of the suffixes that begin with this string, and the string is
     marked if the smallest owner in the class comes before the text's own.
     """
-    n = len(texts)
-    hits = [np.zeros(0, np.int64)] * n
-    size = np.array([len(t) for t in texts])
+    n = len(size)
     leader = np.repeat(owner[heads := np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))],
                        np.diff(np.append(heads, n)))
     ask = np.flatnonzero((owner > leader) & (size >= width))
     if not len(ask):
-        return hits
-    sym = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.int64) + 1
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     begin = np.cumsum(size + 1) - size - 1
+    sym = np.zeros(len(raw) + n, np.int64)   # 0 ends a text
+    sym[np.arange(len(raw)) + np.repeat(np.arange(n), size)] = raw
+    sym += 1
     sym[begin + size] = 0
     sa, alike = suffix_array(sym, width)
     edge = np.flatnonzero(np.concatenate([[True], ~alike]))
-    holder = owner[np.repeat(np.arange(n), size + 1)[sa]]
+    text = np.repeat(np.arange(n), size + 1)
     least = np.empty(len(sym), np.int64)  # by text position: smallest owner of its class
-    least[sa] = np.repeat(np.minimum.reduceat(holder, edge), np.diff(np.append(edge, len(sa))))
+    least[sa] = np.repeat(np.minimum.reduceat(owner[text[sa]], edge), np.diff(np.append(edge, len(sa))))
     index, hit = RunIndex(sym, sa), np.zeros(len(sym), bool)
     for rows, i, length, place in index.matches(sym, index.packed, begin[ask], begin[ask] + size[ask], width):
         long = np.flatnonzero(length >= width)
         hit[i[long[least[place[long]] < owner[ask[rows[long]]]]]] = True
-    for j in ask:
-        hits[j] = np.flatnonzero(hit[begin[j]:begin[j] + size[j]])
-    return hits
+    at = np.flatnonzero(hit)
+    return text[at], at - begin[text[at]]

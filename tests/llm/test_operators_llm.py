@@ -16,7 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from flurry.llm import blocks, chat, jaccard, queries, secrets, tokens
+from flurry.llm import blocks, chat, jaccard, queries, repeats, secrets, tokens
 from flurry.llm.chat import canonical_turns, format_chat, read_back
 from flurry.llm.decontam import _best_run, spaced_seed_overlaps
 from flurry.llm.graph import components
@@ -569,3 +569,53 @@ def test_personal_data_fits_on_every_labelled_candidate(spark, monkeypatch):
     with pytest.raises(Stop):
         pii._scored(rows, 0.95)
     assert seen == [want] and want > 19000
+
+
+def test_shards_whose_groups_hold_one_key_need_no_index():
+    """Before: an error in a shard without anything to index."""
+    text = bytes(range(60))
+    rows = pa.table({"side": [1, 1, 2], "did": [4, 9, 3], "ch": [11, 12, 13], "c2": pa.array([0, 0, 0], pa.int32()),
+                     "at": pa.array([5, 5, 0], pa.int32()), "key": [text, text, text[:50]]})
+    assert repeats._mark(50)(rows).to_pylist() == [{"ch": 12, "c2": 0, "lo": 9, "rel": [5, 65]}]
+
+
+def test_shard_marks_equal_brute_force():
+    rng = random.Random(8)
+    rows = []
+    for g in range(6):
+        base = bytes(rng.choice(b"abc") for _ in range(40))
+        for i in range(rng.randint(1, 30)):
+            x = bytearray(base)
+            x[rng.randrange(40)] = rng.choice(b"abc")
+            a = rng.randrange(12)
+            rows.append({"side": g, "did": rng.randint(0, 12), "ch": len(rows), "c2": 7, "at": a, "key": bytes(x[a:a + rng.randint(5, 40)])})
+    kinds = pa.schema([("side", pa.int64()), ("did", pa.int64()), ("ch", pa.int64()), ("c2", pa.int32()), ("at", pa.int32()), ("key", pa.binary())])
+    got = {r["ch"]: r["rel"] for r in repeats._mark(8)(pa.Table.from_pylist(rows, kinds)).to_pylist()}
+    for r in rows:
+        x, cover = r["key"], set()
+        here, shard = ([y["key"] for y in rows if y["did"] < r["did"] and y["side"] in s] for s in ({r["side"]}, set(range(6))))
+        must, may = ({b for j in range(len(x) - 7) if any(x[j:j + 8] in y for y in held) for b in range(j, j + 8)} for held in (here, shard))
+        rel = got.get(r["ch"], [])
+        for a, z in zip(rel[::2], rel[1::2]):
+            cover |= set(range(a - r["at"], z - r["at"]))
+        assert must <= cover <= may
+
+
+def test_anchors_travel_packed_and_are_found_in_any_cut(spark, monkeypatch):
+    """Few rows leave a task (before: one row an anchor), whatever the cut; shared anchors are those of two documents."""
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 80))) for _ in range(60)]
+    texts += [texts[i][20:200] for i in range(0, 60, 4)]
+    src = spark.createDataFrame(list(enumerate(texts)), "did long, __text string").repartition(3)
+    held = {}
+    for did, t in enumerate(texts):
+        raw = np.frombuffer(t.encode(), np.uint8)
+        for h in repeats.anchors(raw, np.array([0, len(raw)]), repeats.B.prefix_hash(raw))[2].tolist():
+            held.setdefault(h, set()).add(did)
+    want = sorted((h, d) for h, ds in held.items() if len(ds) > 1 for d in ds)
+    assert len(want) > 100
+    for flush in (1, 500, 1 << 20):
+        shared = repeats._shared(src, 50, 16, flush)
+        assert sorted(map(tuple, shared.collect())) == want
+        assert "Window" not in shared._jdf.queryExecution().toString()
